@@ -124,20 +124,19 @@ def tree_encode(tokenizer, text: str, leaf: int = LEAF) -> list[int]:
     return join_all(tokenizer, text, [encode_span(tokenizer, text, a, b) for a, b in leaves(text, leaf)]).ids.tolist()
 
 
-def _piece(tokenizer):
-    def of(ids: list[int], names: list[str]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), tokenizer.decode(ids, skip_special_tokens=False) if ids else ""
-
-    def long(piece: str):
-        return tree_encode(tokenizer, piece), []
+def _pieces(path: str) -> tokens.Pieces:
+    """Of each piece: (number of ids, ids joined by a space, decoded text)."""
 
-    return of, long
+    def build():
+        tokenizer = tokens.load(path)
+        names = [None] * tokenizer.get_vocab_size()
+        for name, k in tokenizer.get_vocab().items():
+            names[k] = name
 
+        def of(ids: list[int]) -> tuple[int, str, str]:
+            return len(ids), " ".join(map(str, ids)), " ".join([names[k] for k in ids]) if tokenizer.decoder is None else tokenizer.decode(ids, skip_special_tokens=False)
 
-def _pieces(path: str) -> tokens.Pieces:
-    def build():
-        of, long = _piece(tokens.load(path))
-        return tokens.Pieces(path, of, long)
+        return tokens.Pieces(path, of, 300_000, lambda piece: tree_encode(tokenizer, piece))
 
     return tokens.shared((path, "digest"), build)
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import op1_chunk_store, op9_tree_bpe
+from . import op1_chunk_store, op6_grace_dedup, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih
 
 
 def queries() -> dict:
     return {
         "op1_chunk_store": op1_chunk_store.query,
+        "op6_grace_dedup": op6_grace_dedup.query,
+        "op8_linear_grouping": op8_linear_grouping.query,
         "op9_tree_bpe": op9_tree_bpe.query,
+        "op10_simhash_mih": op10_simhash_mih.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_grace_dedup": op6_grace_dedup.ORACLE_SQL}

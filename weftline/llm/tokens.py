@@ -11,15 +11,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-import numpy as np
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces of a cache generation, and the length from which a piece is not kept.
-LIMIT, LONG = 250_000, 256
+LIMIT, LONG = 600_000, 256
 _TWO_BLANKS = re.compile(r"\s\s")
 _SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -58,16 +57,40 @@ def bare_pieces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+#: A word that pre-tokenisation keeps whole and normalisation at most lower-cases.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class Pieces:
-    """Values of pieces, made from (ids, tokens) of their encodings."""
+    """Values of pieces, made from the ids of their encodings; two generations of at most ``limit`` pieces are kept."""
 
-    def __init__(self, path: str, make: Callable, encode: Callable[[str], tuple[list[int], list[str]]] | None = None):
-        self.tokenizer, self.make, self.long = load(path), make, encode
+    def __init__(self, path: str, make: Callable[[list[int]], object], limit: int = LIMIT, encode: Callable[[str], list[int]] | None = None):
+        self.tokenizer, self.make, self.limit, self.long = load(path), make, limit, encode
         self.young: dict = {}
         self.old: dict = {}
 
+        self.word = self._words()
+
+    def _words(self) -> Callable[[str], str] | None:
+        """How a word of Latin letters is spelt in the vocabulary, if the library's model alone then gives what the whole tokenizer gives."""
+        lower = self.tokenizer.normalizer is not None
+        table = {x: (x if 33 <= x <= 126 or 161 <= x <= 172 or x >= 174 else 256 + k) for x, k in ((x, sum(not (33 <= y <= 126 or 161 <= y <= 172 or y >= 174) for y in range(x))) for x in range(256))}
+
+        def spelt(word: str) -> str:
+            return (word.lower() if lower else word).encode().decode("latin-1").translate(table)
+
+        samples = ["a", "The", " the", " Thention", "èvÉÿß", " Ñiño", " qxz", "ÀÖØöø", "ERTION", " aaaaaaaaaa"]
+        same = all([t.id for t in self.tokenizer.model.tokenize(spelt(x.strip() if lower else x))] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples)
+        return spelt if same else None
+
     def _encoded(self, pieces: list[str]) -> list:
-        return [self.make(e.ids, e.tokens) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        if self.word is None:
+            return [self.make(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        tokenize, spelt = self.tokenizer.model.tokenize, self.word
+        plain = list(map(_LETTERS.fullmatch, pieces))
+        rest = [p for p, m in zip(pieces, plain) if m is None]
+        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
+        return [self.make([t.id for t in tokenize(spelt(p))] if m else next(others).ids) for p, m in zip(pieces, plain)]
 
     def learn(self, missing: Iterable[str]) -> dict:
         """Values of pieces that the young generation lacks; those too long to keep are returned only."""
@@ -76,7 +99,7 @@ class Pieces:
             if (value := self.old.get(piece)) is not None:
                 self.young[piece] = value
             elif len(piece) > LONG:
-                extra[piece] = self.make(*self.long(piece)) if self.long else self._encoded([piece])[0]
+                extra[piece] = self.make(self.long(piece)) if self.long else self._encoded([piece])[0]
             else:
                 new.append(piece)
         if new:
@@ -85,10 +108,10 @@ class Pieces:
 
     def of(self, pieces: list[str]) -> list:
         """The values of one text's pieces."""
-        if len(self.young) > LIMIT:
+        if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         get = self.young.get
-        values = [get(p) for p in pieces]
+        values = list(map(get, pieces))
         if None in values:
             extra = self.learn({p for p, v in zip(pieces, values) if v is None})
             young = self.young
@@ -106,9 +129,9 @@ def shared(key: tuple, build: Callable):
     return _shared[key]
 
 
-def ids_bytes(ids: list[int], _tokens: list[str]) -> bytes:
+def ids_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def raw_ids(path: str, split: Callable[[str], list[str]]) -> Callable[[str], bytes]:
