@@ -211,10 +211,10 @@ def text_sha256(text) -> F.Column:
 def exact_groups(df: DataFrame, key: str, text: str, budget: int = BUDGET) -> DataFrame:
     """(key, keep_id, group_size, kept, text_sha256) of every row of ``df``."""
     members = df.select(F.col(key).alias("key"), text_sha256(text).alias("text_sha256"))
-    # Copies of one text may be a third of all members: a plain inner join, which Spark splits where it is skewed.
+    members = members.withColumn("again", F.row_number().over(Window.partitionBy("key", "text_sha256").orderBy("key")))
+    # Copies of one text may be a third of all members: a plain inner join, with nothing above it, which Spark splits where it is skewed.
     joined = members.join(groups(df, key, text, budget), "text_sha256")
-    again = F.row_number().over(Window.partitionBy("key", "text_sha256").orderBy("group_size"))
-    return joined.select("key", "keep_id", "group_size", (F.col("key").eqNullSafe(F.col("keep_id")) & (again == 1)).alias("kept"), "text_sha256")
+    return joined.select("key", "keep_id", "group_size", (F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)).alias("kept"), "text_sha256")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
