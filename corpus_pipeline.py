@@ -1,8 +1,80 @@
-"""The corpus pipeline."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES: list = []
+Each stage takes all that the one before it kept, written as Parquet and read
+again. All but the last return the columns of the documents as they came, of
+any number and name; a row whose doc_id is null cannot be told from others
+with the same text by id alone, and stays or goes with them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from weftline.llm import op3_mcd_rules, op5_crf_quality, op6_grace_dedup, op8_linear_grouping, op10_simhash_mih, tokens
+from weftline.llm.common import work_folder, written
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier, learnt from the labelled ones, scores as good."""
+    model = op5_crf_quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return op5_crf_quality.score(docs, "text", model).where(F.col("score") >= op5_crf_quality.GOOD).select("row.*")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents within the base limits and near their language's and source's robust estimate."""
+    judged = op3_mcd_rules.judge(docs, "doc_id", "text")
+    gone = judged.where(~F.col("kept")).select("key", "text_hash").distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["key"]) & (F.xxhash64(docs["text"]) == gone["text_hash"]), "left_anti")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts; of rows that repeat a document, one."""
+    kept = op6_grace_dedup.exact_groups(docs, "doc_id", "text").where("kept").select("key", "text_sha256")
+    sha, nth = _unused(docs, "text_sha256"), _unused(docs, "nth")
+    named = docs.withColumn(sha, op6_grace_dedup.text_sha256("text"))
+    stay = named.join(kept, named["doc_id"].eqNullSafe(kept["key"]) & (named[sha] == kept["text_sha256"]), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id", sha).orderBy(F.length("text").desc()))
+    return stay.withColumn(nth, once).where(F.col(nth) == 1).drop(sha, nth)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates, the document with the smallest id."""
+    groups = op10_simhash_mih.near_groups(docs, "doc_id", "text")
+    kept = groups.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]), "left_semi")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each in its sequence."""
+    packed = op8_linear_grouping.pack_documents(docs, "doc_id", "text", tokens.vocabulary("word_bpe_49k.json"))
+    return packed.withColumnRenamed("doc", "doc_id")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
+]
+
+#: The classifier, the estimates and the packing are beyond SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order, over all documents."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), work_folder(spark)
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, f"{folder}/{k}-{name}")
+    return docs

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import op1_chunk_store, op6_grace_dedup, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih
+from . import op1_chunk_store, op3_mcd_rules, op5_crf_quality, op6_grace_dedup, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih
 
 
 def queries() -> dict:
     return {
         "op1_chunk_store": op1_chunk_store.query,
+        "op3_mcd_rules": op3_mcd_rules.query,
+        "op5_crf_quality": op5_crf_quality.query,
         "op6_grace_dedup": op6_grace_dedup.query,
         "op8_linear_grouping": op8_linear_grouping.query,
         "op9_tree_bpe": op9_tree_bpe.query,
