@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import op1_chunk_store, op3_mcd_rules, op5_crf_quality, op6_grace_dedup, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih
+from . import op1_chunk_store, op2_html_blocks, op3_mcd_rules, op5_crf_quality, op6_grace_dedup, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih
 
 
 def queries() -> dict:
     return {
         "op1_chunk_store": op1_chunk_store.query,
+        "op2_html_blocks": op2_html_blocks.query,
         "op3_mcd_rules": op3_mcd_rules.query,
         "op5_crf_quality": op5_crf_quality.query,
         "op6_grace_dedup": op6_grace_dedup.query,
