@@ -140,6 +140,9 @@ def test_extraction():
     page = """<html><head><title>T</title><script>"</p>"</script></head><body><header><h1>Site</h1></header><div class="sidebar"><p>x y z</p></div><main><h1>A &amp; B</h1><p>One&nbsp;two<br>three
     four<p class=ad>buy<p>five <a href="x">six</a></p><aside>no</aside><section id="comments"><article><p>reader</p></article></section><form><input>name<button>go</button></form></main><!-- c --><footer>f</footer>"""
     assert blocks.main_text(page, tree) == "A & B\n\nOne two three four\n\nfive six"
+    maybe = '<div id="content"><p>one two</p><div class="comments"><p>no</p></div></div><p>' + "word " * 60 + "</p>"
+    assert blocks.main_text(maybe, tree) == "one two"
+    assert blocks.main_text(f"<article><p>inside</p></article>{maybe}", tree) == "inside"
     assert blocks.main_text("", tree) == "" and blocks.main_text("a < b <c", tree) == ""
 
 

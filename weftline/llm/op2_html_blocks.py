@@ -40,8 +40,10 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 CONTENT, FRAME = {"article", "main"}, {"nav", "footer", "aside", "form", "menu", "dialog"}
 #: Words in class, id or role that mark boilerplate, and those that mark content.
-FRAME_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead notice notices cookie cookies consent gdpr popup modal overlay related share sharing social comment comments respond newsletter subscribe subscription login signup widget complementary contentinfo search".split())
+FRAME_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead notice notices cookie cookies consent gdpr popup modal overlay related share sharing social comment comments respond newsletter subscribe subscription login signup widget complementary contentinfo search alert disclaimer teaser recommended trending toolbar topbar pagination pager adbox adslot adunit adcontainer".split())
 CONTENT_WORDS = {"article", "main", "story"}
+#: Words that mark content where a page has no container of the others.
+MAYBE_WORDS = {"content", "entry", "post", "text"}
 
 #: The labelled table: words, link share, those of the block before and of the block after, within content, within boilerplate, whether the page has content containers; whether to keep.
 FIELDS = ("words", "links", "words_before", "links_before", "words_after", "links_after", "content", "frame", "contents", "keep")
@@ -90,38 +92,38 @@ def decide(tree, row: tuple) -> bool:
 
 
 def _role(tag: str, attributes: str, content: int) -> int:
-    """1 for a container of content, -1 for one of boilerplate, else 0."""
+    """1 for a container of content, 3 for what may be one, -1 for one of boilerplate, else 0."""
     if tag in ("html", "body"):
         return 0
     words = {w.lower() for m in _HINT.finditer(attributes) for w in _PARTS.findall(next(filter(None, m.groups()), ""))} if "=" in attributes else set()
     if words & FRAME_WORDS or tag in FRAME or (tag == "header" and not content):
         return -1
-    return 1 if tag in CONTENT or words & CONTENT_WORDS else 0
+    return 1 if tag in CONTENT or words & CONTENT_WORDS else 3 if words & MAYBE_WORDS else 0
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, words within links, within content, within boilerplate) of the page's text blocks."""
+def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
+    """(text, words, words within links, 2 within content or 1 within what may be, within boilerplate) of the page's text blocks."""
     out: list = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int]] = []
     opened: dict[str, int] = {}
-    content = frame = silent = 0
+    content = maybe = frame = silent = 0
     link = False
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, text.count(" ") + 1, len(" ".join(linked).split()), content > 0, frame > 0))
+                out.append((text, text.count(" ") + 1, len(" ".join(linked).split()), 2 if content else int(maybe > 0), frame > 0))
             parts.clear()
             linked.clear()
 
     def pop() -> None:
-        nonlocal content, frame, silent
+        nonlocal content, maybe, frame, silent
         tag, role = stack.pop()
         opened[tag] -= 1
-        content, frame, silent = content - (role == 1), frame - (role == -1), silent - (role == 2)
+        content, maybe, frame, silent = content - (role == 1), maybe - (role == 3), frame - (role == -1), silent - (role == 2)
 
     at, last = 0, page.rfind(">")
     while at < len(page):
@@ -162,7 +164,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if (role or tag in BLOCK) and not (m[3] or "").endswith("/"):
             stack.append((tag, role))
             opened[tag] = opened.get(tag, 0) + 1
-            content, frame, silent = content + (role == 1), frame + (role == -1), silent + (role == 2)
+            content, maybe, frame, silent = content + (role == 1), maybe + (role == 3), frame + (role == -1), silent + (role == 2)
     flush()
     return out
 
@@ -171,10 +173,10 @@ def main_text(page: str, tree) -> str:
     """The blocks that the tree keeps."""
     found = blocks(page)
     size = [(n, min(1.0, k / n)) for _, n, k, _, _ in found]
-    contents, none = int(any(c for *_, c, _ in found)), (0, 0.0)
+    most, none = max((c for *_, c, frame in found if not frame), default=0), (0, 0.0)
     kept = []
     for k, (text, _, _, content, frame) in enumerate(found):
-        row = (*size[k], *(size[k - 1] if k else none), *(size[k + 1] if k + 1 < len(size) else none), int(content), int(frame), contents)
+        row = (*size[k], *(size[k - 1] if k else none), *(size[k + 1] if k + 1 < len(size) else none), int(content == most > 0), int(frame), int(most > 0))
         if decide(tree, row):
             kept.append(text)
     return "\n\n".join(kept)
