@@ -171,6 +171,37 @@ def test_listing_and_package(spark, tmp_path):
     assert json.loads((tmp_path / "out/manifests/checksums.json").read_text()) == table
 
 
+def test_waiting_and_commits():
+    assert [sinks.wait_seconds(m, 3) for m in ("429 Retry after 12 seconds", "rate limit, about 1 hour", "503 Service Unavailable", "429", "no such file")] == [42, 3700, 360, 180, None]
+    failures, waits = iter(["429", "504 Gateway Timeout"]), []
+
+    def upload():
+        if (m := next(failures, None)) is not None:
+            raise RuntimeError(m)
+
+    assert sinks.commit(upload, sleep=waits.append) == 3 and waits == [60, 240]
+    with pytest.raises(RuntimeError):
+        sinks.commit(lambda: (_ for _ in ()).throw(RuntimeError("gone")))
+
+
+def test_specs(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": {"min": 10, "weight": 3}, "b": {"max": 10, "weight": 1}}')
+    assert tiers.load(spark, str(tmp_path / "t.json")) == {"a": (10, None, 0.75), "b": (0, 10, 0.25)}
+    assert tiers.chunk_sizes("a=3, b=4,", {"a": 0, "b": 0}) == {"a": 3, "b": 4}
+    for bad in ("c=1", "a", "a=0"):
+        with pytest.raises(ValueError):
+            tiers.chunk_sizes(bad, {"a": 0})
+
+
+def test_bundle_files_and_merge(spark, tmp_path):
+    indexed.register(spark)
+    rows = spark.createDataFrame([("t1", "de", 8), ("t2", "de", 8), ("t3", "fr", 16)], "text string, lang string, target_tokens long")
+    got = sinks.bundle_files(rows, str(tmp_path), "p", "train", {"kept_docs": 3})
+    assert got["counts"] == {"de_8": 2, "fr_16": 1} and json.loads((tmp_path / "p_train_manifest.json").read_text())["kept_docs"] == 3
+    sinks.merged(spark.createDataFrame([([1, 2],), ([3],)], "tokens array<int>"), str(tmp_path / "m"))
+    assert sum(n.endswith(".idx") for n in os.listdir(tmp_path / "m")) == 1
+
+
 def test_adapters(spark, tmp_path):
     spark.createDataFrame([("a" * 60,), ("short",), (None,)], "text string").write.parquet(str(tmp_path / "src/deu_Latn"))
     adapters.local("disk", str(tmp_path / "src"))

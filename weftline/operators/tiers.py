@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,6 +39,26 @@ def normalize(spec: dict) -> dict:
     return {k: (a, b, w / total) for k, (a, b, w) in rows.items()}
 
 
+def load(spark: SparkSession, path: str | None = None, preset: str = "lc16k") -> dict:
+    """The tiers of a JSON document, on any path that Spark reads, or of a preset."""
+    if path is None:
+        if preset not in PRESETS:
+            raise ValueError(f"no preset {preset!r}; there are {', '.join(PRESETS)}")
+        return normalize(PRESETS[preset])
+    return normalize(json.loads(spark.read.text(path, wholetext=True).first()[0]))
+
+
+def chunk_sizes(text: str | None, spec: dict) -> dict[str, int]:
+    """Documents of a chunk by tier, from items tier=number; unknown tiers and numbers below 1 are errors."""
+    sizes = {}
+    for item in filter(None, (x.strip() for x in (text or "").split(","))):
+        tier, _, number = (x.strip() for x in item.partition("="))
+        if tier not in spec or not number.isdigit() or int(number) < 1:
+            raise ValueError(f"{item!r} is no tier=number of {', '.join(spec)}")
+        sizes[tier] = int(number)
+    return sizes
+
+
 def ordered(spec: dict) -> list[tuple]:
     """Tiers by (least, name), descending: the first that fits is taken."""
     return sorted(((n, *t) for n, t in spec.items()), key=lambda t: (t[1], t[0]), reverse=True)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +61,47 @@ def package(spark: SparkSession, bin_dir: str, mix_dir: str, out: str, info: dic
     table = {os.path.relpath(r["path"].removeprefix("file:"), root): {"bytes": r["bytes"], "sha256": r["sha256"]} for r in rows}
     manifest(dict(sorted(table.items())), os.path.join(out, "manifests", "checksums.json"))
     return table
+
+
+def wait_seconds(message: str, attempt: int) -> int | None:
+    """How long to wait after a failed commit: what the message asks for, else longer each time; null if another try is of no use.
+
+    Fixed values: 30 s on top of a named time, 3,700 s for an hour, steps of
+    120 s up to 900 s for server errors and of 60 s up to 600 s for limits.
+    """
+    server = re.search(r"500 Internal Server Error|502 Bad Gateway|503 Service Unavailable|504 Gateway Timeout", message)
+    if not server and "429" not in message and "rate limit" not in message.lower():
+        return None
+    if named := re.search(r"Retry after (\d+) seconds", message):
+        return int(named[1]) + 30
+    if "about 1 hour" in message:
+        return 3700
+    return min(900, 120 * attempt) if server else min(600, 60 * attempt)
+
+
+def commit(upload: Callable[[], None], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Run a commit until it succeeds; returns the tries it took. What waiting cannot mend is raised at once."""
+    for attempt in range(1, tries + 1):
+        try:
+            upload()
+            return attempt
+        except Exception as error:
+            wait = wait_seconds(str(error), attempt)
+            if wait is None or attempt == tries:
+                raise
+            sleep(wait)
+    raise ValueError("tries must be at least 1")
+
+
+def bundle_files(rows: DataFrame, path: str, prefix: str, split: str, facts: dict) -> dict:
+    """Bundles as JSON Lines in a folder for each target, and a manifest with their numbers by language and target."""
+    rows.write.mode("overwrite").partitionBy("target_tokens").json(f"{path}/{prefix}_{split}")
+    counts = rows.groupBy("lang", "target_tokens").agg(F.count("*").alias("n")).collect()  # a row for each cell of the grid
+    document = {"created_at_unix": int(time.time()), "prefix": prefix, "split": split, **facts, "counts": {f"{r['lang']}_{r['target_tokens']}": r["n"] for r in counts}}
+    manifest(document, f"{path}/{prefix}_{split}_manifest.json")
+    return document
+
+
+def merged(tokens: DataFrame, path: str, parts: int = 1) -> None:
+    """All tokens of a table as so many pairs of index and token files."""
+    tokens.select("tokens").coalesce(parts).write.format("indexed_tokens").option("path", path).mode("append").save()
