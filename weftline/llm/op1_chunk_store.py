@@ -43,7 +43,7 @@ from . import tokens
 from .common import exclusive_prefix, work_folder, written
 
 #: Ids that the rolling hash covers, least and most ids of a chunk, and the bits that have to be zero at a cut (one place in 2 ** BITS).
-WINDOW, LEAST, MOST, BITS = 16, 64, 2048, 8
+WINDOW, LEAST, MOST, BITS = 16, 128, 4096, 9
 #: Bytes of an address.
 ADDRESS = 16
 #: Addresses that a task remembers having sent.
