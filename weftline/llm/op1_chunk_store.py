@@ -146,8 +146,8 @@ def write_store(df: DataFrame, key: str, text: str, folder: str, path: str, end_
     kind = df.schema[key].dataType
     rows = df.select(F.col(key).alias("doc"), F.monotonically_increasing_id().alias("number"), F.col(text).alias("text"))
     packed = rows.mapInArrow(_pack(path, end_id, wide, _arrow(kind)), f"kind int, key binary, ids binary, doc {kind.simpleString()}, lengths binary, n_tokens long")
-    # One row an address: the partial aggregate meets each task's rows, the final one the tasks'.
-    once = packed.groupBy("kind", "key").agg(*[F.first(c).alias(c) for c in ("ids", "doc", "lengths", "n_tokens")])
+    # One row an address: tasks have met their own rows, and a row of each meets the others'.
+    once = packed.repartition("kind", "key").groupBy("kind", "key").agg(*[F.first(c).alias(c) for c in ("ids", "doc", "lengths", "n_tokens")])
     recipes = written(once, f"{folder}/pack", ["kind"]).where("kind = 1")
     ordered = exclusive_prefix(recipes.select("doc", "key", "n_tokens"), "doc", "n_tokens", "start", ["key"])
     roots = F.udf(lambda a: merkle_root([bytes(a[k : k + ADDRESS]) for k in range(0, len(a), ADDRESS)]), T.BinaryType(), useArrow=True)

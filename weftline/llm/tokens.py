@@ -57,8 +57,9 @@ def bare_pieces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-#: A word that pre-tokenisation keeps whole and normalisation at most lower-cases.
-_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A word of Latin letters, which normalisation at most lower-cases, and marks after it: pre-tokenisation parts them and keeps each whole. No apostrophe, which may begin a contraction.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SPACE = ord(" ")
 
 
 class Pieces:
@@ -68,29 +69,49 @@ class Pieces:
         self.tokenizer, self.make, self.limit, self.long = load(path), make, limit, encode
         self.young: dict = {}
         self.old: dict = {}
-
+        self.marks: dict = {"": []}
         self.word = self._words()
 
     def _words(self) -> Callable[[str], str] | None:
         """How a word of Latin letters is spelt in the vocabulary, if the library's model alone then gives what the whole tokenizer gives."""
         lower = self.tokenizer.normalizer is not None
         table = {x: (x if 33 <= x <= 126 or 161 <= x <= 172 or x >= 174 else 256 + k) for x, k in ((x, sum(not (33 <= y <= 126 or 161 <= y <= 172 or y >= 174) for y in range(x))) for x in range(256))}
+        blank = table[_SPACE]
 
         def spelt(word: str) -> str:
-            return (word.lower() if lower else word).encode().decode("latin-1").translate(table)
-
-        samples = ["a", "The", " the", " Thention", "èvÉÿß", " Ñiño", " qxz", "ÀÖØöø", "ERTION", " aaaaaaaaaa"]
-        same = all([t.id for t in self.tokenizer.model.tokenize(spelt(x.strip() if lower else x))] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples)
+            word = word.lower() if lower else word
+            if word.isascii():
+                return chr(blank) + word[1:] if word[0] == " " else word
+            return word.encode().decode("latin-1").translate(table)
+
+        self.word = spelt
+        samples = ["a", "The", "Thention", "èvÉÿß", "Ñiño", "qxz.", "ÀÖØöø,", "ERTION!!", "aaaaaaaaaa", "the&&&", "Ñ$$$", "on*** "[:-1], "er,%%%", "st|>"]
+        samples += [] if lower else [" " + x for x in samples]
+        same = all(self._plain(x) == self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples)
         return spelt if same else None
 
+    def _plain(self, piece: str) -> list[int] | None:
+        """The ids of a word with marks after it, by the library's model; null if the piece is something else."""
+        m = _WORD.fullmatch(piece, 1 if piece[:1] == " " else 0)
+        if m is None:
+            return None
+        word, marks = m.groups()
+        tokenize = self.tokenizer.model.tokenize
+        if (after := self.marks.get(marks)) is None:
+            if len(self.marks) > 10_000:
+                self.marks = {"": []}
+            after = self.marks[marks] = [t.id for t in tokenize(marks)]
+        return [t.id for t in tokenize(self.word(piece[: len(piece) - len(marks)] if marks else piece))] + after
+
     def _encoded(self, pieces: list[str]) -> list:
         if self.word is None:
             return [self.make(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        tokenize, spelt = self.tokenizer.model.tokenize, self.word
-        plain = list(map(_LETTERS.fullmatch, pieces))
-        rest = [p for p, m in zip(pieces, plain) if m is None]
-        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
-        return [self.make([t.id for t in tokenize(spelt(p))] if m else next(others).ids) for p, m in zip(pieces, plain)]
+        ids = list(map(self._plain, pieces))
+        rest = [k for k, x in enumerate(ids) if x is None]
+        if rest:
+            for k, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False)):
+                ids[k] = e.ids
+        return list(map(self.make, ids))
 
     def learn(self, missing: Iterable[str]) -> dict:
         """Values of pieces that the young generation lacks; those too long to keep are returned only."""
