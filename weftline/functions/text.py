@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What ends an instruction prompt, in the order in which it goes, and the stub that is put in its place.
+PROMPT_ENDS = (r"(?s)<Answer>.*", r"(?s)\nAnswer:.*$", r"(?s)\nPlease answer.*$")
+STUB = "\nThe answer is:"
+
 _EDGE = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"
 
 
@@ -110,10 +114,10 @@ def human_bytes(c) -> Column:
     return F.when(n >= 1e12, of(1e12, "TB")).when(n >= 1e9, of(1e9, "GB")).when(n >= 1e6, of(1e6, "MB")).otherwise(of(1e3, "KB"))
 
 
-def completion_prefix(prompt, stub: str = "\nThe answer is:") -> Column:
+def completion_prefix(prompt, stub: str = STUB) -> Column:
     """An instruction prompt without what follows its answer tag, answer line or plea, with a stub to complete."""
     text = strip(prompt)
-    for pattern in (r"(?s)<Answer>.*", r"(?s)\nAnswer:.*$", r"(?s)\nPlease answer.*$"):
+    for pattern in PROMPT_ENDS:
         text = strip(F.regexp_replace(text, pattern, ""))
     return F.concat(text, F.lit(stub))
 

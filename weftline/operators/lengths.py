@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 
-#: Context lengths of coverage reports.
+# Context lengths of coverage reports.
 CONTEXTS = (4096, 8192, 16384, 32768, 65536, 131072)
 
 
