@@ -231,6 +231,27 @@ def test_stream_takes_each_shard_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(rows)
 
 
+def test_stream_keeps_shards_whose_numbers_collide(spark, tmp_path):
+    src, out = (str(tmp_path / x) for x in ("src", "out"))
+    spec = tiers.normalize({"long": (10, None, 1.0), "short": (0, 10, 1.0)})
+    schema = "lang string, text string, token_count long"
+    spark.createDataFrame([("de", "text", 5)], schema).coalesce(1).write.parquet(f"{tmp_path}/one")
+    file = next((tmp_path / "one").glob("*.parquet"))
+    # Two paths of one number, found by the numbers of many.
+    names = spark.range(2000).select(F.format_string("p%d.parquet", "id").alias("name"))
+    head = spark.read.parquet(f"{tmp_path}/one").select("_metadata.file_path").first()[0].rsplit("/one/", 1)[0]
+    number = F.pmod(F.xxhash64(F.concat(F.lit(f"{head}/src/"), "name")), F.lit(10_000))
+    pair = names.groupBy(number).agg(F.array_sort(F.collect_list("name")).alias("names")).where("size(names) > 1").first()["names"][:2]
+    for k, name in enumerate(pair):
+        (tmp_path / "src").mkdir(exist_ok=True)
+        (tmp_path / "src" / name).write_bytes(file.read_bytes())
+        streaming.run(spark, src, schema, out, str(tmp_path / "ck"), spec, 4)
+        rows = spark.read.parquet(out).collect()
+        assert len(rows) == k + 1 == sum(r["docs"] for r in rows) and len({r["shard"] for r in rows}) == 1
+    streaming.run(spark, src, schema, out, str(tmp_path / "ck2"), spec, 4)
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_event_stream_is_the_table(spark, data, tmp_path):
     events = spark.read.parquet(f"{data}/events.parquet")
     want = streaming.event_windows(events, "1 day").count()

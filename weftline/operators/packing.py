@@ -25,16 +25,17 @@ def chunks(df: DataFrame, keys: list[str], order: str, size: int) -> DataFrame:
     return df.withColumn("rn", rn).withColumn("chunk", F.floor((F.col("rn") - 1) / size).cast("int"))
 
 
-def chunk_manifest(df: DataFrame, text: str = "text", tokens: str = "token_count", run_id: str = "") -> DataFrame:
-    """A row for each chunk; blank texts have taken their places and are left out of the sums."""
+def chunk_manifest(df: DataFrame, text: str = "text", tokens: str = "token_count", run_id: str = "", keys: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each chunk, and by further ``keys``; blank texts have taken their places and are left out of the sums."""
     full = F.length(T.strip(text)) > 0
-    sums = df.groupBy("lang", "shard", "tier", "chunk").agg(F.count_if(full).alias("docs"), F.coalesce(F.sum(F.when(full, F.coalesce(tokens, F.lit(0)))), F.lit(0)).alias("source_token_count"), F.coalesce(F.sum(F.when(full, F.octet_length(T.strip(text)))), F.lit(0)).alias("bin_bytes"))
+    sums = df.groupBy("lang", "shard", "tier", "chunk", *keys).agg(F.count_if(full).alias("docs"), F.coalesce(F.sum(F.when(full, F.coalesce(tokens, F.lit(0)))), F.lit(0)).alias("source_token_count"), F.coalesce(F.sum(F.when(full, F.octet_length(T.strip(text)))), F.lit(0)).alias("bin_bytes"))
     return sums.withColumn("name", T.chunk_name("lang", "shard", "chunk", "tier", run_id))
 
 
-def pending(manifest: DataFrame, done: DataFrame, key: str = "name") -> DataFrame:
-    """Chunks that are not among the completed names."""
-    return manifest.join(done.select(key).distinct(), key, "left_anti")
+def pending(manifest: DataFrame, done: DataFrame, *key: str) -> DataFrame:
+    """Chunks that are not among the completed names, or the completed values of ``key``."""
+    key = key or ("name",)
+    return manifest.join(done.select(*key).distinct(), list(key), "left_anti")
 
 
 def _grouped(df: DataFrame, group: str, order: str, tokens: str, block: int | None, fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

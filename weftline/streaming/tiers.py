@@ -17,15 +17,20 @@ def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spe
 
     A batch that is run again after a failure finds the chunks it had finished
     and leaves them alone; numbers of chunks come from rows' places in their
-    shard, so they are the same each time.
+    shard, so they are the same each time. A chunk is known by its shard's path
+    and language, tier, number and run; a shard's number is a hash of its path,
+    so names may repeat and decide nothing. A manifest without paths is an error.
     """
 
     def batch(df: DataFrame, _epoch: int) -> None:
-        rows = df.withColumn("shard", F.pmod(F.xxhash64("_path"), F.lit(10_000)).cast("int")).withColumn("tier", tiers.assign("token_count", spec))
-        cut = packing.chunks(rows, ["lang", "shard", "tier"], "_row", chunk_docs)
-        made = packing.chunk_manifest(cut, run_id=run_id)
+        rows = df.withColumn("shard", F.pmod(F.xxhash64("_path"), F.lit(10_000)).cast("int")).withColumn("tier", tiers.assign("token_count", spec)).withColumnRenamed("_path", "path").withColumn("run", F.lit(run_id))
+        cut = packing.chunks(rows, ["path", "lang", "tier"], "_row", chunk_docs)
+        made = packing.chunk_manifest(cut, run_id=run_id, keys=("path", "run"))
         try:
-            made = packing.pending(made, spark.read.schema(made.schema).parquet(out))
+            done = spark.read.schema(made.schema).parquet(out)
+            if done.where("path is null").limit(1).count():
+                raise ValueError(f"{out} has chunks without their shards' paths; start a new folder")
+            made = packing.pending(made, done, "path", "lang", "tier", "chunk", "run")
         except Exception as error:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(error):
                 raise
