@@ -159,3 +159,61 @@ def test_pages(spark, data):
         article = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         want = "\n\n".join(b for b in (" ".join(html.unescape(re.sub(r"<[^>]+>", " ", q)).split()) for q in re.split(r"</?(?:p|h1)>", article)) if b)
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
+
+
+def plain_suffix_tree(train, texts, least, depth=3, test=4.0, weight=50.0):
+    """Scores by tables of all contexts, in plain Python, and the number of states of each length."""
+    streams = [["<start>", *t.lower().split(), ""] for t in train]
+    words = collections.Counter(w for s in streams for w in s[1:])
+    rare = {w: c for w, c in words.items() if w and c < least}
+    once, twice = (sum(c == k for c in words.values()) for k in (1, 2))
+    off = min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
+    others = sum(rare.values())
+    room = sum(words.values()) + 0.5 * (len(words) - len(rare) - 1 + 2)
+
+    def alone(w):
+        if w not in words or w in rare:
+            return (others + 0.5) / room * ((rare[w] - off) if w in rare else off * len(rare)) / others
+        return (words[w] + 0.5) / room
+
+    states: list[dict] = []
+
+    def p(before, w):
+        for d in range(min(len(states), len(before)), 0, -1):
+            own = states[d - 1].get(before[-d:])
+            if own is not None:
+                return (own[w] + weight * p(before[-d + 1 :] if d > 1 else (), w)) / (sum(own.values()) + weight)
+        return alone(w)
+
+    for d in range(1, depth + 1):
+        below = collections.defaultdict(collections.Counter)
+        for s in streams:
+            for i in range(d, len(s)):
+                below[tuple(s[i - d : i])][s[i]] += 1
+        kept = {}
+        for context, own in below.items():
+            n, chance = sum(own.values()), (len(own) - 1) / 2
+            if n >= least and sum(c * math.log(c / n / p(context[1:], w)) for w, c in own.items()) > chance + test * math.sqrt(chance + 1):
+                kept[context] = own
+        states.append(kept)
+    scores = []
+    for t in texts:
+        s = ["<start>", *t.lower().split(), ""]
+        scores.append(sum(math.log10(p(tuple(s[max(i - depth, 0) : i]), s[i])) for i in range(1, len(s))))
+    return scores, [len(x) for x in states]
+
+
+@pytest.mark.parametrize("near", [0, 300, 1_000_000])
+def test_suffix_tree_is_brute_force(spark, near):
+    """States by an absolute count, of any word: hundreds of contexts of each length, each met by fewer than a thousandth of the tokens, and 4,000 other words."""
+    rng, texts = np.random.default_rng(3), []
+    for _ in range(300):
+        x = list(rng.integers(0, 10, 3))
+        while len(x) < 60:
+            x.append((3 * x[-1] + x[-2] * x[-3] + x[-3]) % 10 if rng.random() < 0.8 else rng.integers(10))
+        texts.append(" ".join(f"v{k}" if rng.random() < 0.95 else f"w{rng.integers(4000)}" for k in x))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want, states = plain_suffix_tree(texts[:250], texts, 5)
+    assert min(states[1:]) > 40 and states[2] > 200
+    got = {r["key"]: r["score"] for r in lm.score_documents(df, "doc_id", "text", "doc_id < 250", head=100, near=near, least=5).collect()}
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in range(300))

@@ -1,22 +1,27 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-The alphabet is the TOP most frequent words, the end of a text, and one symbol
-for all other words; a start stands before each text. Contexts are the up to
-DEPTH symbols before one. A context is a candidate if it makes up LEAST of all
-tokens, so a level has at most 1 / LEAST of them whatever the corpus, and its
-next symbols are counted over all training texts. A candidate becomes a state
-if its next-symbol distribution diverges from that of its longest suffix among
-the states by more than chance would give. Each state's distribution is
-smoothed with its suffix's. A symbol is scored by the longest suffix of what
-stands before it that is a state. Another word than the TOP costs its symbol,
-and its share of all such words: a constant is taken off each known word's
-count, by the numbers of words that occur once and twice, and what that leaves
-is the probability of the unknown word, one symbol as in the base score.
-
-Each level is one pass over the training texts, counted in vectors. Counts of
-all words are needed as well: those of the HEAD most frequent words are sent
-to all tasks, a bounded table; all other words of all documents meet the table
-of counts in a shuffle.
+Symbols are all words and the end of a text; a start stands before each text.
+Contexts are the up to DEPTH symbols before one. A context is a candidate if
+it is met LEAST times, a count, so that the tree grows with the corpus; its
+next symbols are counted over all training texts, however rare. A candidate
+becomes a state if its next-symbol distribution diverges from that of its
+longest suffix among the states by more than chance would give. Each state's
+distribution is smoothed with its suffix's. A symbol is scored by the longest
+suffix of what stands before it that is a state; without one, words met LEAST
+times cost their share of all tokens, and others their part of what is left: a
+constant is taken off each one's count, by the numbers of words that occur once
+and twice, and what that leaves is the probability of the unknown word.
+
+Candidates, counts and states are written tables that are joined by context.
+Symbols and contexts go by 64-bit hashes, a context's being made of those of
+its symbols, so that no table of words is needed to read it. The tree is turned
+into one table of weights: a text's score is that of its words alone and the
+sum of the weights of its strings of up to DEPTH + 1 symbols. A weight is what
+a state costs as a context and what a symbol seen there adds. A fixed bitmap of
+the hashes that a table may hold spares the shuffle most other strings; the
+join decides. Counts of the HEAD most frequent words and the weights of the
+NEAR most frequent strings are sent to all tasks, bounded tables that save
+work; all others are joined.
 
 Defined results: a null text is empty, and an empty text is its end alone;
 without training rows every count is 0 and the tree is its root; rows with the
@@ -26,26 +31,42 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import work_folder, written
+from .common import remove, work_folder, written
 from .op1_chunk_store import _arrow
 
-#: Longest context; least share of a context; words with symbols of their own; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words whose counts go to every task; folds and the one held out.
-DEPTH, LEAST, TOP, TEST, WEIGHT, HEAD, FOLDS, HELD = 3, 1e-3, 2000, 4.0, 50.0, 100_000, 7, 2
+#: Longest context; times a context is met at least; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words, and strings, whose counts or weights go to every task; folds and the one held out.
+DEPTH, LEAST, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 4.0, 50.0, 100_000, 1_000_000, 7, 2
 #: Words of a task's table before it is sent on, and bytes of text that are looked at at once.
 TABLE, SLICE = 250_000, 4 << 20
-#: Symbols: other words, the end, the start; then the TOP.
-OTHER, END, START, FIRST = 0, 1, 2, 3
-#: A symbol's bits within a context.
+#: A symbol's bits within a context of a tree in memory.
 SYMBOL = 15
+#: Hashes a worker keeps; distinct strings of a task's table; bits of a bitmap's place and of the word within; how far a hash turns with each further symbol.
+KEPT, STRINGS, PLACE, BITS, TURN = 300_000, 2_000_000, 27, 6, 23
+
+
+class _Symbols(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT:
+            self.clear()
+        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return h
+
+
+_SYMBOLS = _Symbols()
+#: The end of a text and its start, which no word can be.
+END, START = _Symbols()[b""], _Symbols()[b"\n"]
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -77,17 +98,31 @@ def word_counts(train: DataFrame, text: str) -> DataFrame:
     return train.select(F.col(text).alias("text")).mapInArrow(_counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def streams(texts: list[bytes], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     """(symbols of all texts, each from its start to its end; place within the text; words of each)."""
     words = [_words(t) for t in texts]
-    get, flat = ids.get, []
+    flat: list[bytes] = []
     for w in words:
-        flat.append(START)
-        flat.extend([get(x, OTHER) for x in w])
-        flat.append(END)
+        flat.append(b"\n")
+        flat.extend(w)
+        flat.append(b"")
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return np.array(flat, np.int64), place, words
+    return np.fromiter(map(_SYMBOLS.__getitem__, flat), np.int64, len(flat)), place, words
+
+
+def turned(code: np.ndarray) -> np.ndarray:
+    u = code.view(np.uint64)
+    return ((u << np.uint64(TURN)) | (u >> np.uint64(64 - TURN))).view(np.int64)
+
+
+def strings_of(stream: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Hashes of the 1, 2, ... ``most`` symbols that end at each place; of no meaning where there are fewer."""
+    code = stream
+    yield code
+    for _ in range(most - 1):
+        code = stream ^ turned(np.r_[np.int64(0), code[:-1]])
+        yield code
 
 
 def contexts_of(stream: np.ndarray, depth: int) -> np.ndarray:
@@ -117,39 +152,65 @@ def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
         lo = hi
 
 
-def _children(ids, depth: int, contexts: np.ndarray):
-    """(context, next symbol, count) of each task's texts, below the given contexts of one length."""
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits of the places that the keys fall on: 16 MB at most, whatever their number."""
+    at = F.shiftrightunsigned(column, 64 - PLACE)
+    bits = keys.select(F.shiftrightunsigned(at, BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - PLACE}) & {(1 << BITS) - 1} as int))").alias("b"))
+    got = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (PLACE - BITS), np.int64)
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+    return out
+
+
+def maybe(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether a bitmap has the code's place; another code may share it."""
+    at = codes.view(np.uint64) >> np.uint64(64 - PLACE)
+    words = bits.view(np.uint64)[(at >> np.uint64(BITS)).astype(np.int64)]
+    return (words >> (at & np.uint64((1 << BITS) - 1))) & np.uint64(1) == 1
+
+
+def _children(bits, depth: int):
+    """(context, context and next symbol, count) of each task's texts, below the contexts of one length that the bitmap lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts, held = [], [], 0
+        parts: list = []
+        held = 0
 
         def merged():
-            found, back = np.unique(np.concatenate(codes), return_inverse=True)
-            return found, np.bincount(back, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+            both, contexts, counts = (np.concatenate(x) for x in zip(*parts))
+            found, first, back = np.unique(both, return_index=True, return_inverse=True)
+            return found, contexts[first], np.bincount(back, weights=counts, minlength=len(found)).astype(np.int64)
+
+        def sent(rows) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(rows[0]), 100_000):
+                both, contexts, counts = (x[lo : lo + 100_000] for x in rows)
+                yield pa.RecordBatch.from_arrays([pa.array(contexts), pa.array(both), pa.array(counts)], ["context", "both", "c"])
 
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             for part in slices(texts):
-                stream, place, _ = streams(part, ids.value)
-                code = contexts_of(stream, depth)
-                on, at = member(code, contexts)
-                on &= place >= depth
-                # The context's place in its table stands for it.
-                found, n = np.unique((at[on] << SYMBOL) | stream[on], return_counts=True)
-                codes.append(found), counts.append(n)
+                stream, place, _ = streams(part)
+                code = list(strings_of(stream, depth))[-1]
+                before = np.r_[np.int64(0), code[:-1]]
+                on = np.flatnonzero((place >= depth) & maybe(before, bits.value))
+                before = before[on]
+                found, first, n = np.unique(stream[on] ^ turned(before), return_index=True, return_counts=True)
+                parts.append((found, before[first], n))
                 held += len(found)
-                if held > 2_000_000:
-                    found, n = merged()
-                    codes, counts, held = [found], [n], len(found)
-        if codes:
-            found, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(contexts[found >> SYMBOL]), pa.array((found & ((1 << SYMBOL) - 1)).astype(np.int32)), pa.array(n)], ["context", "symbol", "c"])
+                if held > STRINGS:
+                    rows = merged()
+                    parts, held = [rows], len(rows[0])
+                    if held > STRINGS // 2:
+                        yield from sent(rows)
+                        parts, held = [], 0
+        if parts:
+            yield from sent(merged())
 
     return run
 
 
 class Tree:
-    """States of each length, sorted, with what a symbol not seen there costs; their seen symbols' log10 probabilities; the root's."""
+    """The same in memory, for a few symbols. States of each length, sorted, with what a symbol not seen there costs; their seen symbols' log10 probabilities; the root's."""
 
     def __init__(self, root: np.ndarray):
         self.root = root
@@ -191,50 +252,72 @@ class Tree:
         self.seen.append(np.log10((c[rows] + weight * 10 ** before[rows]) / (n[rows] + weight)))
 
 
-def grow(train: DataFrame, text: str, ids, root: np.ndarray, tokens: int, depth: int = DEPTH, least: float = LEAST, test: float = TEST, weight: float = WEIGHT) -> Tree:
-    """The tree of all training texts. What comes to the driver is a level's counts below frequent contexts: at most (TOP + 3) / ``least`` rows."""
-    tree = Tree(root)
-    rows = train.select(F.col(text).alias("text"))
-    # Contexts of one symbol are all symbols; which are frequent shows as they are counted.
-    contexts = np.arange(len(root), dtype=np.int64)
+def _turned(column) -> Column:
+    return F.shiftleft(column, TURN).bitwiseOR(F.shiftrightunsigned(column, 64 - TURN))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = [_SYMBOLS[w] for w in batch.column("word").cast(pa.large_binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), batch.column("c"), batch.column("root")], ["both", "c", "p"])
+
+
+def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str, depth: int = DEPTH, least: int = LEAST, test: float = TEST, weight: float = WEIGHT) -> DataFrame:
+    """(code, weight, n) of all strings with a weight, n times met, from the words' (both, c, p) by themselves."""
+    spark, rows = train.sparkSession, train.select(F.col(text).alias("text"))
+    # What a context's hash lacks to its suffix's turns a string's hash into that of the string less its first symbol.
+    often = alone.where((F.col("c") >= least) & (F.col("both") != END)).select(F.col("both").alias("context"), _turned(F.col("both")).alias("first"))
+    start = spark.range(1).where(F.lit(texts) >= least).select(F.lit(START).alias("context"), _turned(F.lit(START)).alias("first"))
+    contexts, shorter, parts = often.unionByName(start), alone.select("both", "p"), []
     for d in range(1, depth + 1):
-        got = rows.mapInArrow(_children(ids, d, contexts), "context long, symbol int, c long").groupBy("context", "symbol").agg(F.sum("c").alias("c"))
-        if d == 1:
-            sums = got.groupBy("context").agg(F.sum("c").alias("n")).where(F.col("n") >= least * tokens).select("context")
-            got = got.join(F.broadcast(sums), "context")  # at most 1 / least rows
-        table = got.toArrow()
-        context, symbol, c = (table.column(x).to_numpy().astype(np.int64) for x in ("context", "symbol", "c"))
-        if not len(c):
-            break
-        order = np.lexsort((symbol, context))
-        context, symbol, c = context[order], symbol[order], c[order]
-        tree.learn(d, context, symbol, c.astype(float), test, weight)
-        # Frequent strings are the contexts of the next level; nothing follows an end.
-        often = (c >= least * tokens) & (symbol != END)
-        contexts = np.sort((context[often] << SYMBOL) | symbol[often])
-        if not len(contexts):
-            break
-    return tree
-
-
-def _scored(model, ids, key_type: pa.DataType):
-    """A row for each document (kind 0) and one for each of its words that is not among the HEAD (kind 1)."""
-    schema = pa.schema([("kind", pa.int32()), ("number", pa.int64()), ("doc", key_type), ("word", pa.string()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+        contexts = written(contexts, f"{folder}/contexts{d}")
+        bits = spark.sparkContext.broadcast(bitmap(contexts, "context"))
+        got = rows.mapInArrow(_children(bits, d), "context long, both long, c long").groupBy("context", "both").agg(F.sum("c").alias("c"))
+        got = got.join(contexts, "context").select("context", "both", F.col("both").bitwiseXOR(F.col("first")).alias("less"), "c")
+        # Below a candidate's suffix, which is one as well, all that is below the candidate was seen.
+        got = written(got.join(shorter.select(F.col("both").alias("less"), F.col("p").alias("before")), "less"), f"{folder}/counts{d}")
+        sums = got.groupBy("context").agg(F.sum("c").alias("n"), F.count("*").alias("sizes"), F.sum(F.col("c") * (F.ln("c") - F.col("before") * math.log(10))).alias("gain"))
+        chance = (F.col("sizes") - 1) / 2
+        states = sums.where(F.col("gain") - F.col("n") * F.ln("n") > chance + test * F.sqrt(chance + 1))
+        states = written(states.select("context", "n", F.log10(F.lit(weight) / (F.col("n") + weight)).alias("back")), f"{folder}/states{d}")
+        p = F.when(F.col("n").isNotNull(), F.log10((F.col("c") + weight * F.pow(F.lit(10.0), "before")) / (F.col("n") + weight))).otherwise(F.col("before"))
+        end = F.col("both") == _turned(F.col("context")).bitwiseXOR(F.lit(END))
+        seen = got.join(states, "context", "left").select("both", "less", "c", end.alias("end"), p.alias("p"), (p - F.col("before") - F.col("back")).alias("weight"))
+        seen = written(seen, f"{folder}/seen{d}")
+        remove(spark, f"{folder}/counts{d}")
+        parts += [states.select(F.col("context").alias("code"), F.col("back").alias("weight"), "n"), seen.where("weight is not null").select(F.col("both").alias("code"), "weight", F.col("c").alias("n"))]
+        shorter = seen.select("both", "p")
+        contexts = seen.where((F.col("c") >= least) & ~F.col("end")).select(F.col("both").alias("context"), _turned(F.col("both").bitwiseXOR(F.col("less"))).alias("first"))
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.unionByName(part)
+    return written(total.groupBy("code").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), f"{folder}/weights")
+
+
+def _scored(model, key_type: pa.DataType, most: int):
+    """A row for each document (kind 0), one for each of its words that is not among the HEAD (kind 1), and one for each of its strings that may have a weight that is not among the NEAR (kind 2)."""
+    schema = pa.schema([("kind", pa.int32()), ("number", pa.int64()), ("doc", key_type), ("word", pa.string()), ("code", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, head, end_known, end_base = model.value
+        codes, weights, bits, head, end_known, end_base, end_score = model.value
         get = head.get
         for batch in batches:
             numbers, docs = batch.column("number").to_pylist(), batch.column("doc").to_pylist()
             first = 0
             for part in slices([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]):
-                stream, place, words = streams(part, ids.value)
-                at = np.flatnonzero(place > 0)
-                starts = np.flatnonzero(place[at] == 1)
-                totals = np.add.reduceat(tree.score(stream, place, at), starts)
+                stream, place, words = streams(part)
+                doc = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+                totals = np.zeros(len(words))
+                far = []
+                for k, code in enumerate(strings_of(stream, most)):
+                    on = np.flatnonzero((place >= k) & maybe(code, bits))
+                    near, at = member(code[on], codes)
+                    totals += np.bincount(doc[on[near]], weights=weights[at[near]], minlength=len(words))
+                    far.append(on[~near]), far.append(code[on[~near]])
+                where, code = doc[np.concatenate(far[::2])], np.concatenate(far[1::2])
                 rows: list = []
                 for k, own in enumerate(words):
-                    base, rest, rare = end_base, 0.0, Counter()
+                    base, rest, rare = end_base, end_score, Counter()
                     values = [get(w) for w in own]
                     for w, v in zip(own, values):
                         if v is None:
@@ -243,50 +326,63 @@ def _scored(model, ids, key_type: pa.DataType):
                             base += v[0]
                             rest += v[1]
                     number = numbers[first + k]
-                    rows.extend((1, number, None, w.decode(), times, None, None, None) for w, times in rare.items())
-                    rows.append((0, number, docs[first + k], None, len(own) + 1, end_known + len(own) - sum(rare.values()), base, float(totals[k]) + rest))
-                first += len(words)
+                    rows.extend((1, number, None, w.decode(), None, times, None, None, None) for w, times in rare.items())
+                    rows.append((0, number, docs[first + k], None, None, len(own) + 1, end_known + len(own) - sum(rare.values()), base, float(totals[k]) + rest))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                if len(code):
+                    order = np.lexsort((code, where))
+                    where, code = where[order], code[order]
+                    starts = np.flatnonzero(np.r_[True, (where[1:] != where[:-1]) | (code[1:] != code[:-1])])
+                    times = np.diff(np.r_[starts, len(code)])
+                    own = np.array(numbers[first : first + len(words)], np.int64)[where[starts]]
+                    given = {"kind": pa.array(np.full(len(starts), 2, np.int32)), "number": pa.array(own), "code": pa.array(code[starts]), "n": pa.array(times)}
+                    yield pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(len(starts), f.type) for f in schema], schema=schema)
+                first += len(words)
 
     return run
 
 
-def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD, top: int = TOP, depth: int = DEPTH, least: float = LEAST) -> DataFrame:
+def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD, near: int = NEAR, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every row of ``df``, learnt from those for which ``train`` holds."""
     spark, folder = df.sparkSession, work_folder(df.sparkSession)
     kind = df.schema[key].dataType
     learnt = df.where(train)
     counts = written(word_counts(learnt, text), f"{folder}/counts")
-    sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == "", F.col("c"))).alias("ends"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
-    total, distinct, ends = sums["n"] or 0, sums["v"], sums["ends"] or 0
-    most = [(r["word"].encode(), r["c"]) for r in counts.where("word <> ''").orderBy(F.desc("c"), "word").limit(max(head, top)).collect()]
-    ids = {w: FIRST + k for k, (w, _) in enumerate(most[:top])}
-    others, other_words = total - ends - sum(c for _, c in most[:top]), max(distinct - (ends > 0) - len(ids), 0)
+    rare = (F.col("word") != "") & (F.col("c") < least)
+    sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == "", F.col("c"))).alias("ends"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"), F.sum(F.when(rare, F.col("c"))).alias("others"), F.count_if(rare).alias("other_words")).first()
+    total, distinct, ends, others, other_words = sums["n"] or 0, sums["v"], sums["ends"] or 0, sums["others"] or 0, sums["other_words"]
     off = min(max(sums["once"] / max(sums["once"] + 2 * sums["twice"], 1), 0.05), 0.95)
-    root = np.array([others + 0.5, ends + 0.5, 0.0, *[c + 0.5 for _, c in most[:top]]])
-    with np.errstate(divide="ignore"):
-        root = np.log10(root / root.sum())  # a start is never scored
-    sent = spark.sparkContext.broadcast(ids)
-    tree = grow(learnt, text, sent, root, total, depth, least)
-    base = lambda c: math.log10((c + 1) / (total + distinct + 1))
-    share = lambda c: math.log10((c - off) / others)
+    # Each word that is met often, the end and all other words together.
+    room = math.log10(total + 0.5 * (distinct - (ends > 0) - other_words + 2))
+    other = math.log10(others + 0.5) - room
     # Among the other words, the unknown one has what was taken off.
-    unknown = math.log10(max(off * other_words, 0.5) / others) if others else 0.0
-    known = {w: (base(c), 0.0 if w in ids else share(c)) for w, c in most[: max(head, top)]}
-    model = spark.sparkContext.broadcast((tree, known, int(ends > 0), base(ends)))
+    unknown = other + (math.log10(max(off * other_words, 0.5) / others) if others else 0.0)
+
+    def root(c: Column, word: Column) -> Column:
+        return F.when((c >= least) | (word == ""), F.log10(c + 0.5) - room).when(c > 0, F.log10((c - off) / float(max(others, 1))) + other).otherwise(unknown)
+
+    def base(c: Column) -> Column:
+        return F.log10((c + 1) / F.lit(float(total + distinct + 1)))
+
+    alone = counts.select("word", "c", root(F.col("c"), F.col("word")).alias("root")).mapInArrow(_hashed, "both long, c long, p double")
+    weights = grow(learnt, text, written(alone, f"{folder}/alone"), ends, folder, depth, least)
+    most = counts.where("word <> ''").orderBy(F.desc("c"), "word").limit(head).select("word", base(F.col("c")).alias("b"), root(F.col("c"), F.col("word")).alias("r")).collect()
+    known = {r["word"].encode(): (r["b"], r["r"]) for r in most}
+    table = weights.orderBy(F.desc("n"), "code").limit(near).select("code", "weight").toArrow()
+    codes, values = table.column("code").to_numpy(), table.column("weight").to_numpy()
+    order = np.argsort(codes)
+    model = spark.sparkContext.broadcast((codes[order], values[order], bitmap(weights, "code"), known, int(ends > 0), math.log10((ends + 1) / (total + distinct + 1)), math.log10(ends + 0.5) - room))
     rows = df.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("doc"), F.col(text).alias("text"))
-    schema = f"kind int, number long, doc {kind.simpleString()}, word string, n long, known long, base double, score double"
-    scored = written(rows.mapInArrow(_scored(model, sent, _arrow(kind)), schema), f"{folder}/scored", ["kind"])
-    docs, rare = scored.where("kind = 0"), scored.where("kind = 1").select("number", "word", F.col("n").alias("times"))
-    met = rare.join(counts, "word", "left").select("number", "times", F.coalesce("c", F.lit(0)).alias("c"))
-    rest = met.groupBy("number").agg(
-        F.sum(F.col("times") * F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))).alias("rare_base"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.when(F.col("c") > 0, F.log10((F.col("c") - F.lit(off)) / F.lit(float(max(others, 1))))).otherwise(F.lit(unknown))).alias("rare_score"),
-    )
+    schema = f"kind int, number long, doc {kind.simpleString()}, word string, code long, n long, known long, base double, score double"
+    scored = written(rows.mapInArrow(_scored(model, _arrow(kind), depth + 1), schema), f"{folder}/scored", ["kind"])
+    docs, words, strings = scored.where("kind = 0"), scored.where("kind = 1").select("number", "word", F.col("n").alias("times")), scored.where("kind = 2").select("number", "code", F.col("n").alias("times"))
+    met = words.join(counts, "word", "left").select("number", "times", F.coalesce("c", F.lit(0)).alias("c"), "word")
+    rest = met.select("number", (F.col("times") * base(F.col("c"))).alias("base"), F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * root(F.col("c"), F.col("word"))).alias("score"))
+    more = strings.join(weights, "code").select("number", F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known"), (F.col("times") * F.col("weight")).alias("score"))
+    rest = rest.unionByName(more).groupBy("number").agg(F.sum("base").alias("rest_base"), F.sum("known").alias("rest_known"), F.sum("score").alias("rest_score"))
     return docs.join(rest, "number", "left").select(
-        F.col("doc").alias("key"), F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
+        F.col("doc").alias("key"), F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("rest_known", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rest_score", F.lit(0.0))).alias("score"),
     )
 
 
