@@ -57,3 +57,12 @@ def test_flagship(spark, data):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_lists_of_all_events(spark, data):
+    events = {r["event_id"]: r for r in spark.read.parquet(f"{data}/events.parquet").collect()}
+    got = catalogue.queries()["parse_lists_whole"](spark, data).collect()
+    assert len(got) == len(events) > 500 and {r["event_id"] for r in got} == set(events)
+    for r in got:
+        e = events[r["event_id"]]
+        assert r["kv"] == {"type": e["event_type"], "user": str(e["user_id"])} and r["items"] == [e["event_type"], str(e["user_id"])]

@@ -418,7 +418,16 @@ def lang_coverage(spark, d):
 
 @query("SELECT event_id, map_from_entries([{'k': 'type', 'v': event_type}, {'k': 'user', 'v': user_id::VARCHAR}]) AS kv, [event_type, user_id::VARCHAR] AS items FROM events WHERE event_id < 500")
 def parse_lists(spark, d):
-    rows = table(spark, d, "events").where("event_id < 500").select("event_id", F.concat(F.lit("type="), "event_type", F.lit(" , user="), F.col("user_id").cast("string")).alias("s"), F.concat(F.col("event_type"), F.lit(" ,, "), F.col("user_id").cast("string"), F.lit(",")).alias("l"))
+    return parsed_lists(table(spark, d, "events").where("event_id < 500"))
+
+
+@query()
+def parse_lists_whole(spark, d):
+    return parsed_lists(table(spark, d, "events"))
+
+
+def parsed_lists(events) -> DataFrame:
+    rows = events.select("event_id", F.concat(F.lit("type="), "event_type", F.lit(" , user="), F.col("user_id").cast("string")).alias("s"), F.concat(F.col("event_type"), F.lit(" ,, "), F.col("user_id").cast("string"), F.lit(",")).alias("l"))
     return rows.select("event_id", T.pairs("s").alias("kv"), T.csv("l").alias("items"))
 
 
