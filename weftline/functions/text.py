@@ -124,9 +124,9 @@ def completion_prefix(prompt, stub: str = STUB) -> Column:
 
 def byte_ids(c, shift: int = 2, end: int | None = 1) -> Column:
     """Each UTF-8 byte plus ``shift``, and an end id: a tokenizer without a vocabulary."""
-    hexes = F.hex(F.encode(col(c), "UTF-8"))
-    n = F.octet_length(col(c))
-    ids = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(1), n), lambda i: F.conv(F.substr(hexes, 2 * i - 1, F.lit(2)), 16, 10).cast("int") + shift))
+    # Pairs of digits in one pass; a substring for each byte would read the text from its start each time.
+    hexes = F.regexp_extract_all(F.hex(F.encode(col(c), "UTF-8")), F.lit("(..)"))
+    ids = F.transform(hexes, lambda x: F.conv(x, 16, 10).cast("int") + shift)
     return ids if end is None else F.concat(ids, F.array(F.lit(end)))
 
 

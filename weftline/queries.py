@@ -440,7 +440,16 @@ def prompt_prefix(spark, d):
 
 @query("SELECT doc_id, octet_length(encode(substr(text, 1, 200))) + 1 AS n_ids, substr(text, 1, 200) AS back FROM documents")
 def byte_tokens(spark, d):
-    ids = table(spark, d, "documents").select("doc_id", T.byte_ids(F.substring("text", 1, 200)).alias("ids"))
+    return byte_round(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 200)))
+
+
+@query()
+def byte_tokens_whole(spark, d):
+    return byte_round(table(spark, d, "documents"))
+
+
+def byte_round(documents) -> DataFrame:
+    ids = documents.select("doc_id", T.byte_ids("text").alias("ids"))
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), T.byte_text("ids").alias("back"))
 
 
@@ -475,8 +484,17 @@ def curriculum_shard_stats(spark, d):
 @query("""SELECT doc_id, list_concat(list_concat(w[1:k], ['NEEDLE']), w[k + 1:]) AS context, list_concat(v[2:], v[1:1]) AS rotated FROM (SELECT doc_id, l, v, floor(9 * d)::INT AS k, [l[i % len(l) + 1] FOR i IN range(0, 9)] AS w FROM
 (SELECT doc_id, string_split(substr(text, 1, 40), ' ') AS l, string_split(substr(text, 1, 40), ' ') AS v, (doc_id % 5) / 4.0::DOUBLE AS d FROM documents))""")
 def needle_insert(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.split(F.substring("text", 1, 40), " ").alias("l"), ((F.col("doc_id") % 5) / 4.0).alias("d"))
-    return rows.select("doc_id", retrieval.needle_context("l", "d", F.lit("NEEDLE"), F.lit(9)).alias("context"), A.rotated("l").alias("rotated"))
+    return needles(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 40)), F.lit(9))
+
+
+@query()
+def needle_insert_whole(spark, d):
+    return needles(table(spark, d, "documents"), F.greatest(F.size("l"), F.lit(9)))
+
+
+def needles(documents, n) -> DataFrame:
+    rows = documents.select("doc_id", F.split("text", " ").alias("l"), ((F.col("doc_id") % 5) / 4.0).alias("d"))
+    return rows.select("doc_id", retrieval.needle_context("l", "d", F.lit("NEEDLE"), n).alias("context"), A.rotated("l").alias("rotated"))
 
 
 @query("""SELECT doc_id, [x + off FOR x IN range(0, n)]::INT[] AS ids FROM (SELECT doc_id, 3 + doc_id % 6 AS n, floor(0.5 * (64 - (3 + doc_id % 6) + 1))::INT AS off FROM documents)""")
