@@ -108,3 +108,18 @@ def test_packed_sequences_are_gapless(spark, data):
         for k, a in enumerate(range(0, len(ids), 4096)):
             part, row = ids[a : a + 4096], found.loc[(r["doc_id"], k)]
             assert (row["start"], row["length"], row["ids_crc32"]) == (a, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
+
+
+def test_recipes_fit_their_roots(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(k, " ".join(f"{k} word {j * j % 977}" for j in range(1500))) for k in range(2)]
+    folder = work_folder(spark)
+    manifest = store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", folder, tokens.vocabulary("byte_bpe_50k.json"))
+    assert store.read_digests(manifest, folder).count() == 2
+    a, n = store.ADDRESS, F.octet_length("addresses")
+    # The first chunk's address goes to the end: as many chunks and ids as before, in another order.
+    swapped = manifest.withColumn("addresses", F.concat(F.expr(f"substring(addresses, {a + 1})"), F.expr(f"substring(addresses, 1, {a})")))
+    assert manifest.where(n > a).count() == 2
+    with pytest.raises(Exception, match="Merkle root"):
+        store.read_digests(swapped, folder).collect()

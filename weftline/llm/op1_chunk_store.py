@@ -221,13 +221,15 @@ def crc_shift(crc: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def _steps(batches):
-    """The chunks of recipes: (document, address, number in it, ids, bytes after)."""
+    """The chunks of recipes: (document, address, number in it, ids, bytes after). A recipe that does not fit its Merkle root is an error."""
     names = ["doc_key", "key", "seq", "len", "after"]
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)
             out = [[] for _ in names]
-            for doc, addresses, lengths in zip(*[part.column(c).to_pylist() for c in ("key", "addresses", "lengths")]):
+            for doc, addresses, lengths, root in zip(*[part.column(c).to_pylist() for c in ("key", "addresses", "lengths", "root")]):
+                if merkle_root([addresses[k : k + ADDRESS] for k in range(0, len(addresses), ADDRESS)]) != root:
+                    raise ValueError("a recipe does not fit its Merkle root")
                 n = np.frombuffer(lengths, "<u4").astype(np.int64)
                 out[0].extend([doc] * len(n))
                 out[1].extend(addresses[k : k + ADDRESS] for k in range(0, len(addresses), ADDRESS))
@@ -241,7 +243,7 @@ def read_digests(manifest: DataFrame, folder: str, wide: bool = False) -> DataFr
     """(doc, start, n_tokens, ids_crc32, chunks) of every document from the files; n_tokens and the CRC come from the chunks' own bytes."""
     spark = manifest.sparkSession
     stored = chunks(spark, folder).mapInArrow(_digest(wide), "key binary, n long, crc long")
-    steps = manifest.select("key", "addresses", "lengths").mapInArrow(_steps, "doc_key binary, key binary, seq long, len long, after long")
+    steps = manifest.select("key", "addresses", "lengths", "root").mapInArrow(_steps, "doc_key binary, key binary, seq long, len long, after long")
 
     @F.pandas_udf("long")
     def moved(crc, after):
@@ -259,7 +261,7 @@ def read_digests(manifest: DataFrame, folder: str, wide: bool = False) -> DataFr
 def documents_ids(manifest: DataFrame, folder: str, wide: bool = False) -> DataFrame:
     """(doc, ids binary of little-endian 32-bit integers): whole streams restored from the store, each checked against its Merkle root."""
     store = "<u4" if wide else "<u2"
-    steps = manifest.select("key", "addresses", "lengths").mapInArrow(_steps, "doc_key binary, key binary, seq long, len long, after long")
+    steps = manifest.select("key", "addresses", "lengths", "root").mapInArrow(_steps, "doc_key binary, key binary, seq long, len long, after long")
     parts = steps.join(chunks(manifest.sparkSession, folder), "key").groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("seq", "ids", "key"))).alias("parts"))
 
     @F.udf(T.BinaryType())
