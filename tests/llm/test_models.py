@@ -217,3 +217,14 @@ def test_suffix_tree_is_brute_force(spark, near):
     assert min(states[1:]) > 40 and states[2] > 200
     got = {r["key"]: r["score"] for r in lm.score_documents(df, "doc_id", "text", "doc_id < 250", head=100, near=near, least=5).collect()}
     assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in range(300))
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_crf_bound_keeps_both_labels(spark, same):
+    """Rows of labelled ids that repeat beyond the bound."""
+    bad, good = [i for i in range(1, 20) if zlib.crc32(str(i).encode()) % crf.FOLDS][:2]
+    rows = [(i, f"{text} {0 if same else k}") for k in range(40) for i, text in ((bad, "$$$ !!! click 999"), (good, "The river runs slowly past the old mill in the evening."))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = crf.train(docs, spark.createDataFrame([(bad, 0), (good, 1)], "doc_id long, quality int"), most=5)
+    low, high = model.scores([rows[0][1].encode(), rows[1][1].encode()])
+    assert low < high

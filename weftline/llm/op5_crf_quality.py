@@ -215,15 +215,16 @@ def _sampled(lines: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = TRAIN_DOCS, lines: int = TRAIN_LINES) -> Model:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold."""
+    """Fit on a bounded sample of the labelled rows outside the held-out fold: ``most`` ids, and 4 times as many of their different texts, by hashes that do not look at labels."""
     spark = docs.sparkSession
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (fold(key) != 0))
     chosen = usable.groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(most).collect()
     # `most` rows, whatever the input.
     table = spark.createDataFrame([(r["_id"], r["label"]) for r in chosen], T.StructType([T.StructField("_id", labels.schema[key].dataType), T.StructField("label", T.IntegerType())]))
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(F.broadcast(table), "_id")
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(F.broadcast(table), "_id").dropDuplicates(["_id", "text"])
     rows = rows.select("label", "text", F.pmod(F.xxhash64("_id", F.lit("place")), F.lit(1 << 30)).alias("place"))
-    got = rows.mapInArrow(_sampled(lines), "label int, x binary").orderBy("label", F.sha2("x", 256)).limit(4 * most).collect()
+    got = rows.mapInArrow(_sampled(lines), "label int, x binary").withColumn("h", F.sha2("x", 256)).orderBy("h", "label").limit(4 * most).collect()
+    got.sort(key=lambda r: (r["label"], r["h"]))
     return fit([(np.frombuffer(r["x"], "<f4").astype(float).reshape(-1, WIDTH), r["label"]) for r in got])
 
 
