@@ -26,7 +26,7 @@ OPERATORS = {
     "op2": lambda df: op2_html_blocks.extract(df, "doc_id", "key", "text"),
     "op3": lambda df: op3_mcd_rules.judge(df, "doc_id", "text"),
     "op4": lambda df: op4_line_windows.dedup_lines(df, "doc_id", "text"),
-    "op5": lambda df: op5_crf_quality.score(df, "text", op5_crf_quality.train(df, df.where("doc_id is not null").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")))),
+    "op5": lambda df: op5_crf_quality.score(df, "text", op5_crf_quality.train(df, df.where("doc_id is not null").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))), out="s"),
     "op6": lambda df: op6_grace_dedup.exact_groups(df, "doc_id", "text"),
     "op7": lambda df: op7_suffix_tree_lm.score_documents(df, "doc_id", "text", F.col("doc_id") > 1),
     "op8": lambda df: op8_linear_grouping.pack_documents(df, "doc_id", "text", WORDS()),
@@ -64,5 +64,5 @@ def test_defined_results(spark):
     assert seven[2]["n_tokens"] == seven[3]["n_tokens"] == 1 and seven[2]["n_known"] == 1
     none = op7_suffix_tree_lm.score_documents(df, "doc_id", "text", F.lit(False)).where("doc_id is null or key = 6" if False else "key = 6").first()
     assert none["n_known"] == 0 and none["train_tokens"] == 0 and none["base_score"] == 0
-    scores = op5_crf_quality.score(df, "text", op5_crf_quality.fit([]))
-    assert [r["score"] for r in scores.collect()] == [1.0] * len(ROWS) and scores.select("row.*").columns == df.columns
+    scores = op5_crf_quality.score(df, "text", op5_crf_quality.fit([]), "s")
+    assert [r["s"] for r in scores.collect()] == [1.0] * len(ROWS) and scores.drop("s").columns == df.columns

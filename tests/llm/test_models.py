@@ -2,7 +2,10 @@
 
 import collections
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -39,6 +42,44 @@ def test_crf_marginals_are_brute_force():
     assert np.allclose(pairs, want_pairs)
 
 
+def test_crf_chains_and_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    trans, start = rng.normal(size=(2, 2)), rng.normal(size=2)
+    score = 3 * rng.normal(size=300)
+    nodes, _, _ = crf.marginals(np.stack([np.zeros_like(score), score], axis=-1)[None], np.ones((1, 300), bool), trans, start)
+    assert np.allclose(crf.chain_marginals(score, trans, start), nodes[0, :, 1])
+    # The same scores whether texts are worked on whole, in small blocks, or as chains of their own.
+    texts = [b"", b"\n", b"One good line here.\nAnd one more of them.\n\nOne good line here.", b"BUY!!! NOW $$$\n" * 40, b"a " * 500 + b"\nb", " é\n\x0bx".encode()]
+    model = crf.Model(rng.normal(size=crf.WIDTH), 1 + rng.random(crf.WIDTH), rng.normal(size=crf.WIDTH + 1), trans, start)
+    whole = model.scores(texts)
+    for text, got in zip(texts, whole):
+        own, lines, weight = crf.own_features([(text, crf._State())])
+        at = np.arange(len(own))
+        x = crf.line_features(own, at == 0, at == len(own) - 1)
+        assert np.allclose(x, crf.window_features(text, 0, len(own)))
+        emit = ((x - model.mean) / model.scale) @ model.weights[:-1] + model.weights[-1]
+        nodes, _, _ = crf.marginals(np.stack([np.zeros_like(emit), emit], axis=-1)[None], np.ones((1, len(own)), bool), trans, start)
+        assert np.isclose(got, nodes[0, :, 1] @ weight / weight.sum())
+    monkeypatch.setattr(crf, "BLOCK", 16)
+    monkeypatch.setattr(crf, "CHAIN", 2)
+    assert np.allclose(model.scores(texts), whole)
+
+
+def test_crf_memory_of_a_long_text():
+    code = """
+import resource, numpy as np
+from weftline.llm import op5_crf_quality as crf
+rng = np.random.default_rng(1)
+model = crf.Model(np.zeros(crf.WIDTH), np.ones(crf.WIDTH), rng.normal(size=crf.WIDTH + 1), rng.normal(size=(2, 2)), rng.normal(size=2))
+model.scores([b"x"])
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+model.scores([b"\\n".join(b"%d" % k for k in range(1_000_000))])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))).stdout
+    assert int(out.split()[-1]) < 300
+
+
 def test_crf_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = crf.query(spark, sf).toPandas().set_index("doc_id")

@@ -123,3 +123,21 @@ def test_recipes_fit_their_roots(spark):
     assert manifest.where(n > a).count() == 2
     with pytest.raises(Exception, match="Merkle root"):
         store.read_digests(swapped, folder).collect()
+
+
+def test_cache_is_bounded_by_bytes():
+    path = tokens.vocabulary("word_bpe_49k.json")
+    pieces = tokens.Pieces(path, tokens.ids_bytes, 8 << 20)
+    text = " ".join(f"w{k}" for k in range(2_000_000 // 20))
+    most = 0
+    for lo in range(0, len(text), 100_000):
+        pieces.of(tokens.bare_pieces(text[lo : lo + 100_000]))
+        most = max(most, pieces.held)
+    whole = pieces.of(tokens.bare_pieces("a " * 70_000 + text[:1000]))
+    assert b"".join(whole) == tokens.ids_bytes(tokens.load(path).encode("a " * 70_000 + text[:1000], add_special_tokens=False).ids)
+    one = sum(tokens.ENTRY + len(k) + len(v) for k, v in pieces.young.items())
+    assert one == pieces.held and most <= (4 << 20) + tokens.BLOCK * 300
+    # A difference between the two ways of encoding ends the direct one, and nothing wrong is returned.
+    wrong = tokens.Pieces(path, tokens.ids_bytes)
+    wrong.word = lambda word: "x"
+    assert wrong.of(["alpha", "beta"]) == pieces.of(["alpha", "beta"]) and wrong.word is None

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import connected_components, work_folder, written
 from .op1_chunk_store import _arrow
 
@@ -59,17 +60,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def _fingerprints(key_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.release()
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            yield pa.RecordBatch.from_arrays([batch.column("key").cast(key_type), pa.array([fingerprint(t or b"") for t in texts.to_pylist()], pa.int64())], ["key", "fp"])
+            prints = [fingerprint(t or b"") for lo in range(0, len(texts), 256) for t in texts.slice(lo, 256).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key").cast(key_type), pa.array(prints, pa.int64()), batch.column("text_hash")], ["key", "fp", "text_hash"])
 
     return run
 
 
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, fp) of every row."""
+    """(key, fp, text_hash) of every row."""
     kind = df.schema[key].dataType
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_fingerprints(_arrow(kind)), f"key {kind.simpleString()}, fp long")
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(_fingerprints(_arrow(kind)), f"key {kind.simpleString()}, fp long, text_hash long")
 
 
 def _rows(k: list, fp: list, stored: list) -> pa.RecordBatch:
@@ -184,8 +187,8 @@ def edges(distinct: DataFrame, crowd: int = CROWD, folder: str | None = None) ->
     return out
 
 
-def near_groups(df: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
-    """(key, fingerprint, component_id) of every row of ``df``."""
+def near_rows(df: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
+    """(key, text_hash, fp, root, component_id) of every row of ``df``; the root, a fingerprint, tells components apart whatever their keys."""
     spark = df.sparkSession
     folder = work_folder(spark)
     docs = written(fingerprints(df, key, text), f"{folder}/fingerprints")
@@ -193,9 +196,14 @@ def near_groups(df: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataF
     roots = connected_components(spark, edges(distinct, crowd, folder), f"{folder}/components")
     of = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = written(of.join(least, "root").select("fp", "component_id"), f"{folder}/of")
+    of = written(of.join(least, "root").select("fp", "root", "component_id"), f"{folder}/of")
     # Equal fingerprints may be a third of all rows: a plain inner join, which Spark splits where it is skewed.
-    return docs.join(of, "fp").select("key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return docs.join(of, "fp").select("key", "text_hash", "fp", "root", "component_id")
+
+
+def near_groups(df: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
+    """(key, fingerprint, component_id) of every row of ``df``."""
+    return near_rows(df, key, text, crowd).select("key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,14 +173,14 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
 
 
 def judge(df: DataFrame, key: str, text: str, lang: str = "lang", source: str = "source", small: int = SMALL, cutoff: float = CUTOFF) -> DataFrame:
-    """(key, text_hash, statistics, base_failed, distance, kept) of every row of ``df``."""
+    """(key, lang, source, text_hash, statistics, base_failed, distance, kept) of every row of ``df``; null languages and sources are empty."""
     folder = work_folder(df.sparkSession)
     stats = written(statistics(df, key, text, lang, source), f"{folder}/stats")
     rows = written(_pooled(vectors(stats), small), f"{folder}/rows")
     table = estimates(rows, folder)
     judged = _with_distance(rows.join(_salted(table), ["g", "salt"], "left"))
     return judged.select(
-        "key", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("d").alias("distance"), (~F.col("base_failed") & (F.coalesce("d", F.lit(0.0)) <= cutoff)).alias("kept")
+        "key", "lang", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("d").alias("distance"), (~F.col("base_failed") & (F.coalesce("d", F.lit(0.0)) <= cutoff)).alias("kept")
     )
 
 

@@ -136,7 +136,7 @@ def _pieces(path: str) -> tokens.Pieces:
         def of(ids: list[int]) -> tuple[int, str, str]:
             return len(ids), " ".join(map(str, ids)), " ".join([names[k] for k in ids]) if tokenizer.decoder is None else tokenizer.decode(ids, skip_special_tokens=False)
 
-        return tokens.Pieces(path, of, 300_000, lambda piece: tree_encode(tokenizer, piece))
+        return tokens.Pieces(path, of, encode=lambda piece: tree_encode(tokenizer, piece), weigh=lambda v: 180 + len(v[1]) + len(v[2]))
 
     return tokens.shared((path, "digest"), build)
 

@@ -3,8 +3,9 @@
 A piece is a stretch of text between single blanks. Pre-tokenisation never
 joins characters across such a place, so the encoding of a text is that of its
 pieces in order, and a piece is encoded once for all its occurrences. The
-cache holds two generations of at most ``LIMIT`` pieces, so its memory is
-bounded however many distinct pieces a corpus has.
+cache holds two generations of at most ``KEPT`` bytes together, so its memory
+is bounded however many distinct pieces a corpus, or a single text, has. Other
+operators' tasks give it up.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces of a cache generation, and the length from which a piece is not kept.
-LIMIT, LONG = 600_000, 256
+#: Bytes that a cache may hold, length from which a piece is not kept, pieces looked up at once, bytes that an entry takes besides its piece and value, and of how many plain words one is encoded by the whole tokenizer as well.
+KEPT, LONG, BLOCK, ENTRY, CHECKED = 192 << 20, 256, 32_768, 190, 1000
 _TWO_BLANKS = re.compile(r"\s\s")
 _SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -63,12 +64,13 @@ _SPACE = ord(" ")
 
 
 class Pieces:
-    """Values of pieces, made from the ids of their encodings; two generations of at most ``limit`` pieces are kept."""
+    """Values of pieces, made from the ids of their encodings; two generations are kept, of ``kept`` bytes together."""
 
-    def __init__(self, path: str, make: Callable[[list[int]], object], limit: int = LIMIT, encode: Callable[[str], list[int]] | None = None):
-        self.tokenizer, self.make, self.limit, self.long = load(path), make, limit, encode
+    def __init__(self, path: str, make: Callable[[list[int]], object], kept: int = KEPT, encode: Callable[[str], list[int]] | None = None, weigh: Callable[[object], int] = len):
+        self.tokenizer, self.make, self.kept, self.long, self.weigh = load(path), make, kept, encode, weigh
         self.young: dict = {}
         self.old: dict = {}
+        self.held = self.learnt = 0
         self.marks: dict = {"": []}
         self.word = self._words()
 
@@ -98,39 +100,55 @@ class Pieces:
         word, marks = m.groups()
         tokenize = self.tokenizer.model.tokenize
         if (after := self.marks.get(marks)) is None:
-            if len(self.marks) > 10_000:
-                self.marks = {"": []}
-            after = self.marks[marks] = [t.id for t in tokenize(marks)]
+            after = [t.id for t in tokenize(marks)]
+            if len(marks) <= 16:
+                if len(self.marks) > 10_000:
+                    self.marks = {"": []}
+                self.marks[marks] = after
         return [t.id for t in tokenize(self.word(piece[: len(piece) - len(marks)] if marks else piece))] + after
 
+    def _whole(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def _encoded(self, pieces: list[str]) -> list:
         if self.word is None:
-            return [self.make(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return list(map(self.make, self._whole(pieces)))
         ids = list(map(self._plain, pieces))
         rest = [k for k, x in enumerate(ids) if x is None]
+        # A sample goes both ways; a difference ends the direct one.
+        first = -self.learnt % CHECKED
+        self.learnt += len(pieces)
+        if any(x is not None and self._whole([p])[0] != x for p, x in zip(pieces[first::CHECKED], ids[first::CHECKED])):
+            self.word = None
+            return list(map(self.make, self._whole(pieces)))
         if rest:
-            for k, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False)):
-                ids[k] = e.ids
+            for k, x in zip(rest, self._whole([pieces[k] for k in rest])):
+                ids[k] = x
         return list(map(self.make, ids))
 
     def learn(self, missing: Iterable[str]) -> dict:
         """Values of pieces that the young generation lacks; those too long to keep are returned only."""
-        extra, new = {}, []
+        extra, new, weigh = {}, [], self.weigh
         for piece in missing:
             if (value := self.old.get(piece)) is not None:
                 self.young[piece] = value
+                self.held += ENTRY + len(piece) + weigh(value)
             elif len(piece) > LONG:
                 extra[piece] = self.make(self.long(piece)) if self.long else self._encoded([piece])[0]
             else:
                 new.append(piece)
         if new:
-            self.young.update(zip(new, self._encoded(new)))
+            values = self._encoded(new)
+            self.young.update(zip(new, values))
+            self.held += ENTRY * len(new) + sum(map(len, new)) + sum(map(weigh, values))
         return extra
 
     def of(self, pieces: list[str]) -> list:
         """The values of one text's pieces."""
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+        if len(pieces) > BLOCK:
+            return [v for lo in range(0, len(pieces), BLOCK) for v in self.of(pieces[lo : lo + BLOCK])]
+        if 2 * self.held > self.kept:
+            self.old, self.young, self.held = self.young, {}, 0
         get = self.young.get
         values = list(map(get, pieces))
         if None in values:
@@ -150,6 +168,11 @@ def shared(key: tuple, build: Callable):
     return _shared[key]
 
 
+def release() -> None:
+    """Give up what this worker keeps; tasks that do not tokenize call it first."""
+    _shared.clear()
+
+
 def ids_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return struct.pack(f"<{len(ids)}I", *ids)
