@@ -2,8 +2,10 @@
 
 Each stage takes all that the one before it kept, written as Parquet and read
 again. All but the last return the columns of the documents as they came, of
-any number and name; a row whose doc_id is null cannot be told from others
-with the same text by id alone, and stays or goes with them.
+any number and name. Rows are told apart by id, text and what else a verdict
+rests on, so rows that repeat an id with other texts are judged on their own,
+and so are rows without an id. Null and empty texts are judged as empty ones,
+very long ones whole; an empty table passes through all stages as such.
 """
 
 from __future__ import annotations
@@ -25,14 +27,19 @@ def _unused(docs: DataFrame, name: str) -> str:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier, learnt from the labelled ones, scores as good."""
     model = op5_crf_quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return op5_crf_quality.score(docs, "text", model).where(F.col("score") >= op5_crf_quality.GOOD).select("row.*")
+    name = _unused(docs, "score")
+    return op5_crf_quality.score(docs, "text", model, name).where(F.col(name) >= op5_crf_quality.GOOD).drop(name)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the base limits and near their language's and source's robust estimate."""
     judged = op3_mcd_rules.judge(docs, "doc_id", "text")
-    gone = judged.where(~F.col("kept")).select("key", "text_hash").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["key"]) & (F.xxhash64(docs["text"]) == gone["text_hash"]), "left_anti")
+    # Rows that agree in all of these have one verdict.
+    gone = judged.where(~F.col("kept")).select("key", "lang", "source", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(gone["key"]) & (F.xxhash64(docs["text"]) == gone["text_hash"])
+    for name in ("lang", "source"):
+        same &= F.coalesce(docs[name].cast("string"), F.lit("")) == gone[name]
+    return docs.join(gone, same, "left_anti")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +53,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the document with the smallest id."""
-    groups = op10_simhash_mih.near_groups(docs, "doc_id", "text")
-    kept = groups.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]), "left_semi")
+    """Of each component of near duplicates, the document with the smallest id; of several texts with that id, one."""
+    rows = op10_simhash_mih.near_rows(docs, "doc_id", "text")
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "text_hash")).alias("first")
+    kept = rows.groupBy("root").agg(first).select("first.key", "first.text_hash").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]) & (F.xxhash64(docs["text"]) == kept["text_hash"]), "left_semi")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
