@@ -161,20 +161,6 @@ def test_language_model(spark):
     assert held["score"].sum() > 0.9 * held["base_score"].sum() and (held["score"] > held["base_score"]).mean() > 0.9
 
 
-def test_tree_states_sum_to_one():
-    rng = np.random.default_rng(0)
-    symbols = np.array([0, 1, 3, 4, 5])
-    root = np.full(6, -np.inf)
-    root[symbols] = np.log10(rng.dirichlet(np.ones(5)))
-    tree = lm.Tree(root)
-    context, symbol = np.repeat([2, 3, 4], 3), np.tile([3, 4, 5], 3)
-    tree.learn(1, context, symbol, np.array([90, 5, 5, 1, 98, 1, 30, 30, 30], float), 4.0, 50.0)
-    assert len(tree.states[0]) >= 2
-    for before in (2, 3, 4):
-        total = sum(10 ** tree.score(np.array([before, x]), np.array([0, 1]) + 1, np.array([1]))[0] for x in symbols)
-        assert math.isclose(total, 1, abs_tol=1e-9)
-
-
 def test_extraction():
     tree = blocks.grow(list(blocks.LABELLED))
     assert all(blocks.decide(tree, r[:-1]) == bool(r[-1]) for r in blocks.LABELLED)
@@ -202,7 +188,7 @@ def test_pages(spark, data):
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
 
 
-def plain_suffix_tree(train, texts, least, depth=3, test=4.0, weight=50.0):
+def plain_suffix_tree(train, texts, least, met=1, depth=3, test=4.0, weight=50.0):
     """Scores by tables of all contexts, in plain Python, and the number of states of each length."""
     streams = [["<start>", *t.lower().split(), ""] for t in train]
     words = collections.Counter(w for s in streams for w in s[1:])
@@ -223,7 +209,8 @@ def plain_suffix_tree(train, texts, least, depth=3, test=4.0, weight=50.0):
         for d in range(min(len(states), len(before)), 0, -1):
             own = states[d - 1].get(before[-d:])
             if own is not None:
-                return (own[w] + weight * p(before[-d + 1 :] if d > 1 else (), w)) / (sum(own.values()) + weight)
+                kept, n = own
+                return (kept[w] + (n - sum(kept.values()) + weight) * p(before[-d + 1 :] if d > 1 else (), w)) / (n + weight)
         return alone(w)
 
     for d in range(1, depth + 1):
@@ -231,12 +218,18 @@ def plain_suffix_tree(train, texts, least, depth=3, test=4.0, weight=50.0):
         for s in streams:
             for i in range(d, len(s)):
                 below[tuple(s[i - d : i])][s[i]] += 1
-        kept = {}
+        found = {}
         for context, own in below.items():
-            n, chance = sum(own.values()), (len(own) - 1) / 2
-            if n >= least and sum(c * math.log(c / n / p(context[1:], w)) for w, c in own.items()) > chance + test * math.sqrt(chance + 1):
-                kept[context] = own
-        states.append(kept)
+            n, kept = sum(own.values()), collections.Counter({w: c for w, c in own.items() if c >= met})
+            if n < least or not kept:
+                continue
+            rest, chance = n - sum(kept.values()), (len(kept) + (sum(kept.values()) < n) - 1) / 2
+            gain = sum(c * math.log(c / n / p(context[1:], w)) for w, c in kept.items())
+            if rest:
+                gain += rest * math.log(rest / n / max(1 - sum(p(context[1:], w) for w in kept), 1e-12))
+            if gain > chance + test * math.sqrt(chance + 1):
+                found[context] = kept, n
+        states.append(found)
     scores = []
     for t in texts:
         s = ["<start>", *t.lower().split(), ""]
@@ -244,8 +237,8 @@ def plain_suffix_tree(train, texts, least, depth=3, test=4.0, weight=50.0):
     return scores, [len(x) for x in states]
 
 
-@pytest.mark.parametrize("near", [0, 300, 1_000_000])
-def test_suffix_tree_is_brute_force(spark, near):
+@pytest.mark.parametrize("near, met", [(0, 3), (300, 1), (1_000_000, 3)])
+def test_suffix_tree_is_brute_force(spark, near, met):
     """States by an absolute count, of any word: hundreds of contexts of each length, each met by fewer than a thousandth of the tokens, and 4,000 other words."""
     rng, texts = np.random.default_rng(3), []
     for _ in range(300):
@@ -254,9 +247,9 @@ def test_suffix_tree_is_brute_force(spark, near):
             x.append((3 * x[-1] + x[-2] * x[-3] + x[-3]) % 10 if rng.random() < 0.8 else rng.integers(10))
         texts.append(" ".join(f"v{k}" if rng.random() < 0.95 else f"w{rng.integers(4000)}" for k in x))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    want, states = plain_suffix_tree(texts[:250], texts, 5)
+    want, states = plain_suffix_tree(texts[:250], texts, 5, met)
     assert min(states[1:]) > 40 and states[2] > 200
-    got = {r["key"]: r["score"] for r in lm.score_documents(df, "doc_id", "text", "doc_id < 250", head=100, near=near, least=5).collect()}
+    got = {r["key"]: r["score"] for r in lm.score_documents(df, "doc_id", "text", "doc_id < 250", head=100, near=near, least=5, met=met).collect()}
     assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in range(300))
 
 

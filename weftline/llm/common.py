@@ -30,12 +30,21 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/weftline-{uuid.uuid4().hex}"
 
 
+#: With this, Spark deletes a query's shuffle files as soon as it has ended, which else wait until the driver collects its garbage.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    """Cut the lineage: write ``df`` to ``path`` in the shared folder and read it back."""
+    """Cut the lineage: write ``df`` to ``path`` in the shared folder and read it back; nothing else of it stays on disk."""
+    spark, names = df.sparkSession, list(partition_by)
     writer = df.write.mode("errorifexists").option("compression", "zstd")
-    names = list(partition_by)
-    (writer.partitionBy(*names) if names else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANED, "false")
+    spark.conf.set(CLEANED, "true")
+    try:
+        (writer.partitionBy(*names) if names else writer).parquet(path)
+    finally:
+        spark.conf.set(CLEANED, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -3,7 +3,9 @@
 Symbols are all words and the end of a text; a start stands before each text.
 Contexts are the up to DEPTH symbols before one. A context is a candidate if
 it is met LEAST times, a count, so that the tree grows with the corpus; its
-next symbols are counted over all training texts, however rare. A candidate
+next symbols are counted over all training texts. Those met MET times below it
+have an outcome each, the others one together: what is met once or twice says
+only how open a context is, so its share goes to the suffix. A candidate
 becomes a state if its next-symbol distribution diverges from that of its
 longest suffix among the states by more than chance would give. Each state's
 distribution is smoothed with its suffix's. A symbol is scored by the longest
@@ -19,12 +21,14 @@ into one table of weights: a text's score is that of its words alone and the
 sum of the weights of its strings of up to DEPTH + 1 symbols. A weight is what
 a state costs as a context and what a symbol seen there adds. A fixed bitmap of
 the hashes that a table may hold spares the shuffle most other strings; the
-join decides. Counts of the HEAD most frequent words and the weights of the
-NEAR most frequent strings are sent to all tasks, bounded tables that save
-work; all others are joined.
+join decides. A string met MET times has a suffix met as often, so the suffixes'
+bitmap spares most of those that are not. What the HEAD most frequent words and
+the NEAR most frequent strings cost is sent to all tasks, bounded tables that
+save work; all others are joined. A level's shuffle files go with its table.
 
 Defined results: a null text is empty, and an empty text is its end alone;
-without training rows every count is 0 and the tree is its root; rows with the
+without training rows every count is 0 and the tree is its root; ties of counts, which only decide what is sent to all tasks, fall by
+hash; very long texts are scored whole, a slice of texts at a time; rows with the
 same key are documents of their own; an empty table gives no rows; further
 columns are ignored, whatever their names.
 """
@@ -44,14 +48,12 @@ from pyspark.sql import functions as F
 from .common import remove, work_folder, written
 from .op1_chunk_store import _arrow
 
-#: Longest context; times a context is met at least; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words, and strings, whose counts or weights go to every task; folds and the one held out.
-DEPTH, LEAST, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 4.0, 50.0, 100_000, 1_000_000, 7, 2
+#: Longest context; times a context is met at least, and a symbol below it that has an outcome of its own; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words, and strings, whose counts or weights go to every task; folds and the one held out.
+DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0, 1_000_000, 2_000_000, 7, 2
 #: Words of a task's table before it is sent on, and bytes of text that are looked at at once.
 TABLE, SLICE = 250_000, 4 << 20
-#: A symbol's bits within a context of a tree in memory.
-SYMBOL = 15
 #: Hashes a worker keeps; distinct strings of a task's table; bits of a bitmap's place and of the word within; how far a hash turns with each further symbol.
-KEPT, STRINGS, PLACE, BITS, TURN = 300_000, 2_000_000, 27, 6, 23
+KEPT, STRINGS, PLACE, BITS, TURN = 300_000, 1_000_000, 27, 6, 23
 
 
 class _Symbols(dict):
@@ -98,17 +100,15 @@ def word_counts(train: DataFrame, text: str) -> DataFrame:
     return train.select(F.col(text).alias("text")).mapInArrow(_counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """(symbols of all texts, each from its start to its end; place within the text; words of each)."""
-    words = [_words(t) for t in texts]
-    flat: list[bytes] = []
-    for w in words:
-        flat.append(b"\n")
-        flat.extend(w)
-        flat.append(b"")
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return np.fromiter(map(_SYMBOLS.__getitem__, flat), np.int64, len(flat)), place, words
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of all texts, each from its start to its end; place within the text; symbols of each text)."""
+    parts, lengths = [], np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        words = _words(text)
+        lengths[k] = len(words) + 2
+        parts.append(np.fromiter(map(_SYMBOLS.__getitem__, [b"\n", *words, b""]), np.int64, len(words) + 2))
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return flat, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths), lengths
 
 
 def turned(code: np.ndarray) -> np.ndarray:
@@ -125,14 +125,6 @@ def strings_of(stream: np.ndarray, most: int) -> Iterator[np.ndarray]:
         yield code
 
 
-def contexts_of(stream: np.ndarray, depth: int) -> np.ndarray:
-    """At each place the code of the ``depth`` symbols before it; of no meaning where there are fewer."""
-    code = np.zeros(len(stream), np.int64)
-    for t in range(1, depth + 1):
-        code[t:] |= stream[:-t] << (SYMBOL * (t - 1))
-    return code
-
-
 def member(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(whether each value is in the sorted table, its place there)."""
     if not len(table):
@@ -169,8 +161,8 @@ def maybe(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (words >> (at & np.uint64((1 << BITS) - 1))) & np.uint64(1) == 1
 
 
-def _children(bits, depth: int):
-    """(context, context and next symbol, count) of each task's texts, below the contexts of one length that the bitmap lets through."""
+def _children(bits, suffixes, depth: int):
+    """(context, context and next symbol, count) of each task's texts, below the contexts of one length that the one bitmap lets through and of the suffixes that the other does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list = []
@@ -190,9 +182,9 @@ def _children(bits, depth: int):
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             for part in slices(texts):
                 stream, place, _ = streams(part)
-                code = list(strings_of(stream, depth))[-1]
+                *_, code = strings_of(stream, depth)
                 before = np.r_[np.int64(0), code[:-1]]
-                on = np.flatnonzero((place >= depth) & maybe(before, bits.value))
+                on = np.flatnonzero((place >= depth) & maybe(before, bits.value) & maybe(code, suffixes.value))
                 before = before[on]
                 found, first, n = np.unique(stream[on] ^ turned(before), return_index=True, return_counts=True)
                 parts.append((found, before[first], n))
@@ -209,49 +201,6 @@ def _children(bits, depth: int):
     return run
 
 
-class Tree:
-    """The same in memory, for a few symbols. States of each length, sorted, with what a symbol not seen there costs; their seen symbols' log10 probabilities; the root's."""
-
-    def __init__(self, root: np.ndarray):
-        self.root = root
-        self.states: list[np.ndarray] = []
-        self.back: list[np.ndarray] = []
-        self.pairs: list[np.ndarray] = []
-        self.seen: list[np.ndarray] = []
-
-    def score(self, stream: np.ndarray, place: np.ndarray, at: np.ndarray, depth: int | None = None, code: np.ndarray | None = None) -> np.ndarray:
-        """log10 of the symbol's probability at the places ``at``, by the longest suffix before it that is a state."""
-        total, left = np.zeros(len(at)), np.arange(len(at))
-        for d in range(len(self.states) if depth is None else depth, 0, -1):
-            before = (contexts_of(stream, d)[at[left]] if code is None else code[left] & ((1 << (SYMBOL * d)) - 1)) if len(left) else np.zeros(0, np.int64)
-            state, k = member(before, self.states[d - 1])
-            state &= place[at[left]] >= d
-            pair, j = member((k << SYMBOL) | stream[at[left]], self.pairs[d - 1])
-            done = state & pair
-            total[left[done]] += self.seen[d - 1][j[done]]
-            some = state & ~pair
-            total[left[some]] += self.back[d - 1][k[some]]
-            left = left[~done]
-        total[left] += self.root[stream[at[left]]]
-        return total
-
-    def learn(self, d: int, context: np.ndarray, symbol: np.ndarray, c: np.ndarray, test: float, weight: float) -> None:
-        """The states among the candidates of length d, given rows sorted by context and symbol."""
-        starts = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-        sizes = np.diff(np.r_[starts, len(context)])
-        n = np.repeat(np.add.reduceat(c, starts), sizes)
-        # As scored by the states that are shorter.
-        before = self.score(symbol, np.full(len(symbol), d), np.arange(len(symbol)), d - 1, context)
-        gain = np.add.reduceat(c * (np.log(c / n) - before * math.log(10)), starts)
-        chance = (sizes - 1) / 2
-        keep = gain > chance + test * np.sqrt(chance + 1)
-        rows = np.repeat(keep, sizes)
-        self.states.append(context[starts][keep])
-        self.back.append(np.log10(weight / (n[starts][keep] + weight)))
-        self.pairs.append((np.repeat(np.cumsum(keep) - 1, sizes)[rows] << SYMBOL) | symbol[rows])
-        self.seen.append(np.log10((c[rows] + weight * 10 ** before[rows]) / (n[rows] + weight)))
-
-
 def _turned(column) -> Column:
     return F.shiftleft(column, TURN).bitwiseOR(F.shiftrightunsigned(column, 64 - TURN))
 
@@ -262,87 +211,89 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), batch.column("c"), batch.column("root")], ["both", "c", "p"])
 
 
-def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str, depth: int = DEPTH, least: int = LEAST, test: float = TEST, weight: float = WEIGHT) -> DataFrame:
+def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str, depth: int = DEPTH, least: int = LEAST, met: int = MET, test: float = TEST, weight: float = WEIGHT) -> DataFrame:
     """(code, weight, n) of all strings with a weight, n times met, from the words' (both, c, p) by themselves."""
     spark, rows = train.sparkSession, train.select(F.col(text).alias("text"))
     # What a context's hash lacks to its suffix's turns a string's hash into that of the string less its first symbol.
-    often = alone.where((F.col("c") >= least) & (F.col("both") != END)).select(F.col("both").alias("context"), _turned(F.col("both")).alias("first"))
-    start = spark.range(1).where(F.lit(texts) >= least).select(F.lit(START).alias("context"), _turned(F.lit(START)).alias("first"))
-    contexts, shorter, parts = often.unionByName(start), alone.select("both", "p"), []
+    often = alone.where((F.col("c") >= least) & (F.col("both") != END)).select(F.col("both").alias("context"), _turned(F.col("both")).alias("first"), F.col("c").alias("n"))
+    start = spark.range(1).where(F.lit(texts) >= least).select(F.lit(START).alias("context"), _turned(F.lit(START)).alias("first"), F.lit(texts).cast("long").alias("n"))
+    contexts, shorter, parts = often.unionByName(start), alone.where(F.col("c") >= met).select("both", "p"), []
     for d in range(1, depth + 1):
         contexts = written(contexts, f"{folder}/contexts{d}")
-        bits = spark.sparkContext.broadcast(bitmap(contexts, "context"))
-        got = rows.mapInArrow(_children(bits, d), "context long, both long, c long").groupBy("context", "both").agg(F.sum("c").alias("c"))
-        got = got.join(contexts, "context").select("context", "both", F.col("both").bitwiseXOR(F.col("first")).alias("less"), "c")
-        # Below a candidate's suffix, which is one as well, all that is below the candidate was seen.
+        bits, suffixes = (spark.sparkContext.broadcast(bitmap(t, c)) for t, c in ((contexts, "context"), (shorter, "both")))
+        got = rows.mapInArrow(_children(bits, suffixes, d), "context long, both long, c long").groupBy("context", "both").agg(F.sum("c").alias("c")).where(F.col("c") >= met)
+        got = got.join(contexts.select("context", "first"), "context").select("context", "both", F.col("both").bitwiseXOR(F.col("first")).alias("less"), "c")
+        # Below a candidate's suffix, which is one as well, all that is met as often below the candidate was seen.
         got = written(got.join(shorter.select(F.col("both").alias("less"), F.col("p").alias("before")), "less"), f"{folder}/counts{d}")
-        sums = got.groupBy("context").agg(F.sum("c").alias("n"), F.count("*").alias("sizes"), F.sum(F.col("c") * (F.ln("c") - F.col("before") * math.log(10))).alias("gain"))
-        chance = (F.col("sizes") - 1) / 2
-        states = sums.where(F.col("gain") - F.col("n") * F.ln("n") > chance + test * F.sqrt(chance + 1))
-        states = written(states.select("context", "n", F.log10(F.lit(weight) / (F.col("n") + weight)).alias("back")), f"{folder}/states{d}")
-        p = F.when(F.col("n").isNotNull(), F.log10((F.col("c") + weight * F.pow(F.lit(10.0), "before")) / (F.col("n") + weight))).otherwise(F.col("before"))
+        sums = got.groupBy("context").agg(F.sum("c").alias("own"), F.count("*").alias("sizes"), F.sum(F.pow(F.lit(10.0), "before")).alias("mass"), F.sum(F.col("c") * (F.ln("c") - F.col("before") * math.log(10))).alias("gain"))
+        sums = contexts.select("context", "n").join(sums, "context").withColumn("rest", F.col("n") - F.col("own"))
+        gain = F.col("gain") - F.col("own") * F.ln("n") + F.when(F.col("rest") > 0, F.col("rest") * F.ln(F.col("rest") / F.col("n") / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
+        chance = (F.col("sizes") + F.when(F.col("rest") > 0, 1).otherwise(0) - 1) / 2
+        states = sums.where(gain > chance + test * F.sqrt(chance + 1)).withColumn("given", F.col("rest") + weight)
+        states = written(states.select("context", "n", "given", F.log10(F.col("given") / (F.col("n") + weight)).alias("back")), f"{folder}/states{d}")
+        p = F.when(F.col("n").isNotNull(), F.log10((F.col("c") + F.col("given") * F.pow(F.lit(10.0), "before")) / (F.col("n") + weight))).otherwise(F.col("before"))
         end = F.col("both") == _turned(F.col("context")).bitwiseXOR(F.lit(END))
         seen = got.join(states, "context", "left").select("both", "less", "c", end.alias("end"), p.alias("p"), (p - F.col("before") - F.col("back")).alias("weight"))
         seen = written(seen, f"{folder}/seen{d}")
         remove(spark, f"{folder}/counts{d}")
         parts += [states.select(F.col("context").alias("code"), F.col("back").alias("weight"), "n"), seen.where("weight is not null").select(F.col("both").alias("code"), "weight", F.col("c").alias("n"))]
         shorter = seen.select("both", "p")
-        contexts = seen.where((F.col("c") >= least) & ~F.col("end")).select(F.col("both").alias("context"), _turned(F.col("both").bitwiseXOR(F.col("less"))).alias("first"))
+        contexts = seen.where((F.col("c") >= least) & ~F.col("end")).select(F.col("both").alias("context"), _turned(F.col("both").bitwiseXOR(F.col("less"))).alias("first"), F.col("c").alias("n"))
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)
     return written(total.groupBy("code").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), f"{folder}/weights")
 
 
+def _far(doc: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, code, times) of each code that a document has."""
+    order = np.lexsort((code, doc))
+    doc, code = doc[order], code[order]
+    starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])]) if len(code) else np.zeros(0, np.int64)
+    return doc[starts], code[starts], np.diff(np.r_[starts, len(code)])
+
+
 def _scored(model, key_type: pa.DataType, most: int):
     """A row for each document (kind 0), one for each of its words that is not among the HEAD (kind 1), and one for each of its strings that may have a weight that is not among the NEAR (kind 2)."""
-    schema = pa.schema([("kind", pa.int32()), ("number", pa.int64()), ("doc", key_type), ("word", pa.string()), ("code", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    schema = pa.schema([("kind", pa.int32()), ("number", pa.int64()), ("doc", key_type), ("code", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+
+    def batch_of(size: int, **given) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, weights, bits, head, end_known, end_base, end_score = model.value
-        get = head.get
+        codes, weights, bits, head, head_base, head_score, end_known, end_base, end_score = model.value
         for batch in batches:
-            numbers, docs = batch.column("number").to_pylist(), batch.column("doc").to_pylist()
+            numbers, docs, texts = batch.column("number").to_numpy(), batch.column("doc"), batch.column("text").cast(pa.large_binary())
             first = 0
-            for part in slices([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]):
-                stream, place, words = streams(part)
-                doc = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
-                totals = np.zeros(len(words))
-                far = []
+            for part in slices([t or b"" for t in texts.to_pylist()]):
+                stream, place, lengths = streams(part)
+                own, doc = numbers[first : first + len(part)], np.repeat(np.arange(len(part)), lengths)
+                score, far = np.zeros(len(part)), []
                 for k, code in enumerate(strings_of(stream, most)):
                     on = np.flatnonzero((place >= k) & maybe(code, bits))
                     near, at = member(code[on], codes)
-                    totals += np.bincount(doc[on[near]], weights=weights[at[near]], minlength=len(words))
-                    far.append(on[~near]), far.append(code[on[~near]])
-                where, code = doc[np.concatenate(far[::2])], np.concatenate(far[1::2])
-                rows: list = []
-                for k, own in enumerate(words):
-                    base, rest, rare = end_base, end_score, Counter()
-                    values = [get(w) for w in own]
-                    for w, v in zip(own, values):
-                        if v is None:
-                            rare[w] += 1
-                        else:
-                            base += v[0]
-                            rest += v[1]
-                    number = numbers[first + k]
-                    rows.extend((1, number, None, w.decode(), None, times, None, None, None) for w, times in rare.items())
-                    rows.append((0, number, docs[first + k], None, None, len(own) + 1, end_known + len(own) - sum(rare.values()), base, float(totals[k]) + rest))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                if len(code):
-                    order = np.lexsort((code, where))
-                    where, code = where[order], code[order]
-                    starts = np.flatnonzero(np.r_[True, (where[1:] != where[:-1]) | (code[1:] != code[:-1])])
-                    times = np.diff(np.r_[starts, len(code)])
-                    own = np.array(numbers[first : first + len(words)], np.int64)[where[starts]]
-                    given = {"kind": pa.array(np.full(len(starts), 2, np.int32)), "number": pa.array(own), "code": pa.array(code[starts]), "n": pa.array(times)}
-                    yield pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(len(starts), f.type) for f in schema], schema=schema)
-                first += len(words)
+                    score += np.bincount(doc[on[near]], weights=weights[at[near]], minlength=len(part))
+                    far.append((doc[on[~near]], code[on[~near]]))
+                words = np.flatnonzero((place > 0) & (place < lengths[doc] - 1))
+                near, at = member(stream[words], head)
+                there = doc[words[near]]
+                base = np.bincount(there, weights=head_base[at[near]], minlength=len(part)) + end_base
+                score += np.bincount(there, weights=head_score[at[near]], minlength=len(part)) + end_score
+                known = np.bincount(there, minlength=len(part)) + end_known
+                yield batch_of(len(part), kind=np.zeros(len(part), np.int32), number=own, doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
+                rare = words[~near]
+                for kind, where, code in ((1, doc[rare], stream[rare]), (2, *(np.concatenate(x) for x in zip(*far)))):
+                    where, code, times = _far(where, code)
+                    for lo in range(0, len(code), 200_000):
+                        cut = slice(lo, lo + 200_000)
+                        n = len(code[cut])
+                        yield batch_of(n, kind=np.full(n, kind, np.int32), number=own[where[cut]], code=code[cut], n=times[cut])
+                first += len(part)
 
     return run
 
 
-def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD, near: int = NEAR, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
+def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD, near: int = NEAR, depth: int = DEPTH, least: int = LEAST, met: int = MET) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every row of ``df``, learnt from those for which ``train`` holds."""
     spark, folder = df.sparkSession, work_folder(df.sparkSession)
     kind = df.schema[key].dataType
@@ -365,19 +316,22 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
         return F.log10((c + 1) / F.lit(float(total + distinct + 1)))
 
     alone = counts.select("word", "c", root(F.col("c"), F.col("word")).alias("root")).mapInArrow(_hashed, "both long, c long, p double")
-    weights = grow(learnt, text, written(alone, f"{folder}/alone"), ends, folder, depth, least)
-    most = counts.where("word <> ''").orderBy(F.desc("c"), "word").limit(head).select("word", base(F.col("c")).alias("b"), root(F.col("c"), F.col("word")).alias("r")).collect()
-    known = {r["word"].encode(): (r["b"], r["r"]) for r in most}
-    table = weights.orderBy(F.desc("n"), "code").limit(near).select("code", "weight").toArrow()
-    codes, values = table.column("code").to_numpy(), table.column("weight").to_numpy()
-    order = np.argsort(codes)
-    model = spark.sparkContext.broadcast((codes[order], values[order], bitmap(weights, "code"), known, int(ends > 0), math.log10((ends + 1) / (total + distinct + 1)), math.log10(ends + 0.5) - room))
+    alone = written(alone, f"{folder}/alone")
+    remove(spark, f"{folder}/counts")
+    weights = grow(learnt, text, alone, ends, folder, depth, least, met)
+    words = alone.where(F.col("both") != END).select(F.col("both").alias("code"), F.col("c").alias("n"), base(F.col("c")).alias("base"), F.col("p").alias("score"))
+    # Two bounded tables, of `head` and of `near` rows, sorted by code.
+    known, table = words.orderBy(F.desc("n"), "code").limit(head).toArrow(), weights.orderBy(F.desc("n"), "code").limit(near).toArrow()
+    by = lambda t, *names: (lambda order: [t.column(n).to_numpy()[order] for n in ("code", *names)])(np.argsort(t.column("code").to_numpy()))
+    (codes, values), (head_codes, head_base, head_score) = by(table, "weight"), by(known, "base", "score")
+    model = spark.sparkContext.broadcast((codes, values, bitmap(weights, "code"), head_codes, head_base, head_score, int(ends > 0), math.log10((ends + 1) / (total + distinct + 1)), math.log10(ends + 0.5) - room))
     rows = df.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("doc"), F.col(text).alias("text"))
-    schema = f"kind int, number long, doc {kind.simpleString()}, word string, code long, n long, known long, base double, score double"
+    schema = f"kind int, number long, doc {kind.simpleString()}, code long, n long, known long, base double, score double"
     scored = written(rows.mapInArrow(_scored(model, _arrow(kind), depth + 1), schema), f"{folder}/scored", ["kind"])
-    docs, words, strings = scored.where("kind = 0"), scored.where("kind = 1").select("number", "word", F.col("n").alias("times")), scored.where("kind = 2").select("number", "code", F.col("n").alias("times"))
-    met = words.join(counts, "word", "left").select("number", "times", F.coalesce("c", F.lit(0)).alias("c"), "word")
-    rest = met.select("number", (F.col("times") * base(F.col("c"))).alias("base"), F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * root(F.col("c"), F.col("word"))).alias("score"))
+    docs, (rest, strings) = scored.where("kind = 0"), (scored.where(f"kind = {k}").select("number", "code", F.col("n").alias("times")) for k in (1, 2))
+    met_words = rest.join(words.select("code", "base", "score"), "code", "left")
+    unseen = F.col("base").isNull()
+    rest = met_words.select("number", (F.col("times") * F.coalesce("base", base(F.lit(0)))).alias("base"), F.when(unseen, 0).otherwise(F.col("times")).cast("long").alias("known"), (F.col("times") * F.coalesce("score", F.lit(unknown))).alias("score"))
     more = strings.join(weights, "code").select("number", F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known"), (F.col("times") * F.col("weight")).alias("score"))
     rest = rest.unionByName(more).groupBy("number").agg(F.sum("base").alias("rest_base"), F.sum("known").alias("rest_known"), F.sum("score").alias("rest_score"))
     return docs.join(rest, "number", "left").select(
