@@ -173,7 +173,30 @@ def test_extraction():
     assert blocks.main_text("", tree) == "" and blocks.main_text("a < b <c", tree) == ""
 
 
-@pytest.mark.parametrize("page", ["<div>" * 30_000, '<p title="x>y' * 5000, "<" * 50_000, "<!--" * 20_000, "<b>" * 30_000 + "</i>" * 30_000, "</p>" * 50_000])
+def test_extraction_by_attributes_and_densities():
+    tree = blocks.grow(list(blocks.LABELLED))
+    used = set()
+
+    def walk(node):
+        if isinstance(node, tuple):
+            used.add(blocks.FIELDS[node[0]])
+            walk(node[2]), walk(node[3])
+
+    walk(tree)
+    assert used >= {"words", "links", "content", "frame"} and used & {"words_before", "links_before"} and used & {"words_after", "links_after"}
+    body = "the river runs past the old mill and on to the sea " * 4
+    text = body.strip()
+    assert blocks.main_text(f'<article><div data-href="/x?id=ad"><p>{body}</p></div></article>', tree) == text
+    assert blocks.main_text(f'<main><h1>Title</h1><div class="newsletter-archive"><p>{body}</p><div class="share"><p>tell friends</p></div></div></main>', tree) == f"Title\n\n{text}"
+    assert blocks.main_text(f'<main><div class="post share-this-story"><p>{body}</p></div></main>', tree) == text
+    assert blocks.main_text(f'<main><p>{body}</p><div class="promo"><p>{body}</p></div><div id="comments"><p>{body * 9}</p></div></main>', tree) == text
+    # A page without a single known name: menus and link lists go by their links and neighbours.
+    menu = "".join(f'<div><a href="/{k}">Item {k}</a></div>' for k in range(5))
+    plain = f"<div>{menu}</div><div><h2>A heading</h2><div>{body}</div><div>{body}</div></div><div>{menu}</div>"
+    assert blocks.main_text(plain, tree) == f"A heading\n\n{text}\n\n{text}"
+
+
+@pytest.mark.parametrize("page", ['<div class="promo">' * 20_000, '<p class=a b = "c' * 3000 + ">", "<div>" * 30_000, '<p title="x>y' * 5000, "<" * 50_000, "<!--" * 20_000, "<b>" * 30_000 + "</i>" * 30_000, "</p>" * 50_000])
 def test_odd_pages_end(page):
     blocks.main_text(page, blocks.grow(list(blocks.LABELLED)))
 

@@ -10,9 +10,15 @@ space, and kept blocks are joined in page order by an empty line. A line break
 element is white space. Scripts, styles, forms' controls, comments and the
 head are never text.
 
+Names of classes, ids and roles mark containers. Words that name boilerplate and
+articles alike are weak marks: such a container is taken for what it holds if
+next to nothing that could be content stands outside of it.
+
 Defined results: a null page is empty, and an empty page has empty text; a tag
 that does not end is text; elements that are not closed end with what holds
-them; repeated rows are extracted alike; an empty table gives no rows;
+them; a very long page is extracted whole, in time in proportion to it; of
+equally good splits of the tree that on the container counts; repeated rows are
+extracted alike; an empty table gives no rows;
 further columns are ignored, whatever their names.
 """
 
@@ -30,7 +36,7 @@ from pyspark.sql import types as T
 from .op1_chunk_store import _arrow
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
-_HINT = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[A-Za-z]+")
 
 #: Elements without text of their own; the first four end only at their own end tag.
@@ -41,6 +47,8 @@ VOID = set("area base br col embed hr img input link meta source track wbr".spli
 CONTENT, FRAME = {"article", "main"}, {"nav", "footer", "aside", "form", "menu", "dialog"}
 #: Words in class, id or role that mark boilerplate, and those that mark content.
 FRAME_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead notice notices cookie cookies consent gdpr popup modal overlay related share sharing social comment comments respond newsletter subscribe subscription login signup widget complementary contentinfo search alert disclaimer teaser recommended trending toolbar topbar pagination pager adbox adslot adunit adcontainer".split())
+#: Of these, words that also name what holds an article: they do not count where nearly all that could be content stands within.
+WEAK_WORDS = set("ad ads promo promotion banner sponsor sponsored notice notices alert disclaimer popup modal overlay related share sharing social newsletter teaser recommended trending toolbar topbar widget pager pagination".split())
 CONTENT_WORDS = {"article", "main", "story"}
 #: Words that mark content where a page has no container of the others.
 MAYBE_WORDS = {"content", "entry", "post", "text"}
@@ -58,11 +66,12 @@ LABELLED = (
     (60, 0.0, 0, 0.0, 3, 0.0, 0, 0, 0, 1), (50, 0.0, 3, 0.0, 4, 1.0, 0, 0, 0, 1), (3, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (35, 0.1, 1, 1.0, 2, 1.0, 0, 0, 0, 1), (25, 0.0, 2, 0.0, 1, 0.5, 0, 0, 0, 1),
     (60, 0.0, 60, 0.0, 60, 0.0, 0, 0, 1, 0), (110, 0.0, 55, 0.0, 30, 0.0, 0, 0, 1, 0), (6, 0.0, 5, 0.0, 70, 0.0, 0, 0, 1, 0), (20, 0.1, 70, 0.0, 40, 0.0, 0, 0, 1, 0), (35, 0.0, 3, 0.0, 2, 1.0, 0, 0, 1, 0),
     (2, 1.0, 45, 0.0, 2, 1.0, 0, 0, 0, 0), (4, 0.8, 2, 0.9, 60, 0.0, 0, 0, 0, 0), (5, 0.0, 2, 0.9, 4, 0.5, 0, 0, 0, 0),
+    (6, 0.0, 50, 0.0, 4, 0.6, 0, 0, 0, 1), (6, 0.0, 3, 0.8, 4, 0.6, 0, 0, 0, 0), (8, 0.3, 40, 0.0, 30, 0.0, 0, 0, 0, 1), (8, 0.3, 3, 1.0, 30, 0.0, 0, 0, 0, 0), (9, 0.0, 35, 0.0, 3, 1.0, 0, 0, 0, 1), (9, 0.0, 2, 0.9, 3, 1.0, 0, 0, 0, 0),
     (14, 0.7, 40, 0.0, 10, 0.8, 0, 0, 0, 0), (4, 0.6, 20, 0.0, 0, 0.0, 0, 0, 0, 0), (80, 0.0, 30, 0.0, 20, 0.0, 0, 1, 0, 0), (6, 0.0, 60, 0.0, 3, 0.9, 0, 1, 0, 0),
 )
 
 
-def grow(rows: list[tuple], depth: int = 6):
+def grow(rows: list[tuple], depth: int = 10):
     """A tree of (field, threshold, low, high) by Gini impurity; leaves are the majority's label."""
     labels = [r[-1] for r in rows]
     if depth == 0 or len(set(labels)) < 2:
@@ -91,31 +100,43 @@ def decide(tree, row: tuple) -> bool:
     return bool(tree)
 
 
+def _named(attributes: str) -> set[str]:
+    """The words in the values of class, id and role; the first attribute of a name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return {w.lower() for name in ("class", "id", "role") for w in _PARTS.findall(found.get(name, ""))}
+
+
 def _role(tag: str, attributes: str, content: int) -> int:
-    """1 for a container of content, 3 for what may be one, -1 for one of boilerplate, else 0."""
+    """1 for a container of content, 3 for what may be one, -1 for one of boilerplate and -2 for one that only weak words say is, else 0."""
     if tag in ("html", "body"):
         return 0
-    words = {w.lower() for m in _HINT.finditer(attributes) for w in _PARTS.findall(next(filter(None, m.groups()), ""))} if "=" in attributes else set()
-    if words & FRAME_WORDS or tag in FRAME or (tag == "header" and not content):
+    words = _named(attributes) if "=" in attributes else set()
+    frames = words & FRAME_WORDS
+    if tag in FRAME or (tag == "header" and not content) or frames - WEAK_WORDS:
         return -1
+    if frames:
+        return -2
     return 1 if tag in CONTENT or words & CONTENT_WORDS else 3 if words & MAYBE_WORDS else 0
 
 
-def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
-    """(text, words, words within links, 2 within content or 1 within what may be, within boilerplate) of the page's text blocks."""
+def blocks(page: str) -> list[tuple[str, int, int, int, bool, tuple[int, ...]]]:
+    """(text, words, words within links, 2 within content or 1 within what may be, within boilerplate, weakly marked containers by number) of the page's text blocks."""
     out: list = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int]] = []
     opened: dict[str, int] = {}
-    content = maybe = frame = silent = 0
+    content = maybe = frame = silent = numbers = 0
+    weak: list[int] = []
     link = False
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((text, text.count(" ") + 1, len(" ".join(linked).split()), 2 if content else int(maybe > 0), frame > 0))
+                out.append((text, text.count(" ") + 1, len(" ".join(linked).split()), 2 if content else int(maybe > 0), frame > 0, tuple(weak)))
             parts.clear()
             linked.clear()
 
@@ -124,6 +145,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
         tag, role = stack.pop()
         opened[tag] -= 1
         content, maybe, frame, silent = content - (role == 1), maybe - (role == 3), frame - (role == -1), silent - (role == 2)
+        if role == -2:
+            weak.pop()
 
     at, last = 0, page.rfind(">")
     while at < len(page):
@@ -165,17 +188,43 @@ def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
             stack.append((tag, role))
             opened[tag] = opened.get(tag, 0) + 1
             content, maybe, frame, silent = content + (role == 1), maybe + (role == 3), frame + (role == -1), silent + (role == 2)
+            if role == -2:
+                numbers += 1
+                weak.append(numbers)
     flush()
     return out
 
 
+def framed(found: list) -> list[bool]:
+    """Whether each block stands within boilerplate. A weakly marked container counts as such unless next to nothing that could be content stands outside of it."""
+    out = [frame or bool(weak) for *_, frame, weak in found]
+    most = max((c for _, _, _, c, frame, _ in found if not frame), default=0)
+    ignored: set[int] = set()
+    for _ in range(8):
+        outside, within = 0, {}
+        for (_, n, linked, content, frame, weak), hidden in zip(found, out):
+            if frame or content < most:
+                continue
+            if not hidden:
+                outside += n - linked
+            elif (left := [w for w in weak if w not in ignored]) and 3 * linked < n:
+                within[left[0]] = within.get(left[0], 0) + n
+        number, words = max(within.items(), key=lambda x: x[1], default=(0, 0))
+        if words < 20 or outside > max(12, words // 20):
+            break
+        ignored.add(number)
+        out = [frame or any(w not in ignored for w in weak) for *_, frame, weak in found]
+    return out
+
+
 def main_text(page: str, tree) -> str:
     """The blocks that the tree keeps."""
     found = blocks(page)
-    size = [(n, min(1.0, k / n)) for _, n, k, _, _ in found]
-    most, none = max((c for *_, c, frame in found if not frame), default=0), (0, 0.0)
+    hidden = framed(found)
+    size = [(n, min(1.0, k / n)) for _, n, k, *_ in found]
+    most, none = max((x[3] for x, frame in zip(found, hidden) if not frame), default=0), (0, 0.0)
     kept = []
-    for k, (text, _, _, content, frame) in enumerate(found):
+    for k, ((text, _, _, content, _, _), frame) in enumerate(zip(found, hidden)):
         row = (*size[k], *(size[k - 1] if k else none), *(size[k + 1] if k + 1 < len(size) else none), int(content == most > 0), int(frame), int(most > 0))
         if decide(tree, row):
             kept.append(text)

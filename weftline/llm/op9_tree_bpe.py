@@ -8,9 +8,10 @@ tokens of the left side and with one of the right side. A sequence of tokens is
 the encoding of its text if every two neighbours in it are the encoding of
 theirs, so what is spliced at the agreeing runs is exact.
 
-Defined results: a null text is empty, and an empty text has no tokens;
-repeated rows give one row each; an empty table gives none; columns besides
-the key and the text are ignored, whatever their names.
+Defined results: a null text is empty, and an empty text has no tokens; a very
+long text is encoded whole, its leaves in as many tasks as there are; keys are
+of any type; repeated and equal rows give one row each; an empty table gives
+none; columns besides the key and the text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .op1_chunk_store import _arrow
 
 #: Code points of a leaf; tokens that have to agree on each side; code points from which a document's leaves go to tasks of their own.
-LEAF, AGREE, APART = 4096, 4, 65_536
+LEAF, AGREE, APART = 4096, 4, 16_384
 
 
 class Span:
@@ -152,13 +154,13 @@ def _hex(text: str) -> str:
 
 
 def _whole(path: str):
-    names = ["key", "n_tokens", "ids", "decoded"]
+    names = ["key", "n_tokens", "ids", "decoded", "leaves"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [digest_text(path, t or "") for t in batch.column("text").to_pylist()]
             n, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(map(_hex, ids), pa.string()), pa.array(map(_hex, decoded), pa.string())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(map(_hex, ids), pa.string()), pa.array(map(_hex, decoded), pa.string()), pa.array([1] * len(rows), pa.int64())], names)
 
     return run
 
@@ -184,19 +186,20 @@ def _leaf(path: str):
 def _joined(path: str, key_type: pa.DataType):
     def run(table: pa.Table) -> pa.Table:
         tokenizer = tokens.load(path)
+        tokens.release()
         rows = sorted(table.to_pylist(), key=lambda r: r["start"])
         text, spans = "".join(r["piece"] for r in rows), []
         for r in rows:
             spans.append(Span(np.frombuffer(r["ids"], "<i4").astype(np.int64), np.frombuffer(r["begin"], "<i8"), np.frombuffer(r["end"], "<i8"), r["start"], r["start"] + len(r["piece"])))
         ids = join_all(tokenizer, text, spans).ids.tolist()
         decoded = tokenizer.decode(ids, skip_special_tokens=False)
-        return pa.table({"key": pa.array([rows[0]["key"]], key_type), "n_tokens": pa.array([len(ids)], pa.int64()), "ids": [_hex(" ".join(map(str, ids)))], "decoded": [_hex(decoded)]})
+        return pa.table({"key": pa.array([rows[0]["key"]], key_type), "n_tokens": pa.array([len(ids)], pa.int64()), "ids": [_hex(" ".join(map(str, ids)))], "decoded": [_hex(decoded)], "leaves": pa.array([len(spans)], pa.int64())})
 
     return run
 
 
 def encode_digests(df: DataFrame, key: str, text: str, path: str, apart: int = APART, leaf: int = LEAF) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of every row of ``df``.
+    """(key, n_tokens, ids_sha256, decoded_sha256, leaves) of every row of ``df``; leaves are how many the text was encoded from.
 
     Texts of up to ``apart`` code points are encoded where they are read.
     The leaves of longer ones are dealt out to all tasks and joined for each
@@ -204,7 +207,7 @@ def encode_digests(df: DataFrame, key: str, text: str, path: str, apart: int = A
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    out = f"key {kind}, n_tokens long, ids string, decoded string"
+    out = f"key {kind}, n_tokens long, ids string, decoded string, leaves long"
     short = rows.where(F.length("text") <= apart).mapInArrow(_whole(path), out)
     # Leaves begin anywhere but before a combining mark: those are left to the leaf before.
     mark = "^[\\p{M}\\u1160-\\u11FF\\u200D\\uFE0F]*"
@@ -214,10 +217,11 @@ def encode_digests(df: DataFrame, key: str, text: str, path: str, apart: int = A
     at = lambda k: (k * leaf) + F.when(k == 0, 0).otherwise(F.length(F.regexp_extract(F.substring(F.col("text"), k * leaf + 1, F.lit(leaf)), mark, 0)))
     cut = cut.withColumn("start", at(F.col("k"))).withColumn("stop", at(F.col("k") + 1))
     cut = cut.select("row", "key", F.col("start").cast("long").alias("start"), F.substring(F.col("text"), F.col("start") + 1, F.col("stop") - F.col("start")).alias("piece"))
-    cut = cut.repartition(F.xxhash64("row", "start"))
+    # A given number of partitions is not merged by adaptive execution, which sees bytes and not the work of encoding them.
+    cut = cut.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("row", "start"))
     encoded = cut.mapInArrow(_leaf(path), f"row long, key {kind}, start long, piece string, ids binary, begin binary, end binary")
-    joined = encoded.groupBy("row").applyInArrow(_joined(path, pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()), out)
-    return short.unionByName(joined).select("key", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+    joined = encoded.groupBy("row").applyInArrow(_joined(path, _arrow(df.schema[key].dataType)), out)
+    return short.unionByName(joined).select("key", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"), "leaves")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
