@@ -35,7 +35,6 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -44,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import remove, work_folder, written
 from .op1_chunk_store import _arrow
@@ -52,8 +52,8 @@ from .op1_chunk_store import _arrow
 DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0, 1_000_000, 2_000_000, 7, 2
 #: Words of a task's table before it is sent on, and bytes of text that are looked at at once.
 TABLE, SLICE = 250_000, 4 << 20
-#: Hashes a worker keeps; distinct strings of a task's table; bits of a bitmap's place and of the word within; how far a hash turns with each further symbol.
-KEPT, STRINGS, PLACE, BITS, TURN = 300_000, 1_000_000, 27, 6, 23
+#: Hashes a worker keeps; distinct strings of a task's table; bits of a bitmap's place at most and of the word within; how far a hash turns with each further symbol.
+KEPT, STRINGS, PLACE, BITS, TURN = 500_000, 1_000_000, 27, 6, 23
 
 
 class _Symbols(dict):
@@ -62,13 +62,19 @@ class _Symbols(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KEPT:
             self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        self[word] = h = xxh64_intdigest(word, 7)
         return h
 
 
 _SYMBOLS = _Symbols()
+
+
+def symbols(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_SYMBOLS.__getitem__, words), np.uint64, len(words)).view(np.int64)
+
+
 #: The end of a text and its start, which no word can be.
-END, START = _Symbols()[b""], _Symbols()[b"\n"]
+END, START = symbols([b"", b"\n"]).tolist()
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -106,7 +112,7 @@ def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k, text in enumerate(texts):
         words = _words(text)
         lengths[k] = len(words) + 2
-        parts.append(np.fromiter(map(_SYMBOLS.__getitem__, [b"\n", *words, b""]), np.int64, len(words) + 2))
+        parts.append(symbols([b"\n", *words, b""]))
     flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return flat, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths), lengths
 
@@ -145,18 +151,19 @@ def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Bits of the places that the keys fall on: 16 MB at most, whatever their number."""
-    at = F.shiftrightunsigned(column, 64 - PLACE)
-    bits = keys.select(F.shiftrightunsigned(at, BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - PLACE}) & {(1 << BITS) - 1} as int))").alias("b"))
+    """Bits of the places that the keys fall on, 32 of them for a key or more: 16 MB at most, whatever the number of keys."""
+    place = min(PLACE, max(BITS + 4, keys.count().bit_length() + 5))
+    at = F.shiftrightunsigned(column, 64 - place)
+    bits = keys.select(F.shiftrightunsigned(at, BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - place}) & {(1 << BITS) - 1} as int))").alias("b"))
     got = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << (PLACE - BITS), np.int64)
+    out = np.zeros(1 << (place - BITS), np.int64)
     out[got.column("w").to_numpy()] = got.column("b").to_numpy()
     return out
 
 
 def maybe(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether a bitmap has the code's place; another code may share it."""
-    at = codes.view(np.uint64) >> np.uint64(64 - PLACE)
+    at = codes.view(np.uint64) >> np.uint64(65 - BITS - len(bits).bit_length())
     words = bits.view(np.uint64)[(at >> np.uint64(BITS)).astype(np.int64)]
     return (words >> (at & np.uint64((1 << BITS) - 1))) & np.uint64(1) == 1
 
@@ -207,8 +214,7 @@ def _turned(column) -> Column:
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        codes = [_SYMBOLS[w] for w in batch.column("word").cast(pa.large_binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), batch.column("c"), batch.column("root")], ["both", "c", "p"])
+        yield pa.RecordBatch.from_arrays([pa.array(symbols(batch.column("word").cast(pa.large_binary()).to_pylist())), batch.column("c"), batch.column("root")], ["both", "c", "p"])
 
 
 def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str, depth: int = DEPTH, least: int = LEAST, met: int = MET, test: float = TEST, weight: float = WEIGHT) -> DataFrame:
@@ -225,6 +231,7 @@ def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str,
         got = got.join(contexts.select("context", "first"), "context").select("context", "both", F.col("both").bitwiseXOR(F.col("first")).alias("less"), "c")
         # Below a candidate's suffix, which is one as well, all that is met as often below the candidate was seen.
         got = written(got.join(shorter.select(F.col("both").alias("less"), F.col("p").alias("before")), "less"), f"{folder}/counts{d}")
+        bits.destroy(), suffixes.destroy()
         sums = got.groupBy("context").agg(F.sum("c").alias("own"), F.count("*").alias("sizes"), F.sum(F.pow(F.lit(10.0), "before")).alias("mass"), F.sum(F.col("c") * (F.ln("c") - F.col("before") * math.log(10))).alias("gain"))
         sums = contexts.select("context", "n").join(sums, "context").withColumn("rest", F.col("n") - F.col("own"))
         gain = F.col("gain") - F.col("own") * F.ln("n") + F.when(F.col("rest") > 0, F.col("rest") * F.ln(F.col("rest") / F.col("n") / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
@@ -328,6 +335,7 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     rows = df.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("doc"), F.col(text).alias("text"))
     schema = f"kind int, number long, doc {kind.simpleString()}, code long, n long, known long, base double, score double"
     scored = written(rows.mapInArrow(_scored(model, _arrow(kind), depth + 1), schema), f"{folder}/scored", ["kind"])
+    model.destroy()
     docs, (rest, strings) = scored.where("kind = 0"), (scored.where(f"kind = {k}").select("number", "code", F.col("n").alias("times")) for k in (1, 2))
     met_words = rest.join(words.select("code", "base", "score"), "code", "left")
     unseen = F.col("base").isNull()
