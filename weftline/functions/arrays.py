@@ -119,6 +119,41 @@ def log_schedule(progress, start: float, end: float) -> Column:
     return F.bround(F.exp(F.log(F.lit(float(start))) + col(progress) * (F.log(F.lit(float(end))) - F.log(F.lit(float(start)))))).cast("long")
 
 
+def depth_schedule(step, depths: list[float], every: int) -> Column:
+    """The depth of a step: the next of the list after ``every`` steps, the last one from there on."""
+    place = F.least(F.floor(col(step) / every), F.lit(len(depths) - 1)).cast("int")
+    return F.get(F.array(*map(F.lit, depths)), place)
+
+
+def every_k(step, layer, every: int) -> Column:
+    """Whether a layer is looked at in a step: layers take turns, counted from 1."""
+    return F.pmod(col(step) - 1, F.lit(every)) == F.pmod(col(layer) - 1, F.lit(every))
+
+
+def suffix_loss(losses, n: int) -> Column:
+    """Mean of the last n losses of a text, or of all if there are fewer."""
+    tail = F.slice(col(losses), -F.least(F.lit(n), F.size(col(losses))), F.least(F.lit(n), F.size(col(losses))))
+    return F.when(F.size(col(losses)) == 0, F.lit(None).cast("double")).otherwise(F.aggregate(tail, F.lit(0.0), lambda t, x: t + x) / F.size(tail))
+
+
+def masked(values, keep, fill: float) -> Column:
+    """The values, with another one where ``keep`` does not hold."""
+    return F.zip_with(col(values), col(keep), lambda x, k: F.when(k, x.cast("double")).otherwise(F.lit(fill)))
+
+
+def divergence(p, q) -> Column:
+    """Kullback-Leibler divergence of the softmax of scores q from that of p."""
+    return F.aggregate(F.zip_with(softmax(p), softmax(q), lambda a, b: a * (F.log(a) - F.log(b))), F.lit(0.0), lambda t, x: t + x)
+
+
+def reached(values, mass: float) -> Column:
+    """How many of the values, largest first, have so much of their sum together."""
+    v = F.sort_array(col(values), asc=False)
+    total = F.aggregate(v, F.lit(0.0), lambda t, x: t + x)
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+    return F.aggregate(v, start, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["n"] + F.when(a["s"] < mass * total, 1).otherwise(0)).alias("n")), lambda a: a["n"])
+
+
 def hadamard(values) -> Column:
     """The normalised Walsh-Hadamard transform of an array whose length is a power of two."""
     @F.pandas_udf("array<double>")

@@ -57,13 +57,13 @@ def first_true(*columns) -> Column:
 
 def csv(c, kind: str = "string") -> Column:
     """Items of a list separated by commas, stripped, without empty ones."""
-    items = F.filter(F.transform(F.split(col(c), ","), lambda x: F.trim(x)), lambda x: x != "")
+    items = F.filter(F.transform(F.split(col(c), ","), strip), lambda x: x != "")
     return items if kind == "string" else F.transform(items, lambda x: x.cast(kind))
 
 
 def pairs(c) -> Column:
     """A map from a list of key=value items."""
-    return F.map_from_entries(F.transform(csv(c), lambda x: F.struct(F.trim(F.split_part(x, F.lit("="), F.lit(1))).alias("key"), F.trim(F.split_part(x, F.lit("="), F.lit(2))).alias("value"))))
+    return F.map_from_entries(F.transform(csv(c), lambda x: F.struct(strip(F.split_part(x, F.lit("="), F.lit(1))).alias("key"), strip(F.split_part(x, F.lit("="), F.lit(2))).alias("value"))))
 
 
 def skip_ranges(c) -> Column:

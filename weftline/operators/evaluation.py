@@ -87,6 +87,23 @@ def pending_cases(grid: DataFrame, done: DataFrame, keys=CASE) -> DataFrame:
     return grid.join(done, on, "left_anti")
 
 
+def with_results(grid: DataFrame, done: DataFrame, keys: list[str], *values: str) -> DataFrame:
+    """All cases of the grid with the values of those that have a result."""
+    return grid.join(done.select(*keys, *values), keys, "left")
+
+
+def correct_by_file(results: DataFrame, file: str) -> DataFrame:
+    """Rows and correct ones of each result file."""
+    return results.groupBy(file).agg(F.count("*").alias("n"), F.count_if("correct").alias("n_correct"))
+
+
+def disjoint(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The keys of ``a``; one that ``b`` has as well is an error, so that what is trained on is not evaluated on."""
+    both = b.select(F.col(key).alias("_k"), F.lit(True).alias("_both")).distinct()
+    clash = F.when(F.col("_both"), F.raise_error(F.concat(F.lit("in both: "), F.col(key).cast("string")))).otherwise(F.col(key))
+    return a.select(key).distinct().join(both, F.col(key) == F.col("_k"), "left").select(clash.alias(key))
+
+
 def spine(spark, **values: list) -> DataFrame:
     """All combinations of the given lists: a grid of stated size."""
     out = spark.range(1)

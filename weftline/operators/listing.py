@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import human_bytes, skip_ranges
+from ..functions.text import col, human_bytes, skip_ranges
 from .sampling import first_per_group
 
 
@@ -39,6 +39,20 @@ def token_pairs(files: DataFrame, suffix: str = "_text_document") -> DataFrame:
     return bins.join(idx, "prefix", "left_semi").select(F.regexp_replace("prefix", f"{suffix}$", "").alias("lang"), "prefix", "bin_bytes")
 
 
+def present(files: DataFrame, least: int = 1024) -> DataFrame:
+    """Files of more than so many bytes: smaller ones are what a failed run left."""
+    return files.where(F.col("size") > least)
+
+
+def without_prefix(files: DataFrame, prefix: str = "test_", name: str = "name", total: str = "size") -> DataFrame:
+    return files.where(~F.col(name).startswith(prefix) & (F.col(total) > 0))
+
+
+def of_lang(files: DataFrame, lang, name: str = "name") -> DataFrame:
+    """Files whose names hold the language between underscores."""
+    return files.where(F.col(name).contains(F.concat(F.lit("_"), col(lang), F.lit("_"))))
+
+
 def parse_names(files: DataFrame, tiers: list[str], name: str = "name") -> DataFrame:
     """(lang, tier, ext) of file names; others go."""
     pattern = rf"^([a-z]+)_({'|'.join(tiers)})_text_document\.(bin|idx)$"

@@ -130,6 +130,20 @@ def byte_example(before, evidence, after, query, n: int) -> Column:
     return F.slice(F.concat(first, mid, second, pad, end, F.array(F.lit(1))), 1, n)
 
 
+def meta_columns(df: DataFrame, values: str, without: tuple = ("lang", "language")) -> DataFrame:
+    """A map's entries but two, each key after ``meta_``."""
+    kept = F.map_filter(values, lambda k, _: ~k.isin(*without))
+    return df.withColumn(values, F.transform_keys(kept, lambda k, _: F.concat(F.lit("meta_"), k)))
+
+
+def exact_budget(lines, tail, n: int) -> Column:
+    """Byte ids of exactly n: lines as long as there is room before the tail, the last one cut, and blanks if they do not fill it."""
+    room = F.greatest(F.lit(n) - F.size(byte_ids(tail)), F.lit(0))
+    head = F.slice(F.flatten(F.transform(col(lines), lambda x: byte_ids(x, end=None))), 1, room)
+    pad = F.array_repeat(F.lit(ord(" ") + 2), room - F.size(head))
+    return F.slice(F.concat(head, pad, byte_ids(tail)), 1, n)
+
+
 def shard_stats(examples: DataFrame) -> DataFrame:
     n = F.coalesce("actual_tokens", "estimated_tokens")
     return examples.groupBy("target_tokens").agg(F.count("*").alias("examples"), F.min(n).alias("min_tokens"), F.max(n).alias("max_tokens"), F.round(F.avg(n), 6).alias("mean_tokens"))

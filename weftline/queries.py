@@ -378,7 +378,13 @@ def bundle_text(spark, d):
     return made.select("lang", F.regexp_extract("pack_id", r"(\d{6})$", 1).cast("long").alias("bundle"), "text")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT lang, doc_id, tc, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM {DOCS}),
+f AS (SELECT lang, 0::BIGINT AS rn, NULL::BIGINT AS doc_id, 0::BIGINT AS tc, [0, 0, 0]::BIGINT[] AS made, [0, 0, 0]::BIGINT[] AS held, 0::BIGINT AS turn, 0 AS k, 0::BIGINT AS bundle FROM (SELECT DISTINCT lang FROM o)
+UNION ALL SELECT lang, rn, doc_id, tc, list_transform([1, 2, 3], lambda i: made[i] + CASE WHEN i = k AND held[i] + tc >= [2048, 4096, 8192][i] THEN 1 ELSE 0 END),
+list_transform([1, 2, 3], lambda i: CASE WHEN i <> k THEN held[i] WHEN held[i] + tc >= [2048, 4096, 8192][i] THEN 0 ELSE held[i] + tc END), turn + 1, k, made[k]
+FROM (SELECT f.lang, o.rn, o.doc_id, o.tc, f.made, f.held, f.turn, list_filter([1, 2, 3], lambda i: f.made[i] < 3)[(f.turn % len(list_filter([1, 2, 3], lambda i: f.made[i] < 3)))::BIGINT + 1] AS k
+FROM f JOIN o ON o.lang = f.lang AND o.rn = f.rn + 1 WHERE len(list_filter([1, 2, 3], lambda i: f.made[i] < 3)) > 0))
+SELECT f.lang, doc_id, tc, [2048, 4096, 8192][k]::BIGINT AS target_tokens, bundle, bundle < m.made[k] AS "full" FROM f JOIN (SELECT lang, max_by(made, rn) AS made FROM f GROUP BY lang) m ON m.lang = f.lang WHERE f.rn > 0""")
 def bundle_multi_target(spark, d):
     return packing.bundles_many(docs(spark, d), "lang", "doc_id", "tc", [2048, 4096, 8192], 3, partial=True)
 
@@ -650,3 +656,6 @@ def set_intersect(spark, d):
 def set_except(spark, d):
     s = table(spark, d, "documents")
     return s.select("source").subtract(s.where((F.col("lang") == "es") & (F.length("text") > 3000)).select("source"))
+
+
+from . import more_queries  # noqa: E402, F401  (adds its queries to the catalogue)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -35,6 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; in a local session without one, a temporary folder of this machine."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="weftline-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/weftline-{uuid.uuid4().hex}"
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)

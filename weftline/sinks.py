@@ -42,6 +42,7 @@ def lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_rows(df: DataFrame, path: str) -> None:
+    """A log of results: what a failed run had written before stays."""
     df.write.mode("append").json(path)
 
 
@@ -63,20 +64,21 @@ def package(spark: SparkSession, bin_dir: str, mix_dir: str, out: str, info: dic
     return table
 
 
-def wait_seconds(message: str, attempt: int) -> int | None:
-    """How long to wait after a failed commit: what the message asks for, else longer each time; null if another try is of no use.
+# Messages worth another try, the step in seconds that each failure adds, and the longest wait.
+RETRIES = (
+    (r"500 Internal Server Error|502 Bad Gateway|503 Service Unavailable|504 Gateway Timeout", 120, 900),
+    (r"429|(?i:rate limit)", 60, 600),
+)
+# Messages that name a time, and the seconds to add to the number they give, or to wait if they give none.
+NAMED = ((r"Retry after (\d+) seconds", 30), (r"about 1 hour", 3700))
+
 
-    Fixed values: 30 s on top of a named time, 3,700 s for an hour, steps of
-    120 s up to 900 s for server errors and of 60 s up to 600 s for limits.
-    """
-    server = re.search(r"500 Internal Server Error|502 Bad Gateway|503 Service Unavailable|504 Gateway Timeout", message)
-    if not server and "429" not in message and "rate limit" not in message.lower():
-        return None
-    if named := re.search(r"Retry after (\d+) seconds", message):
-        return int(named[1]) + 30
-    if "about 1 hour" in message:
-        return 3700
-    return min(900, 120 * attempt) if server else min(600, 60 * attempt)
+def wait_seconds(message: str, attempt: int) -> int | None:
+    """How long to wait before another try: a time that the message names, else in steps; null if no kind of RETRIES fits."""
+    kinds = [(step, longest) for pattern, step, longest in RETRIES if re.search(pattern, message)]
+    named = [sum(map(int, m.groups()), extra) for pattern, extra in NAMED if (m := re.search(pattern, message))]
+    steps = [min(longest, step * attempt) for step, longest in kinds]
+    return next(iter(named + steps)) if kinds else None
 
 
 def commit(upload: Callable[[], None], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> int:
@@ -105,3 +107,15 @@ def bundle_files(rows: DataFrame, path: str, prefix: str, split: str, facts: dic
 def merged(tokens: DataFrame, path: str, parts: int = 1) -> None:
     """All tokens of a table as so many pairs of index and token files."""
     tokens.select("tokens").coalesce(parts).write.format("indexed_tokens").option("path", path).mode("append").save()
+
+
+def merged_by(tokens: DataFrame, path: str, keys: list[tuple[str, str]], parts: int = 1) -> list[tuple[str, str]]:
+    """Token files for each (lang, tier), those whose folder holds files already left alone; returns the ones written. ``keys`` are an argument, a few for each language."""
+    done = []
+    for lang, tier in keys:
+        folder = os.path.join(path, f"{lang}_{tier}")
+        if os.path.isdir(folder) and os.listdir(folder):
+            continue
+        merged(tokens.where((F.col("lang") == lang) & (F.col("tier") == tier)), folder, parts)
+        done.append((lang, tier))
+    return done

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ def jsonl(spark: SparkSession, paths, schema: str = CANONICAL, strict: bool = Fa
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(paths)
 
 
-def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, default_source: str = "local") -> DataFrame:
-    """(text, lang, token_count, source, local_id, doc_id) from rows with any of FLEXIBLE; without a text column, an empty table."""
+def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, default_source: str = "local", row: str | None = None) -> DataFrame:
+    """(text, lang, token_count, source, local_id, doc_id) from rows with any of FLEXIBLE; without a text column, an empty table. Rows without an id of their own have the value of column ``row``, their place over all files."""
     have = set(df.columns)
     pick = lambda *names: [F.col(n) for n in names if n in have]
     texts = pick("text", "content")
@@ -34,12 +36,61 @@ def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, def
     lang = T.first_true(*pick("lang", "language"), T.lang_from_path(place, known_langs))
     text = T.strip(F.coalesce(T.first_true(*texts), F.lit("")))
     counts = (pick("token_count", "tokens") + [None, None])[:2]
-    local = F.coalesce(T.first_true(*[c.cast("string") for c in pick("id", "doc_id")]), F.monotonically_increasing_id().cast("string"))
+    local = T.first_true(*[c.cast("string") for c in pick("id", "doc_id")])
+    local = local if row is None else F.coalesce(local, F.col(row).cast("string"))
     source = F.coalesce(F.col("source"), F.lit(default_source)) if "source" in have else F.lit(default_source)
     rows = df.select(text.alias("text"), lang.alias("lang"), T.resolve_tokens(T.strip(T.first_true(*texts)), *counts, policy="bundle").alias("token_count"), source.alias("source"), local.alias("local_id"))
     return rows.where(F.length("text") > 0).withColumn("doc_id", T.doc_id("source", "local_id", "text"))
 
 
+def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[str], default_source: str = "local") -> DataFrame:
+    """Flexible rows of Parquet files, each with the columns it has; rows are numbered over all files in the order given, whatever their partitions."""
+    out, first = None, 0
+    for path in paths:  # files of an argument; only footers are read here
+        df = spark.read.parquet(path)
+        names = [f"`{c}`" for c in df.columns if c in FLEXIBLE or c == "source"]
+        rows = df.select(*names, F.lit(path).alias("_path"), (F.col("_metadata.row_index") + first).alias("_row"))
+        part = flexible(rows, known_langs, "_path", default_source, "_row")
+        out = part if out is None else out.unionByName(part)
+        first += df.count()
+    return out if out is not None else flexible(spark.createDataFrame([], "none string"), known_langs)
+
+
+def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """Files that match each pattern, sorted, in the order of the patterns; a pattern without a match gives a warning."""
+    jvm, found = spark.sparkContext._jvm, []
+    for pattern in patterns:
+        where = jvm.org.apache.hadoop.fs.Path(pattern)
+        statuses = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+        paths = sorted(s.getPath().toString() for s in statuses or ())
+        if not paths:
+            warnings.warn(f"nothing matches {pattern}", stacklevel=2)
+        found += paths
+    return found
+
+
+def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs: list[str], lang: str | None = None, source: str | None = None) -> DataFrame:
+    """Flexible rows of a kind of source: ``jsonl``, ``parquet`` or ``shards`` (Parquet whose language and source are given, not read)."""
+    if kind == "jsonl":
+        rows = jsonl(spark, discover(spark, patterns), "text string, content string, token_count bigint, tokens bigint, lang string, language string, id string, doc_id string, source string")
+        return flexible(rows.select("*", F.col("_metadata.file_path").alias("_path")), known_langs, "_path")
+    if kind in ("parquet", "shards"):
+        rows = flexible_parquet(spark, discover(spark, patterns), known_langs)
+        if kind == "parquet":
+            return rows
+        rows = rows.withColumns({"lang": F.lit(lang), "source": F.lit(source)})
+        return rows.withColumn("doc_id", T.doc_id("source", "local_id", "text"))
+    raise ValueError(f"no kind of source {kind!r}; there are jsonl, parquet, shards")
+
+
+def valid_rows(lines: DataFrame, schema: str, required: list[str], value: str = "value") -> DataFrame:
+    """Rows of JSON Lines that parse and have all required fields, of the schema's types; others are passed over."""
+    parsed = lines.select(F.from_json(value, schema).alias("_r"), F.col(value).alias("_v")).select("_r.*")
+    for name in required:
+        parsed = parsed.where(F.col(name).isNotNull())
+    return parsed
+
+
 def bundle_eligible(df: DataFrame, langs: list[str], least: int, most: int) -> DataFrame:
     """Known languages among those asked for (none: all), of least to most tokens (0: no limit)."""
     keep = (F.col("lang") != "unknown") & (F.col("token_count") >= least)
