@@ -36,85 +36,131 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import remove, work_folder, written
 from .op1_chunk_store import _arrow
 
 #: Longest context; times a context is met at least, and a symbol below it that has an outcome of its own; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words, and strings, whose counts or weights go to every task; folds and the one held out.
 DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0, 1_000_000, 2_000_000, 7, 2
-#: Words of a task's table before it is sent on, and bytes of text that are looked at at once.
-TABLE, SLICE = 250_000, 4 << 20
-#: Hashes a worker keeps; distinct strings of a task's table; bits of a bitmap's place at most and of the word within; how far a hash turns with each further symbol.
-KEPT, STRINGS, PLACE, BITS, TURN = 500_000, 1_000_000, 27, 6, 23
-
-
-class _Symbols(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = h = xxh64_intdigest(word, 7)
-        return h
-
-
-_SYMBOLS = _Symbols()
-
-
-def symbols(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_SYMBOLS.__getitem__, words), np.uint64, len(words)).view(np.int64)
-
-
-#: The end of a text and its start, which no word can be.
-END, START = symbols([b"", b"\n"]).tolist()
+#: Bytes of text that are looked at at once, and of those whose words are hashed together.
+SLICE, BLOCK = 4 << 20, 1 << 19
+#: Distinct strings of a task's table; bits of a bitmap's place at most and of the word within; how far a hash turns with each further symbol.
+STRINGS, PLACE, BITS, TURN = 1_000_000, 28, 6, 23
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
+    return h ^ (h >> np.uint64(32))
+
+
+#: The end of a text and its start.
+END, START = (_mixed(np.array([2, 3], np.uint64) << np.uint64(60)).view(np.int64)).tolist()
+#: Base of the words' polynomial and its inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BLANKS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A number for each byte, the same for A-Z and a-z.
+_BYTES = _mixed((np.arange(256) + np.where((np.arange(256) > 64) & (np.arange(256) < 91), 32, 0)).astype(np.uint64) + np.uint64(1 << 40))
+_AFTER = re.compile(rb"[\x20\x09-\x0D]")
+
+
+class _Powers:
+    """Powers of the base and of its inverse, as many as the longest block so far needed."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            whole = lambda x: np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)])
+            self.up, self.down = whole(np.uint64(_BASE)), whole(np.uint64(_INVERSE))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def word_codes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each word in the buffer, its 64-bit hash): a polynomial of its bytes, A-Z as a-z, and its length, mixed. All words of a block at once."""
+    places, codes, lo = [], [], 0
+    while lo < len(buffer):
+        m = _AFTER.search(buffer, lo + BLOCK)
+        hi = m.start() if m else len(buffer)
+        raw = np.frombuffer(buffer, np.uint8, hi - lo, lo)
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], ~_BLANKS[raw], [False]]).view(np.int8)))
+        starts, ends = edges[::2], edges[1::2]
+        up, down = _POWERS.of(len(raw) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * up[:-1])])
+        h = (sums[ends] - sums[starts]) * down[starts]
+        codes.append(_mixed(h ^ (ends - starts).astype(np.uint64)).view(np.int64))
+        places.append(starts + lo)
+        lo = hi
+    return (np.concatenate(places), np.concatenate(codes)) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _words(text: bytes) -> list[bytes]:
-    """Words of a text with A-Z in lower case."""
-    return text.lower().split()
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of all texts, each from its start to its end; place within the text; symbols of each text)."""
+    at, codes = word_codes(b" ".join(texts))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    first = np.searchsorted(at, begins)
+    lengths = np.diff(first) + 2
+    stream = np.full(len(codes) + 2 * len(texts), END, np.int64)
+    ends = np.cumsum(lengths)
+    stream[ends - lengths] = START
+    stream[np.arange(len(codes)) + 2 * np.repeat(np.arange(len(texts)), lengths - 2) + 1] = codes
+    return stream, np.arange(len(stream)) - np.repeat(ends - lengths, lengths), lengths
+
+
+class _Counts:
+    """Counts of keys, each with a further number: those of many slices together, until there are STRINGS of them."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.parts, self.held = names, [], 0
+
+    def _merged(self) -> list[np.ndarray]:
+        key, other, n = (np.concatenate(x) for x in zip(*self.parts))
+        found, first, back = np.unique(key, return_index=True, return_inverse=True)
+        return [found, other[first], np.bincount(back, weights=n, minlength=len(found)).astype(np.int64)]
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        rows = self._merged() if self.parts else [np.zeros(0, np.int64)] * 3
+        self.parts, self.held = [], 0
+        for lo in range(0, len(rows[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 100_000]) for x in rows], self.names)
+
+    def add(self, key: np.ndarray, other: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found, first, n = np.unique(key, return_index=True, return_counts=True)
+        self.parts.append((found, other[first], n))
+        self.held += len(found)
+        if self.held > STRINGS:
+            rows = self._merged()
+            self.parts, self.held = [tuple(rows)], len(rows[0])
+            if self.held > STRINGS // 2:
+                yield from self.sent()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, c) of each task's texts; the empty word stands for their ends."""
-
-    def sent(table: Counter) -> Iterator[pa.RecordBatch]:
-        words, n = list(table), np.fromiter(table.values(), np.int64, len(table))
-        for lo in range(0, len(words), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(words[lo : lo + 50_000], pa.binary()).cast(pa.string()), pa.array(n[lo : lo + 50_000])], ["word", "c"])
-
-    table: Counter = Counter()
+    """(symbol, -, c) of each task's words and ends."""
+    table = _Counts(["both", "other", "c"])
     for batch in batches:
-        for text in batch.column("text").cast(pa.large_binary()).to_pylist():
-            table.update(_words(text or b""))
-            table[b""] += 1
-            if len(table) > TABLE:
-                yield from sent(table)
-                table = Counter()
-    yield from sent(table)
-
-
-def word_counts(train: DataFrame, text: str) -> DataFrame:
-    """(word, c) over whole training texts, with the empty word for ends."""
-    return train.select(F.col(text).alias("text")).mapInArrow(_counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+        for part in slices([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]):
+            stream, place, _ = streams(part)
+            symbols = stream[place > 0]
+            yield from table.add(symbols, symbols)
+    yield from table.sent()
 
 
-def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols of all texts, each from its start to its end; place within the text; symbols of each text)."""
-    parts, lengths = [], np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        words = _words(text)
-        lengths[k] = len(words) + 2
-        parts.append(symbols([b"\n", *words, b""]))
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return flat, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths), lengths
+def symbol_counts(train: DataFrame, text: str) -> DataFrame:
+    """(both, c) of the words and the end over whole training texts."""
+    return train.select(F.col(text).alias("text")).mapInArrow(_counted, "both long, other long, c long").groupBy("both").agg(F.sum("c").alias("c"))
 
 
 def turned(code: np.ndarray) -> np.ndarray:
@@ -151,10 +197,10 @@ def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Bits of the places that the keys fall on, 32 of them for a key or more: 16 MB at most, whatever the number of keys."""
+    """Bits of the two places that each key falls on, 32 of them for a key or more: 32 MB at most, whatever the number of keys."""
     place = min(PLACE, max(BITS + 4, keys.count().bit_length() + 5))
-    at = F.shiftrightunsigned(column, 64 - place)
-    bits = keys.select(F.shiftrightunsigned(at, BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - place}) & {(1 << BITS) - 1} as int))").alias("b"))
+    both = keys.select(F.explode(F.array(F.shiftrightunsigned(column, 64 - place), F.col(column).bitwiseAND((1 << place) - 1))).alias("at"))
+    bits = both.select(F.shiftrightunsigned("at", BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(at & {(1 << BITS) - 1} as int))").alias("b"))
     got = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(1 << (place - BITS), np.int64)
     out[got.column("w").to_numpy()] = got.column("b").to_numpy()
@@ -162,48 +208,29 @@ def bitmap(keys: DataFrame, column: str) -> np.ndarray:
 
 
 def maybe(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Whether a bitmap has the code's place; another code may share it."""
-    at = codes.view(np.uint64) >> np.uint64(65 - BITS - len(bits).bit_length())
-    words = bits.view(np.uint64)[(at >> np.uint64(BITS)).astype(np.int64)]
-    return (words >> (at & np.uint64((1 << BITS) - 1))) & np.uint64(1) == 1
+    """Whether a bitmap has both of the code's places; another code may share them."""
+    place, u, words = len(bits).bit_length() - 1 + BITS, codes.view(np.uint64), bits.view(np.uint64)
+    has = lambda at: (words[(at >> np.uint64(BITS)).astype(np.int64)] >> (at & np.uint64((1 << BITS) - 1))) & np.uint64(1) == 1
+    out = has(u >> np.uint64(64 - place))
+    some = np.flatnonzero(out)
+    out[some] = has(u[some] & np.uint64((1 << place) - 1))
+    return out
 
 
 def _children(bits, suffixes, depth: int):
     """(context, context and next symbol, count) of each task's texts, below the contexts of one length that the one bitmap lets through and of the suffixes that the other does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list = []
-        held = 0
-
-        def merged():
-            both, contexts, counts = (np.concatenate(x) for x in zip(*parts))
-            found, first, back = np.unique(both, return_index=True, return_inverse=True)
-            return found, contexts[first], np.bincount(back, weights=counts, minlength=len(found)).astype(np.int64)
-
-        def sent(rows) -> Iterator[pa.RecordBatch]:
-            for lo in range(0, len(rows[0]), 100_000):
-                both, contexts, counts = (x[lo : lo + 100_000] for x in rows)
-                yield pa.RecordBatch.from_arrays([pa.array(contexts), pa.array(both), pa.array(counts)], ["context", "both", "c"])
-
+        table = _Counts(["both", "context", "c"])
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            for part in slices(texts):
+            for part in slices([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]):
                 stream, place, _ = streams(part)
                 *_, code = strings_of(stream, depth)
                 before = np.r_[np.int64(0), code[:-1]]
                 on = np.flatnonzero((place >= depth) & maybe(before, bits.value) & maybe(code, suffixes.value))
                 before = before[on]
-                found, first, n = np.unique(stream[on] ^ turned(before), return_index=True, return_counts=True)
-                parts.append((found, before[first], n))
-                held += len(found)
-                if held > STRINGS:
-                    rows = merged()
-                    parts, held = [rows], len(rows[0])
-                    if held > STRINGS // 2:
-                        yield from sent(rows)
-                        parts, held = [], 0
-        if parts:
-            yield from sent(merged())
+                yield from table.add(stream[on] ^ turned(before), before)
+        yield from table.sent()
 
     return run
 
@@ -212,11 +239,6 @@ def _turned(column) -> Column:
     return F.shiftleft(column, TURN).bitwiseOR(F.shiftrightunsigned(column, 64 - TURN))
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(symbols(batch.column("word").cast(pa.large_binary()).to_pylist())), batch.column("c"), batch.column("root")], ["both", "c", "p"])
-
-
 def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str, depth: int = DEPTH, least: int = LEAST, met: int = MET, test: float = TEST, weight: float = WEIGHT) -> DataFrame:
     """(code, weight, n) of all strings with a weight, n times met, from the words' (both, c, p) by themselves."""
     spark, rows = train.sparkSession, train.select(F.col(text).alias("text"))
@@ -227,7 +249,7 @@ def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str,
     for d in range(1, depth + 1):
         contexts = written(contexts, f"{folder}/contexts{d}")
         bits, suffixes = (spark.sparkContext.broadcast(bitmap(t, c)) for t, c in ((contexts, "context"), (shorter, "both")))
-        got = rows.mapInArrow(_children(bits, suffixes, d), "context long, both long, c long").groupBy("context", "both").agg(F.sum("c").alias("c")).where(F.col("c") >= met)
+        got = rows.mapInArrow(_children(bits, suffixes, d), "both long, context long, c long").groupBy("context", "both").agg(F.sum("c").alias("c")).where(F.col("c") >= met)
         got = got.join(contexts.select("context", "first"), "context").select("context", "both", F.col("both").bitwiseXOR(F.col("first")).alias("less"), "c")
         # Below a candidate's suffix, which is one as well, all that is met as often below the candidate was seen.
         got = written(got.join(shorter.select(F.col("both").alias("less"), F.col("p").alias("before")), "less"), f"{folder}/counts{d}")
@@ -252,12 +274,13 @@ def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str,
     return written(total.groupBy("code").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), f"{folder}/weights")
 
 
-def _far(doc: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, code, times) of each code that a document has."""
-    order = np.lexsort((code, doc))
-    doc, code = doc[order], code[order]
-    starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])]) if len(code) else np.zeros(0, np.int64)
-    return doc[starts], code[starts], np.diff(np.r_[starts, len(code)])
+def _met(doc: np.ndarray, code: np.ndarray, table: np.ndarray):
+    """(places in the sorted table, whether there, documents) of codes, and (document, code, times) of those that are not in it. Each code is looked up once, in order."""
+    found, back = np.unique(code, return_inverse=True)
+    near, at = member(found, table)
+    here = near[back]
+    key, times = np.unique(doc[~here] * max(len(found), 1) + back[~here], return_counts=True)
+    return at[back[here]], doc[here], (key // max(len(found), 1), found[key % max(len(found), 1)], times)
 
 
 def _scored(model, key_type: pa.DataType, most: int):
@@ -278,19 +301,17 @@ def _scored(model, key_type: pa.DataType, most: int):
                 score, far = np.zeros(len(part)), []
                 for k, code in enumerate(strings_of(stream, most)):
                     on = np.flatnonzero((place >= k) & maybe(code, bits))
-                    near, at = member(code[on], codes)
-                    score += np.bincount(doc[on[near]], weights=weights[at[near]], minlength=len(part))
-                    far.append((doc[on[~near]], code[on[~near]]))
+                    at, there, rest = _met(doc[on], code[on], codes)
+                    score += np.bincount(there, weights=weights[at], minlength=len(part))
+                    far.append((2, rest))
                 words = np.flatnonzero((place > 0) & (place < lengths[doc] - 1))
-                near, at = member(stream[words], head)
-                there = doc[words[near]]
-                base = np.bincount(there, weights=head_base[at[near]], minlength=len(part)) + end_base
-                score += np.bincount(there, weights=head_score[at[near]], minlength=len(part)) + end_score
+                at, there, rest = _met(doc[words], stream[words], head)
+                far.append((1, rest))
+                base = np.bincount(there, weights=head_base[at], minlength=len(part)) + end_base
+                score += np.bincount(there, weights=head_score[at], minlength=len(part)) + end_score
                 known = np.bincount(there, minlength=len(part)) + end_known
                 yield batch_of(len(part), kind=np.zeros(len(part), np.int32), number=own, doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
-                rare = words[~near]
-                for kind, where, code in ((1, doc[rare], stream[rare]), (2, *(np.concatenate(x) for x in zip(*far)))):
-                    where, code, times = _far(where, code)
+                for kind, (where, code, times) in far:
                     for lo in range(0, len(code), 200_000):
                         cut = slice(lo, lo + 200_000)
                         n = len(code[cut])
@@ -305,9 +326,9 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     spark, folder = df.sparkSession, work_folder(df.sparkSession)
     kind = df.schema[key].dataType
     learnt = df.where(train)
-    counts = written(word_counts(learnt, text), f"{folder}/counts")
-    rare = (F.col("word") != "") & (F.col("c") < least)
-    sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == "", F.col("c"))).alias("ends"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"), F.sum(F.when(rare, F.col("c"))).alias("others"), F.count_if(rare).alias("other_words")).first()
+    counts = written(symbol_counts(learnt, text), f"{folder}/counts")
+    rare = (F.col("both") != END) & (F.col("c") < least)
+    sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("both") == END, F.col("c"))).alias("ends"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"), F.sum(F.when(rare, F.col("c"))).alias("others"), F.count_if(rare).alias("other_words")).first()
     total, distinct, ends, others, other_words = sums["n"] or 0, sums["v"], sums["ends"] or 0, sums["others"] or 0, sums["other_words"]
     off = min(max(sums["once"] / max(sums["once"] + 2 * sums["twice"], 1), 0.05), 0.95)
     # Each word that is met often, the end and all other words together.
@@ -316,15 +337,13 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     # Among the other words, the unknown one has what was taken off.
     unknown = other + (math.log10(max(off * other_words, 0.5) / others) if others else 0.0)
 
-    def root(c: Column, word: Column) -> Column:
-        return F.when((c >= least) | (word == ""), F.log10(c + 0.5) - room).when(c > 0, F.log10((c - off) / float(max(others, 1))) + other).otherwise(unknown)
+    def root(c: Column, symbol: Column) -> Column:
+        return F.when((c >= least) | (symbol == END), F.log10(c + 0.5) - room).when(c > 0, F.log10((c - off) / float(max(others, 1))) + other).otherwise(unknown)
 
     def base(c: Column) -> Column:
         return F.log10((c + 1) / F.lit(float(total + distinct + 1)))
 
-    alone = counts.select("word", "c", root(F.col("c"), F.col("word")).alias("root")).mapInArrow(_hashed, "both long, c long, p double")
-    alone = written(alone, f"{folder}/alone")
-    remove(spark, f"{folder}/counts")
+    alone = counts.select("both", "c", root(F.col("c"), F.col("both")).alias("p"))
     weights = grow(learnt, text, alone, ends, folder, depth, least, met)
     words = alone.where(F.col("both") != END).select(F.col("both").alias("code"), F.col("c").alias("n"), base(F.col("c")).alias("base"), F.col("p").alias("score"))
     # Two bounded tables, of `head` and of `near` rows, sorted by code.
