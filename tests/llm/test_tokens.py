@@ -141,3 +141,16 @@ def test_cache_is_bounded_by_bytes():
     wrong = tokens.Pieces(path, tokens.ids_bytes)
     wrong.word = lambda word: "x"
     assert wrong.of(["alpha", "beta"]) == pieces.of(["alpha", "beta"]) and wrong.word is None
+
+
+def test_packing_is_as_good_as_best_fit_decreasing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = pack.cut_pieces(docs, "doc_id", "text", tokens.vocabulary("word_bpe_49k.json"))
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    plain = pack.Bins(pack.CAPACITY)
+    for n in sorted(histogram, reverse=True):
+        plain.fit(n, histogram[n])
+    fewest = sum(n for runs in plain.room.values() for n, _ in runs)
+    got = pack.solve(dict(histogram))
+    assert sum(n for n, _ in got) <= fewest
+    assert sum(n * sum(a * b for a, b in items) for n, items in got) == sum(a * b for a, b in histogram.items())

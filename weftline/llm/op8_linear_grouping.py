@@ -16,8 +16,10 @@ Runs keep every step independent of the number of pieces. Numbers within a
 length come from hashed buckets, so that a length that a third of all pieces
 share is dealt to as many tasks as any other.
 
-Defined results: a null text is empty, and an empty one is its end id alone;
-rows with the same key are documents of their own; an empty table gives no
+Defined results: a null text is empty, and an empty one is its end id alone; a
+very long text is cut whole, without a bound on its pieces; which of the pieces
+of one length goes where follows their rows; rows with the same key are documents
+of their own; an empty table gives no
 rows; further columns are ignored, whatever their names.
 """
 
@@ -38,7 +40,7 @@ from .common import work_folder, written
 from .op1_chunk_store import _arrow
 
 #: Tokens of a sequence; the share of it above which a length is large; groups of large lengths; buckets of pieces of a length.
-CAPACITY, LARGE, GROUPS, BUCKETS = 4096, 1 / 8, 48, 256
+CAPACITY, LARGE, GROUPS, BUCKETS = 4096, 1 / 3, 48, 256
 
 
 def _cut(path: str, end_id: int, capacity: int, key_type: pa.DataType):
