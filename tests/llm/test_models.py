@@ -114,30 +114,42 @@ def test_rules_statistics(spark, data):
 
 
 def plain_mcd(x):
-    """The same steps in numpy, with exact quantiles."""
+    """(mean, covariance) by the same steps in numpy, with exact quantiles."""
     floor = np.diag([v**2 for v in rules.VECTOR.values()])
     q = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
-    mean, cov = q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2) + floor
     distance = lambda m, c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
-    for _ in range(rules.STEPS):
-        d = distance(mean, cov)
-        near = x[d <= np.quantile(d, rules.SHARE)]
-        mean, cov = near.mean(axis=0), rules.consistency(rules.SHARE, rules.AT_SHARE) * np.cov(near.T, bias=True) + floor
+    found = []
+    for mean, cov in ((q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2) + floor), (x.mean(axis=0), np.cov(x.T, bias=True) + floor)):
+        for _ in range(rules.STEPS):
+            d = distance(mean, cov)
+            near = x[d <= np.quantile(d, rules.SHARE, method="inverted_cdf")]
+            mean, cov = near.mean(axis=0), rules.consistency(rules.SHARE, rules.AT_SHARE) * np.cov(near.T, bias=True) + floor
+        found.append((np.linalg.slogdet(cov)[1], mean, cov))
+    _, mean, cov = min(found, key=lambda f: f[0])
     near = x[distance(mean, cov) <= rules.AT_STEP]
-    mean, cov = near.mean(axis=0), rules.consistency(0.975, rules.AT_STEP) * np.cov(near.T, bias=True) + floor
-    return distance(mean, cov)
+    return near.mean(axis=0), rules.consistency(0.975, rules.AT_STEP) * np.cov(near.T, bias=True) + floor
 
 
 def test_rules_against_numpy(spark):
+    """Languages and sources of 500 rows and of 3, each judged by its own estimate leaning on its language's."""
     sf = "/root/testdata/sf0.01"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").withColumn("source", __import__("pyspark").sql.functions.lit("one"))
+    F = __import__("pyspark").sql.functions
+    source = F.when(F.col("doc_id") % 150 == 0, "tiny").when(F.col("doc_id") % 5 == 0, "some").otherwise("most")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang in ('en', 'de')").withColumn("source", source)
     got = rules.judge(docs, "doc_id", "text").toPandas()
-    on = got[~got["base_failed"]]
+    on = got[~got["base_failed"]].reset_index(drop=True)
     n = on["n_words"].clip(lower=1)
     lines = dict((r["key"], r["n_lines"]) for r in rules.statistics(docs, "doc_id", "text", "lang", "source").collect())
     x = np.column_stack([np.log(on["word_chars"] / n), np.log1p(100 * on["n_symbols"] / on["word_chars"]), on["n_repeat_words"] / n, on["n_dup_lines"] / on["key"].map(lines).clip(lower=1)])
-    want = plain_mcd(x)
-    assert np.corrcoef(want, on["distance"])[0, 1] > 0.99
+    want, sizes = np.zeros(len(on)), set()
+    for (lang, _), at in on.groupby(["lang", "source"]).groups.items():
+        (ms, cs), (ml, cl) = plain_mcd(x[at]), plain_mcd(x[on["lang"] == lang])
+        own = len(at) / (len(at) + rules.PRIOR)
+        mean, cov = own * ms + (1 - own) * ml, own * cs + (1 - own) * cl
+        want[at] = np.einsum("ij,jk,ik->i", x[at] - mean, np.linalg.inv(cov), x[at] - mean)
+        sizes.add(len(at))
+    assert min(sizes) < 10 and max(sizes) > 100
+    assert np.corrcoef(np.log1p(want), np.log1p(on["distance"]))[0, 1] > 0.99
     assert ((want <= rules.CUTOFF) == on["kept"].to_numpy()).mean() > 0.995
     labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id")["quality"]
     known = on[on["key"].isin(labels.index)]
