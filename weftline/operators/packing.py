@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..session import scratch
 
 
 def chunks(df: DataFrame, keys: list[str], order: str, size: int) -> DataFrame:
@@ -47,36 +48,116 @@ def _grouped(df: DataFrame, group: str, order: str, tokens: str, block: int | No
     return rows.groupBy(*keys).applyInPandas(fold, schema)
 
 
-def bundle_ends(tokens: np.ndarray, target: int) -> np.ndarray:
-    """Places after which a bundle closes: as soon as its sum reaches the target. One search a bundle."""
-    sums, ends, base = np.cumsum(np.maximum(tokens, 0)), [], 0
+def bundle_ends(tokens: np.ndarray, target: int, held: int = 0) -> np.ndarray:
+    """Places after which a bundle closes: as soon as its sum, at first ``held``, reaches the target. One search a bundle."""
+    sums, ends, base = held + np.cumsum(np.maximum(tokens, 0)), [], 0
     while (at := int(np.searchsorted(sums, base + target))) < len(sums):
         ends.append(at + 1)
         base = int(sums[at])
     return np.array(ends, dtype=np.int64)
 
 
-def bundles(df: DataFrame, group: str, order: str, tokens: str, target: int, partial: bool = False, most: int | None = None, block: int | None = None) -> DataFrame:
+def transfer(tokens: np.ndarray, target: int) -> list[tuple[int, int, int, bool]]:
+    """What a range of documents makes of the sum that is open before it: (from which sum on, bundles closed, sum open after it, whether the sum before is to be added to that).
+
+    The first bundle closes at one of the documents up to the one at which the
+    range alone reaches the target, and what follows depends on that place
+    only, so there are no more rows than documents of a bundle.
+    """
+    sums = np.cumsum(np.maximum(tokens, 0))
+    n, total = len(sums), int(sums[-1]) if len(sums) else 0
+    before = np.concatenate([[0], sums])
+    # From each document on, the place after which a bundle that begins there closes.
+    close = np.searchsorted(sums, before[:-1] + target) if n else np.zeros(0, np.int64)
+    known: dict[int, tuple[int, int]] = {n: (0, 0)}
+
+    def after(place: int) -> tuple[int, int]:
+        path = []
+        while place not in known:
+            path.append(place)
+            if close[place] >= n:
+                known[place] = (0, total - int(before[place]))
+                path.pop()
+                break
+            place = int(close[place]) + 1
+        for p in reversed(path):
+            closed, held = known[int(close[p]) + 1]
+            known[p] = (closed + 1, held)
+        return known[path[0]] if path else known[place]
+
+    rows = [(0, 0, total, True)] if total < target else []
+    last = min(int(np.searchsorted(sums, target)), n - 1)
+    for j in range(last, -1, -1):
+        start = max(0, target - int(sums[j]))
+        if j and sums[j] == sums[j - 1]:
+            continue
+        closed, held = after(j + 1)
+        row = (start, closed + 1, held, False)
+        if rows and rows[-1][1:] == row[1:]:
+            continue
+        rows.append(row)
+    return rows
+
+
+def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(range, sum open before it, bundles closed before it, bundles of all ranges) of one group's ranges in order."""
+    held = closed = 0
+    out = []
+    for r, rows in pdf.sort_values(["r", "start"], kind="stable").groupby("r", sort=True):
+        out.append((r, held, closed))
+        at = int(np.searchsorted(rows["start"].to_numpy(), held, side="right")) - 1
+        row = rows.iloc[at]
+        held = int(row["held"]) + (held if row["adds"] else 0)
+        closed += int(row["closed"])
+    return pd.DataFrame([(pdf["g"].iloc[0], *x, closed) for x in out], columns=["g", "r", "before", "base", "total"])
+
+
+def bundles(df: DataFrame, group: str, order: str, tokens: str, target: int, partial: bool = False, most: int | None = None, block: int | None = None, ranges: int | None = None) -> DataFrame:
     """(group, order, tokens, bundle, full) of the documents that end up in a bundle.
 
     A document is never cut: what goes beyond the target stays in its bundle.
     The last one, below the target, is dropped unless ``partial``; at most
     ``most`` bundles a group are kept.
+
+    The documents, without texts, are cut into ranges of their order. Each
+    range says what it makes of any sum that is open before it, a table of a
+    bundle's size; one task a group strings these together, and then all ranges
+    are folded at once, each from the sum that is open before it. No task holds
+    more than a range. ``block`` starts anew after so many documents instead.
     """
+    o = df.schema[order].dataType.simpleString()
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("o", kind="stable")
-        ends = bundle_ends(pdf["t"].to_numpy(), target)
-        bundle = np.searchsorted(ends, np.arange(len(pdf)), side="right")
-        full = bundle < len(ends)
+        held, base, total = (int(pdf[c].iloc[0]) for c in ("before", "base", "total")) if "before" in pdf else (0, 0, None)
+        ends = bundle_ends(pdf["t"].to_numpy(), target, held)
+        bundle = base + np.searchsorted(ends, np.arange(len(pdf)), side="right")
+        full = bundle < (len(ends) if total is None else total)
         keep = full if not partial else np.ones(len(pdf), bool)
         if most is not None:
             keep = keep & (bundle < most)
         out = pd.DataFrame({"g": pdf["g"], "o": pdf["o"], "t": pdf["t"], "bundle": bundle, "full": full})
         return out[keep]
 
-    o = df.schema[order].dataType.simpleString()
-    out = _grouped(df, group, order, tokens, block, fold, f"g string, o {o}, t long, bundle long, full boolean")
+    schema = f"g string, o {o}, t long, bundle long, full boolean"
+    if block:
+        out = _grouped(df, group, order, tokens, block, fold, schema)
+    else:
+        spark = df.sparkSession
+        n, folder = ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark)
+        rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.col(tokens).cast("long").alias("t"))
+        # Written, since bounds of ranges are drawn anew each time.
+        rows.repartitionByRange(n, "g", "o").withColumn("r", F.spark_partition_id()).write.parquet(folder)
+        rows = spark.read.schema(f"g string, o {o}, t long, r int").parquet(folder)
+
+        def mapped(pdf: pd.DataFrame) -> pd.DataFrame:
+            made = transfer(pdf.sort_values("o", kind="stable")["t"].to_numpy(), target)
+            return pd.DataFrame([(pdf["g"].iloc[0], pdf["r"].iloc[0], *x) for x in made], columns=["g", "r", "start", "closed", "held", "adds"])
+
+        maps = rows.groupBy("g", "r").applyInPandas(mapped, "g string, r int, start long, closed long, held long, adds boolean")
+        entries = maps.groupBy("g").applyInPandas(_entries, "g string, r int, before long, base long, total long")
+        same = rows["g"].eqNullSafe(entries["g"]) & (rows["r"] == entries["r"])
+        out = rows.join(entries, same).select(rows["g"], "o", "t", rows["r"], "before", "base", "total").groupBy("g", "r").applyInPandas(fold, schema)
     return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("t").alias(tokens), "bundle", "full")
 
 
@@ -85,22 +166,21 @@ def bundles_many(df: DataFrame, group: str, order: str, tokens: str, targets: li
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("o", kind="stable")
-        made, held, turn, rows = dict.fromkeys(targets, 0), {t: (0, []) for t in targets}, 0, []
+        made, sums, held, turn, rows = dict.fromkeys(targets, 0), dict.fromkeys(targets, 0), {t: [] for t in targets}, 0, []
         for o, t in zip(pdf["o"], pdf["t"]):
             open_ = [x for x in targets if made[x] < each]
             if not open_:
                 break
             target = open_[turn % len(open_)]
             turn += 1
-            total, own = held[target]
-            total, own = total + t, [*own, (o, t)]
-            if total >= target:
-                rows.extend((pdf["g"].iloc[0], o2, t2, target, made[target], True) for o2, t2 in own)
+            held[target].append((o, t))
+            sums[target] += t
+            if sums[target] >= target:
+                rows.extend((pdf["g"].iloc[0], o2, t2, target, made[target], True) for o2, t2 in held[target])
                 made[target] += 1
-                total, own = 0, []
-            held[target] = (total, own)
+                sums[target], held[target] = 0, []
         if partial:
-            for target, (_, own) in held.items():
+            for target, own in held.items():
                 if made[target] < each:
                     rows.extend((pdf["g"].iloc[0], o2, t2, target, made[target], False) for o2, t2 in own)
         return pd.DataFrame(rows, columns=["g", "o", "t", "target_tokens", "bundle", "full"])
