@@ -10,14 +10,16 @@ ball are looked up. What meets under a key is verified over all 64 bits.
 Equal fingerprints are one before the search. Under a key, links are followed
 by a search from fingerprint to fingerprint among those not reached yet, and
 only the edges of that search's trees leave the task: never all pairs. Keys
-with more than CROWD stored fingerprints are divided once more, by halves of
-the other segment in the same way; what then still shares a key has at most
-2 ** 16 distinct fingerprints for each key one bit away.
+with more than CROWD stored fingerprints, and those that these look up, are
+divided once more, by halves of the other segment in the same way; what then
+still shares a key has at most 2 ** 16 distinct fingerprints for each key one bit
+away.
 
 Defined results: a text without words (or null) has fingerprint zero and links
-like any other; rows with the same key are documents of their own; a
-component's id is the smallest key in it, null only if all its keys are; an
-empty table gives no rows; further columns are ignored.
+like any other; a very long text's shingles are all counted, some 65,536 at a
+time; a bit set in exactly half of the hashes is 0; rows with the same key are
+documents of their own; a component's id is the smallest key in it, null only if
+all its keys are; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -172,6 +174,10 @@ def edges(distinct: DataFrame, crowd: int = CROWD, folder: str | None = None) ->
     rows = distinct.select("fp").mapInArrow(_ball, "k long, fp long, stored boolean")
     ends = F.explode(F.array(F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32).bitwiseOR(1 << 32))).alias("k")
     crowded = distinct.select(ends).groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k")
+    # What is stored there also looks up the keys with one bit more, which are divided as well.
+    one = lambda bit: F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    more = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda bit: F.col("k").bitwiseOR(one(bit)))
+    crowded = crowded.select(F.explode(F.concat(F.array("k"), more)).alias("k")).distinct()
     if folder:
         crowded = written(crowded, f"{folder}/crowded")
     found = []

@@ -22,9 +22,10 @@ its length and CRC are joined to the recipes; the CRC of a document follows
 from those of its chunks and the bytes after each, as CRCs are linear. No task
 holds more than a batch of chunks. ``documents_ids`` restores whole streams.
 
-Defined results: a null text is empty and has the end id alone; rows with the
-same key are documents of their own, in the order of their recipes; an empty
-table gives empty files; further columns are ignored, whatever their names.
+Defined results: a null text is empty and has the end id alone; a very long text
+is one stream of chunks; keys are integers; rows with the same key are documents
+of their own, in the order of their recipes; an empty table gives empty files;
+further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ brings them to the windows (a plain inner join, which Spark splits where a
 passage is very common), and only places go back to the documents.
 
 Defined results: a null text is empty; texts of fewer than WINDOW lines stay
-as they are; rows that repeat key and text are one document and are treated
+as they are; a very long text's windows are rows like any others; of windows that
+tie in their key, the text's hash and then the place in it decide; rows that repeat key and text are one document and are treated
 alike; a null key comes first; an empty table gives no rows; further columns
 are ignored, whatever their names.
 """

@@ -12,7 +12,8 @@ Texts are equal when they are the same bytes without ASCII white space. Of
 equal texts, the row with the most code points in its original text stays,
 then the one with the smallest key (a null key comes last).
 
-Defined results: a null text is empty, and all empty texts are equal; rows
+Defined results: a null text is empty, and all empty texts are equal; a very long
+text is compared whole; rows
 that repeat key and text count in their group's size, and one of them is
 kept; an empty table gives no rows; further columns are ignored.
 """

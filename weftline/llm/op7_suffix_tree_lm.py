@@ -48,11 +48,11 @@ from .common import remove, work_folder, written
 from .op1_chunk_store import _arrow
 
 #: Longest context; times a context is met at least, and a symbol below it that has an outcome of its own; standard deviations beyond chance of the divergence test; weight of the suffix's distribution; words, and strings, whose counts or weights go to every task; folds and the one held out.
-DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0, 1_000_000, 2_000_000, 7, 2
+DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0, 600_000, 1_500_000, 7, 2
 #: Bytes of text that are looked at at once, and of those whose words are hashed together.
 SLICE, BLOCK = 4 << 20, 1 << 19
 #: Distinct strings of a task's table; bits of a bitmap's place at most and of the word within; how far a hash turns with each further symbol.
-STRINGS, PLACE, BITS, TURN = 1_000_000, 28, 6, 23
+STRINGS, PLACE, BITS, TURN = 1_000_000, 27, 6, 23
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -197,7 +197,7 @@ def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Bits of the two places that each key falls on, 32 of them for a key or more: 32 MB at most, whatever the number of keys."""
+    """Bits of the two places that each key falls on, 32 of them for a key or more: 16 MB at most, whatever the number of keys."""
     place = min(PLACE, max(BITS + 4, keys.count().bit_length() + 5))
     both = keys.select(F.explode(F.array(F.shiftrightunsigned(column, 64 - place), F.col(column).bitwiseAND((1 << place) - 1))).alias("at"))
     bits = both.select(F.shiftrightunsigned("at", BITS).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(at & {(1 << BITS) - 1} as int))").alias("b"))
@@ -347,9 +347,13 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     weights = grow(learnt, text, alone, ends, folder, depth, least, met)
     words = alone.where(F.col("both") != END).select(F.col("both").alias("code"), F.col("c").alias("n"), base(F.col("c")).alias("base"), F.col("p").alias("score"))
     # Two bounded tables, of `head` and of `near` rows, sorted by code.
-    known, table = words.orderBy(F.desc("n"), "code").limit(head).toArrow(), weights.orderBy(F.desc("n"), "code").limit(near).toArrow()
-    by = lambda t, *names: (lambda order: [t.column(n).to_numpy()[order] for n in ("code", *names)])(np.argsort(t.column("code").to_numpy()))
-    (codes, values), (head_codes, head_base, head_score) = by(table, "weight"), by(known, "base", "score")
+    def most(rows: DataFrame, n: int, *names: str) -> list[np.ndarray]:
+        got = rows.orderBy(F.desc("n"), "code").limit(n).select("code", *names).toArrow()
+        order = np.argsort(got.column("code").to_numpy())
+        return [got.column(name).to_numpy()[order] for name in ("code", *names)]
+
+    (codes, values), (head_codes, head_base, head_score) = most(weights, near, "weight"), most(words, head, "base", "score")
+    pa.default_memory_pool().release_unused()
     model = spark.sparkContext.broadcast((codes, values, bitmap(weights, "code"), head_codes, head_base, head_score, int(ends > 0), math.log10((ends + 1) / (total + distinct + 1)), math.log10(ends + 0.5) - room))
     rows = df.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("doc"), F.col(text).alias("text"))
     schema = f"kind int, number long, doc {kind.simpleString()}, code long, n long, known long, base double, score double"
