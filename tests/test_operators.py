@@ -231,6 +231,23 @@ def test_stream_takes_each_shard_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(rows)
 
 
+def test_stream_writes_texts_and_takes_up_where_it_failed(spark, tmp_path):
+    src, out, texts = (str(tmp_path / x) for x in ("src", "out", "texts"))
+    spec = tiers.normalize({"long": (10, None, 1.0), "short": (0, 10, 1.0)})
+    schema = "lang string, text string, token_count long"
+    spark.createDataFrame([("de", f"text {i}" if i % 5 else " ", i) for i in range(20)], schema).coalesce(1).write.parquet(src)
+    read = lambda: sorted(r[0] for r in spark.read.schema("text string").json(texts).collect())
+    want = sorted(f"text {i}" for i in range(20) if i % 5)
+    streaming.run(spark, src, schema, out, str(tmp_path / "ck"), spec, 4, texts=texts)
+    assert read() == want
+    # The manifest of a killed run is gone, its texts are there: the next run replaces them.
+    import shutil
+
+    shutil.rmtree(out)
+    streaming.run(spark, src, schema, out, str(tmp_path / "ck2"), spec, 4, texts=texts)
+    assert read() == want and spark.read.parquet(out).agg(F.sum("docs")).first()[0] == len(want)
+
+
 def test_stream_keeps_shards_whose_numbers_collide(spark, tmp_path):
     src, out = (str(tmp_path / x) for x in ("src", "out"))
     spec = tiers.normalize({"long": (10, None, 1.0), "short": (0, 10, 1.0)})

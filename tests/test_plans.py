@@ -18,6 +18,17 @@ def test_run_and_stream(spark, tmp_path):
     assert {r["tier"]: r["w"] for r in weights} == {"4_16k": 0.3, "under4k": 0.2}
 
 
+def test_stream_stops_before_it_writes(spark, tmp_path):
+    import pytest
+
+    out = str(tmp_path / "out")
+    spark.createDataFrame([("de", "text", 5)], "lang string, text string, token_count long").write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([("strange",)], "tier string").write.parquet(out)
+    with pytest.raises(ValueError, match="strange"):
+        corpus.stream(spark, str(tmp_path / "in"), out, str(tmp_path / "ck"))
+    assert spark.read.parquet(out).count() == 1 and not (tmp_path / "ck").exists()
+
+
 def test_tokenizer_registry(spark):
     tok.register("lengths", lambda: lambda texts: [[len(w) for w in t.split()] for t in texts])
     got = tok.tokenize(spark.createDataFrame([("ab c",), (None,)], "text string"), tokenizer="lengths", end=0, least=1).collect()

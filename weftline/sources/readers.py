@@ -56,6 +56,11 @@ def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[st
     return out if out is not None else flexible(spark.createDataFrame([], "none string"), known_langs)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
     """Files that match each pattern, sorted, in the order of the patterns; a pattern without a match gives a warning."""
     jvm, found = spark.sparkContext._jvm, []

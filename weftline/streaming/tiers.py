@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import packing, tiers
 
 
@@ -12,8 +13,12 @@ def shard_stream(spark: SparkSession, folder: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "") -> None:
-    """All shards that are new: tiers, chunks in each shard, and a manifest row for each chunk that is not there yet.
+def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "", texts: str | None = None) -> None:
+    """All shards that are new: tiers, chunks in each shard, their texts below ``texts``, and a manifest row for each chunk that is not there yet.
+
+    Texts are written before the manifest row that declares their chunk
+    complete, each chunk in a folder of its own (language, tier, hash of the
+    shard's path, chunk), which a batch that is run again replaces.
 
     A batch that is run again after a failure finds the chunks it had finished
     and leaves them alone; numbers of chunks come from rows' places in their
@@ -34,6 +39,11 @@ def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spe
         except Exception as error:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(error):
                 raise
+        if texts:
+            parts = ["lang", "tier", "file", "chunk"]
+            new = cut.join(made.select("path", "lang", "tier", "chunk"), ["path", "lang", "tier", "chunk"], "left_semi").where(F.length(T.strip("text")) > 0)
+            new = new.withColumn("file", F.lower(F.hex(F.xxhash64("path")))).select(*parts, "text")
+            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).json(texts)
         made.write.mode("append").parquet(out)
 
     stream = shard_stream(spark, folder, schema, files_per_batch).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
