@@ -36,6 +36,46 @@ def test_stages(spark, data, tmp_path):
     assert op5_crf_quality.GOOD == 0.3 and corpus_pipeline.run(spark, data).count() > 0
 
 
+ROWS = [
+    (1, "good words in a line " * 30, "en", "a"), (1, "good words in a line " * 30, "en", "b"), (2, None, "en", "a"), (3, "", None, "a"), (None, "no id here " * 20, "de", None), (None, "no id here " * 20 + "x", "de", None),
+    (4, "word " * 60_000, "en", "a"), (5, "tie one two three", "en", "a"), (5, "tie one two three", "en", "a"), (5, "another text of that id", "en", "a"),
+]
+
+
+def edge_docs(spark):
+    extra = ("score", "text_sha256", "key", "nth", "root", "text_hash")
+    names = "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in extra)
+    return spark.createDataFrame([(*r, *(["x"] * len(extra))) for r in ROWS], names)
+
+
+def test_stages_on_edge_rows(spark, data):
+    """Each stage by itself on null, empty and long texts, repeats, ids with several texts, null ids and clashing names; and on no rows."""
+    docs = edge_docs(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, data)
+        assert stage(spark, docs.where("false"), data).count() == 0
+        if name == "packing":
+            pieces = got.collect()
+            assert sum(r["start"] == 0 for r in pieces) == len(ROWS)
+            continue
+        assert got.columns == docs.columns and got.exceptAll(docs).count() == 0
+        kept = [(r["doc_id"], r["text"], r["source"]) for r in got.collect()]
+        if name == "exact_dedup":
+            assert len(kept) == 7 and sum(i == 5 for i, _, _ in kept) == 2 and sum(not t for _, t, _ in kept) == 1
+        if name == "near_dedup":
+            fp = {t: op10_simhash_mih.fingerprint((t or "").encode()) for _, t, _ in kept}
+            assert len(set(fp.values())) == len(fp) and {i for i, _, _ in kept} >= {1, 2, 4, 5}
+
+
+def test_verdicts_are_of_rows(spark, data, monkeypatch):
+    """Of two rows with one id and text, that of the source whose estimate rejects it goes, the other stays."""
+    docs = edge_docs(spark)
+    judged = docs.selectExpr("doc_id as key", "coalesce(lang, '') as lang", "coalesce(source, '') as source", "xxhash64(text) as text_hash", "not (doc_id <=> 1 and source = 'a') as kept")
+    monkeypatch.setattr(corpus_pipeline.op3_mcd_rules, "judge", lambda *_: judged)
+    got = corpus_pipeline.quality_rules(spark, docs, data).collect()
+    assert len(got) == len(ROWS) - 1 and [r["source"] for r in got if r["doc_id"] == 1] == ["b"]
+
+
 def test_the_rest_stands_alone(tmp_path):
     for name in ("weftline", "__spark_entry__.py"):
         src = os.path.join(ROOT, name)
