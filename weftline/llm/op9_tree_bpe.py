@@ -9,7 +9,8 @@ the encoding of its text if every two neighbours in it are the encoding of
 theirs, so what is spliced at the agreeing runs is exact.
 
 Defined results: a null text is empty, and an empty text has no tokens; a very
-long text is encoded whole, its leaves in as many tasks as there are; keys are
+long text is encoded whole, its leaves in as many tasks as there are, and a run
+of combining marks longer than a leaf stays in one; keys are
 of any type; repeated and equal rows give one row each; an empty table gives
 none; columns besides the key and the text are ignored, whatever their names.
 """
@@ -17,8 +18,10 @@ none; columns besides the key and the text are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +50,24 @@ def encode_span(tokenizer, text: str, start: int, stop: int) -> Span:
     return Span(np.array(e.ids, dtype=np.int64), at[:, 0], at[:, 1], start, stop)
 
 
+@lru_cache(maxsize=1)
+def _composing() -> frozenset[str]:
+    """Characters that canonical composition may join to what stands before them."""
+    parts = (unicodedata.decomposition(chr(c)).split() for c in range(sys.maxunicode + 1))
+    return frozenset(chr(int(p[1], 16)) for p in parts if len(p) == 2 and not p[0].startswith("<"))
+
+
+def firm(text: str, at: int) -> bool:
+    """Whether a cut at ``at`` leaves normalisation as it is: what follows is no mark, jamo, joiner or unknown character, which may move or compose."""
+    if at <= 0 or at >= len(text):
+        return True
+    c = text[at]
+    return c.isascii() or not (unicodedata.category(c) in ("Mn", "Mc", "Me", "Cf", "Cn") or "\u1160" <= c <= "\u11ff" or c in _composing())
+
+
 def safe_cut(text: str, at: int) -> int:
-    """The first place from ``at`` on that is not before a combining mark, which might compose with what stands before it."""
-    while at < len(text) and (unicodedata.combining(text[at]) or "ᅠ" <= text[at] <= "ᇿ" or text[at] in "‍️"):
+    """The first firm place from ``at`` on."""
+    while not firm(text, at):
         at += 1
     return at
 
@@ -60,10 +78,10 @@ def join(tokenizer, text: str, left: Span, right: Span, window: int = 16) -> Spa
         return right
     while True:
         i, j = max(0, len(left.ids) - window), min(len(right.ids), window)
-        # A token that holds a part of a character shares the character with its neighbour: begin before it.
-        while i > 0 and left.begin[i] < left.end[i - 1]:
+        # A token that holds a part of a character shares the character with its neighbour: begin before it, and at a firm place.
+        while i > 0 and (left.begin[i] < left.end[i - 1] or not firm(text, int(left.begin[i]))):
             i -= 1
-        while j < len(right.ids) and right.begin[j] < right.end[j - 1]:
+        while 0 < j < len(right.ids) and (right.begin[j] < right.end[j - 1] or not firm(text, int(right.begin[j]))):
             j += 1
         a = int(left.begin[i]) if i > 0 else left.start
         b = int(right.begin[j]) if j < len(right.ids) else right.stop
@@ -106,7 +124,7 @@ def _agree_right(right: Span, mid: Span):
 
 
 def leaves(text: str, leaf: int) -> list[tuple[int, int]]:
-    """Leaves of equal length at most ``leaf``, a power of two of them, cut anywhere but before combining marks."""
+    """Leaves of equal length at most ``leaf``, a power of two of them, cut at firm places only."""
     n = 1
     while len(text) > n * leaf:
         n *= 2
@@ -165,6 +183,19 @@ def _whole(path: str):
     return run
 
 
+def _cut(leaf: int):
+    """The leaves of whole texts, one text at a time."""
+
+    def run(batches):
+        for batch in batches:
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                own = leaves(text, leaf)
+                same = pa.array([k] * len(own), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("row").take(same), batch.column("key").take(same), pa.array([a for a, _ in own], pa.int64()), pa.array([text[a:b] for a, b in own], pa.string())], ["row", "key", "start", "piece"])
+
+    return run
+
+
 def _leaf(path: str):
     """Encodes leaves; only their ids and places, as bytes, go on."""
 
@@ -209,14 +240,8 @@ def encode_digests(df: DataFrame, key: str, text: str, path: str, apart: int = A
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     out = f"key {kind}, n_tokens long, ids string, decoded string, leaves long"
     short = rows.where(F.length("text") <= apart).mapInArrow(_whole(path), out)
-    # Leaves begin anywhere but before a combining mark: those are left to the leaf before.
-    mark = "^[\\p{M}\\u1160-\\u11FF\\u200D\\uFE0F]*"
-    n = F.ceil(F.length("text") / F.lit(leaf)).cast("int")
     long = rows.where(F.length("text") > apart).withColumn("row", F.monotonically_increasing_id())
-    cut = long.select("row", "key", "text", F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
-    at = lambda k: (k * leaf) + F.when(k == 0, 0).otherwise(F.length(F.regexp_extract(F.substring(F.col("text"), k * leaf + 1, F.lit(leaf)), mark, 0)))
-    cut = cut.withColumn("start", at(F.col("k"))).withColumn("stop", at(F.col("k") + 1))
-    cut = cut.select("row", "key", F.col("start").cast("long").alias("start"), F.substring(F.col("text"), F.col("start") + 1, F.col("stop") - F.col("start")).alias("piece"))
+    cut = long.mapInArrow(_cut(leaf), f"row long, key {kind}, start long, piece string")
     # A given number of partitions is not merged by adaptive execution, which sees bytes and not the work of encoding them.
     cut = cut.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("row", "start"))
     encoded = cut.mapInArrow(_leaf(path), f"row long, key {kind}, start long, piece string, ids binary, begin binary, end binary")

@@ -115,12 +115,12 @@ class Pieces:
             return list(map(self.make, self._whole(pieces)))
         ids = list(map(self._plain, pieces))
         rest = [k for k, x in enumerate(ids) if x is None]
-        # A sample goes both ways; a difference ends the direct one.
+        # A sample goes both ways. A difference ends the task: ids that went out before it may be wrong as well.
         first = -self.learnt % CHECKED
         self.learnt += len(pieces)
-        if any(x is not None and self._whole([p])[0] != x for p, x in zip(pieces[first::CHECKED], ids[first::CHECKED])):
-            self.word = None
-            return list(map(self.make, self._whole(pieces)))
+        for piece, own in zip(pieces[first::CHECKED], ids[first::CHECKED]):
+            if own is not None and self._whole([piece])[0] != own:
+                raise ValueError(f"the vocabulary's model alone does not encode {piece!r} as the whole tokenizer does")
         if rest:
             for k, x in zip(rest, self._whole([pieces[k] for k in rest])):
                 ids[k] = x
