@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,3 +42,35 @@ def prefix_by_value(df: DataFrame, order: str, value: str, out: str, ranges: int
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     # At most `ranges` rows are sent to all tasks.
     return ranged.join(F.broadcast(bases), "_range").withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_range", "_base")
+
+
+def running(df: DataFrame, order: list, value: str | None, out: str, folder: str, ranges: int | None = None) -> DataFrame:
+    """Column ``out``: the sum of ``value`` (1 without one) over all rows before a row in any order of columns.
+
+    The rows are dealt out by ranges of all of ``order``, as many as there are
+    shuffle partitions, so that their number grows with the cluster and rows
+    that tie in its first column are cut by the next ones. Each task adds up
+    its own range as it writes it below ``folder``; a row for each range, its
+    total, is then strung together and sent to all. Rows that tie in all of
+    ``order`` come in any order. Null values count as nothing.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumn("_v", F.coalesce(F.col(value).cast("long"), F.lit(0)) if value else F.lit(1).cast("long"))
+    names = [*df.columns, "_v", "_before", "_range"]
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            values = batch.column("_v").to_numpy(zero_copy_only=False)
+            sums = held + np.cumsum(values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums - values, pa.int64()), pa.array(np.full(len(values), own, np.int32))], names)
+            held = int(sums[-1]) if len(sums) else held
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _before long, _range int"
+    rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(summed, schema).write.option("compression", "zstd").parquet(folder)
+    rows = spark.read.schema(schema).parquet(folder)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = rows.groupBy("_range").agg(F.sum("_v").alias("_total")).select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    # As many rows as there are ranges.
+    return rows.join(F.broadcast(bases), "_range").withColumn(out, F.col("_base") + F.col("_before")).drop("_range", "_base", "_before", "_v")
