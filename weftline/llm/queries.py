@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_chunk_store, op2_html_blocks, op3_mcd_rules, op4_line_windows, op5_crf_quality, op6_grace_dedup, op7_suffix_tree_lm, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih, op13_suffix_resample
+from . import op1_chunk_store, op2_html_blocks, op3_mcd_rules, op4_line_windows, op5_crf_quality, op6_grace_dedup, op7_suffix_tree_lm, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih, op11_zip_archives, op13_suffix_resample
 
 
 def queries() -> dict:
@@ -17,9 +17,10 @@ def queries() -> dict:
         "op8_linear_grouping": op8_linear_grouping.query,
         "op9_tree_bpe": op9_tree_bpe.query,
         "op10_simhash_mih": op10_simhash_mih.query,
+        "op11_zip_archives": op11_zip_archives.query,
         "op13_suffix_resample": op13_suffix_resample.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_windows": op4_line_windows.ORACLE_SQL, "op6_grace_dedup": op6_grace_dedup.ORACLE_SQL, "op13_suffix_resample": op13_suffix_resample.ORACLE_SQL}
+    return {"op4_line_windows": op4_line_windows.ORACLE_SQL, "op6_grace_dedup": op6_grace_dedup.ORACLE_SQL, "op11_zip_archives": op11_zip_archives.ORACLE_SQL, "op13_suffix_resample": op13_suffix_resample.ORACLE_SQL}
