@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_chunk_store, op2_html_blocks, op3_mcd_rules, op4_line_windows, op5_crf_quality, op6_grace_dedup, op7_suffix_tree_lm, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih, op11_zip_archives, op13_suffix_resample
+from . import op1_chunk_store, op2_html_blocks, op3_mcd_rules, op4_line_windows, op5_crf_quality, op6_grace_dedup, op7_suffix_tree_lm, op8_linear_grouping, op9_tree_bpe, op10_simhash_mih, op11_zip_archives, op12_token_alignment, op13_suffix_resample
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_tree_bpe": op9_tree_bpe.query,
         "op10_simhash_mih": op10_simhash_mih.query,
         "op11_zip_archives": op11_zip_archives.query,
+        "op12_token_alignment": op12_token_alignment.query,
         "op13_suffix_resample": op13_suffix_resample.query,
     }
 
