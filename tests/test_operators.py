@@ -278,28 +278,3 @@ def test_event_stream_is_the_table(spark, data, tmp_path):
     q = stream.writeStream.outputMode("complete").format("memory").queryName("by_day").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("by_day").count() == want
-
-
-def test_bundles_by_ranges_are_those_of_one_fold(spark):
-    import numpy as np
-
-    rng = np.random.default_rng(5)
-    for tokens, target in ((rng.integers(0, 30, 300), 50), (rng.integers(0, 3, 200), 40), (rng.integers(60, 90, 50), 50), (np.zeros(20, int), 5), (rng.integers(0, 200, 300), 1)):
-        ends = packing.bundle_ends(tokens, target)
-        want = np.searchsorted(ends, np.arange(len(tokens)), side="right")
-        # Cut anywhere, ranges of any length strung together close the same bundles.
-        for _ in range(20):
-            cuts = sorted({0, len(tokens), *rng.integers(0, len(tokens), 6).tolist()})
-            held = closed = 0
-            for a, b in zip(cuts, cuts[1:]):
-                own = packing.bundle_ends(tokens[a:b], target, held)
-                assert (closed + np.searchsorted(own, np.arange(b - a), side="right") == want[a:b]).all()
-                rows = packing.transfer(tokens[a:b], target)
-                start, n, after, adds = [r for r in rows if r[0] <= held][-1]
-                closed, held = closed + n, after + (held if adds else 0)
-                assert len(rows) <= np.searchsorted(np.cumsum(tokens[a:b]), target) + 2
-            assert closed == len(ends)
-    rows = [("en" if k % 3 else None, k, int(t)) for k, t in enumerate(rng.integers(0, 30, 600))]
-    df = spark.createDataFrame(rows, "lang string, o long, t long")
-    one, many = (sorted(tuple(map(str, r)) for r in packing.bundles(df, "lang", "o", "t", 100, partial=True, ranges=n).collect()) for n in (1, 23))
-    assert one == many and len(one) == 600

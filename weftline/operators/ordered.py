@@ -44,33 +44,46 @@ def prefix_by_value(df: DataFrame, order: str, value: str, out: str, ranges: int
     return ranged.join(F.broadcast(bases), "_range").withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_range", "_base")
 
 
-def running(df: DataFrame, order: list, value: str | None, out: str, folder: str, ranges: int | None = None) -> DataFrame:
-    """Column ``out``: the sum of ``value`` (1 without one) over all rows before a row in any order of columns.
+def running_sums(df: DataFrame, order: list, sums: dict[str, str | None], folder: str, ranges: int | None = None) -> DataFrame:
+    """For each (out, value) of ``sums`` a column ``out``: the sum of column ``value`` (1 without one) over all rows before a row in any order of columns.
 
     The rows are dealt out by ranges of all of ``order``, as many as there are
     shuffle partitions, so that their number grows with the cluster and rows
     that tie in its first column are cut by the next ones. Each task adds up
     its own range as it writes it below ``folder``; a row for each range, its
-    total, is then strung together and sent to all. Rows that tie in all of
-    ``order`` come in any order. Null values count as nothing.
+    totals, is then strung together and sent to all. Rows that tie in all of
+    ``order`` come in any order, which stays as it was written. Null values
+    count as nothing.
     """
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.withColumn("_v", F.coalesce(F.col(value).cast("long"), F.lit(0)) if value else F.lit(1).cast("long"))
-    names = [*df.columns, "_v", "_before", "_range"]
+    marks = {out: f"_v{k}" for k, out in enumerate(sums)}
+    rows = df.withColumns({marks[out]: F.coalesce(F.col(value).cast("long"), F.lit(0)) if value else F.lit(1).cast("long") for out, value in sums.items()})
+    values = list(marks.values())
+    names = [*df.columns, *values, *[f"_before{v}" for v in values], "_range"]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = TaskContext.get().partitionId(), 0
+        own, held = TaskContext.get().partitionId(), dict.fromkeys(values, 0)
         for batch in batches:
-            values = batch.column("_v").to_numpy(zero_copy_only=False)
-            sums = held + np.cumsum(values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums - values, pa.int64()), pa.array(np.full(len(values), own, np.int32))], names)
-            held = int(sums[-1]) if len(sums) else held
+            before = []
+            for v in values:
+                each = batch.column(v).to_numpy(zero_copy_only=False)
+                total = held[v] + np.cumsum(each)
+                before.append(pa.array(total - each, pa.int64()))
+                held[v] = int(total[-1]) if len(total) else held[v]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *before, pa.array(np.full(batch.num_rows, own, np.int32))], names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _before long, _range int"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + "".join(f", _before{v} long" for v in values) + ", _range int"
     rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(summed, schema).write.option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(schema).parquet(folder)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = rows.groupBy("_range").agg(F.sum("_v").alias("_total")).select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    totals = rows.groupBy("_range").agg(*[F.sum(v).alias(f"_total{v}") for v in values])
+    bases = totals.select("_range", *[F.coalesce(F.sum(f"_total{v}").over(before), F.lit(0)).alias(f"_base{v}") for v in values])
     # As many rows as there are ranges.
-    return rows.join(F.broadcast(bases), "_range").withColumn(out, F.col("_base") + F.col("_before")).drop("_range", "_base", "_before", "_v")
+    met = rows.join(F.broadcast(bases), "_range")
+    return met.select(*df.columns, *[(F.col(f"_base{v}") + F.col(f"_before{v}")).alias(out) for out, v in marks.items()])
+
+
+def running(df: DataFrame, order: list, value: str | None, out: str, folder: str, ranges: int | None = None) -> DataFrame:
+    """One running sum of that kind."""
+    return running_sums(df, order, {out: value}, folder, ranges)

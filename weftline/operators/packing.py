@@ -1,23 +1,14 @@
-"""Chunks and bundles of documents in order.
-
-Bundling is a fold: where a bundle closes decides where the next begins. Its
-input is cut down to (order, tokens) before rows of a language meet in one
-task; ``block`` starts anew after so many documents, for languages with more
-than a task should hold.
-"""
+"""Chunks and bundles of documents in order. Bundling is a fold; ``folds`` runs it by ranges of the order, without texts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..session import scratch
+from . import folds
 
 
 def chunks(df: DataFrame, keys: list[str], order: str, size: int) -> DataFrame:
@@ -39,155 +30,38 @@ def pending(manifest: DataFrame, done: DataFrame, *key: str) -> DataFrame:
     return manifest.join(done.select(*key).distinct(), list(key), "left_anti")
 
 
-def _grouped(df: DataFrame, group: str, order: str, tokens: str, block: int | None, fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.col(tokens).cast("long").alias("t"))
-    keys = ["g"]
-    if block:
-        rows = rows.withColumn("b", F.floor((F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1) / block))
-        keys.append("b")
-    return rows.groupBy(*keys).applyInPandas(fold, schema)
-
-
-def bundle_ends(tokens: np.ndarray, target: int, held: int = 0) -> np.ndarray:
-    """Places after which a bundle closes: as soon as its sum, at first ``held``, reaches the target. One search a bundle."""
-    sums, ends, base = held + np.cumsum(np.maximum(tokens, 0)), [], 0
-    while (at := int(np.searchsorted(sums, base + target))) < len(sums):
-        ends.append(at + 1)
-        base = int(sums[at])
-    return np.array(ends, dtype=np.int64)
-
-
-def transfer(tokens: np.ndarray, target: int) -> list[tuple[int, int, int, bool]]:
-    """What a range of documents makes of the sum that is open before it: (from which sum on, bundles closed, sum open after it, whether the sum before is to be added to that).
-
-    The first bundle closes at one of the documents up to the one at which the
-    range alone reaches the target, and what follows depends on that place
-    only, so there are no more rows than documents of a bundle.
-    """
-    sums = np.cumsum(np.maximum(tokens, 0))
-    n, total = len(sums), int(sums[-1]) if len(sums) else 0
-    before = np.concatenate([[0], sums])
-    # From each document on, the place after which a bundle that begins there closes.
-    close = np.searchsorted(sums, before[:-1] + target) if n else np.zeros(0, np.int64)
-    known: dict[int, tuple[int, int]] = {n: (0, 0)}
-
-    def after(place: int) -> tuple[int, int]:
-        path = []
-        while place not in known:
-            path.append(place)
-            if close[place] >= n:
-                known[place] = (0, total - int(before[place]))
-                path.pop()
-                break
-            place = int(close[place]) + 1
-        for p in reversed(path):
-            closed, held = known[int(close[p]) + 1]
-            known[p] = (closed + 1, held)
-        return known[path[0]] if path else known[place]
-
-    rows = [(0, 0, total, True)] if total < target else []
-    last = min(int(np.searchsorted(sums, target)), n - 1)
-    for j in range(last, -1, -1):
-        start = max(0, target - int(sums[j]))
-        if j and sums[j] == sums[j - 1]:
-            continue
-        closed, held = after(j + 1)
-        row = (start, closed + 1, held, False)
-        if rows and rows[-1][1:] == row[1:]:
-            continue
-        rows.append(row)
-    return rows
-
-
-def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(range, sum open before it, bundles closed before it, bundles of all ranges) of one group's ranges in order."""
-    held = closed = 0
-    out = []
-    for r, rows in pdf.sort_values(["r", "start"], kind="stable").groupby("r", sort=True):
-        out.append((r, held, closed))
-        at = int(np.searchsorted(rows["start"].to_numpy(), held, side="right")) - 1
-        row = rows.iloc[at]
-        held = int(row["held"]) + (held if row["adds"] else 0)
-        closed += int(row["closed"])
-    return pd.DataFrame([(pdf["g"].iloc[0], *x, closed) for x in out], columns=["g", "r", "before", "base", "total"])
-
-
-def bundles(df: DataFrame, group: str, order: str, tokens: str, target: int, partial: bool = False, most: int | None = None, block: int | None = None, ranges: int | None = None) -> DataFrame:
-    """(group, order, tokens, bundle, full) of the documents that end up in a bundle.
+def bundles(df: DataFrame, group: str, order: str, tokens: str, target: int, partial: bool = False, most: int | None = None, block: int | None = None, ranges: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(group, order, *keys, tokens, bundle, full) of the documents that end up in a bundle.
 
     A document is never cut: what goes beyond the target stays in its bundle.
     The last one, below the target, is dropped unless ``partial``; at most
-    ``most`` bundles a group are kept.
-
-    The documents, without texts, are cut into ranges of their order. Each
-    range says what it makes of any sum that is open before it, a table of a
-    bundle's size; one task a group strings these together, and then all ranges
-    are folded at once, each from the sum that is open before it. No task holds
-    more than a range. ``block`` starts anew after so many documents instead.
+    ``most`` bundles a group are kept. Documents that tie in their order go by
+    ``keys`` and then by their tokens. ``block`` starts anew after so many
+    documents of a group, with bundles numbered in each block.
     """
-    o = df.schema[order].dataType.simpleString()
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", kind="stable")
-        held, base, total = (int(pdf[c].iloc[0]) for c in ("before", "base", "total")) if "before" in pdf else (0, 0, None)
-        ends = bundle_ends(pdf["t"].to_numpy(), target, held)
-        bundle = base + np.searchsorted(ends, np.arange(len(pdf)), side="right")
-        full = bundle < (len(ends) if total is None else total)
-        keep = full if not partial else np.ones(len(pdf), bool)
-        if most is not None:
-            keep = keep & (bundle < most)
-        out = pd.DataFrame({"g": pdf["g"], "o": pdf["o"], "t": pdf["t"], "bundle": bundle, "full": full})
-        return out[keep]
-
-    schema = f"g string, o {o}, t long, bundle long, full boolean"
+    laid = folds.laid_out(df, group, [order, *keys], tokens, target, scratch(df.sparkSession), ranges)
     if block:
-        out = _grouped(df, group, order, tokens, block, fold, schema)
+        first = laid.groupBy("g").agg(F.min("place").alias("_first")).withColumnRenamed("g", "_g")  # a row a group
+        laid = laid.join(first, F.col("g").eqNullSafe(F.col("_g"))).withColumn("k", F.floor((F.col("place") - F.col("_first")) / block))
+        # A block is a group of its own, folded whole.
+        made = laid.withColumns({"_name": F.col("g"), "g": F.concat_ws("/", F.coalesce("g", F.lit("")), F.col("k").cast("string"))}).drop("_first", "_g")
+        out = folds.batched(made, target).withColumn("g", F.col("_name"))
     else:
-        spark = df.sparkSession
-        n, folder = ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark)
-        rows = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.col(tokens).cast("long").alias("t"))
-        # Written, since bounds of ranges are drawn anew each time.
-        rows.repartitionByRange(n, "g", "o").withColumn("r", F.spark_partition_id()).write.parquet(folder)
-        rows = spark.read.schema(f"g string, o {o}, t long, r int").parquet(folder)
-
-        def mapped(pdf: pd.DataFrame) -> pd.DataFrame:
-            made = transfer(pdf.sort_values("o", kind="stable")["t"].to_numpy(), target)
-            return pd.DataFrame([(pdf["g"].iloc[0], pdf["r"].iloc[0], *x) for x in made], columns=["g", "r", "start", "closed", "held", "adds"])
-
-        maps = rows.groupBy("g", "r").applyInPandas(mapped, "g string, r int, start long, closed long, held long, adds boolean")
-        entries = maps.groupBy("g").applyInPandas(_entries, "g string, r int, before long, base long, total long")
-        same = rows["g"].eqNullSafe(entries["g"]) & (rows["r"] == entries["r"])
-        out = rows.join(entries, same).select(rows["g"], "o", "t", rows["r"], "before", "base", "total").groupBy("g", "r").applyInPandas(fold, schema)
-    return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("t").alias(tokens), "bundle", "full")
+        out = folds.batched(laid, target)
+    out = out if partial else out.where("full")
+    out = out if most is None else out.where(F.col("batch") < most)
+    return out.select(F.col("g").alias(group), *[F.col(f"o{k}").alias(c) for k, c in enumerate((order, *keys))], F.col("t").alias(tokens), F.col("batch").alias("bundle"), "full")
 
 
-def bundles_many(df: DataFrame, group: str, order: str, tokens: str, targets: list[int], each: int, partial: bool = False) -> DataFrame:
+def bundles_many(df: DataFrame, group: str, order: str, tokens: str, targets: list[int], each: int, partial: bool = False, ranges: int | None = None) -> DataFrame:
     """Bundles for several targets at once: each document goes to the next target, in turn, that lacks bundles."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", kind="stable")
-        made, sums, held, turn, rows = dict.fromkeys(targets, 0), dict.fromkeys(targets, 0), {t: [] for t in targets}, 0, []
-        for o, t in zip(pdf["o"], pdf["t"]):
-            open_ = [x for x in targets if made[x] < each]
-            if not open_:
-                break
-            target = open_[turn % len(open_)]
-            turn += 1
-            held[target].append((o, t))
-            sums[target] += t
-            if sums[target] >= target:
-                rows.extend((pdf["g"].iloc[0], o2, t2, target, made[target], True) for o2, t2 in held[target])
-                made[target] += 1
-                sums[target], held[target] = 0, []
-        if partial:
-            for target, own in held.items():
-                if made[target] < each:
-                    rows.extend((pdf["g"].iloc[0], o2, t2, target, made[target], False) for o2, t2 in own)
-        return pd.DataFrame(rows, columns=["g", "o", "t", "target_tokens", "bundle", "full"])
-
-    o = df.schema[order].dataType.simpleString()
-    out = _grouped(df, group, order, tokens, None, fold, f"g string, o {o}, t long, target_tokens long, bundle long, full boolean")
-    return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("t").alias(tokens), "target_tokens", "bundle", "full")
+    folder = scratch(df.sparkSession)
+    laid = folds.laid_out(df, group, [order], tokens, max(targets) * len(targets), f"{folder}/rows", ranges)
+    used = folds.in_turn(laid, targets, each, folder)
+    sums = F.sum("t").over(Window.partitionBy("g", "target", "batch"))
+    out = laid.join(used, "place").withColumn("full", sums >= F.col("target"))
+    out = out if partial else out.where("full")
+    return out.select(F.col("g").alias(group), F.col("o0").alias(order), F.col("t").alias(tokens), F.col("target").alias("target_tokens"), F.col("batch").alias("bundle"), "full")
 
 
 BOUNDARY = "===== DOCUMENT BOUNDARY ====="
@@ -195,7 +69,15 @@ BOUNDARY = "===== DOCUMENT BOUNDARY ====="
 
 def bundle_rows(assigned: DataFrame, docs: DataFrame, group: str, order: str, tokens: str, target: int, split: str = "train", prefix: str = "pack", text: str = "text", source: str = "source") -> DataFrame:
     """The bundle's text, each document under a header, and what it was made of."""
-    joined = assigned.select(group, order, F.col(tokens).alias("_t"), "bundle", "full").join(docs.select(F.col(order), F.col(text).alias("_text"), F.col(source).alias("_source")), order)
+    # Rows that tie are numbered on both sides, so that each meets one of the other's.
+    tied = Window.partitionBy(group, order, "_t")
+    count = F.greatest(F.coalesce(F.col(tokens).cast("long"), F.lit(0)), F.lit(0)).alias("_t")
+    left = assigned.select(group, order, count, "bundle", "full").withColumn("_n", F.row_number().over(tied.orderBy("bundle")))
+    right = docs.select(F.col(group).alias(group), F.col(order), count, F.col(text).alias("_text"), F.col(source).alias("_source")).withColumn("_n", F.row_number().over(tied.orderBy(F.xxhash64("_source", "_text"))))
+    same = F.col("l._n") == F.col("r._n")
+    for name in (group, order, "_t"):
+        same &= F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
+    joined = left.alias("l").join(right.alias("r"), same).select(*[f"l.{c}" for c in (group, order, "_t", "bundle", "full")], "_text", "_source")
     did = T.doc_id("_source", order, "_text")
     header = F.concat(F.lit(f"\n\n{BOUNDARY}\nlanguage: "), F.col(group), F.lit("\nsource: "), F.col("_source"), F.lit("\ndoc_id: "), did, F.lit("\nsource_tokens: "), F.col("_t").cast("string"), F.lit("\n===== CONTENT =====\n"))
     item = F.struct(F.col(order).alias("o"), F.concat(header, T.strip("_text")).alias("part"), F.struct(did.alias("doc_id"), F.col("_source").alias("source"), F.col(order).cast("string").alias("local_id"), F.col("_t").alias("token_count")).alias("doc"))
@@ -207,19 +89,7 @@ def bundle_rows(assigned: DataFrame, docs: DataFrame, group: str, order: str, to
     )
 
 
-def batches(df: DataFrame, order: str, size: str, most_rows: int, most_bytes: int = 0) -> DataFrame:
-    """Column batch: a batch ends when it holds so many rows, or so many bytes if that is above 0. For lists of files."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", kind="stable")
-        batch, rows, held, out = 0, 0, 0, []
-        for n in pdf["t"]:
-            out.append(batch)
-            rows, held = rows + 1, held + n
-            if rows >= most_rows or (most_bytes > 0 and held >= most_bytes):
-                batch, rows, held = batch + 1, 0, 0
-        return pd.DataFrame({"o": pdf["o"], "t": pdf["t"], "batch": out})
-
-    o = df.schema[order].dataType.simpleString()
-    rows = df.select(F.lit("").alias("g"), F.col(order).alias("o"), F.col(size).cast("long").alias("t"))
-    return rows.groupBy("g").applyInPandas(fold, f"o {o}, t long, batch long").select(F.col("o").alias(order), F.col("t").alias(size), "batch")
+def batches(df: DataFrame, order: str, size: str, most_rows: int, most_bytes: int = 0, ranges: int | None = None) -> DataFrame:
+    """Column batch: a batch ends when it holds so many rows, or so many bytes if that is above 0."""
+    laid = folds.laid_out(df, None, [order], size, most_bytes, scratch(df.sparkSession), ranges)
+    return folds.batched(laid, most_bytes, most_rows).select(F.col("o0").alias(order), F.col("t").alias(size), "batch")
