@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import work_folder, written
 
-#: Pairs that go to all tasks at most; pairs that a task adds up before it sends them on; bytes of texts that are encoded at once.
-FREQUENT, HELD, BATCH = 400_000, 2_000_000, 4 << 20
+#: Pairs that go to all tasks at most; pairs that a task adds up before it sends them on.
+FREQUENT, HELD = 400_000, 2_000_000
+#: Bytes that found stretches may take, length from which one is not kept, bytes that an entry takes besides, and stretches looked up at once.
+KEPT, LONG, ENTRY, BLOCK = 192 << 20, 256, 420, 65_536
 #: Steps of the bound on counts for each doubling.
 STEPS = 16
 
@@ -75,13 +77,17 @@ class ByteSide:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Plain words by the library's model alone, all else by the whole tokenizer.
+        self.pieces = tokens.Pieces(path, list)
+        self.pieces.tokenizer = self.tokenizer
         size, back = self.tokenizer.get_vocab_size(), _byte_level()
         self.bytes = [b""] * size
         for name, k in self.tokenizer.get_vocab().items():
             self.bytes[k] = bytes(back[c] for c in name) if all(c in back for c in name) else name.encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, stretches: list[str]) -> list[list[int]]:
+        """Ids of stretches with the blank before them, if they have one."""
+        return self.pieces.encoded(stretches)
 
 
 class PieceSide:
@@ -91,11 +97,28 @@ class PieceSide:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        name = self.model.id_to_piece
-        self.bytes = [bytes([int(name(k)[3:5], 16)]) if self.model.is_byte(k) else name(k).replace("▁", " ").encode() for k in range(self.model.get_piece_size())]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        name, size = self.model.id_to_piece, self.model.get_piece_size()
+        self.bytes = [bytes([int(name(k)[3:5], 16)]) if self.model.is_byte(k) else name(k).replace("▁", " ").encode() for k in range(size)]
+        self.blank = self.model.piece_to_id("▁")
+        line = self.model.encode("\n")
+        # Whether no piece goes on into a blank or over a line feed, so that stretches are encoded on their own.
+        self.apart = not any("▁" in name(k).lstrip("▁") or "\n" in name(k) for k in range(size)) and len(line) == 2 and line[0] == self.blank
+        self.before = line
+
+    def encode(self, stretches: list[str]) -> list[list[int]]:
+        """The same; what does not begin with a blank is encoded behind a line feed, whose ids are left out."""
+        found = self.model.encode([x[1:] if x[0] == " " else "\n" + x for x in stretches], num_threads=1)
+        out = []
+        for x, ids in zip(stretches, found):
+            if x[0] == " ":
+                # A blank on its own; the model gives no ids for an empty text.
+                ids = [self.blank] if x == " " else ids
+            elif ids[:2] != self.before:
+                raise ValueError(f"the model joins {x!r} with the line feed before it")
+            else:
+                ids = ids[2:]
+            out.append(ids)
+        return out
 
 
 class Aligner:
@@ -103,36 +126,84 @@ class Aligner:
         self.a, self.b = ByteSide(a_path), PieceSide(b_path)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in s.bytes], np.int64) for s in (self.a, self.b))
         self.width = len(self.b.bytes)
-        # A token as it is written in a digest: its id and what follows it, within its side of a group or at its end.
-        self.names = [b"%d%s" % (k, end) for k in range(len(self.a.bytes)) for end in (b",", b"|")] + [b"%d%s" % (k, end) for k in range(self.width) for end in (b",", b";")]
+        # A token as it is written in a digest: its id and what follows it, within its side of a group, at its end, or at that of a stretch.
+        self.names = [b"%d%s" % (k, end) for k in range(len(self.a.bytes)) for end in (b",", b"|")] + [b"%d%s" % (k, end) for k in range(self.width) for end in (b",", b";", b"\n")]
         self.counts = _Counts()
-
-    def align(self, text: str, a: list[int], b: list[int]):
-        """(groups' counts of A and of B, links as pairs of ids), or null if the tokens do not spell the text."""
-        whole = b" " + text.encode()
-        if b"".join([self.a.bytes[k] for k in a]) != whole or b"".join([self.b.bytes[k] for k in b]) != whole:
+        self.store = _store(len(self.a.bytes) * self.width)
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = 0
+
+    def stretches(self, text: str) -> list[str]:
+        """A blank and the text, cut where both sides end whatever the text is."""
+        return [x for x in tokens.spaced_pieces(" " + text) if x] if self.b.apart else [" " + text]
+
+    def _ends(self, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each token ends, and each stretch by its number of tokens."""
+        ends = np.cumsum(sizes[ids])
+        return ends, np.concatenate([[0], ends])[np.cumsum(counts)]
+
+    def align(self, stretches: list[bytes], a: list[list[int]], b: list[list[int]]) -> list | None:
+        """Of each stretch (tokens of A, of B, groups, links, `a1,a2|b1;a3|b2,b3`), all worked out at once; null if the tokens do not spell the stretches."""
+        whole, stops = b"".join(stretches), np.cumsum([len(x) for x in stretches])
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+        a_ids, b_ids = (np.array([k for x in side for k in x], np.int64) for side in (a, b))
+        (a_ends, a_stops), (b_ends, b_stops) = self._ends(a_ids, self.a_sizes, n_a), self._ends(b_ids, self.b_sizes, n_b)
+        if (a_stops != stops).any() or (b_stops != stops).any() or any(b"".join([side.bytes[k] for k in ids.tolist()]) != whole for side, ids in ((self.a, a_ids), (self.b, b_ids))):
             return None
-        a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
         labels = np.zeros(len(whole), np.uint8)
-        labels[np.cumsum(self.a_sizes[a_ids]) - 1] |= 1
-        labels[np.cumsum(self.b_sizes[b_ids]) - 1] |= 2
+        labels[a_ends - 1] |= 1
+        labels[b_ends - 1] |= 2
         groups = np.array([self.counts[span] for span in _SPAN.findall(_LABELS[labels].tobytes())], np.int64).reshape(-1, 2)
-        ends = labels[labels > 0]
-        in_a, in_b = ends & 1, ends >> 1
-        links = a_ids[np.cumsum(in_a, dtype=np.int64) - in_a] * self.width + b_ids[np.cumsum(in_b, dtype=np.int64) - in_b]
-        return groups, links, a_ids, b_ids
-
-    def digest(self, groups: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray) -> str:
-        """Of `a1,a2|b1;a3|b2,b3`: groups in order, each the ids of A and those of B."""
-        n_a, n_b = groups[:, 0], groups[:, 1]
-        a_after, b_after = np.cumsum(n_a), np.cumsum(n_b)
-        out = np.empty(len(a_ids) + len(b_ids), np.int64)
+        at = np.flatnonzero(labels)
+        in_a, in_b = labels[at] & 1, labels[at] >> 1
+        links = (a_ids[np.cumsum(in_a, dtype=np.int64) - in_a] * self.width + b_ids[np.cumsum(in_b, dtype=np.int64) - in_b]).astype(self.store).tobytes()
+        # Groups in order, the ids of A and then those of B; what follows an id is told by its name: the last of a stretch ends a line.
+        of_a, of_b = groups[:, 0], groups[:, 1]
+        a_after, b_after = np.cumsum(of_a), np.cumsum(of_b)
         a_end, b_end = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
-        a_end[a_after - 1] = 1
-        b_end[b_after - 1] = 1
-        out[np.arange(len(a_ids)) + np.repeat(b_after - n_b, n_a)] = 2 * a_ids + a_end
-        out[np.arange(len(b_ids)) + np.repeat(a_after, n_b)] = 2 * (len(self.a.bytes) + b_ids) + b_end
-        return hashlib.sha256(b"".join([self.names[k] for k in out.tolist()])[:-1]).hexdigest()
+        a_end[a_after - 1], b_end[b_after - 1] = 1, 1
+        b_end[np.cumsum(n_b) - 1] = 2
+        names = np.empty(len(a_ids) + len(b_ids), np.int64)
+        names[np.arange(len(a_ids)) + np.repeat(b_after - of_b, of_a)] = 2 * a_ids + a_end
+        names[np.arange(len(b_ids)) + np.repeat(a_after, of_b)] = 2 * len(self.a.bytes) + 3 * b_ids + b_end
+        spelt = b"".join([self.names[k] for k in names.tolist()])[:-1].split(b"\n")
+        n_groups = np.diff(np.searchsorted(np.flatnonzero(labels == 3), stops), prepend=0)
+        cuts = (np.searchsorted(at, stops) * np.dtype(self.store).itemsize).tolist()
+        return list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), [links[x:y] for x, y in zip([0, *cuts], cuts)], spelt))
+
+    def _found(self, stretches: list[str]) -> list:
+        if not stretches:
+            return []
+        raw, a, b = [x.encode() for x in stretches], self.a.encode(stretches), self.b.encode(stretches)
+        found = self.align(raw, a, b)
+        # One of them is not spelt by its tokens; false stands for it.
+        return found if found is not None else [(self.align([x], [i], [j]) or [False])[0] if i and j else False for x, i, j in zip(raw, a, b)]
+
+    def of(self, stretches: list[str]) -> list:
+        """(tokens of A, of B, groups, links, their spelling) of each stretch; false where tokens do not spell it."""
+        if len(stretches) > BLOCK:
+            return [x for lo in range(0, len(stretches), BLOCK) for x in self.of(stretches[lo : lo + BLOCK])]
+        if 2 * self.held > KEPT:
+            self.old, self.young, self.held = self.young, {}, 0
+        values = list(map(self.young.get, stretches))
+        if None not in values:
+            return values
+        extra, new = {}, []
+        for x in {x for x, v in zip(stretches, values) if v is None}:
+            if (v := self.old.get(x)) is not None:
+                self.young[x] = v
+                self.held += ENTRY + len(x)
+            else:
+                new.append(x)
+        for x, v in zip(new, self._found(new)):
+            if len(x) > LONG:
+                extra[x] = v
+            else:
+                self.young[x] = v
+                self.held += ENTRY + len(x) + (len(v[3]) + len(v[4]) if v else 0)
+        young = self.young
+        return [v if v is not None else young[x] if x in young else extra[x] for x, v in zip(stretches, values)]
 
 
 def _store(size: int) -> str:
@@ -145,33 +216,32 @@ def _aligned(a_path: str, b_path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = tokens.shared((a_path, b_path, "align"), lambda: Aligner(a_path, b_path))
-        store = _store(len(aligner.a.bytes) * aligner.width)
 
-        def row(text: str, a: list[int], b: list[int]):
-            made = aligner.align(text, a, b) if text else None
-            if made is None:
+        def row(found: list):
+            if not found or False in found:
                 return 0, 0, 0, 0, "", b"", b""
-            groups, links, a_ids, b_ids = made
+            n_a, n_b, n_groups, links, spelt = zip(*found)
+            links = np.frombuffer(b"".join(links), aligner.store).astype(np.int64)
             pairs, times = np.unique(links, return_counts=True)
-            return len(a), len(b), len(groups), len(links), aligner.digest(groups, a_ids, b_ids), pairs.astype(store).tobytes(), times.astype("<u4").tobytes()
-
-        def flush(batch: pa.RecordBatch, lo: int, hi: int, texts: list[str]) -> pa.RecordBatch:
-            rows = [row(*x) for x in zip(texts, aligner.a.encode(texts), aligner.b.encode(texts))]
-            part = batch.slice(lo, hi - lo)
-            return pa.RecordBatch.from_arrays([part.column("row"), part.column("key"), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]], names)
+            return sum(n_a), sum(n_b), sum(n_groups), len(links), hashlib.sha256(b";".join(spelt)).hexdigest(), np.diff(pairs, prepend=0).astype(aligner.store).tobytes(), times.astype("<u4").tobytes()
 
         for batch in batches:
-            lo, held, texts = 0, 0, []
-            for at, text in enumerate(batch.column("text")):
-                texts.append(text.as_py() or "")
-                held += len(texts[-1])
-                if held >= BATCH or at + 1 == batch.num_rows:
-                    yield flush(batch, lo, at + 1, texts)
-                    lo, held, texts = at + 1, 0, []
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                cut = [aligner.stretches(t.as_py()) if t.as_py() else [] for t in part.column("text")]
+                found = aligner.of([x for own in cut for x in own])
+                ends = np.cumsum([len(own) for own in cut]).tolist()
+                rows = [row(found[x:y]) for x, y in zip([0, *ends], ends)]
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("key"), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]], names)
 
     return run
 
 
+def _pairs(raw: bytes, store: str) -> np.ndarray:
+    """Pairs in ascending order, kept as the differences between them."""
+    return np.cumsum(np.frombuffer(raw, store).astype(np.int64))
+
+
 def _held(store: str):
     """How many of a task's documents hold each pair, in parts of a bounded size."""
 
@@ -188,7 +258,7 @@ def _held(store: str):
         out = lambda k, n: (pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(n[a : a + 100_000])], ["pair", "n"]) for a in range(0, len(k), 100_000))
         for batch in batches:
             for raw in batch.column("pairs").to_pylist():
-                new.append(np.frombuffer(raw, store).astype(np.int64))
+                new.append(_pairs(raw, store))
                 waiting += len(new[-1])
                 if waiting >= HELD:
                     keys, sums = merged()
@@ -209,7 +279,7 @@ def _scored(frequent, store: str, rest: bool):
         for batch in batches:
             out = []
             for row, pairs, times in zip(*[batch.column(c).to_pylist() for c in ("row", "pairs", "times")]):
-                own, often = np.frombuffer(pairs, store).astype(np.int64), np.frombuffer(times, "<u4").astype(np.int64)
+                own, often = _pairs(pairs, store), np.frombuffer(times, "<u4").astype(np.int64)
                 at = np.searchsorted(known, own)
                 on = np.zeros(len(own), bool)
                 inside = at < len(known)

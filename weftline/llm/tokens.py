@@ -110,9 +110,10 @@ class Pieces:
     def _whole(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _encoded(self, pieces: list[str]) -> list:
+    def encoded(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece: plain words by the library's model alone, others by the whole tokenizer."""
         if self.word is None:
-            return list(map(self.make, self._whole(pieces)))
+            return self._whole(pieces)
         ids = list(map(self._plain, pieces))
         rest = [k for k, x in enumerate(ids) if x is None]
         # A sample goes both ways. A difference ends the task: ids that went out before it may be wrong as well.
@@ -124,7 +125,10 @@ class Pieces:
         if rest:
             for k, x in zip(rest, self._whole([pieces[k] for k in rest])):
                 ids[k] = x
-        return list(map(self.make, ids))
+        return ids
+
+    def _encoded(self, pieces: list[str]) -> list:
+        return list(map(self.make, self.encoded(pieces)))
 
     def learn(self, missing: Iterable[str]) -> dict:
         """Values of pieces that the young generation lacks; those too long to keep are returned only."""
