@@ -70,6 +70,20 @@ def test_trees_under_stacked_marks(name, leaf):
         assert tree.tree_encode(tokenizer, text, leaf) == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("leaf", [5, 40, 300])
+def test_leaves_of_pieces(leaf):
+    """Trees over pieces between blanks, their leaves cut anywhere, against the library's ids and decoding."""
+    path = tokens.vocabulary("word_bpe_49k.json")
+    tokenizer, rng = tokens.load(path), random.Random(leaf)
+    words = ["the", "Token", "it's", "ization", "é́", "'", "'s", "日本", "1234", "!!", "<|endoftext|>", "<|endo", "ftext|>", "x" * 30, "", " ", "\n", "\t", "İ"]
+    for _ in range(400):
+        text = rng.choice([" ", "  ", "\n"]).join(rng.choice(words) + rng.choice(["", rng.choice(words)]) for _ in range(rng.randint(0, 120)))
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        n, joined, decoded, own = tree.digest_text(path, text, leaf)
+        assert (n, joined, decoded) == (len(ids), " ".join(map(str, ids)), tokenizer.decode(ids, skip_special_tokens=False)), text
+        assert own > 1 or len(text) <= leaf + 8
+
+
 def test_long_texts_of_marks_apart(spark):
     """Texts beyond the default limits, whose leaves are encoded in tasks of their own, and a run of marks longer than a leaf."""
     rng, path = random.Random(3), tokens.vocabulary("word_bpe_49k.json")
@@ -169,10 +183,11 @@ def test_cache_is_bounded_by_bytes():
     assert b"".join(whole) == tokens.ids_bytes(tokens.load(path).encode("a " * 70_000 + text[:1000], add_special_tokens=False).ids)
     one = sum(tokens.ENTRY + len(k) + len(v) for k, v in pieces.young.items())
     assert one == pieces.held and most <= (4 << 20) + tokens.BLOCK * 300
-    # A difference between the two ways of encoding ends the direct one, and nothing wrong is returned.
+    # A difference between the two ways of encoding ends the task, so that nothing wrong stays.
     wrong = tokens.Pieces(path, tokens.ids_bytes)
     wrong.word = lambda word: "x"
-    assert wrong.of(["alpha", "beta"]) == pieces.of(["alpha", "beta"]) and wrong.word is None
+    with pytest.raises(ValueError, match="alone"):
+        wrong.of(["alpha", "beta"])
 
 
 def test_packing_is_as_good_as_best_fit_decreasing(spark):

@@ -32,7 +32,9 @@ from . import tokens
 from .op1_chunk_store import _arrow
 
 #: Code points of a leaf; tokens that have to agree on each side; code points from which a document's leaves go to tasks of their own.
-LEAF, AGREE, APART = 4096, 4, 16_384
+LEAF, AGREE, APART = 4096, 4, 65_536
+#: Pieces between blanks that a window takes on each side at first.
+WINDOW = 3
 
 
 class Span:
@@ -161,24 +163,77 @@ def _pieces(path: str) -> tokens.Pieces:
     return tokens.shared((path, "digest"), build)
 
 
-def digest_text(path: str, text: str) -> tuple[int, str, str]:
-    """(tokens, ids joined by a space, decoded text) of a text. Without a decoder of its own the vocabulary's tokens are joined by a space, so decoded pieces are as well."""
-    values = [v for v in _pieces(path).of(tokens.bare_pieces(text)) if v[0]]
-    return sum(v[0] for v in values), " ".join([v[1] for v in values]), " ".join([v[2] for v in values])
+class Leaf:
+    """A stretch of text as pieces between blanks: where each begins and ends in the whole text, and its value."""
+
+    __slots__ = ("begin", "end", "values")
+
+    def __init__(self, begin: list[int], end: list[int], values: list):
+        self.begin, self.end, self.values = begin, end, values
+
+
+def leaf_of(pieces: tokens.Pieces, text: str, start: int, stop: int) -> Leaf:
+    own, begin, at = tokens.bare_pieces(text[start:stop]), [], start
+    for p in own:
+        begin.append(at)
+        at += len(p) + 1
+    on = [k for k, p in enumerate(own) if p]
+    return Leaf([begin[k] for k in on], [begin[k] + len(own[k]) for k in on], pieces.of([own[k] for k in on]))
+
+
+def join_leaves(tokenizer, make, text: str, left: Leaf, right: Leaf, window: int = WINDOW) -> Leaf:
+    """Both sides together. A window of pieces around the join is encoded again; what stands in it beyond the pieces next to the join has to come out as it is on either side, else the window grows."""
+    while True:
+        i, j = max(0, len(left.values) - window), min(len(right.values), window)
+        if i == len(left.values) or j == 0:
+            # Nothing but blanks on one side.
+            return Leaf(left.begin + right.begin, left.end + right.end, left.values + right.values)
+        ids = tokenizer.encode(text[left.begin[i] : right.end[j - 1]], add_special_tokens=False).ids
+        # All of a side's pieces but the one at the join, as far as the window holds them.
+        head, tail = left.values[i:-1], right.values[1:j]
+        n, m = sum(v[0] for v in head), sum(v[0] for v in tail)
+        same = n + m <= len(ids) and " ".join(map(str, ids[:n])) == " ".join([v[1] for v in head if v[0]]) and " ".join(map(str, ids[len(ids) - m :])) == " ".join([v[1] for v in tail if v[0]])
+        if same and (head or i == 0) and (tail or j == len(right.values)):
+            middle = make(ids[n : len(ids) - m])
+            return Leaf(left.begin[:-1] + [left.begin[-1]] + right.begin[1:], left.end[:-1] + [right.end[0]] + right.end[1:], left.values[:-1] + [middle] + right.values[1:])
+        if i == 0 and j == len(right.values):
+            return Leaf([left.begin[0]], [right.end[-1]], [make(ids)])
+        window *= 2
+
+
+def digest_text(path: str, text: str, leaf: int = LEAF) -> tuple[int, str, str, int]:
+    """(tokens, ids joined by a space, decoded text, leaves) of a text. Without a decoder of its own the vocabulary's tokens are joined by a space, so decoded pieces are as well.
+
+    Leaves are made of pieces between blanks and joined level by level; a text
+    with a longer stretch without blanks is joined token by token.
+    """
+    pieces = _pieces(path)
+    own = leaves(text, leaf)
+    if len(own) == 1:
+        values = pieces.of(tokens.bare_pieces(text))
+    elif max(map(len, tokens.bare_pieces(text))) > tokens.LONG:
+        values = [pieces.make(tree_encode(pieces.tokenizer, text, leaf))]
+    else:
+        level = [leaf_of(pieces, text, a, b) for a, b in own]
+        while len(level) > 1:
+            level = [join_leaves(pieces.tokenizer, pieces.make, text, *level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
+        values = level[0].values
+    values = [v for v in values if v[0]]
+    return sum(v[0] for v in values), " ".join([v[1] for v in values]), " ".join([v[2] for v in values]), len(own)
 
 
 def _hex(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _whole(path: str):
+def _whole(path: str, leaf: int):
     names = ["key", "n_tokens", "ids", "decoded", "leaves"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [digest_text(path, t or "") for t in batch.column("text").to_pylist()]
-            n, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(map(_hex, ids), pa.string()), pa.array(map(_hex, decoded), pa.string()), pa.array([1] * len(rows), pa.int64())], names)
+            rows = [digest_text(path, t or "", leaf) for t in batch.column("text").to_pylist()]
+            n, ids, decoded, own = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(map(_hex, ids), pa.string()), pa.array(map(_hex, decoded), pa.string()), pa.array(own, pa.int64())], names)
 
     return run
 
@@ -232,14 +287,14 @@ def _joined(path: str, key_type: pa.DataType):
 def encode_digests(df: DataFrame, key: str, text: str, path: str, apart: int = APART, leaf: int = LEAF) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256, leaves) of every row of ``df``; leaves are how many the text was encoded from.
 
-    Texts of up to ``apart`` code points are encoded where they are read.
-    The leaves of longer ones are dealt out to all tasks and joined for each
-    text in one, which holds no more than that text.
+    Texts of up to ``apart`` code points are encoded and joined where they are
+    read. The leaves of longer ones are dealt out to all tasks and joined for
+    each text in one, which holds no more than that text.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     out = f"key {kind}, n_tokens long, ids string, decoded string, leaves long"
-    short = rows.where(F.length("text") <= apart).mapInArrow(_whole(path), out)
+    short = rows.where(F.length("text") <= apart).mapInArrow(_whole(path, leaf), out)
     long = rows.where(F.length("text") > apart).withColumn("row", F.monotonically_increasing_id())
     cut = long.mapInArrow(_cut(leaf), f"row long, key {kind}, start long, piece string")
     # A given number of partitions is not merged by adaptive execution, which sees bytes and not the work of encoding them.
