@@ -595,10 +595,7 @@ q AS (SELECT p, rank, unnest([-1, (CASE WHEN query >= n // 4 THEN 1 ELSE 0 END +
 SELECT quarter::INT AS quarter, round(sum(CASE WHEN rank <= 8 THEN p ELSE 0 END) / sum(p), 4) AS recall, count(*) AS pairs FROM q GROUP BY quarter""")
 def topk_recall(spark, d):
     e = table(spark, d, "embeddings")
-    n = e.count()
-    every = vectors.topk(e, "vec_id", "embedding", n, every=50, rows=n)
-    chosen_keys = every.where("rank <= 8")
-    out = vectors.recall_by_quarter(vectors.attention(every), chosen_keys, n)
+    out = vectors.recall_by_quarter(vectors.masses(e, "vec_id", "embedding", 8, every=50), e.count())
     return out.select("quarter", F.round("recall", 4).alias("recall"), "pairs")
 
 
@@ -613,9 +610,7 @@ def topk_overlap(spark, d):
 @query(f"""WITH p AS (SELECT query, exp(score - max(score) OVER (PARTITION BY query)) AS e, row_number() OVER (PARTITION BY query ORDER BY score DESC, key) AS r, count(*) OVER (PARTITION BY query) AS n FROM {_DOT})
 SELECT round(avg(m), 4) AS mass FROM (SELECT query, sum(CASE WHEN r <= ceil(n * 0.1::DOUBLE) THEN e ELSE 0 END) / sum(e) AS m FROM p GROUP BY query)""")
 def compressibility(spark, d):
-    e = table(spark, d, "embeddings")
-    n = e.count()
-    return vectors.compressibility(vectors.attention(vectors.topk(e, "vec_id", "embedding", n, every=50, rows=n)), 0.1).select(F.round("mass", 4).alias("mass"))
+    return vectors.compressibility(table(spark, d, "embeddings"), "vec_id", "embedding", 0.1, every=50).select(F.round("mass", 4).alias("mass"))
 
 
 # ---- events, and relations of the star schema ---------------------------------------------------
