@@ -164,40 +164,30 @@ def _pieces(path: str) -> tokens.Pieces:
 
 
 class Leaf:
-    """A stretch of text as pieces between blanks: where each begins and ends in the whole text, and its value."""
+    """A stretch of text as pieces between blanks and their values, and whether it begins or ends within one."""
 
-    __slots__ = ("begin", "end", "values")
+    __slots__ = ("pieces", "values", "cut_before", "cut_after")
 
-    def __init__(self, begin: list[int], end: list[int], values: list):
-        self.begin, self.end, self.values = begin, end, values
+    def __init__(self, pieces: list[str], values: list, cut_before: bool, cut_after: bool):
+        self.pieces, self.values, self.cut_before, self.cut_after = pieces, values, cut_before, cut_after
 
 
-def leaf_of(pieces: tokens.Pieces, text: str, start: int, stop: int) -> Leaf:
-    own, begin, at = tokens.bare_pieces(text[start:stop]), [], start
-    for p in own:
-        begin.append(at)
-        at += len(p) + 1
-    on = [k for k, p in enumerate(own) if p]
-    return Leaf([begin[k] for k in on], [begin[k] + len(own[k]) for k in on], pieces.of([own[k] for k in on]))
-
-
-def join_leaves(tokenizer, make, text: str, left: Leaf, right: Leaf, window: int = WINDOW) -> Leaf:
-    """Both sides together. A window of pieces around the join is encoded again; what stands in it beyond the pieces next to the join has to come out as it is on either side, else the window grows."""
+def join_leaves(tokenizer, make, left: Leaf, right: Leaf, window: int = WINDOW) -> Leaf:
+    """Both sides together. A window of pieces around the join is encoded again; what stands in it beyond the pieces at the join has to come out as it is on either side, else the window grows."""
+    if not (left.cut_after and right.cut_before):
+        # A blank at the join, which no token crosses: both sides stay.
+        return Leaf(left.pieces + right.pieces, left.values + right.values, left.cut_before, right.cut_after)
+    whole = left.pieces[-1] + right.pieces[0]
     while True:
-        i, j = max(0, len(left.values) - window), min(len(right.values), window)
-        if i == len(left.values) or j == 0:
-            # Nothing but blanks on one side.
-            return Leaf(left.begin + right.begin, left.end + right.end, left.values + right.values)
-        ids = tokenizer.encode(text[left.begin[i] : right.end[j - 1]], add_special_tokens=False).ids
-        # All of a side's pieces but the one at the join, as far as the window holds them.
+        i, j = max(0, len(left.pieces) - window), min(len(right.pieces), window)
+        ids = tokenizer.encode(" ".join([*left.pieces[i:-1], whole, *right.pieces[1:j]]), add_special_tokens=False).ids
         head, tail = left.values[i:-1], right.values[1:j]
-        n, m = sum(v[0] for v in head), sum(v[0] for v in tail)
+        n, m = sum([v[0] for v in head]), sum([v[0] for v in tail])
         same = n + m <= len(ids) and " ".join(map(str, ids[:n])) == " ".join([v[1] for v in head if v[0]]) and " ".join(map(str, ids[len(ids) - m :])) == " ".join([v[1] for v in tail if v[0]])
-        if same and (head or i == 0) and (tail or j == len(right.values)):
-            middle = make(ids[n : len(ids) - m])
-            return Leaf(left.begin[:-1] + [left.begin[-1]] + right.begin[1:], left.end[:-1] + [right.end[0]] + right.end[1:], left.values[:-1] + [middle] + right.values[1:])
-        if i == 0 and j == len(right.values):
-            return Leaf([left.begin[0]], [right.end[-1]], [make(ids)])
+        if same and (head or i == 0) and (tail or j == len(right.pieces)):
+            return Leaf([*left.pieces[:-1], whole, *right.pieces[1:]], [*left.values[:-1], make(ids[n : len(ids) - m]), *right.values[1:]], left.cut_before, right.cut_after)
+        if i == 0 and j == len(right.pieces):
+            return Leaf([" ".join([*left.pieces[:-1], whole, *right.pieces[1:]])], [make(ids)], left.cut_before, right.cut_after)
         window *= 2
 
 
@@ -211,15 +201,18 @@ def digest_text(path: str, text: str, leaf: int = LEAF) -> tuple[int, str, str,
     own = leaves(text, leaf)
     if len(own) == 1:
         values = pieces.of(tokens.bare_pieces(text))
-    elif max(map(len, tokens.bare_pieces(text))) > tokens.LONG:
-        values = [pieces.make(tree_encode(pieces.tokenizer, text, leaf))]
     else:
-        level = [leaf_of(pieces, text, a, b) for a, b in own]
-        while len(level) > 1:
-            level = [join_leaves(pieces.tokenizer, pieces.make, text, *level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
-        values = level[0].values
+        raw = [tokens.bare_pieces(text[a:b]) for a, b in own]
+        if max([len(p) for x in raw for p in x]) > tokens.LONG:
+            values = [pieces.make(tree_encode(pieces.tokenizer, text, leaf))]
+        else:
+            full = [[p for p in x if p] for x in raw]
+            level = [Leaf(f, pieces.of(f), x[0] != "", x[-1] != "") for f, x in zip(full, raw)]
+            while len(level) > 1:
+                level = [join_leaves(pieces.tokenizer, pieces.make, *level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
+            values = level[0].values
     values = [v for v in values if v[0]]
-    return sum(v[0] for v in values), " ".join([v[1] for v in values]), " ".join([v[2] for v in values]), len(own)
+    return sum([v[0] for v in values]), " ".join([v[1] for v in values]), " ".join([v[2] for v in values]), len(own)
 
 
 def _hex(text: str) -> str:
