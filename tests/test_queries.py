@@ -57,26 +57,3 @@ def test_flagship(spark, data):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_lists_of_all_events(spark, data):
-    events = {r["event_id"]: r for r in spark.read.parquet(f"{data}/events.parquet").collect()}
-    got = catalogue.queries()["parse_lists_whole"](spark, data).collect()
-    assert len(got) == len(events) > 500 and {r["event_id"] for r in got} == set(events)
-    for r in got:
-        e = events[r["event_id"]]
-        assert r["kv"] == {"type": e["event_type"], "user": str(e["user_id"])} and r["items"] == [e["event_type"], str(e["user_id"])]
-
-
-def test_whole_texts(spark, data):
-    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
-    assert max(map(len, texts.values())) > 10_000
-    got = {r["doc_id"]: r for r in catalogue.queries()["byte_tokens_whole"](spark, data).collect()}
-    assert {i: (r["n_ids"], r["back"]) for i, r in got.items()} == {i: (len(t.encode()) + 1, t) for i, t in texts.items()}
-    got = {r["doc_id"]: r for r in catalogue.queries()["needle_insert_whole"](spark, data).collect()}
-    assert set(got) == set(texts)
-    for i, t in texts.items():
-        words = t.split(" ")
-        filler = [words[k % len(words)] for k in range(max(len(words), 9))]
-        at = int(len(filler) * (i % 5) / 4)
-        assert got[i]["context"] == [*filler[:at], "NEEDLE", *filler[at:]] and got[i]["rotated"] == words[1:] + words[:1]

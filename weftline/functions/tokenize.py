@@ -18,11 +18,44 @@ def register(name: str, make: Callable[[], Callable[[list[str]], list[list[int]]
     TOKENIZERS[name] = make
 
 
+def _bytes() -> Callable[[list[str]], list[list[int]]]:
+    return lambda texts: [[b + 2 for b in t.encode()] for t in texts]
+
+
+def _of_file(path: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
+    """An exact tokenizer by its vocabulary's file: of the tokenizers library (``.json``) or of sentencepiece (``.model``)."""
+
+    def json():
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def model():
+        import sentencepiece
+
+        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda texts: pieces.encode(texts, num_threads=1)
+
+    return json if path.endswith(".json") else model
+
+
+def maker(tokenizer: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
+    """What makes the tokenizer of a name, or of a vocabulary's file, in a worker."""
+    if tokenizer == "bytes":
+        return _bytes
+    if tokenizer.endswith((".json", ".model")):
+        return _of_file(tokenizer)
+    return TOKENIZERS[tokenizer]
+
+
 def ids(c, tokenizer: str = "bytes", end: int | None = 1) -> Column:
-    """An array of token ids; ``bytes`` is the built-in one."""
+    """An array of token ids; ``bytes`` is the built-in one, and the path of a vocabulary's file names its tokenizer."""
     if tokenizer == "bytes":
         return byte_ids(c, end=end)
-    make = TOKENIZERS[tokenizer]
+    make = maker(tokenizer)
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

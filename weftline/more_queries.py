@@ -11,9 +11,11 @@ from .functions import arrays as A
 from .functions import text as T
 from .functions import tokenize as tok
 from .operators import evaluation, languages, listing, mixture, retrieval, tiers, vectors
+from .plans import experiments, tokenizing
 from .queries import docs, query, sizes, trials
 from .session import scratch, table
-from .sources import indexed, readers
+from .sources import adapters, files, indexed, readers, result_log, shards
+from .streaming import chunks as chunk_state
 
 LANGS = list(languages.PRIMARY)
 
@@ -49,7 +51,7 @@ def jsonl_by_lang(spark, d):
 def jsonl_lenient(spark, d):
     """Malformed lines and blank ones between others."""
     folder = scratch(spark)
-    line = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"lang": "'), "lang", F.lit('", "text": "broken'))).when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.to_json(F.struct("lang", F.col("doc_id").alias("token_count"), F.substring("text", 1, 50).alias("text"))))
+    line = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"lang": "'), "lang", F.lit('", "text": "broken'))).when(F.col("doc_id") % 11 == 0, "  ").otherwise(F.to_json(F.struct("lang", F.col("doc_id").alias("token_count"), "text")))
     _raw(spark, d).select(line.alias("value")).write.text(folder)
     return readers.jsonl(spark, folder).where("lang is not null").groupBy("lang").agg(F.count("*").alias("docs"), F.sum("token_count").alias("ids"))
 
@@ -62,18 +64,18 @@ def valid_result_rows(spark, d):
     return readers.valid_rows(_raw(spark, d).select(line.alias("value")), "doc_id bigint, lang string, n bigint", ["doc_id", "lang", "n"])
 
 
-@query("""WITH r AS (SELECT doc_id, lang, source, row_number() OVER (ORDER BY doc_id) - 1 AS n, CASE WHEN doc_id % 5 = 0 THEN 'of ' || source || ' ' || doc_id ELSE substr(text, 1, 300) END AS t FROM documents)
-SELECT doc_id AS number, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE lang END AS lang, CASE WHEN doc_id % 4 = 0 THEN n::VARCHAR ELSE 'id' || doc_id END AS local_id FROM r""")
+@query("""WITH r AS (SELECT doc_id, lang, source, row_number() OVER (ORDER BY doc_id) - 1 AS n, CASE WHEN doc_id % 5 = 0 THEN 'of ' || source || ' ' || doc_id ELSE 'x ' || text END AS t FROM documents)
+SELECT doc_id AS number, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE lang END AS lang, CASE WHEN doc_id % 4 = 0 THEN n::VARCHAR ELSE 'id' || doc_id END AS local_id, length(t)::BIGINT AS chars FROM r""")
 def flexible_parquet_rows(spark, d):
     """Columns under other names, empty texts and ids, languages of paths, and rows numbered over all files."""
     folder, i = scratch(spark), F.col("doc_id")
     rows = _raw(spark, d).select(
-        i.alias("tokens"), F.when(i % 5 == 0, "").otherwise(F.concat_ws(" ", F.lit("x"), F.substring("text", 1, 300))).alias("text"), F.concat_ws(" ", F.lit("of"), "source", i).alias("content"),
+        i.alias("tokens"), F.when(i % 5 == 0, "").otherwise(F.concat_ws(" ", F.lit("x"), "text")).alias("text"), F.concat_ws(" ", F.lit("of"), "source", i).alias("content"),
         F.when(i % 3 == 0, "").otherwise(F.col("lang")).alias("language"), F.when(i % 4 == 0, "").otherwise(F.concat(F.lit("id"), i)).alias("id"), "source",
     )
-    rows.coalesce(1).sortWithinPartitions("tokens").write.parquet(folder)
+    rows.repartitionByRange(6, "tokens").sortWithinPartitions("tokens").write.parquet(folder)
     paths = readers.discover(spark, [f"{folder}/*.parquet"])
-    return readers.documents(spark, "parquet", paths, LANGS).select(F.col("token_count").alias("number"), "lang", "local_id")
+    return readers.documents(spark, "parquet", paths, LANGS).select(F.col("token_count").alias("number"), "lang", "local_id", F.length("text").cast("long").alias("chars"))
 
 
 @query("SELECT 'hand' AS lang, 'given' AS source, count(*) AS docs FROM documents WHERE length(regexp_replace(text, '^[\\s\\x{1c}-\\x{1f}]+|[\\s\\x{1c}-\\x{1f}]+$', '', 'g')) > 0")
@@ -102,7 +104,7 @@ def chunk_text_files(spark, d):
 @query("SELECT doc_id, (octet_length(encode(text)) + 1)::BIGINT AS n, length(text)::BIGINT AS chars FROM documents")
 def indexed_token_files(spark, d):
     """Token ids through index and token files and back to texts."""
-    folder = scratch(spark).removeprefix("file://").removeprefix("file:")
+    folder = scratch(spark)
     indexed.register(spark)
     rows = tok.tokenize(_raw(spark, d)).select(F.concat(F.array(F.col("doc_id").cast("int")), "tokens").alias("tokens"))
     sinks.merged(rows, folder, 4)
@@ -282,10 +284,10 @@ def losses(spark, d):
     )
 
 
-@query("SELECT vec_id, list_transform(range(8), lambda i: round(list_sum(list_transform(range(8), lambda j: v[j + 1] * CASE WHEN bit_count((i & j)::BIGINT) % 2 = 0 THEN 1 ELSE -1 END)) / sqrt(8), 5)) AS h FROM (SELECT vec_id, embedding[1:8]::DOUBLE[] AS v FROM embeddings)")
+@query("SELECT vec_id, list_transform(range(64), lambda i: round(list_sum(list_transform(range(64), lambda j: v[j + 1] * CASE WHEN bit_count((i & j)::BIGINT) % 2 = 0 THEN 1 ELSE -1 END)) / 8, 4)) AS h FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)")
 def walsh_hadamard(spark, d):
-    first = F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double"))
-    return table(spark, d, "embeddings").select("vec_id", F.transform(A.hadamard(first), lambda x: F.round(x, 5)).alias("h"))
+    whole = F.transform("embedding", lambda x: x.cast("double"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(A.hadamard(whole), lambda x: F.round(x, 4)).alias("h"))
 
 
 @query("SELECT string_agg(CASE WHEN r <= round_even(n * 0.5, 0) THEN 'S' ELSE 'F' END, '' ORDER BY label) AS pattern FROM (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) AS r, count(*) OVER () AS n FROM embeddings GROUP BY label)")
@@ -294,11 +296,11 @@ def layer_marks(spark, d):
     return vectors.layer_pattern(masses, "label", "mass", 0.5)
 
 
-@query("SELECT doc_id, list_sort(list_distinct(list_filter(string_split(substr(lang || ' ' || source || ' ' || lang || ' x y', 1, 40), ' '), lambda w: w <> 'x')))[1:3] AS wrong, list_transform(range(5), lambda i: ['a', 'b', 'c'][i % 3 + 1]) AS lines FROM documents")
+@query("SELECT doc_id, list_sort(list_distinct(list_filter(string_split(text, ' '), lambda w: w <> lang AND w <> '')))[1:3] AS wrong, list_transform(range(5), lambda i: ['a', 'b', 'c'][i % 3 + 1]) AS lines FROM documents")
 def wrong_answers(spark, d):
-    """Distinct answers besides the true one, and a few lines repeated."""
-    pool = F.split(F.substring(F.concat_ws(" ", "lang", "source", "lang", F.lit("x y")), 1, 40), " ")
-    wrong = F.slice(F.array_sort(F.array_distinct(F.filter(pool, lambda w: w != "x"))), 1, 3)
+    """The first distinct answers of a text besides the true one, and a few lines repeated."""
+    pool = F.split("text", " ")
+    wrong = F.slice(F.array_sort(F.array_distinct(F.filter(pool, lambda w: (w != F.col("lang")) & (w != "")))), 1, 3)
     return _raw(spark, d).select("doc_id", wrong.alias("wrong"), A.cycled(F.array(*map(F.lit, "abc")), F.lit(5)).alias("lines"))
 
 
@@ -306,7 +308,7 @@ def wrong_answers(spark, d):
 def exact_budget(spark, d):
     """Examples of exactly 256 byte ids with the answer at their end."""
     tail = F.concat(F.lit("Answer "), F.col("doc_id").cast("string"))
-    ids = retrieval.exact_budget(F.split(F.substring("text", 1, 400), "\n"), tail, 256)
+    ids = retrieval.exact_budget(F.split("text", "\n"), tail, 256)
     size = F.size(T.byte_ids(tail))
     sure = F.when(F.slice(ids, 257 - size, size) == T.byte_ids(tail), size)
     return _raw(spark, d).select("doc_id", F.size(ids).alias("n"), sure.cast("long").alias("tail"))
@@ -314,18 +316,126 @@ def exact_budget(spark, d):
 
 @query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN (doc_id % 50 + 30)::INT WHEN 1 THEN least(900, 120 * (doc_id % 9 + 1))::INT WHEN 2 THEN 3700 ELSE NULL END AS wait FROM documents")
 def retry_waits(spark, d):
-    @F.udf("int", useArrow=True)
-    def wait(message, attempt):
-        return sinks.wait_seconds(message, attempt)
-
     i = F.col("doc_id")
     message = F.when(i % 4 == 0, F.concat(F.lit("429: Retry after "), i % 50, F.lit(" seconds"))).when(i % 4 == 1, "502 Bad Gateway").when(i % 4 == 2, "rate limit, try in about 1 hour").otherwise("403 Forbidden")
-    return _raw(spark, d).select("doc_id", wait(message, (i % 9 + 1).cast("int")).alias("wait"))
+    return _raw(spark, d).select("doc_id", sinks.waits(message, i % 9 + 1).alias("wait"))
 
 
-@query("SELECT lang, count(*) AS docs, sum(length(text))::BIGINT AS chars, sum(tc)::BIGINT AS tokens FROM {DOCS} WHERE length(text) >= 50 GROUP BY lang")
+@query("SELECT lang, count(*) AS docs, sum(length(text))::BIGINT AS chars, sum(greatest(1, length(text) // 4))::BIGINT AS tokens FROM (SELECT lang, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents) WHERE length(text) >= 50 GROUP BY lang")
 def source_stats(spark, d):
-    rows = docs(spark, d).where(F.length("text") >= 50)
-    return rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.sum("tc").alias("tokens"))
+    """An adapter's languages fetched, and what each of them came to; a language that it lacks is passed over."""
+    folder = scratch(spark)
+    _raw(spark, d).select("lang", "text").write.partitionBy("lang").parquet(f"{folder}/in")
+    names = [r[0] for r in _raw(spark, d).select("lang").distinct().collect()]  # a row for each language
+    adapter = adapters.local(folder, f"{folder}/in", {x: f"lang={x}" for x in names})
+    try:
+        done = adapters.fetch(spark, adapter.name, [*names, "xx"], f"{folder}/out")
+    finally:
+        del adapters.REGISTRY[adapter.name]
+    return spark.createDataFrame([(r["lang"], r["docs"], r["chars"], r["tokens_approx"]) for r in done if "docs" in r], "lang string, docs long, chars long, tokens long")
+
+
+# ---- shards, logs, and files that are written by key -----------------------------------
+
+
+def _sharded(spark, d, folder: str) -> None:
+    """A shard for each language, of several row groups."""
+    rows = _raw(spark, d).select("lang", "text", (F.col("doc_id") + 1).alias("token_count"))
+    rows.repartition("lang").sortWithinPartitions("lang", "token_count").write.option("parquet.block.size", 1 << 18).partitionBy("lang").parquet(folder)
+
+
+@query("SELECT lang, count(*) AS docs, sum(doc_id)::BIGINT AS ids, sum(length(text))::BIGINT AS chars, sum((row_number - 1) * doc_id)::BIGINT AS places FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS row_number FROM documents) WHERE lang IN ('de', 'en', 'fr') GROUP BY lang")
+def shard_source(spark, d):
+    """Shards of the languages asked for through the data source, with rows' places in their shards."""
+    folder = scratch(spark)
+    _sharded(spark, d, folder)
+    shards.register(spark)
+    rows = spark.read.format("corpus_shards").option("langs", "de, en, fr").load(folder).where("not last")
+    return rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.col("token_count") - 1).alias("ids"), F.sum(F.length("text")).alias("chars"), F.sum(F.col("row") * (F.col("token_count") - 1)).alias("places"))
+
+
+@query("SELECT lang, tier, chunk, count(*) AS docs, sum(doc_id)::BIGINT AS ids, min(doc_id) AS first, max(doc_id) AS last FROM (SELECT *, ((row_number() OVER (PARTITION BY lang, tier ORDER BY doc_id) - 1) // 50)::INT AS chunk FROM (SELECT doc_id, lang, CASE WHEN doc_id >= 500 THEN 'high' ELSE 'low' END AS tier FROM documents)) GROUP BY ALL")
+def stream_chunks(spark, d):
+    """Chunks of a stream of shards, by buffers in keyed state that are flushed at a shard's end."""
+    folder = scratch(spark)
+    _sharded(spark, d, f"{folder}/in")
+    spec = tiers.normalize({"high": (501, None, 1.0), "low": (0, 501, 1.0)})
+    rows = chunk_state.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", spec, 50, groups=16)
+    return rows.groupBy("lang", "tier", "chunk").agg(F.count("*").alias("docs"), F.sum(F.col("token_count") - 1).alias("ids"), (F.min("token_count") - 1).alias("first"), (F.max("token_count") - 1).alias("last"))
 
 
+@query("SELECT condition, count(*) AS n, count_if(list_position(scores, list_max(scores)) - 1 = true_idx) AS n_correct FROM {TRIALS} GROUP BY condition")
+def result_log_rows(spark, d):
+    """Trials scored by the queue from files that come one by one, some cases in two of them; each is in the log once."""
+    folder = scratch(spark)
+    rows = trials(spark, d)
+    rows.repartition(3, "doc_id").write.parquet(f"{folder}/in")
+    rows.where("doc_id % 10 = 0").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    score = lambda df: evaluation.forced_choice(df).select("doc_id", "condition", "correct")
+    for _ in range(2):  # again, with nothing new
+        experiments.run(spark, f"{folder}/in", rows.schema, score, f"{folder}/log", f"{folder}/checkpoint", ["doc_id"], files_per_batch=2)
+    done = experiments.results(spark, f"{folder}/log", "doc_id long, condition string, correct boolean")
+    return done.groupBy("condition").agg(F.count("*").alias("n"), F.count_if("correct").alias("n_correct"))
+
+
+@query("SELECT condition, count(*) AS cases, count_if(condition <> 'main' AND doc_id % 5 <> 0) AS \"left\", condition = 'main' AS finished FROM {TRIALS} GROUP BY condition")
+def experiment_queue(spark, d):
+    """Which experiments the log holds whole, and how many cases the others lack."""
+    folder, rows = scratch(spark), trials(spark, d)
+    result_log.register(spark)
+    for number in range(2):  # the same batch twice
+        part = rows.where("condition = 'main' or doc_id % 5 = 0").select("doc_id", "condition", "depth")
+        part.write.format("result_log").option("path", folder).option("batch", "first").mode("append").save()
+    done = experiments.results(spark, folder, "doc_id long, condition string, depth double")
+    return experiments.finished(rows, done, "condition", ["doc_id", "depth"])
+
+
+@query("SELECT * FROM (SELECT lang, count(*) AS docs, sum(octet_length(encode(text)) + 1)::BIGINT AS tokens, 0 AS failures FROM documents WHERE lang <> 'fr' GROUP BY lang UNION ALL SELECT 'fr', 0, 0, 1 WHERE EXISTS (SELECT 1 FROM documents WHERE lang = 'fr'))")
+def tokenize_side_channel(spark, d):
+    """One pass over files of lines and of row groups; a language whose only file has a broken line is a failure, and the others go on."""
+    folder = scratch(spark)
+    rows = _raw(spark, d).select("lang", "doc_id", "text")
+    lines = rows.where("lang in ('de', 'fr')").select("lang", F.when((F.col("lang") == "fr") & (F.col("doc_id") % 9 == 0), '{"text": broken').otherwise(F.to_json(F.struct("text"))).alias("value"))
+    lines.unionByName(spark.createDataFrame([("fr", "{")], "lang string, value string")).repartition(1).write.partitionBy("lang").text(f"{folder}/text")
+    rows.where("lang not in ('de', 'fr')").repartition(2, "doc_id").write.partitionBy("lang").parquet(f"{folder}/in")
+    files.renamed(f"{folder}/text", f"{folder}/in", ".txt", ".jsonl")
+    tokenizing.tokenize_files(spark, f"{folder}/in", f"{folder}/out", span=1 << 16)
+    lang = F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")
+    good = tokenizing.tokenized(spark, f"{folder}/out").groupBy(lang).agg(F.count("*").alias("docs"), F.sum(F.size("tokens")).cast("long").alias("tokens"), F.lit(0).alias("failures"))
+    bad = tokenizing.failures(spark, f"{folder}/out").groupBy(lang).agg(F.lit(0).cast("long").alias("docs"), F.lit(0).cast("long").alias("tokens"), F.count("*").cast("int").alias("failures"))
+    return good.unionByName(bad)
+
+
+@query("SELECT lang || '_' || tier AS folder, count(*) AS docs, sum(octet_length(encode(text)) + 1)::BIGINT AS tokens FROM (SELECT lang, text, {TIER} AS tier FROM {DOCS}) GROUP BY ALL")
+def token_files_by_key(spark, d):
+    """Token files in a folder for each language and tier, in one pass; a second run finds them all there."""
+    folder = scratch(spark)
+    indexed.register(spark)
+    rows = tok.tokenize(docs(spark, d).withColumn("tier", tiers.assign("tc", tiers.SMALL)))
+    made = sinks.merged_by(rows, folder)
+    assert sinks.merged_by(rows, folder) == []
+    back = None
+    for name in made:  # a folder for each language and tier
+        part = spark.read.format("indexed_tokens").load(f"{folder}/{name}").select(F.lit(name).alias("folder"), "length")
+        back = part if back is None else back.unionByName(part)
+    return back.groupBy("folder").agg(F.count("*").alias("docs"), F.sum("length").alias("tokens"))
+
+
+@query("SELECT lang, 1::BIGINT AS files, octet_length(encode(t))::BIGINT AS bytes, sha256(t) AS sha256 FROM (SELECT lang, string_agg(doc_id || chr(10), '' ORDER BY doc_id) AS t FROM documents GROUP BY lang)")
+def file_checksums(spark, d):
+    """Digests of files read in pieces."""
+    folder = scratch(spark)
+    _raw(spark, d).select("lang", F.col("doc_id").cast("string").alias("value"), "doc_id").repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "value").write.partitionBy("lang").text(folder)
+    rows = readers.checksums(spark, folder).where(F.col("path").endswith(".txt"))
+    return rows.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.min("sha256").alias("sha256"))
+
+
+@query("SELECT doc_id AS number, CASE WHEN doc_id % 4 = 0 THEN (2 * (rn - 1))::VARCHAR ELSE 'id' || doc_id END AS local_id FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)")
+def jsonl_numbered(spark, d):
+    """JSON Lines, every other one blank; documents without an id have their line's number."""
+    folder = scratch(spark)
+    i = F.col("doc_id")
+    line = F.to_json(F.struct("text", "lang", i.alias("tokens"), F.when(i % 4 != 0, F.concat(F.lit("id"), i)).alias("id")))
+    rows = _raw(spark, d).select("lang", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("k"), line.alias("value")), F.struct(F.lit(1).alias("k"), F.lit("  ").alias("value")))).alias("x"))
+    rows.repartition("lang").sortWithinPartitions("lang", "doc_id", "x.k").select("lang", "x.value").write.partitionBy("lang").text(folder)
+    return readers.documents(spark, "jsonl", [f"{folder}/*/*.txt"], LANGS).select(F.col("token_count").alias("number"), "local_id")

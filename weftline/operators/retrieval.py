@@ -111,6 +111,32 @@ def needle_context(lines, depth, needle, n) -> Column:
     return A.inserted(A.cycled(lines, n), depth, needle)
 
 
+def lines_within(counts, room) -> Column:
+    """How many lines, taken in turn and from the first again, have no more than ``room`` tokens together: whole rounds, then a search in the prefix sums of one."""
+    counts = col(counts)
+    sums = F.aggregate(counts, F.array().cast("array<bigint>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.element_at(a, F.when(F.size(a) > 0, F.lit(-1)).otherwise(F.lit(None))), F.lit(0).cast("bigint")) + x)))
+    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    left = F.greatest(room, F.lit(0)).cast("bigint")
+    whole = F.floor(left / total)
+    return F.when((F.size(counts) == 0) | (total <= 0), F.lit(0)).otherwise(whole * F.size(counts) + F.size(F.filter(sums, lambda x: x <= left - whole * total))).cast("int")
+
+
+def budget_context(df: DataFrame, lines: str, depth: str, needle: Column, budget: int, count=None, most: int = 0) -> DataFrame:
+    """Column context: filler lines, repeated as needed, with the needle at int(n * depth), of as many lines as go with it into a budget of tokens; column n_lines says how many.
+
+    ``count`` gives a line's tokens, bytes and a line feed without one. Lines
+    without tokens would be repeated without end, so each counts for one at
+    least; ``most`` bounds the lines.
+    """
+    count = count or (lambda x: F.octet_length(x) + 1)
+    sized = df.withColumn("_counts", F.transform(lines, lambda x: F.greatest(count(x), F.lit(1)).cast("bigint")))
+    n = lines_within("_counts", F.lit(budget) - count(needle))
+    n = F.least(n, F.lit(most)) if most else n
+    rows = sized.withColumn("n_lines", n)
+    # Filler without lines is the needle alone.
+    return rows.withColumn("context", F.when(F.col("n_lines") > 0, needle_context(lines, depth, needle, F.col("n_lines"))).otherwise(F.array(needle))).drop("_counts")
+
+
 def trial(values, truth, seed: int, n: int = 4, swapped: bool = False) -> Column:
     """Candidates and the place of the true one; swapped, the truth is another key's value and the asked one a distractor."""
     others = F.filter(col(values), lambda x: x != col(truth))

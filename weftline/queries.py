@@ -422,40 +422,29 @@ def lang_coverage(spark, d):
     return listing.missing_coverage(spark.createDataFrame([(x,) for x in [*languages.MISSING, "xx"]], "lang string"), have)
 
 
-@query("SELECT event_id, map_from_entries([{'k': 'type', 'v': event_type}, {'k': 'user', 'v': user_id::VARCHAR}]) AS kv, [event_type, user_id::VARCHAR] AS items FROM events WHERE event_id < 500")
+@query("SELECT event_id, map_from_entries([{'k': 'type', 'v': event_type}, {'k': 'user', 'v': user_id::VARCHAR}]) AS kv, [event_type, user_id::VARCHAR] AS items FROM events")
 def parse_lists(spark, d):
-    return parsed_lists(table(spark, d, "events").where("event_id < 500"))
-
-
-@query()
-def parse_lists_whole(spark, d):
-    return parsed_lists(table(spark, d, "events"))
-
-
-def parsed_lists(events) -> DataFrame:
+    events = table(spark, d, "events")
     rows = events.select("event_id", F.concat(F.lit("type="), "event_type", F.lit(" , user="), F.col("user_id").cast("string")).alias("s"), F.concat(F.col("event_type"), F.lit(" ,, "), F.col("user_id").cast("string"), F.lit(",")).alias("l"))
     return rows.select("event_id", T.pairs("s").alias("kv"), T.csv("l").alias("items"))
 
 
-@query(r"""SELECT conv_id, turn, trim(text) || chr(10) || 'The answer is:' AS prefix FROM conversations WHERE text = regexp_replace(text, '^\s+|\s+$', '', 'g') AND NOT contains(text, '<Answer>') AND NOT contains(text, chr(10) || 'Answer:') AND NOT contains(text, chr(10) || 'Please answer')""")
-def prompt_prefix(spark, d):
-    rows = table(spark, d, "conversations").where((F.col("text") == T.strip("text")) & ~F.col("text").contains("<Answer>") & ~F.col("text").contains("\nAnswer:") & ~F.col("text").contains("\nPlease answer"))
-    asked = rows.withColumn("p", F.concat("text", F.lit("\nPlease answer in one word.\nAnswer: yes <Answer>no</Answer>")))
-    return asked.select("conv_id", "turn", T.completion_prefix("p").alias("prefix"))
-
-
-@query("SELECT doc_id, octet_length(encode(substr(text, 1, 200))) + 1 AS n_ids, substr(text, 1, 200) AS back FROM documents")
-def byte_tokens(spark, d):
-    return byte_round(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 200)))
+_END = r"^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
+_ASKED = r"CASE turn % 4 WHEN 0 THEN text WHEN 1 THEN text || chr(10) || 'Answer: ' || text WHEN 2 THEN text || chr(10) || 'Please answer in one word.' || chr(10) || 'Answer: yes <Answer>no</Answer>' ELSE text || ' <Answer>' || text || '</Answer> ' END"
 
 
-@query()
-def byte_tokens_whole(spark, d):
-    return byte_round(table(spark, d, "documents"))
+@query(rf"""SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(q, '{_END}', '', 'g'), '(?s)<Answer>.*', ''), '{_END}', '', 'g'), '(?s)\nAnswer:.*$', ''), '{_END}', '', 'g'), '(?s)\nPlease answer.*$', ''), '{_END}', '', 'g') || chr(10) || 'The answer is:' AS prefix
+FROM (SELECT conv_id, turn, {_ASKED} AS q FROM conversations)""")
+def prompt_prefix(spark, d):
+    """All turns, without an end, or with an answer's line, a plea or a tag."""
+    t, text = F.col("turn") % 4, F.col("text")
+    asked = F.when(t == 0, text).when(t == 1, F.concat(text, F.lit("\nAnswer: "), text)).when(t == 2, F.concat(text, F.lit("\nPlease answer in one word.\nAnswer: yes <Answer>no</Answer>"))).otherwise(F.concat(text, F.lit(" <Answer>"), text, F.lit("</Answer> ")))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.completion_prefix(asked).alias("prefix"))
 
 
-def byte_round(documents) -> DataFrame:
-    ids = documents.select("doc_id", T.byte_ids("text").alias("ids"))
+@query("SELECT doc_id, octet_length(encode(text)) + 1 AS n_ids, text AS back FROM documents")
+def byte_tokens(spark, d):
+    ids = table(spark, d, "documents").select("doc_id", T.byte_ids("text").alias("ids"))
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), T.byte_text("ids").alias("back"))
 
 
@@ -487,20 +476,25 @@ def curriculum_shard_stats(spark, d):
     return retrieval.shard_stats(examples(spark))
 
 
-@query("""SELECT doc_id, list_concat(list_concat(w[1:k], ['NEEDLE']), w[k + 1:]) AS context, list_concat(v[2:], v[1:1]) AS rotated FROM (SELECT doc_id, l, v, floor(9 * d)::INT AS k, [l[i % len(l) + 1] FOR i IN range(0, 9)] AS w FROM
-(SELECT doc_id, string_split(substr(text, 1, 40), ' ') AS l, string_split(substr(text, 1, 40), ' ') AS v, (doc_id % 5) / 4.0::DOUBLE AS d FROM documents))""")
+@query("""SELECT doc_id, list_concat(list_concat(w[1:k], ['NEEDLE']), w[k + 1:]) AS context, list_concat(l[2:], l[1:1]) AS rotated FROM (SELECT doc_id, l, floor(n * d)::INT AS k, [l[i % len(l) + 1] FOR i IN range(0, n)] AS w FROM
+(SELECT doc_id, l, d, greatest(len(l), 9) AS n FROM (SELECT doc_id, string_split(text, ' ') AS l, (doc_id % 5) / 4.0::DOUBLE AS d FROM documents)))""")
 def needle_insert(spark, d):
-    return needles(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 40)), F.lit(9))
-
-
-@query()
-def needle_insert_whole(spark, d):
-    return needles(table(spark, d, "documents"), F.greatest(F.size("l"), F.lit(9)))
-
-
-def needles(documents, n) -> DataFrame:
-    rows = documents.select("doc_id", F.split("text", " ").alias("l"), ((F.col("doc_id") % 5) / 4.0).alias("d"))
-    return rows.select("doc_id", retrieval.needle_context("l", "d", F.lit("NEEDLE"), n).alias("context"), A.rotated("l").alias("rotated"))
+    """A needle among all words of a text, repeated to nine at least."""
+    rows = table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("l"), ((F.col("doc_id") % 5) / 4.0).alias("d"))
+    return rows.select("doc_id", retrieval.needle_context("l", "d", F.lit("NEEDLE"), F.greatest(F.size("l"), F.lit(9))).alias("context"), A.rotated("l").alias("rotated"))
+
+
+@query("""WITH f AS (SELECT doc_id, string_split(text, chr(10)) AS l, (doc_id % 5) / 4.0::DOUBLE AS d, 'The code of ' || source || ' is ' || doc_id || '.' AS needle FROM documents),
+c AS (SELECT *, [octet_length(encode(x)) + 1 FOR x IN l] AS c, greatest(4096 - octet_length(encode(needle)) - 1, 0) AS room FROM f),
+s AS (SELECT *, list_sum(c) AS total, [list_sum(c[1:i]) FOR i IN range(1, len(c) + 1)] AS sums FROM c),
+n AS (SELECT *, (room // total * len(l) + len(list_filter(sums, lambda x: x <= room % total)))::INT AS n FROM s),
+w AS (SELECT *, floor(n * d)::INT AS k, [l[i % len(l) + 1] FOR i IN range(0, n)] AS w FROM n)
+SELECT doc_id, n AS n_lines, array_to_string(list_concat(list_concat(w[1:k], [needle]), w[k + 1:]), chr(10)) AS context FROM w""")
+def needle_budget(spark, d):
+    """Whole texts' lines as filler around a fact, as many as go into 4096 byte tokens with it."""
+    needle = F.concat(F.lit("The code of "), "source", F.lit(" is "), F.col("doc_id").cast("string"), F.lit("."))
+    rows = table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("l"), ((F.col("doc_id") % 5) / 4.0).alias("d"), needle.alias("needle"))
+    return retrieval.budget_context(rows, "l", "d", F.col("needle"), 4096).select("doc_id", "n_lines", F.array_join("context", "\n").alias("context"))
 
 
 @query("""SELECT doc_id, [x + off FOR x IN range(0, n)]::INT[] AS ids FROM (SELECT doc_id, 3 + doc_id % 6 AS n, floor(0.5 * (64 - (3 + doc_id % 6) + 1))::INT AS off FROM documents)""")

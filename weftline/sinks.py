@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources import readers
+from .sources import files, readers
 
 
 def jsonl(df: DataFrame, path: str, by: tuple = ("lang",), mode: str = "errorifexists") -> None:
@@ -81,6 +81,19 @@ def wait_seconds(message: str, attempt: int) -> int | None:
     return next(iter(named + steps)) if kinds else None
 
 
+def waits(message, attempt) -> F.Column:
+    """The same for columns, null where another try is of no use."""
+    message = F.col(message) if isinstance(message, str) else message
+    kind = F.lit(None).cast("int")
+    for pattern, step, longest in reversed(RETRIES):
+        kind = F.when(message.rlike(pattern), F.least(F.lit(longest), F.lit(step) * attempt).cast("int")).otherwise(kind)
+    named = F.lit(None).cast("int")
+    for pattern, extra in reversed(NAMED):
+        number = F.regexp_extract(message, pattern, 1).cast("int") if "(" in pattern else F.lit(0)
+        named = F.when(message.rlike(pattern), number + extra).otherwise(named)
+    return F.when(kind.isNotNull(), F.coalesce(named, kind))
+
+
 def commit(upload: Callable[[], None], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> int:
     """Run a commit until it succeeds; returns the tries it took. What waiting cannot mend is raised at once."""
     for attempt in range(1, tries + 1):
@@ -109,13 +122,16 @@ def merged(tokens: DataFrame, path: str, parts: int = 1) -> None:
     tokens.select("tokens").coalesce(parts).write.format("indexed_tokens").option("path", path).mode("append").save()
 
 
-def merged_by(tokens: DataFrame, path: str, keys: list[tuple[str, str]], parts: int = 1) -> list[tuple[str, str]]:
-    """Token files for each (lang, tier), those whose folder holds files already left alone; returns the ones written. ``keys`` are an argument, a few for each language."""
-    done = []
-    for lang, tier in keys:
-        folder = os.path.join(path, f"{lang}_{tier}")
-        if os.path.isdir(folder) and os.listdir(folder):
-            continue
-        merged(tokens.where((F.col("lang") == lang) & (F.col("tier") == tier)), folder, parts)
-        done.append((lang, tier))
-    return done
+def merged_by(tokens: DataFrame, path: str, by: tuple = ("lang", "tier")) -> list[str]:
+    """Token files in a folder for each value of ``by``, in one pass over the rows; values whose folder holds an index already are left alone. Returns the new folders.
+
+    Rows of a value are brought together, one with many of them in several
+    tasks, and each task writes its values one after the other.
+    """
+    folders = lambda: {p.removeprefix(path.rstrip("/") + "/").partition("/")[0] for p in files.below(path, ".idx")}
+    have = folders()
+    name = F.concat_ws("_", *[F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("null")) for c in by])
+    rows = tokens.select(name.alias("folder"), "tokens")
+    rows = rows.where(~F.col("folder").isin(sorted(have))) if have else rows
+    rows.hint("rebalance", "folder").sortWithinPartitions("folder").write.format("indexed_tokens").option("path", path).option("folder", "folder").mode("append").save()
+    return sorted(folders() - have)

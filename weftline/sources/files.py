@@ -10,11 +10,14 @@ import pyarrow as pa
 
 
 def opened(uri: str):
-    """(file system, path)."""
+    """(file system, path). Paths are taken as they are, with blanks and signs that a URI would escape, as listings give them."""
     from pyarrow import fs
 
-    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
-    return fs.FileSystem.from_uri(uri) if re.match(r"^\w+:", uri) else (fs.LocalFileSystem(), uri)
+    parts = re.match(r"^(\w[\w+.-]*):(?://([^/]*))?(/.*)?$", uri)
+    if parts is None or parts[1] == "file":
+        return fs.LocalFileSystem(), uri if parts is None else parts[3]
+    system, root = fs.FileSystem.from_uri(f"{re.sub('^s3[an]$', 's3', parts[1])}://{parts[2] or ''}")
+    return system, root.rstrip("/") + (parts[3] or "")
 
 
 def below(uri: str, suffix: str = "") -> list[str]:
@@ -65,3 +68,15 @@ def digests(piece: int = 1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([size], pa.int64()), pa.array([digest.hexdigest()])], ["path", "bytes", "sha256"])
 
     return run
+
+
+def renamed(folder: str, target: str, old: str, new: str) -> list[str]:
+    """Move files with one ending to the same places below another folder, with another ending."""
+    made = []
+    for uri in below(folder, old):
+        to = target.rstrip("/") + uri.removeprefix(folder.rstrip("/")).removesuffix(old) + new
+        system, path = opened(to)
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        system.move(opened(uri)[1], path)
+        made.append(to)
+    return made

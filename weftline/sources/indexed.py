@@ -8,14 +8,16 @@ asked for, its tokens; a file is a partition, so files are read in parallel.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from . import files
+
 # Fixed values of the format.
 MAGIC, VERSION = b"MMIDIDX\x00\x00", 1
 TYPES = {1: np.uint8, 2: np.int8, 3: np.int16, 4: np.int32, 5: np.int64, 6: np.float64, 7: np.float32, 8: np.uint16}
@@ -49,20 +51,22 @@ class _Reader(DataSourceReader):
         self.path, self.tokens = options["path"], str(options.get("tokens", "false")).lower() == "true"
 
     def partitions(self):
-        import glob
-
-        found = sorted(glob.glob(self.path)) if not os.path.isdir(self.path) else sorted(glob.glob(os.path.join(self.path, "**", "*.idx"), recursive=True))
+        found = [self.path] if self.path.endswith(".idx") else files.below(self.path, ".idx")
         return [_File(p) for p in found] or [_File("")]
 
     def read(self, partition) -> Iterator[tuple]:
         if not partition.path:
             return
-        with open(partition.path, "rb") as f:
-            kind, lengths, offsets = read_index(f.read())
-        source = os.path.basename(partition.path).removesuffix(".idx")
-        data = np.memmap(partition.path.removesuffix(".idx") + ".bin", kind, "r") if self.tokens and lengths.sum() else None
-        for k, (n, at) in enumerate(zip(lengths.tolist(), offsets.tolist())):
-            yield source, k, n, at, data[at // kind.itemsize : at // kind.itemsize + n].astype(int).tolist() if data is not None else None
+        kind, lengths, offsets = read_index(files.get(partition.path))
+        source = partition.path.rpartition("/")[2].removesuffix(".idx")
+        system, path = files.opened(partition.path.removesuffix(".idx") + ".bin")
+        with system.open_input_file(path) if self.tokens and lengths.sum() else nullcontext() as f:
+            for k, (n, at) in enumerate(zip(lengths.tolist(), offsets.tolist())):
+                ids = None
+                if f is not None:
+                    f.seek(at)
+                    ids = np.frombuffer(f.read(n * kind.itemsize), kind).astype(int).tolist()
+                yield source, k, n, at, ids
 
 
 class _Message(WriterCommitMessage):
@@ -70,40 +74,69 @@ class _Message(WriterCommitMessage):
         self.parts = parts
 
 
+class _Pair:
+    """An index and a token file that are being written, under names that no other attempt has."""
+
+    def __init__(self, folder: str):
+        self.system, root = files.opened(folder)
+        self.system.create_dir(root, recursive=True)
+        self.name, self.lengths = f"{folder}/part-{uuid.uuid4().hex}", []
+        self.stream = self.system.open_output_stream(files.opened(self.name)[1] + ".bin.tmp", compression=None)
+
+    def add(self, ids) -> None:
+        ids = np.array(ids, "<i4")
+        self.stream.write(ids.tobytes())
+        self.lengths.append(len(ids))
+
+    def close(self) -> str:
+        self.stream.close()
+        with self.system.open_output_stream(files.opened(self.name)[1] + ".idx.tmp", compression=None) as f:
+            f.write(write_index(self.lengths))
+        return self.name
+
+
 class _Writer(DataSourceWriter):
-    """Rows with an array ``tokens``: each task writes one pair of files under a name that no other attempt has."""
+    """Rows with an array ``tokens``: each task writes a pair of files, or with option ``folder``, a column, one in each folder that it names; rows of a folder should follow one another."""
 
     def __init__(self, options: dict, schema):
-        self.path, self.at = options["path"], schema.fieldNames().index("tokens")
+        names = schema.fieldNames()
+        self.path, self.at = options["path"].rstrip("/"), names.index("tokens")
+        self.folder_at = names.index(options["folder"]) if options.get("folder") else None
+
+    def folder(self, row) -> str:
+        return self.path if self.folder_at is None else f"{self.path}/{row[self.folder_at]}"
 
     def write(self, rows) -> _Message:
-        os.makedirs(self.path, exist_ok=True)
-        name, lengths = os.path.join(self.path, f"part-{uuid.uuid4().hex}"), []
-        with open(name + ".bin.tmp", "wb") as f:
-            for row in rows:
-                ids = np.array(row[self.at], "<i4")
-                f.write(ids.tobytes())
-                lengths.append(len(ids))
-        with open(name + ".idx.tmp", "wb") as f:
-            f.write(write_index(lengths))
-        return _Message([name])
+        done, pair, last = [], None, None
+        for row in rows:
+            folder = self.folder(row)
+            if folder != last:
+                done += [pair.close()] if pair else []
+                pair, last = _Pair(folder), folder
+            pair.add(row[self.at])
+        if pair is None and self.folder_at is None:
+            pair = _Pair(self.path)
+        return _Message(done + ([pair.close()] if pair else []))
 
     def commit(self, messages) -> None:
         for m in messages:
             for name in m.parts if m else ():
+                system, path = files.opened(name)
+                # The index last: a pair is read by it.
                 for ext in (".bin", ".idx"):
-                    os.replace(name + ext + ".tmp", name + ext)
+                    system.move(path + ext + ".tmp", path + ext)
 
     def abort(self, messages) -> None:
         for m in messages:
             for name in m.parts if m else ():
+                system, path = files.opened(name)
                 for ext in (".bin", ".idx"):
-                    if os.path.exists(name + ext + ".tmp"):
-                        os.unlink(name + ext + ".tmp")
+                    if files.exists(name + ext + ".tmp"):
+                        system.delete_file(path + ext + ".tmp")
 
 
 class IndexedTokens(DataSource):
-    """``spark.read.format("indexed_tokens").load(folder)``; ``option("tokens", True)`` adds the token ids. Files are on a path that executors open."""
+    """``spark.read.format("indexed_tokens").load(folder)``; ``option("tokens", True)`` adds the token ids. Files are on any file system that pyarrow opens."""
 
     @classmethod
     def name(cls) -> str:

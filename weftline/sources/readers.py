@@ -6,8 +6,10 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as T
+from . import files
 
 CANONICAL = "lang string, text string, token_count bigint"
 #: Columns that a flexible row may have.
@@ -43,17 +45,76 @@ def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, def
     return rows.where(F.length("text") > 0).withColumn("doc_id", T.doc_id("source", "local_id", "text"))
 
 
+def _footers(batches):
+    """(path, rows, columns and their types) of Parquet files, from their footers."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        for uri in batch.column("path").to_pylist():
+            system, path = files.opened(uri)
+            with system.open_input_file(path) as f:
+                meta = pq.ParquetFile(f)
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([meta.metadata.num_rows], pa.int64()), pa.array([[f"{f.name}\t{f.type}" for f in meta.schema_arrow]])], ["path", "rows", "columns"])
+
+
+def row_offsets(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, tuple[str, ...]]]:
+    """(path, rows of all files before it, columns with a tab and their type) of each file in the order given; footers are read in one job, a row for each file of the argument comes back."""
+    n = min(len(paths), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    named = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string").repartition(max(1, n))
+    found = {r["path"]: r for r in named.mapInArrow(_footers, "path string, rows long, columns array<string>").collect()}
+    out, first = [], 0
+    for path in paths:
+        out.append((path, first, tuple(sorted(set(found[path]["columns"])))))
+        first += found[path]["rows"]
+    return out
+
+
+def _plain(path: F.Column) -> F.Column:
+    """A file's path without a local scheme, which readers and listings spell in two ways."""
+    return F.regexp_replace(path, r"^file:/+", "/")
+
+
+def _read_path() -> F.Column:
+    """The path of the file that a row was read from, its characters as they are: readers escape them, but for plus signs."""
+    return _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
 def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[str], default_source: str = "local") -> DataFrame:
-    """Flexible rows of Parquet files, each with the columns it has; rows are numbered over all files in the order given, whatever their partitions."""
-    out, first = None, 0
-    for path in paths:  # files of an argument; only footers are read here
-        df = spark.read.parquet(path)
-        names = [f"`{c}`" for c in df.columns if c in FLEXIBLE or c == "source"]
-        rows = df.select(*names, F.lit(path).alias("_path"), (F.col("_metadata.row_index") + first).alias("_row"))
-        part = flexible(rows, known_langs, "_path", default_source, "_row")
+    """Flexible rows of Parquet files, each with the columns it has; rows are numbered over all files in the order given, whatever their partitions.
+
+    Files with the same columns of the same types are one scan, so there are no
+    more branches than such sets; where a file's numbers begin is looked up by
+    its path.
+    """
+    if not paths:
+        return flexible(spark.createDataFrame([], "none string"), known_langs)
+    kinds: dict[tuple, list[tuple[str, int]]] = {}
+    for path, first, columns in row_offsets(spark, paths):
+        kinds.setdefault(tuple(c for c in columns if c.partition("\t")[0] in (*FLEXIBLE, "source")), []).append((path, first))
+    out = None
+    for names, own in kinds.items():
+        # A row for each file of the argument.
+        table = F.broadcast(spark.createDataFrame(own, "_path string, _first long").select("_path", _plain(F.col("_path")).alias("_p"), "_first"))
+        rows = spark.read.parquet(*dict.fromkeys(p for p, _ in own)).select(*[f"`{c.partition(chr(9))[0]}`" for c in names], _read_path().alias("_p"), F.col("_metadata.row_index").alias("_index"))
+        part = flexible(rows.join(table, "_p").withColumn("_row", F.col("_first") + F.col("_index")), known_langs, "_path", default_source, "_row")
         out = part if out is None else out.unionByName(part)
-        first += df.count()
-    return out if out is not None else flexible(spark.createDataFrame([], "none string"), known_langs)
+    return out
+
+
+def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, line, value) of text files; lines are numbered from 0 in their file, blank ones as well.
+
+    A reader's task has stretches of files. Lines are numbered in their stretch
+    by their order in the task; how many lines of the file come before it is
+    summed up over its stretches, a row each.
+    """
+    rows = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    stretches = rows.groupBy("path", "_block").agg(F.min("_id").alias("_least"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    stretches = stretches.withColumn("_before", F.coalesce(before, F.lit(0))).withColumnsRenamed({"path": "_p", "_block": "_b"})
+    met = rows.join(stretches, (F.col("path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
+    return met.select("path", (F.col("_before") + F.col("_id") - F.col("_least")).alias("line"), "value")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -77,8 +138,11 @@ def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
 def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs: list[str], lang: str | None = None, source: str | None = None) -> DataFrame:
     """Flexible rows of a kind of source: ``jsonl``, ``parquet`` or ``shards`` (Parquet whose language and source are given, not read)."""
     if kind == "jsonl":
-        rows = jsonl(spark, discover(spark, patterns), "text string, content string, token_count bigint, tokens bigint, lang string, language string, id string, doc_id string, source string")
-        return flexible(rows.select("*", F.col("_metadata.file_path").alias("_path")), known_langs, "_path")
+        schema = "text string, content string, token_count bigint, tokens bigint, lang string, language string, id string, doc_id string, source string, _bad string"
+        parsed = numbered_lines(spark, discover(spark, patterns)).where("trim(value) <> ''").select("path", "line", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+        rows = parsed.select(F.col("path").alias("_path"), F.col("line").alias("_row"), "_r.*").where("_bad is null").drop("_bad")
+        # Rows without an id of their own have their line's number.
+        return flexible(rows, known_langs, "_path", row="_row")
     if kind in ("parquet", "shards"):
         rows = flexible_parquet(spark, discover(spark, patterns), known_langs)
         if kind == "parquet":
@@ -111,12 +175,13 @@ def listing(spark: SparkSession, folder: str, pattern: str | None = None) -> Dat
 
 
 def checksums(spark: SparkSession, folder: str, skip: tuple = (".cache/",), own: str = "checksums.json") -> DataFrame:
-    """(path, bytes, sha256) of the files below a folder, without caches and the table of checksums itself."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    keep = ~F.col("path").endswith(f"/{own}")
+    """(path, bytes, sha256) of the files below a folder, without caches and the table of checksums itself; files are read in pieces, of any size."""
+    names = listing(spark, folder).where(~F.col("path").endswith(f"/{own}"))
     for part in skip:
-        keep = keep & ~F.col("path").contains(f"/{part}")
-    return files.where(keep).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+        names = names.where(~F.col("path").contains(f"/{part}"))
+    # Largest files apart from one another.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return names.select("path").repartition(parts, "path").mapInArrow(files.digests(), "path string, bytes long, sha256 string")
 
 
 MANIFEST = "name string, language string, tier string, source string, docs bigint, source_token_count bigint, bin_bytes bigint, idx_bytes bigint, bin_sha256 string, idx_sha256 string"
