@@ -55,6 +55,14 @@ def grid(spark: SparkSession, n: int, langs: list[str], targets: list[int], task
     return rows.withColumn("target_tokens", F.explode(F.array(*[F.lit(t).cast("long") for t in targets])))
 
 
+def cases(df: DataFrame, number: str, targets: list[int], tasks=TASKS, depths=DEPTHS) -> DataFrame:
+    """The same for rows that have a number and a language of their own."""
+    pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
+    i = F.col("i")
+    rows = df.select(F.col(number).alias("i"), "lang").select("i", "lang", pick(tasks, F.floor(i / len(tasks))).alias("task"), pick(depths, i).alias("depth"), pick(PLACES, i).alias("place"))
+    return rows.withColumn("target_tokens", F.explode(F.array(*[F.lit(t).cast("long") for t in targets])))
+
+
 def _lines(n, line) -> Column:
     return F.when(n <= 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), n.cast("int")), line), ""))
 

@@ -138,13 +138,18 @@ def tier_counts_by_lang(spark, d):
     return tiers.counts_by_lang(tiered(spark, d), "lang", "tier", list(SPEC))
 
 
-@query("""SELECT preset, tier, min_tokens::BIGINT AS min_tokens, max_tokens::BIGINT AS max_tokens, round(w / sum(w) OVER (PARTITION BY preset), 9) AS weight FROM (VALUES
+@query("""SELECT preset, tier, min_tokens::BIGINT AS min_tokens, max_tokens::BIGINT AS max_tokens, round(w / sum(w) OVER (PARTITION BY preset), 9) AS weight, (SELECT count(*) FROM {DOCS} WHERE tc * 64 >= min_tokens AND (max_tokens IS NULL OR tc * 64 < max_tokens)) AS docs
+FROM (VALUES
 ('lc16k','16k_plus',16384,NULL,0.5::DOUBLE),('lc16k','4_16k',4096,16384,0.3),('lc16k','under4k',0,4096,0.2),
 ('lc128k','128k_plus',131072,NULL,0.25),('lc128k','64_128k',65536,131072,0.25),('lc128k','32_64k',32768,65536,0.2),('lc128k','16_32k',16384,32768,0.15),('lc128k','4_16k',4096,16384,0.1),('lc128k','under4k',0,4096,0.05),
 ('lc256k','256k_plus',262144,NULL,0.2),('lc256k','128_256k',131072,262144,0.25),('lc256k','64_128k',65536,131072,0.2),('lc256k','32_64k',32768,65536,0.15),('lc256k','16_32k',16384,32768,0.1),('lc256k','4_16k',4096,16384,0.07),('lc256k','under4k',0,4096,0.03)) t(preset, tier, min_tokens, max_tokens, w)""")
 def tier_spec_normalized(spark, d):
-    rows = [(p, n, a, b, round(w, 9)) for p, spec in tiers.PRESETS.items() for n, (a, b, w) in tiers.normalize(spec).items()]
-    return spark.createDataFrame(rows, "preset string, tier string, min_tokens long, max_tokens long, weight double")
+    """Each preset's tiers, and how many documents of 64 times their length fall into them."""
+    specs = {p: tiers.normalize(spec) for p, spec in tiers.PRESETS.items()}
+    rows = spark.createDataFrame([(p, n, a, b, round(w, 9)) for p, spec in specs.items() for n, (a, b, w) in spec.items()], "preset string, tier string, min_tokens long, max_tokens long, weight double")
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("preset"), tiers.assign("n", spec).alias("tier")) for p, spec in specs.items()]))
+    counts = docs(spark, d).select((F.col("tc") * 64).alias("n")).select(each.alias("x")).groupBy("x.preset", "x.tier").agg(F.count("*").alias("docs"))
+    return rows.join(counts, ["preset", "tier"], "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
 
 
 @query("""SELECT lang, count(*) AS docs, sum(tc)::BIGINT AS total_tokens, min(tc) AS min_tokens, list_sort(list(tc))[least(count(*) * 50 // 100, count(*) - 1) + 1] AS p50,
@@ -416,10 +421,13 @@ def lang_lookup(spark, d):
     return per.join(F.broadcast(languages.frame(spark)), "lang", "left").select("lang", "code", "sentence_name", "docs")
 
 
-@query("SELECT * FROM (VALUES ('ga', ['clean', 'web']), ('sq', ['clean', 'web']), ('lb', ['clean', 'web']), ('xx', []::VARCHAR[])) v(lang, adapters)")
+@query("SELECT lang, sum(n)::BIGINT AS docs, CASE WHEN lang = 'xx' THEN []::VARCHAR[] ELSE ['clean', 'web'] END AS adapters FROM (SELECT lang, 1 AS n FROM documents UNION ALL SELECT unnest(['ga', 'sq', 'lb', 'xx']), 0) GROUP BY lang")
 def lang_coverage(spark, d):
+    """Of the documents' languages, and of those that the primary source lacks, the adapters that have them."""
     have = languages.frame(spark).select("lang", F.explode("adapters").alias("adapter"))
-    return listing.missing_coverage(spark.createDataFrame([(x,) for x in [*languages.MISSING, "xx"]], "lang string"), have)
+    asked = spark.createDataFrame([(x,) for x in [*languages.MISSING, "xx"]], "lang string").select("lang", F.lit(0).alias("n"))
+    wanted = table(spark, d, "documents").select("lang", F.lit(1).alias("n")).unionByName(asked).groupBy("lang").agg(F.sum("n").alias("docs"))
+    return listing.missing_coverage(wanted, have)
 
 
 @query("SELECT event_id, map_from_entries([{'k': 'type', 'v': event_type}, {'k': 'user', 'v': user_id::VARCHAR}]) AS kv, [event_type, user_id::VARCHAR] AS items FROM events")
@@ -451,31 +459,6 @@ def byte_tokens(spark, d):
 # ---- retrieval texts -------------------------------------------------------------------
 
 
-@query("""SELECT i, (['en', 'de', 'fr', 'es'])[i % 4 + 1] AS lang, (['single_key', 'multi_key', 'aggregation', 'no_answer'])[(i // 4) % 4 + 1] AS task, ([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]::DOUBLE[])[i % 7 + 1] AS depth,
-(['start', 'middle', 'end'])[i % 3 + 1] AS place, t::BIGINT AS target_tokens FROM (SELECT unnest(range(0, 112)) AS i), (VALUES (512), (2048)) v(t)""")
-def curriculum_grid(spark, d):
-    return retrieval.grid(spark, 112, ["en", "de", "fr", "es"], [512, 2048])
-
-
-def examples(spark) -> DataFrame:
-    return retrieval.curriculum(retrieval.grid(spark, 112, ["en", "de", "fr", "es"], [1024, 2048]), retrieval.template_frame(spark), seed=11)
-
-
-@query()
-def curriculum_examples(spark, d):
-    return examples(spark)
-
-
-@query()
-def trace_examples(spark, d):
-    return retrieval.traces(retrieval.grid(spark, 48, ["en", "de", "fr", "es"], [512]), retrieval.template_frame(spark), seed=5)
-
-
-@query()
-def curriculum_shard_stats(spark, d):
-    return retrieval.shard_stats(examples(spark))
-
-
 @query("""SELECT doc_id, list_concat(list_concat(w[1:k], ['NEEDLE']), w[k + 1:]) AS context, list_concat(l[2:], l[1:1]) AS rotated FROM (SELECT doc_id, l, floor(n * d)::INT AS k, [l[i % len(l) + 1] FOR i IN range(0, n)] AS w FROM
 (SELECT doc_id, l, d, greatest(len(l), 9) AS n FROM (SELECT doc_id, string_split(text, ' ') AS l, (doc_id % 5) / 4.0::DOUBLE AS d FROM documents)))""")
 def needle_insert(spark, d):
@@ -647,4 +630,4 @@ def set_except(spark, d):
     return s.select("source").subtract(s.where((F.col("lang") == "es") & (F.length("text") > 3000)).select("source"))
 
 
-from . import more_queries  # noqa: E402, F401  (adds its queries to the catalogue)
+from . import more_queries, text_queries  # noqa: E402, F401  (add their queries to the catalogue)

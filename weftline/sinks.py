@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
 import re
-import shutil
 import time
 from collections.abc import Callable
 
@@ -28,12 +26,8 @@ def chunk_texts(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def manifest(document: dict, path: str) -> None:
-    """One document, indented, whole or not at all."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path + ".tmp", "w", encoding="utf-8") as f:
-        json.dump(document, f, indent=2, ensure_ascii=False)
-        f.write("\n")
-    os.replace(path + ".tmp", path)
+    """One document, indented, whole or not at all, on any file system."""
+    files.put(path, (json.dumps(document, indent=2, ensure_ascii=False) + "\n").encode())
 
 
 def lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -53,14 +47,15 @@ def card(chunks: DataFrame, title: str) -> str:
 
 
 def package(spark: SparkSession, bin_dir: str, mix_dir: str, out: str, info: dict) -> dict:
-    """Copy token files and mixture into one folder, with build information and checksums."""
-    for part, src in (("bin", bin_dir), ("mix", mix_dir)):
-        shutil.copytree(src, os.path.join(out, part), dirs_exist_ok=True)
-    manifest(info, os.path.join(out, "manifests", "build_info.json"))
+    """Copy token files and mixture into one folder, with build information and checksums; files are copied by tasks, in pieces."""
+    pairs = [(uri, f"{out.rstrip('/')}/{part}{uri.removeprefix(src.rstrip('/'))}") for part, src in (("bin", bin_dir), ("mix", mix_dir)) for uri in files.below(src)]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.createDataFrame(pairs, "path string, to string").repartition(n, "path").mapInArrow(files.copies(), "path string, to string, bytes long").write.format("noop").mode("overwrite").save()
+    manifest(info, f"{out}/manifests/build_info.json")
     rows = readers.checksums(spark, out).collect()  # a row for each file of the package
-    root = os.path.abspath(out)
-    table = {os.path.relpath(r["path"].removeprefix("file:"), root): {"bytes": r["bytes"], "sha256": r["sha256"]} for r in rows}
-    manifest(dict(sorted(table.items())), os.path.join(out, "manifests", "checksums.json"))
+    at = out.rstrip("/").removeprefix("file://").removeprefix("file:") + "/"
+    table = {r["path"].removeprefix("file://").removeprefix("file:").partition(at)[2]: {"bytes": r["bytes"], "sha256": r["sha256"]} for r in rows}
+    manifest(dict(sorted(table.items())), f"{out}/manifests/checksums.json")
     return table
 
 

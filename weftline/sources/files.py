@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -70,6 +71,26 @@ def digests(piece: int = 1 << 20):
     return run
 
 
+def copies(piece: int = 1 << 20):
+    """For ``mapInArrow``: copy the files of column ``path`` to those of ``to``, each under another name until it is whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, to in zip(batch.column("path").to_pylist(), batch.column("to").to_pylist()):
+                (source, path), (target, where), size = opened(uri), opened(to), 0
+                target.create_dir(where.rpartition("/")[0], recursive=True)
+                # Attempts of one task may run side by side.
+                part = f"{where}.{uuid.uuid4().hex}.tmp"
+                with source.open_input_stream(path, compression=None) as f, target.open_output_stream(part, compression=None) as out:
+                    while data := f.read(piece):
+                        out.write(data)
+                        size += len(data)
+                target.move(part, where)
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([to]), pa.array([size], pa.int64())], ["path", "to", "bytes"])
+
+    return run
+
+
 def renamed(folder: str, target: str, old: str, new: str) -> list[str]:
     """Move files with one ending to the same places below another folder, with another ending."""
     made = []

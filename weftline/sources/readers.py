@@ -16,10 +16,11 @@ CANONICAL = "lang string, text string, token_count bigint"
 FLEXIBLE = ("text", "content", "token_count", "tokens", "lang", "language", "id", "doc_id")
 
 
-def parquet(spark: SparkSession, paths, columns=("text", "token_count"), ignore_corrupt: bool = True) -> DataFrame:
-    """Only the named columns are read; files that cannot be read are passed over unless told otherwise."""
+def parquet(spark: SparkSession, paths, columns=("text", "token_count"), ignore_corrupt: bool = True, schema: str | None = "text string, token_count bigint") -> DataFrame:
+    """Only the named columns are read; files that cannot be read are passed over unless told otherwise. Without a schema that of a readable file is taken."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower()).parquet(*paths).select(*columns)
+    reader = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+    return (reader.schema(schema) if schema else reader).parquet(*paths).select(*columns)
 
 
 def jsonl(spark: SparkSession, paths, schema: str = CANONICAL, strict: bool = False) -> DataFrame:
