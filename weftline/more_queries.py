@@ -284,10 +284,10 @@ def losses(spark, d):
     )
 
 
-@query("SELECT vec_id, list_transform(range(64), lambda i: round(list_sum(list_transform(range(64), lambda j: v[j + 1] * CASE WHEN bit_count((i & j)::BIGINT) % 2 = 0 THEN 1 ELSE -1 END)) / 8, 4)) AS h FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)")
+@query("SELECT vec_id, list_transform(range(64), lambda i: round(list_sum(list_transform(range(64), lambda j: v[j + 1] * CASE WHEN bit_count((i & j)::BIGINT) % 2 = 0 THEN 1 ELSE -1 END)) / 8, 4) + 0) AS h FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)")
 def walsh_hadamard(spark, d):
     whole = F.transform("embedding", lambda x: x.cast("double"))
-    return table(spark, d, "embeddings").select("vec_id", F.transform(A.hadamard(whole), lambda x: F.round(x, 4)).alias("h"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(A.hadamard(whole), lambda x: F.round(x, 4) + F.lit(0.0)).alias("h"))
 
 
 @query("SELECT string_agg(CASE WHEN r <= round_even(n * 0.5, 0) THEN 'S' ELSE 'F' END, '' ORDER BY label) AS pattern FROM (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) AS r, count(*) OVER () AS n FROM embeddings GROUP BY label)")
