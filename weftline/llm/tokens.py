@@ -20,6 +20,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes that a cache may hold, length from which a piece is not kept, pieces looked up at once, bytes that an entry takes besides its piece and value, and of how many plain words one is encoded by the whole tokenizer as well.
 KEPT, LONG, BLOCK, ENTRY, CHECKED = 192 << 20, 256, 32_768, 190, 1000
+#: Words whose ids are kept besides, for the marks that may follow them.
+WORDS = 60_000
 _TWO_BLANKS = re.compile(r"\s\s")
 _SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -72,6 +74,7 @@ class Pieces:
         self.old: dict = {}
         self.held = self.learnt = 0
         self.marks: dict = {"": []}
+        self.words: dict[str, list[int]] = {}
         self.word = self._words()
 
     def _words(self) -> Callable[[str], str] | None:
@@ -92,20 +95,32 @@ class Pieces:
         same = all(self._plain(x) == self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples)
         return spelt if same else None
 
+    def _ids(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
     def _plain(self, piece: str) -> list[int] | None:
         """The ids of a word with marks after it, by the library's model; null if the piece is something else."""
+        if piece.isascii() and (piece[1:].isalpha() and piece[0] == " " or piece.isalpha()):
+            return [t.id for t in self.tokenizer.model.tokenize(self.word(piece))]
         m = _WORD.fullmatch(piece, 1 if piece[:1] == " " else 0)
         if m is None:
             return None
-        word, marks = m.groups()
-        tokenize = self.tokenizer.model.tokenize
+        marks = m[2]
+        if not marks:
+            return self._ids(self.word(piece))
+        word = piece[: m.end(1)]
+        # A word that is met without marks, or with others, is known already.
+        if (ids := self.words.get(word)) is None:
+            if len(self.words) >= WORDS:
+                self.words = {}
+            ids = self.words[word] = self._ids(self.word(word))
         if (after := self.marks.get(marks)) is None:
-            after = [t.id for t in tokenize(marks)]
+            after = self._ids(marks)
             if len(marks) <= 16:
                 if len(self.marks) > 10_000:
                     self.marks = {"": []}
                 self.marks[marks] = after
-        return [t.id for t in tokenize(self.word(piece[: len(piece) - len(marks)] if marks else piece))] + after
+        return ids + after
 
     def _whole(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -153,12 +168,14 @@ class Pieces:
             return [v for lo in range(0, len(pieces), BLOCK) for v in self.of(pieces[lo : lo + BLOCK])]
         if 2 * self.held > self.kept:
             self.old, self.young, self.held = self.young, {}, 0
-        get = self.young.get
-        values = list(map(get, pieces))
-        if None in values:
-            extra = self.learn({p for p, v in zip(pieces, values) if v is None})
-            young = self.young
-            values = [young[p] if v is None and p in young else extra[p] if v is None else v for p, v in zip(pieces, values)]
+        values = list(map(self.young.get, pieces))
+        missing = [k for k, v in enumerate(values) if v is None]
+        if missing:
+            extra = self.learn({pieces[k] for k in missing})
+            get = self.young.get
+            for k in missing:
+                v = get(pieces[k])
+                values[k] = extra[pieces[k]] if v is None else v
         return values
 
 
