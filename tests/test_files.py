@@ -184,3 +184,22 @@ def test_digests_in_pieces(tmp_path):
     batch = pa.RecordBatch.from_arrays([pa.array([f"file://{tmp_path}/x", f"file:{tmp_path}/empty"])], ["path"])
     got = [b.to_pylist()[0] for b in files.digests(piece=1000)([batch])]
     assert [(r["bytes"], r["sha256"]) for r in got] == [(len(d), hashlib.sha256(d).hexdigest()) for d in (data, b"")]
+
+
+def test_folders_are_their_files_and_only_spark_need_open_them(spark, data, tmp_path):
+    """A table as Spark writes it, a folder, by its own path and by one that pyarrow does not know."""
+    spark.read.parquet(f"{data}/documents.parquet").repartitionByRange(3, "doc_id").write.parquet(f"{tmp_path}/t.parquet")
+    own = spark.sparkContext._jsc.hadoopConfiguration()
+    own.set("fs.viewfs.mounttable.parts.link./in", f"file://{tmp_path}")
+    want = spark.read.parquet(f"{data}/documents.parquet").where("length(trim(text)) > 0").count()
+    got = []
+    for root in (str(tmp_path), "viewfs://parts/in"):
+        rows = readers.documents(spark, "shards", [f"{root}/t.parquet"], ["de"], "hand", "given")
+        got.append(sorted((r["local_id"], r["lang"]) for r in rows.collect()))
+        assert len(got[-1]) == want and {x for _, x in got[-1]} == {"hand"}
+    assert got[0] == got[1]
+    # Without ids, rows are numbered over all parts.
+    spark.read.parquet(f"{tmp_path}/t.parquet").select("text", "doc_id").drop("doc_id").withColumn("text", F.lit("x")).write.parquet(f"{tmp_path}/n.parquet")
+    for root in (str(tmp_path), "viewfs://parts/in"):
+        numbers = sorted(int(r["local_id"]) for r in readers.documents(spark, "parquet", [f"{root}/n.parquet"], []).collect())
+        assert numbers == list(range(len(numbers))) and numbers

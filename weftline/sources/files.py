@@ -21,6 +21,15 @@ def opened(uri: str):
     return system, root.rstrip("/") + (parts[3] or "")
 
 
+def opens(uri: str) -> bool:
+    """Whether pyarrow knows the file system of a URI; there are stores that only Spark reads."""
+    try:
+        opened(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
 def below(uri: str, suffix: str = "") -> list[str]:
     """The files below a folder in the order of their names, as URIs of the same kind; none if there is no such folder."""
     from pyarrow import fs

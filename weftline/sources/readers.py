@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,11 +61,25 @@ def _footers(batches):
                 yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([meta.metadata.num_rows], pa.int64()), pa.array([[f"{f.name}\t{f.type}" for f in meta.schema_arrow]])], ["path", "rows", "columns"])
 
 
+def _spark_footers(spark: SparkSession, paths: list[str]) -> dict[str, dict]:
+    """The same by Spark's own reader, for stores that only Spark opens: rows in one job, which reads no column, and a schema for each file."""
+    with ThreadPoolExecutor(8) as pool:
+        schemas = dict(zip(paths, pool.map(lambda p: spark.read.parquet(p).schema, paths)))
+    counted = spark.read.schema("none string").parquet(*paths).groupBy(_read_path().alias("path")).count().collect()
+    rows = {r["path"]: r["count"] for r in counted}
+    name = lambda p: re.sub(r"^file:/+", "/", p)
+    return {p: {"rows": rows.get(name(p), 0), "columns": [f"{f.name}\t{f.dataType.simpleString()}" for f in schemas[p]]} for p in paths}
+
+
 def row_offsets(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, tuple[str, ...]]]:
     """(path, rows of all files before it, columns with a tab and their type) of each file in the order given; footers are read in one job, a row for each file of the argument comes back."""
     n = min(len(paths), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    named = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string").repartition(max(1, n))
-    found = {r["path"]: r for r in named.mapInArrow(_footers, "path string, rows long, columns array<string>").collect()}
+    distinct = list(dict.fromkeys(paths))
+    if all(map(files.opens, distinct)):
+        named = spark.createDataFrame([(p,) for p in distinct], "path string").repartition(max(1, n))
+        found = {r["path"]: r for r in named.mapInArrow(_footers, "path string, rows long, columns array<string>").collect()}
+    else:
+        found = _spark_footers(spark, distinct)
     out, first = [], 0
     for path in paths:
         out.append((path, first, tuple(sorted(set(found[path]["columns"])))))
@@ -124,7 +140,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """Files that match each pattern, sorted, in the order of the patterns; a pattern without a match gives a warning."""
+    """Files and folders that match each pattern, sorted, in the order of the patterns; a pattern without a match gives a warning."""
     jvm, found = spark.sparkContext._jvm, []
     for pattern in patterns:
         where = jvm.org.apache.hadoop.fs.Path(pattern)
@@ -136,6 +152,21 @@ def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
     return found
 
 
+def parts(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The same with the files below it, by their names, in place of each folder; what begins with _ or . is none of them."""
+    jvm, found = spark.sparkContext._jvm, []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        status = system.getFileStatus(where)
+        if status.isFile():
+            found.append(path)
+            continue
+        inside = [s for s in system.listStatus(where) if not s.getPath().getName().startswith(("_", "."))]
+        found += parts(spark, sorted(s.getPath().toString() for s in inside))
+    return found
+
+
 def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs: list[str], lang: str | None = None, source: str | None = None) -> DataFrame:
     """Flexible rows of a kind of source: ``jsonl``, ``parquet`` or ``shards`` (Parquet whose language and source are given, not read)."""
     if kind == "jsonl":
@@ -145,7 +176,7 @@ def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs:
         # Rows without an id of their own have their line's number.
         return flexible(rows, known_langs, "_path", row="_row")
     if kind in ("parquet", "shards"):
-        rows = flexible_parquet(spark, discover(spark, patterns), known_langs)
+        rows = flexible_parquet(spark, parts(spark, discover(spark, patterns)), known_langs)
         if kind == "parquet":
             return rows
         rows = rows.withColumns({"lang": F.lit(lang), "source": F.lit(source)})
