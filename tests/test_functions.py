@@ -77,3 +77,26 @@ def test_vector_functions(spark):
 def test_languages():
     assert len(languages.PRIMARY) == 35 and languages.parse("de, xx,ga") == (["de", "xx", "ga"], ["xx"])
     assert len(languages.ADAPTERS["web"]) == len(languages.ADAPTERS["clean"]) == 38
+
+
+def test_byte_ids_of_batches(spark):
+    """As the column expressions have them, with nulls, empty texts, all bytes, slices and ids that are marks."""
+    import pyarrow as pa
+
+    from weftline.functions import tokenize as tok
+
+    texts = [None, "", "aé😀\n\x00ÿ", "x" * 300, None, "日本"]
+    for part in (pa.array(texts), pa.array(["cut", *texts])[1:], pa.array([], pa.string()), pa.array([None, None], pa.string())):
+        for end in (1, None):
+            ids = tok.byte_lists(part, end)
+            assert ids.to_pylist() == [None if t is None else [b + 2 for b in t.encode()] + [1] * (end is not None) for t in part.to_pylist()]
+            assert tok.byte_strings(ids).to_pylist() == part.to_pylist()
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    both = df.select("text", T.byte_ids("text").alias("a"), tok.ids("text").alias("b"))
+    rows = both.select("*", T.byte_text("a").alias("c"), tok.texts("b").alias("d")).collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] == r["text"] for r in rows)
+    # Rows that are too short are not tokenized; where only numbers are asked for none is.
+    plan = lambda x: x._jdf.queryExecution().optimizedPlan().toString()
+    long = tok.tokenize(df, least=10)
+    assert sorted((len(r["tokens"]), r["n_tokens"]) for r in long.collect()) == [(12, 12), (301, 301)]
+    assert "ArrowEvalPython" not in plan(long.select("n_tokens")) and "regexp" not in plan(both)

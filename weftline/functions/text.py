@@ -124,12 +124,13 @@ def completion_prefix(prompt, stub: str = STUB) -> Column:
 
 def byte_ids(c, shift: int = 2, end: int | None = 1) -> Column:
     """Each UTF-8 byte plus ``shift``, and an end id: a tokenizer without a vocabulary."""
-    # Pairs of digits in one pass; a substring for each byte would read the text from its start each time.
-    hexes = F.regexp_extract_all(F.hex(F.encode(col(c), "UTF-8")), F.lit("(..)"))
-    ids = F.transform(hexes, lambda x: F.conv(x, 16, 10).cast("int") + shift)
+    # Each byte is a character of this charset, and a split at nothing has one item a character, without a regular expression.
+    signs = F.decode(F.encode(col(c), "UTF-8"), "ISO-8859-1")
+    ids = F.when(signs == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(signs, ""), lambda x: F.ascii(x) + shift))
     return ids if end is None else F.concat(ids, F.array(F.lit(end)))
 
 
 def byte_text(ids, shift: int = 2) -> Column:
     """The text of byte ids; ids below the shift are marks and go."""
-    return F.decode(F.unhex(F.array_join(F.transform(F.filter(col(ids), lambda x: x >= shift), lambda x: F.lpad(F.hex(x - shift), 2, "0")), "")), "UTF-8")
+    signs = F.transform(col(ids), lambda x: F.when(x >= shift, F.char(x - shift)).otherwise(""))
+    return F.decode(F.encode(F.array_join(signs, ""), "ISO-8859-1"), "UTF-8")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import arrays as A
 from .functions import text as T
+from .functions import tokenize as tok
 from .operators import evaluation, languages, lengths, listing, mixture, packing, retrieval, sampling, tiers, vectors
 from .operators.ordered import hash_key
 from .session import table
@@ -452,8 +453,8 @@ def prompt_prefix(spark, d):
 
 @query("SELECT doc_id, octet_length(encode(text)) + 1 AS n_ids, text AS back FROM documents")
 def byte_tokens(spark, d):
-    ids = table(spark, d, "documents").select("doc_id", T.byte_ids("text").alias("ids"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), T.byte_text("ids").alias("back"))
+    ids = table(spark, d, "documents").select("doc_id", tok.ids("text").alias("ids"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), tok.texts("ids").alias("back"))
 
 
 # ---- retrieval texts -------------------------------------------------------------------
