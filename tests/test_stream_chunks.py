@@ -3,9 +3,10 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.operators import tiers
-from weftline.sources import shards
+from weftline.sources import files, shards
 from weftline.streaming import chunks
 
 SPEC = tiers.normalize({"long": (50, None, 1.0), "short": (0, 50, 1.0)})
@@ -55,3 +56,19 @@ def test_chunks_are_sent_once_over_a_restart(spark, folder, tmp_path):
     assert {tuple(r) for r in got} == expected(spark, folder, 13)
     # Nothing is new, so nothing is sent again.
     assert chunks.run(spark, folder, out, checkpoint, SPEC, 13, groups=3).count() == 292
+
+
+def test_a_shard_may_be_a_folder_of_parts(spark, tmp_path):
+    """Rows are numbered over the parts, only the last one ends the shard, and a batch of small row groups goes on until it has its bytes."""
+    rows = spark.range(400).select(F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), (F.col("id") + 1).alias("token_count"), F.lit("de").alias("lang"), F.lit("all.parquet").alias("shard"))
+    folder = str(tmp_path / "in")
+    rows.repartitionByRange(4, "token_count").sortWithinPartitions("token_count").write.partitionBy("lang", "shard").parquet(folder)
+    shards.register(spark)
+    got = spark.read.format("corpus_shards").load(folder).collect()
+    assert len({r["shard"] for r in got}) == 1 and {r["lang"] for r in got} == {"de"} and sum(r["last"] for r in got) == 1
+    assert sorted((r["row"], r["token_count"]) for r in got if not r["last"]) == [(i, i + 1) for i in range(400)]
+    for least, batches in ((0, 4), (1 << 30, 1)):
+        made = chunks.run(spark, folder, f"{tmp_path}/out{least}", f"{tmp_path}/checkpoint{least}", SPEC, 13, groups=1, least=least)
+        assert sorted((r["tier"], r["chunk"], r["row"]) for r in made.collect()) == sorted([("short", i // 13, i) for i in range(49)] + [("long", (i - 49) // 13, i) for i in range(49, 400)])
+        assert len(files.below(f"{tmp_path}/checkpoint{least}/commits")) >= batches
+        assert sum(p.rpartition("/")[2].isdigit() for p in files.below(f"{tmp_path}/checkpoint{least}/commits")) in (batches, batches + 1)

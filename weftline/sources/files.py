@@ -41,6 +41,17 @@ def below(uri: str, suffix: str = "") -> list[str]:
     return [root + name[len(path.rstrip("/")) :] for name in names]
 
 
+#: What a whole file's name ends with, also where it is a folder with the file's parts, as Spark writes them.
+ENDINGS = r"^.*?\.(?:parquet|jsonl|json|txt)(?=/)"
+
+
+def whole(uri: str, root: str = "") -> str:
+    """The file that one below ``root`` is: itself, or the folder of a file's name that holds it as a part."""
+    root = root.rstrip("/")
+    found = re.match(ENDINGS, uri[len(root) :])
+    return root + found[0] if found else uri
+
+
 def exists(uri: str) -> bool:
     from pyarrow import fs
 

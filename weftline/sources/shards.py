@@ -1,9 +1,10 @@
 """Shards of an adapter as a Python data source, read as a table or as a stream that goes on where it stopped.
 
-A shard is a Parquet file below a folder, its language the name of the folder
-that it is in (``lang=de`` or ``de``). The stream's offset is a place in the
-shards' row groups, so a shard may come in several batches; each row group is a
-partition. Behind a shard's last row group comes a row with ``last`` and
+A shard is a Parquet file below a folder, or a folder ``*.parquet`` there whose
+files are its parts in the order of their names, as Spark writes them. Its
+language is the name of the folder that it is in (``lang=de`` or ``de``). The
+stream's offset is a place in the shards' row groups, so a shard may come in
+several batches; each row group is a partition. Behind a shard's last row group comes a row with ``last`` and
 nothing else, which tells later operators that the shard is over.
 """
 
@@ -23,9 +24,9 @@ _ARROW = pa.schema([("shard", pa.string()), ("lang", pa.string()), ("row", pa.in
 
 
 class _Group(InputPartition):
-    def __init__(self, path: str, group: int, first: int, last: bool):
+    def __init__(self, shard: str, path: str, group: int, first: int, last: bool):
         super().__init__((path, group))
-        self.path, self.group, self.first, self.last = path, group, first, last
+        self.shard, self.path, self.group, self.first, self.last = shard, path, group, first, last
 
 
 def lang_of(path: str) -> str:
@@ -43,10 +44,10 @@ def _rows(part: _Group) -> Iterator[pa.RecordBatch]:
         for batch in file.iter_batches(10_000, [part.group], have):
             n = batch.num_rows
             column = lambda name, kind: batch.column(name).cast(kind) if name in have else pa.nulls(n, kind)  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([pa.array([part.path] * n), pa.array([lang_of(part.path)] * n), pa.array(np.arange(at, at + n)), column("text", pa.string()), column("token_count", pa.int64()), pa.array([False] * n)], schema=_ARROW)
+            yield pa.RecordBatch.from_arrays([pa.array([part.shard] * n), pa.array([lang_of(part.shard)] * n), pa.array(np.arange(at, at + n)), column("text", pa.string()), column("token_count", pa.int64()), pa.array([False] * n)], schema=_ARROW)
             at += n
     if part.last:
-        yield pa.RecordBatch.from_arrays([pa.array([part.path]), pa.array([lang_of(part.path)]), pa.array([at], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([True])], schema=_ARROW)
+        yield pa.RecordBatch.from_arrays([pa.array([part.shard]), pa.array([lang_of(part.shard)]), pa.array([at], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([True])], schema=_ARROW)
 
 
 class _Shards:
@@ -55,25 +56,41 @@ class _Shards:
     def __init__(self, options: dict):
         self.folder = options["path"]
         self.langs = {x for x in options.get("langs", "").replace(" ", "").split(",") if x}
-        self.footers: dict[str, list[int]] = {}
+        self.footers: dict[str, list[tuple[int, int]]] = {}
+        self.files: dict[str, list[str]] = {}
 
     def names(self) -> list[str]:
-        return [p for p in files.below(self.folder, ".parquet") if not self.langs or lang_of(p) in self.langs]
-
-    def groups(self, path: str) -> list[int]:
-        """Rows of each row group; a file without rows has one group of none."""
+        self.files = {}
+        for path in files.below(self.folder, ".parquet"):
+            shard = files.whole(path, self.folder)
+            if not self.langs or lang_of(shard) in self.langs:
+                self.files.setdefault(shard, []).append(path)
+        return sorted(self.files)
+
+    def _footer(self, path: str) -> list[tuple[int, int]]:
+        """(rows, bytes) of each row group; a file without rows may have one group of none."""
         import pyarrow.parquet as pq
 
         if path not in self.footers:
             system, name = files.opened(path)
             with system.open_input_file(name) as f:
                 meta = pq.ParquetFile(f).metadata
-                self.footers[path] = [meta.row_group(k).num_rows for k in range(meta.num_row_groups)]
+                self.footers[path] = [(g.num_rows, g.total_byte_size) for g in map(meta.row_group, range(meta.num_row_groups))]
         return self.footers[path]
 
-    def parts(self, path: str, lo: int = 0, hi: int | None = None) -> list[_Group]:
-        rows = self.groups(path)
-        return [_Group(path, k, sum(rows[:k]), k + 1 == len(rows)) for k in range(lo, len(rows) if hi is None else hi)]
+    def groups(self, shard: str) -> list[tuple[int, int]]:
+        """(rows, bytes) of the row groups of all parts."""
+        return [g for path in self.files[shard] for g in self._footer(path)]
+
+    def parts(self, shard: str, lo: int = 0, hi: int | None = None) -> list[_Group]:
+        out, first = [], 0
+        for path in self.files[shard]:
+            for k, (rows, _) in enumerate(self._footer(path)):
+                out.append(_Group(shard, path, k, first, False))
+                first += rows
+        if out:
+            out[-1].last = True
+        return out[lo:hi]
 
 
 class _Reader(DataSourceReader):
@@ -81,7 +98,7 @@ class _Reader(DataSourceReader):
         self.shards = _Shards(options)
 
     def partitions(self):
-        return [g for p in self.shards.names() for g in self.shards.parts(p)] or [_Group("", 0, 0, False)]
+        return [g for p in self.shards.names() for g in self.shards.parts(p)] or [_Group("", "", 0, 0, False)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         yield from _rows(partition) if partition.path else ()
@@ -91,37 +108,39 @@ class _Stream(DataSourceStreamReader):
     """Offsets are {"shard": the last one that was begun, "group": how many of its row groups are read}; shards come in the order of their names, so later ones have to sort behind."""
 
     def __init__(self, options: dict):
-        self.shards, self.most = _Shards(options), int(options.get("groupsPerBatch", "64"))
+        self.shards, self.most, self.least = _Shards(options), int(options.get("groupsPerBatch", "64")), int(options.get("bytesPerBatch", "0"))
         # Spark asks for the latest offset before it says where it is; ``progress`` tells what a checkpoint holds.
         self.at = json.loads(options["after"]) if "after" in options else None
 
     def initialOffset(self) -> dict:
         return {"shard": "", "group": 0}
 
-    def _left(self, start: dict) -> Iterator[tuple[str, int, int]]:
+    def _left(self, start: dict) -> Iterator[tuple[str, int, list[int]]]:
+        """(shard, its first row group that is left, bytes of those from there on)."""
         for path in self.shards.names():
             if path >= start["shard"]:
-                lo = start["group"] if path == start["shard"] else 0
-                if lo < len(self.shards.groups(path)):
-                    yield path, lo, len(self.shards.groups(path))
+                lo, sizes = start["group"] if path == start["shard"] else 0, [size for _, size in self.shards.groups(path)]
+                if lo < len(sizes):
+                    yield path, lo, sizes[lo:]
 
     def latestOffset(self) -> dict:
         # Where it is not known what has been read, a batch takes all there is.
-        most, end = (self.most, self.at) if self.at is not None else (1 << 60, {"shard": "", "group": 0})
-        for path, lo, hi in self._left(end):
-            take = min(hi - lo, most)
-            if not take:
-                break
-            end, most = {"shard": path, "group": lo + take}, most - take
+        most, least, end = (self.most, self.least, self.at) if self.at is not None else (1 << 60, 0, {"shard": "", "group": 0})
+        for path, lo, sizes in self._left(end):
+            for size in sizes:
+                if most <= 0 and least <= 0:
+                    return end
+                lo, most, least = lo + 1, most - 1, least - size
+                end = {"shard": path, "group": lo}
         return end
 
     def partitions(self, start: dict, end: dict):
         self.at = end
         out = []
-        for path, lo, hi in self._left(start):
+        for path, lo, _ in self._left(start):
             if path > end["shard"]:
                 break
-            out += self.shards.parts(path, lo, end["group"] if path == end["shard"] else hi)
+            out += self.shards.parts(path, lo, end["group"] if path == end["shard"] else None)
         return out
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
@@ -140,7 +159,7 @@ def progress(checkpoint: str) -> str:
 
 
 class CorpusShards(DataSource):
-    """``spark.read.format("corpus_shards").load(folder)``, or ``spark.readStream``; options ``langs``, ``groupsPerBatch`` and ``after``, the offset at which a stream goes on."""
+    """``spark.read.format("corpus_shards").load(folder)``, or ``spark.readStream``; options ``langs``, ``groupsPerBatch``, ``bytesPerBatch`` (a batch takes more row groups than that until it has so many bytes, however small they are) and ``after``, the offset at which a stream goes on."""
 
     @classmethod
     def name(cls) -> str:

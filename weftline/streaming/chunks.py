@@ -68,11 +68,11 @@ def chunked(rows: DataFrame, spec: dict, size: int) -> DataFrame:
     return keyed.transformWithStateInPandas(Buffers(size), OUT, "Append", "None")
 
 
-def run(spark: SparkSession, folder: str, out: str, checkpoint: str, spec: dict, size: int, groups: int = 64, langs: str = "", batches: int | None = None) -> DataFrame:
-    """Chunk all shards that are new, or so many batches of them; rows of all complete chunks so far, each once."""
+def run(spark: SparkSession, folder: str, out: str, checkpoint: str, spec: dict, size: int, groups: int = 64, langs: str = "", batches: int | None = None, least: int = 0) -> DataFrame:
+    """Chunk all shards that are new, or so many batches of them; rows of all complete chunks so far, each once. A batch has so many row groups, and more until they have ``least`` bytes."""
     spark.conf.set(*PROVIDER)
     shards.register(spark)
-    stream = spark.readStream.format("corpus_shards").option("groupsPerBatch", groups).option("langs", langs).option("after", shards.progress(checkpoint)).load(folder)
+    stream = spark.readStream.format("corpus_shards").option("groupsPerBatch", groups).option("bytesPerBatch", least).option("langs", langs).option("after", shards.progress(checkpoint)).load(folder)
     query = chunked(stream, spec, size).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").start()
     try:
         if batches is None:
