@@ -203,3 +203,20 @@ def test_folders_are_their_files_and_only_spark_need_open_them(spark, data, tmp_
     for root in (str(tmp_path), "viewfs://parts/in"):
         numbers = sorted(int(r["local_id"]) for r in readers.documents(spark, "parquet", [f"{root}/n.parquet"], []).collect())
         assert numbers == list(range(len(numbers))) and numbers
+
+
+def test_files_in_parts(spark, tmp_path):
+    """A folder of a file's name is one file: numbered, digested and failed as a whole."""
+    rows = spark.range(300).select(F.when(F.col("id") < 200, "a").otherwise("b").alias("g"), "id", F.concat(F.lit('{"text": "é'), "id", F.when(F.col("id") == 250, "").otherwise(F.lit('"}'))).alias("value"))
+    ranged = rows.repartitionByRange(5, "g", "id").sortWithinPartitions("g", "id")
+    ranged.select("g", F.lit("all.jsonl").alias("file"), "value").write.partitionBy("g", "file").text(str(tmp_path / "in"))
+    assert len(files.below(str(tmp_path / "in"), ".txt")) > 2
+    want = {g: [r["value"] for r in rows.where(F.col("g") == g).orderBy("id").collect()] for g in "ab"}
+    got = readers.numbered_lines(spark, readers.discover(spark, [f"{tmp_path}/in/*/*.jsonl"])).collect()
+    assert sorted((r["path"].partition("g=")[2][0], r["line"], r["value"]) for r in got) == sorted((g, i, v) for g in "ab" for i, v in enumerate(want[g]))
+    digests = {r["sha256"]: (r["bytes"], r["chars"]) for r in readers.text_digests(spark, str(tmp_path / "in")).collect()}
+    texts = ["".join(v + "\n" for v in want[g]) for g in "ab"]
+    assert digests == {hashlib.sha256(t.encode()).hexdigest(): (len(t.encode()), len(t)) for t in texts}
+    tokenizing.tokenize_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), span=100)
+    assert [r["path"].rpartition("/in/")[2] for r in tokenizing.failures(spark, str(tmp_path / "out")).collect()] == ["g=b/file=all.jsonl"]
+    assert tokenizing.tokenized(spark, str(tmp_path / "out")).count() == 200

@@ -91,6 +91,28 @@ def digests(piece: int = 1 << 20):
     return run
 
 
+def text_digests(piece: int = 1 << 20):
+    """For ``mapInArrow``: (path, bytes, chars, sha256) of texts whose files are ``parts``, one after the other, read in pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for uri, parts in zip(batch.column("path").to_pylist(), batch.column("parts").to_pylist()):
+                digest, size, chars = hashlib.sha256(), 0, 0
+                for part in parts:
+                    system, path = opened(part)
+                    with system.open_input_stream(path, compression=None) as f:
+                        while data := f.read(piece):
+                            digest.update(data)
+                            size += len(data)
+                            # Bytes of UTF-8 that begin a character.
+                            chars += int(np.count_nonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80))
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([size], pa.int64()), pa.array([chars], pa.int64()), pa.array([digest.hexdigest()])], ["path", "bytes", "chars", "sha256"])
+
+    return run
+
+
 def copies(piece: int = 1 << 20):
     """For ``mapInArrow``: copy the files of column ``path`` to those of ``to``, each under another name until it is whole."""
 

@@ -217,6 +217,19 @@ def checksums(spark: SparkSession, folder: str, skip: tuple = (".cache/",), own:
 
 
 MANIFEST = "name string, language string, tier string, source string, docs bigint, source_token_count bigint, bin_bytes bigint, idx_bytes bigint, bin_sha256 string, idx_sha256 string"
+def whole(path: F.Column) -> F.Column:
+    """The file that a path is, or is a part of: parts of a file lie in a folder of its name, as Spark writes them, in the order of their names."""
+    own = F.regexp_extract(path, files.ENDINGS, 0)
+    return F.when(own == "", path).otherwise(own)
+
+
+def text_digests(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
+    """(path, bytes, chars, sha256) of the texts below a folder, each a file or a folder with its parts; read in pieces, so that a text of any size takes the memory of one."""
+    found = listing(spark, folder, pattern).groupBy(whole(F.col("path")).alias("path")).agg(F.array_sort(F.collect_list("path")).alias("parts"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(parts, "path").mapInArrow(files.text_digests(), "path string, bytes long, chars long, sha256 string")
+
+
 
 
 def manifests(spark: SparkSession, path: str) -> DataFrame:
