@@ -120,7 +120,7 @@ def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[st
 
 
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, line, value) of text files; lines are numbered from 0 in their file, blank ones as well.
+    """(path, line, value) of text files; lines are numbered from 0 in their file, blank ones as well, and go on over the parts of a file that is a folder of its name.
 
     A reader's task has stretches of files. Lines are numbered in their stretch
     by their order in the task; how many lines of the file come before it is
@@ -128,10 +128,11 @@ def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     rows = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
     stretches = rows.groupBy("path", "_block").agg(F.min("_id").alias("_least"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("_n").over(Window.partitionBy(whole(F.col("path"))).orderBy("path", "_block").rowsBetween(Window.unboundedPreceding, -1))
     stretches = stretches.withColumn("_before", F.coalesce(before, F.lit(0))).withColumnsRenamed({"path": "_p", "_block": "_b"})
-    met = rows.join(stretches, (F.col("path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
-    return met.select("path", (F.col("_before") + F.col("_id") - F.col("_least")).alias("line"), "value")
+    # A row for each stretch; a join by stretches would bring all lines of one together.
+    met = rows.join(F.broadcast(stretches), (F.col("path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
+    return met.select(whole(F.col("path")).alias("path"), (F.col("_before") + F.col("_id") - F.col("_least")).alias("line"), "value")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -216,7 +217,6 @@ def checksums(spark: SparkSession, folder: str, skip: tuple = (".cache/",), own:
     return names.select("path").repartition(parts, "path").mapInArrow(files.digests(), "path string, bytes long, sha256 string")
 
 
-MANIFEST = "name string, language string, tier string, source string, docs bigint, source_token_count bigint, bin_bytes bigint, idx_bytes bigint, bin_sha256 string, idx_sha256 string"
 def whole(path: F.Column) -> F.Column:
     """The file that a path is, or is a part of: parts of a file lie in a folder of its name, as Spark writes them, in the order of their names."""
     own = F.regexp_extract(path, files.ENDINGS, 0)
@@ -230,6 +230,7 @@ def text_digests(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Da
     return found.repartition(parts, "path").mapInArrow(files.text_digests(), "path string, bytes long, chars long, sha256 string")
 
 
+MANIFEST = "name string, language string, tier string, source string, docs bigint, source_token_count bigint, bin_bytes bigint, idx_bytes bigint, bin_sha256 string, idx_sha256 string"
 
 
 def manifests(spark: SparkSession, path: str) -> DataFrame:
