@@ -2,7 +2,8 @@
 
 Files are cut into ranges, of bytes for JSON Lines and of row groups for
 Parquet, so that a large one is read by many tasks. A file of which any range
-fails is reported and none of its rows is used, and the others go on.
+fails is reported and none of its rows is used, and the others go on. A folder
+with a file's name, such as Spark writes, is one file in parts.
 """
 
 from __future__ import annotations
@@ -66,12 +67,14 @@ def _texts(path: str, start: int, stop: int) -> Iterator[tuple[int, str]]:
             yield at, text or ""
 
 
-def _encoded(make, end: int | None):
+def _encoded(tokenizer: str, end: int | None):
+    make = tok.maker(tokenizer)
     names = ["path", "place", "tokens", "error"]
 
     def rows(path: str, held: list[tuple[int, str]], encode) -> pa.RecordBatch:
-        ids = [[*x, *([] if end is None else [end])] for x in encode([t for _, t in held])]
-        return pa.RecordBatch.from_arrays([pa.array([path] * len(held)), pa.array([p for p, _ in held], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.nulls(len(held), pa.string())], names)
+        texts = [t for _, t in held]
+        ids = tok.byte_lists(pa.array(texts, pa.string()), end) if tokenizer == "bytes" else pa.array([[*x, *([] if end is None else [end])] for x in encode(texts)], pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(held)), pa.array([p for p, _ in held], pa.int64()), ids, pa.nulls(len(held), pa.string())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make()
@@ -110,7 +113,7 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dry_run(spark: SparkSession, folder: str) -> DataFrame:
     """(path, size, groups, rows, error) of the JSON Lines and Parquet files below a folder; of Parquet only footers are read, of JSON Lines nothing."""
-    found = readers.listing(spark, folder).where(F.col("name").rlike(r"\.(parquet|json|jsonl)$")).select("path", "size")
+    found = readers.listing(spark, folder).where(F.col("path").rlike(r"\.(parquet|json|jsonl)(/|$)")).select("path", "size")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parquet = found.where(F.col("path").endswith(".parquet")).select("path").repartition(parts, "path").mapInArrow(_footers, "path string, groups long, rows long, error string")
     return found.join(parquet, "path", "left")
@@ -124,7 +127,7 @@ def tokenize_files(spark: SparkSession, folder: str, out: str, tokenizer: str =
     groups = plan.where(F.col("path").endswith(".parquet")).select("path", F.explode(cuts(F.coalesce("groups", F.lit(1)))).alias("start")).select("path", "start", (F.col("start") + 1).alias("stop"))
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = lines.unionByName(groups).repartition(parts, "path", "start")
-    made = ranges.mapInArrow(_encoded(tok.maker(tokenizer), end), "path string, place long, tokens array<int>, error string")
+    made = ranges.mapInArrow(_encoded(tokenizer, end), "path string, place long, tokens array<int>, error string")
     made.withColumn("kind", F.when(F.col("error").isNull(), "rows").otherwise("failures")).write.partitionBy("kind").parquet(out)
 
 
@@ -132,10 +135,13 @@ _OUT = "path string, place long, tokens array<int>, error string, kind string"
 
 
 def failures(spark: SparkSession, out: str) -> DataFrame:
-    """(path, error): the first failure of each file that has one."""
-    return spark.read.schema(_OUT).parquet(out).where("kind = 'failures'").groupBy("path").agg(F.min_by("error", "place").alias("error"))
+    """(path, error): the first failure of each file that has one; a file in parts is a file."""
+    return spark.read.schema(_OUT).parquet(out).where("kind = 'failures'").groupBy(readers.whole(F.col("path")).alias("path")).agg(F.min_by("error", F.struct(F.col("path"), F.col("place"))).alias("error"))
 
 
 def tokenized(spark: SparkSession, out: str) -> DataFrame:
     """(path, place, tokens) of the files without failures."""
-    return spark.read.schema(_OUT).parquet(out).where("kind = 'rows'").join(failures(spark, out).select("path"), "path", "left_anti").select("path", "place", "tokens")
+    rows = spark.read.schema(_OUT).parquet(out).where("kind = 'rows'")
+    # A row for each file that failed; a join by files would bring all rows of a large one together.
+    bad = F.broadcast(failures(spark, out).select(F.col("path").alias("_bad")))
+    return rows.join(bad, readers.whole(F.col("path")) == F.col("_bad"), "left_anti").select("path", "place", "tokens")
