@@ -9,11 +9,13 @@ from ..functions import text as T
 from ..operators import packing, tiers
 
 
-def shard_stream(spark: SparkSession, folder: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+def shard_stream(spark: SparkSession, folder: str, schema, files_per_batch: int = 1, bytes_per_batch: int | None = None) -> DataFrame:
+    """New files, so many at a time, or if given up to so many bytes of them (one at least)."""
+    limit = ("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else ("maxFilesPerTrigger", files_per_batch)
+    return spark.readStream.schema(schema).option(*limit).parquet(folder)
 
 
-def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "", texts: str | None = None) -> None:
+def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "", texts: str | None = None, bytes_per_batch: int | None = None) -> None:
     """All shards that are new: tiers, chunks in each shard, their texts below ``texts``, and a manifest row for each chunk that is not there yet.
 
     Texts are written before the manifest row that declares their chunk
@@ -46,7 +48,7 @@ def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spe
             new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).json(texts)
         made.write.mode("append").parquet(out)
 
-    stream = shard_stream(spark, folder, schema, files_per_batch).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    stream = shard_stream(spark, folder, schema, files_per_batch, bytes_per_batch).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
