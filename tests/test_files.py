@@ -220,3 +220,27 @@ def test_files_in_parts(spark, tmp_path):
     tokenizing.tokenize_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), span=100)
     assert [r["path"].rpartition("/in/")[2] for r in tokenizing.failures(spark, str(tmp_path / "out")).collect()] == ["g=b/file=all.jsonl"]
     assert tokenizing.tokenized(spark, str(tmp_path / "out")).count() == 200
+
+
+def test_token_files_are_read_in_stretches(spark, tmp_path, monkeypatch):
+    """A large file is several partitions, each with its own sequences; gaps, other types and empty sequences are read as they are."""
+    rng = random.Random(3)
+    rows = [[rng.randint(0, 1 << 20) for _ in range(rng.choice([0, 1, 50]))] for _ in range(500)]
+    indexed.register(spark)
+    sinks.merged(spark.createDataFrame([(r,) for r in rows], "tokens array<int>").repartition(3), str(tmp_path / "m"), None)
+    assert len(files.below(str(tmp_path / "m"), ".idx")) == 3
+    back = spark.read.format("indexed_tokens").option("tokens", True).load(str(tmp_path / "m")).collect()
+    assert sorted(r["tokens"] or [] for r in back) == sorted(rows) and all(len(r["tokens"] or []) == r["length"] for r in back)
+    monkeypatch.setattr(indexed, "SPAN", 1000)
+    monkeypatch.setattr(indexed, "BATCH", 300)
+    reader = indexed._Reader({"path": str(tmp_path / "m"), "tokens": "true"})
+    parts = reader.partitions()
+    got = [x for p in parts for b in reader.read(p) for x in b.to_pylist()]
+    assert len(parts) > 20 and sorted(r["tokens"] for r in got) == sorted(rows)
+    assert sorted((r["source"], r["seq_no"], r["pointer"]) for r in got) == sorted((r["source"], r["seq_no"], r["pointer"]) for r in back)
+    # Two sequences of 16-bit ids, the second one first in the file.
+    index = bytearray(indexed.write_index([2, 1], kind=8))
+    index[42:58] = (2).to_bytes(8, "little") + (0).to_bytes(8, "little")
+    (tmp_path / "o.idx").write_bytes(index)
+    (tmp_path / "o.bin").write_bytes(b"".join(x.to_bytes(2, "little") for x in (9, 65_535, 8)))
+    assert [r["tokens"] for r in spark.read.format("indexed_tokens").option("tokens", True).load(f"{tmp_path}/o.idx").orderBy("seq_no").collect()] == [[65_535, 8], [9]]

@@ -112,9 +112,10 @@ def bundle_files(rows: DataFrame, path: str, prefix: str, split: str, facts: dic
     return document
 
 
-def merged(tokens: DataFrame, path: str, parts: int = 1) -> None:
-    """All tokens of a table as so many pairs of index and token files."""
-    tokens.select("tokens").coalesce(parts).write.format("indexed_tokens").option("path", path).mode("append").save()
+def merged(tokens: DataFrame, path: str, parts: int | None = 1) -> None:
+    """All tokens of a table as so many pairs of index and token files; without a number each task writes a pair, so that more rows take no longer in any one."""
+    rows = tokens.select("tokens")
+    (rows.coalesce(parts) if parts else rows).write.format("indexed_tokens").option("path", path).mode("append").save()
 
 
 def merged_by(tokens: DataFrame, path: str, by: tuple = ("lang", "tier")) -> list[str]:
