@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftline.llm import op1_chunk_store as store
@@ -30,6 +31,28 @@ def test_pieces_are_exact(name):
         assert encode(text) == tokens.ids_bytes(whole.encode(text, add_special_tokens=False).ids), text
 
 
+@pytest.mark.parametrize("most", [1 << 20, 300])
+def test_slices_are_exact(most, monkeypatch):
+    """All texts at once: odd ones, those beyond a slice, nulls, and slices of nothing."""
+    monkeypatch.setattr(tokens, "SLICE", most)
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    whole, rows = tokens.load(path), [None, "", "a\nb c,\nÉa!! d", "\n", " x", "x\n", "long word " * 90, *texts(), "end", None]
+    slices = tokens.Slices(path)
+    assert slices.plain
+    for array in (pa.array(rows), pa.array(rows, pa.large_string()).slice(3), pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        for text, got in zip(array.to_pylist(), slices.of(array), strict=True):
+            assert got == tokens.ids_bytes(whole.encode(text or "", add_special_tokens=False).ids), text
+
+
+def test_slices_model_each_word_once(monkeypatch):
+    """What repeats within a slice, with other marks too, goes to the model once."""
+    slices, seen = tokens.Slices(tokens.vocabulary("byte_bpe_50k.json")), []
+    real = slices._modelled
+    monkeypatch.setattr(slices, "_modelled", lambda words: (seen.extend(words.to_pylist()), real(words))[1])
+    list(slices.of(pa.array(["one two, two. two", "one two!\nÉté two"] * 50)))
+    assert sorted(x for x in seen if x.strip(",.!")) == [" two", "one", "Été"] and not slices.pieces.young.keys() - {"\n"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_trees_are_exact(name):
     rng, tokenizer = random.Random(7), tokens.load(tokens.vocabulary(name))

@@ -47,8 +47,8 @@ from .common import exclusive_prefix, work_folder, written
 WINDOW, LEAST, MOST, BITS = 16, 128, 4096, 9
 #: Bytes of an address.
 ADDRESS = 16
-#: Addresses that a task remembers having sent.
-SENT = 500_000
+#: Addresses that a task remembers having sent; bytes of ids in a batch that it sends.
+SENT, OUT = 500_000, 8 << 20
 
 
 def _table() -> np.ndarray:
@@ -113,12 +113,16 @@ def _pack(path: str, end_id: int, wide: bool, key_type: pa.DataType):
     schema = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("ids", pa.binary()), ("doc", key_type), ("lengths", pa.binary()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, sent = tokens.raw_ids(path, tokens.spaced_pieces), set()
+        encode, sent = tokens.raw_ids_of_all(path), set()
         end = np.array([end_id], "<u4").tobytes()
+
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+
         for batch in batches:
-            rows = []
-            for doc, number, text in zip(*[batch.column(c).to_pylist() for c in ("doc", "number", "text")]):
-                ids = np.frombuffer(encode(text or "") + end, "<u4")
+            rows, held = [], 0
+            for doc, number, raw in zip(batch.column("doc").to_pylist(), batch.column("number").to_pylist(), encode(batch.column("text"))):
+                ids = np.frombuffer(raw + end, "<u4")
                 parts = chunk(ids)
                 addresses = []
                 for part in parts:
@@ -130,7 +134,11 @@ def _pack(path: str, end_id: int, wide: bool, key_type: pa.DataType):
                         sent.add(a)
                         rows.append((0, a, part.astype(store).tobytes(), None, None, len(part)))
                 rows.append((1, number.to_bytes(8, "big"), b"".join(addresses), doc, np.array([len(p) for p in parts], "<u4").tobytes(), len(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+                held += len(raw)
+                if held > OUT:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            yield batch_of(rows)
 
     return run
 

@@ -5,7 +5,9 @@ joins characters across such a place, so the encoding of a text is that of its
 pieces in order, and a piece is encoded once for all its occurrences. The
 cache holds two generations of at most ``KEPT`` bytes together, so its memory
 is bounded however many distinct pieces a corpus, or a single text, has. Other
-operators' tasks give it up.
+operators' tasks give it up. ``Slices`` does the same for many texts at once:
+their pieces are told apart in Arrow, and the distinct words among them go to
+the library's model in a few long strings.
 """
 
 from __future__ import annotations
@@ -13,9 +15,13 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes that a cache may hold, length from which a piece is not kept, pieces looked up at once, bytes that an entry takes besides its piece and value, and of how many plain words one is encoded by the whole tokenizer as well.
@@ -203,3 +209,103 @@ def raw_ids(path: str, split: Callable[[str], list[str]]) -> Callable[[str], byt
     """A function from a text to its ids as little-endian 32-bit integers."""
     pieces = shared((path, split.__name__, "raw"), lambda: Pieces(path, ids_bytes))
     return lambda text: b"".join(pieces.of(split(text)))
+
+
+#: Bytes of texts whose pieces are told apart together, a longer text being encoded by itself; words in one string for the model.
+SLICE, TOGETHER = 20 << 20, 1000
+_BLANKS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+#: What ``spaced_pieces`` cuts otherwise, and a word with marks after it, for Arrow.
+_ODD = f"[{_BLANKS}]{{2}}|\\x00"
+_MARKED = f"^(?P<word> ?{_WORD.pattern[1 : _WORD.pattern.index(')')]})(?P<marks>{_WORD.pattern[_WORD.pattern.index(')') + 2 : -1]})$"
+
+
+class Slices:
+    """Ids of whole texts as little-endian 32-bit integers, by the pieces of ``spaced_pieces``; nothing is kept from slice to slice but what ``Pieces`` keeps of the pieces that are no words."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.pieces = Pieces(path, ids_bytes)
+        self.plain = self.pieces.word is not None and self.pieces.tokenizer.normalizer is None
+        if self.plain:
+            self.words = Tokenizer(self.pieces.tokenizer.model)
+            self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            vocab = self.pieces.tokenizer.get_vocab()
+            self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+            self.sizes[list(vocab.values())] = [len(t) for t in vocab]
+            others = [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174)]
+            self.spelt = np.arange(256, dtype="<u4")
+            self.spelt[others] = range(256, 256 + len(others))
+            self.spelt[ord("\n")] = ord("\n")
+
+    def _modelled(self, words: pa.Array) -> pa.Array:
+        """The ids of words by the library's model: many in one string, parted where as many bytes have been spelt as each has."""
+        rows = words.to_pylist()
+        strings = []
+        for lo in range(0, len(rows), TOGETHER):
+            raw = np.frombuffer("\n".join(rows[lo : lo + TOGETHER]).encode(), np.uint8)
+            strings.append(self.spelt[raw].tobytes().decode("utf-32-le"))
+        ids = [np.array(e.ids, "<u4") for lo in range(0, len(strings), 16) for e in self.words.encode_batch_fast(strings[lo : lo + 16], add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, "<u4")
+        spelt = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.sizes[ids])])
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.binary_length(words).to_numpy())])
+        at = np.searchsorted(spelt, ends)
+        if spelt[-1] != ends[-1] or (spelt[at] != ends).any():
+            raise ValueError("the vocabulary's model does not spell words byte by byte")
+        return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(4 * at), pa.py_buffer(ids)])
+
+    def _values(self, pieces: pa.Array) -> pa.Array:
+        """The ids of distinct pieces."""
+        parts = pc.extract_regex(pieces, _MARKED)
+        plain = pc.is_valid(parts)
+        mine = pieces.filter(plain)
+        word, marks = (x.dictionary_encode() for x in parts.filter(plain).flatten())
+        found = pc.binary_join_element_wise(*(self._modelled(x.dictionary).take(x.indices) for x in (word, marks)), pa.scalar(b"", pa.large_binary()))
+        # A sample goes both ways, as in ``Pieces``.
+        first = -self.pieces.learnt % CHECKED
+        self.pieces.learnt += len(mine)
+        sample = pa.array(range(first, len(mine), CHECKED), pa.int64())
+        for piece, own in zip(mine.take(sample).to_pylist(), found.take(sample).to_pylist()):
+            if ids_bytes(self.pieces._whole([piece])[0]) != own:
+                raise ValueError(f"the vocabulary's model alone does not encode {piece!r} as the whole tokenizer does")
+        rest = pa.array(self.pieces.of(pieces.filter(pc.invert(plain)).to_pylist()), pa.large_binary())
+        return pc.replace_with_mask(pc.replace_with_mask(pa.nulls(len(pieces), pa.large_binary()), plain, found), pc.invert(plain), rest)
+
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        feeds = raw == ord("\n")
+        begins = feeds | (raw == _SPACE)
+        begins[1:] |= feeds[:-1]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        at = np.append(np.flatnonzero(begins), len(raw))
+        del feeds, begins
+        pieces = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)]).dictionary_encode()
+        ids = self._values(pieces.dictionary).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(at, offsets)].tolist()
+        whole = memoryview(ids.buffers()[2] or b"")
+        return [bytes(whole[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def of(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, a null one being empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = pc.binary_length(texts).to_numpy()
+        alone = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False) | (sizes > SLICE) | (not self.plain)
+        lo = 0
+        while lo < len(texts):
+            if alone[lo]:
+                yield b"".join(self.pieces.of(spaced_pieces(texts[lo].as_py())))
+                lo += 1
+                continue
+            hi, held = lo, 0
+            while hi < len(texts) and not alone[hi] and (hi == lo or held + sizes[hi] <= SLICE):
+                held += sizes[hi]
+                hi += 1
+            yield from self._slice(texts.slice(lo, hi - lo))
+            lo = hi
+
+
+def raw_ids_of_all(path: str) -> Callable[[pa.Array], Iterator[bytes]]:
+    """A function from an Arrow array of texts to the ids of each as little-endian 32-bit integers."""
+    return shared((path, "slices"), lambda: Slices(path)).of
