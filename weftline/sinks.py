@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources import files, readers
+from .sources import chunk_files, files, readers
 
 
 def jsonl(df: DataFrame, path: str, by: tuple = ("lang",), mode: str = "errorifexists") -> None:
@@ -18,11 +18,28 @@ def jsonl(df: DataFrame, path: str, by: tuple = ("lang",), mode: str = "errorife
     df.write.mode(mode).partitionBy(*by).json(path)
 
 
+#: Folders of chunks' texts, and the types of their values.
+CHUNKS = {"lang": "string", "tier": "string", "shard": "long", "chunk": "int"}
+
+
 def chunk_texts(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Texts alone, by language, tier, shard and chunk; blank ones go."""
+    """Texts alone, by language, tier, shard and chunk; blank ones go. Files are written by pyarrow where it knows the file system."""
     from .functions.text import strip
 
-    df.where(F.length(strip("text")) > 0).select("lang", "tier", "shard", "chunk", "text").write.mode(mode).partitionBy("lang", "tier", "shard", "chunk").json(path)
+    rows = df.where(F.length(strip("text")) > 0).select(*CHUNKS, "text")
+    if mode == "overwrite" or not files.opens(path):
+        rows.write.mode(mode).partitionBy(*CHUNKS).json(path)
+    elif mode == "append" or not files.exists(path):
+        chunk_files.write(rows, path, tuple(CHUNKS))
+    elif mode != "ignore":
+        raise FileExistsError(f"{path} exists already")
+
+
+def chunk_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(text, lang, tier, shard, chunk) of the files that ``chunk_texts`` wrote."""
+    if files.opens(path):
+        return chunk_files.read(spark, path, CHUNKS)
+    return spark.read.schema(", ".join(f"{c} {t}" for c, t in {"text": "string", **CHUNKS}.items())).json(path)
 
 
 def manifest(document: dict, path: str) -> None:
