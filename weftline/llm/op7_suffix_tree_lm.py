@@ -24,7 +24,10 @@ the hashes that a table may hold spares the shuffle most other strings; the
 join decides. A string met MET times has a suffix met as often, so the suffixes'
 bitmap spares most of those that are not. What the HEAD most frequent words and
 the NEAR most frequent strings cost is sent to all tasks, bounded tables that
-save work; all others are joined. A level's shuffle files go with its table.
+save work. All others go to the costs by ranges of hashes, as many as the costs
+need: a slice of texts has one row for each range, with the hashes packed in
+order, and a task holds the costs of one range while those rows pass by. A
+level's shuffle files go with its table, the tree's tables with its weights.
 
 Defined results: a null text is empty, and an empty text is its end alone;
 without training rows every count is 0 and the tree is its root; ties of counts, which only decide what is sent to all tasks, fall by
@@ -53,6 +56,8 @@ DEPTH, LEAST, MET, TEST, WEIGHT, HEAD, NEAR, FOLDS, HELD = 3, 20, 3, 4.0, 50.0,
 SLICE, BLOCK = 4 << 20, 1 << 19
 #: Distinct strings of a task's table; bits of a bitmap's place at most and of the word within; how far a hash turns with each further symbol.
 STRINGS, PLACE, BITS, TURN = 1_000_000, 27, 6, 23
+#: Ranges of hashes at least, and costs in one on average.
+RANGES, COSTS = 16, 1_000_000
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -271,7 +276,11 @@ def grow(train: DataFrame, text: str, alone: DataFrame, texts: int, folder: str,
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)
-    return written(total.groupBy("code").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), f"{folder}/weights")
+    weights = written(total.groupBy("code").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), f"{folder}/weights")
+    for d in range(1, depth + 1):
+        for name in ("contexts", "states", "seen"):
+            remove(spark, f"{folder}/{name}{d}")
+    return weights
 
 
 def _met(doc: np.ndarray, code: np.ndarray, table: np.ndarray):
@@ -283,12 +292,41 @@ def _met(doc: np.ndarray, code: np.ndarray, table: np.ndarray):
     return at[back[here]], doc[here], (key // max(len(found), 1), found[key % max(len(found), 1)], times)
 
 
-def _scored(model, key_type: pa.DataType, most: int):
-    """A row for each document (kind 0), one for each of its words that is not among the HEAD (kind 1), and one for each of its strings that may have a weight that is not among the NEAR (kind 2)."""
-    schema = pa.schema([("kind", pa.int32()), ("number", pa.int64()), ("doc", key_type), ("code", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers with all their first bytes, all their second ones, and so on, which compress better."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _numbers(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def range_of(code: np.ndarray, ranges: int) -> np.ndarray:
+    """Which of so many equal ranges of hashes each one is in, as ``_range_of`` says for columns."""
+    return ((code.view(np.uint64) >> np.uint64(33)) * np.uint64(ranges) >> np.uint64(31)).astype(np.int64)
+
+
+def _range_of(code: str, ranges: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(code, 33) * F.lit(ranges).cast("long"), 31).cast("int")
+
+
+#: What a row on its way to the weights is: a document's own sums, a word's or a string's cost, words or strings of many documents.
+DOCUMENT, WORD, STRING, WORDS, TEXTS = range(5)
+_ROUTED = "range int, kind int, number long, code long, n long, known long, base double, score double, numbers binary, docs binary, codes binary, times binary"
+
+
+def _rows(schema: pa.Schema, size: int, **given) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema], schema=schema)
 
-    def batch_of(size: int, **given) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+def _routed(key_type: pa.DataType) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in _ROUTED.split(", "))] + [("doc", key_type)])
+
+
+def _scored(model, key_type: pa.DataType, most: int, ranges: int):
+    """A row for each document, and for each slice of texts and range of hashes one of the words that are not among the HEAD and one of the strings that may have a weight and are not among the NEAR."""
+    schema = _routed(key_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, weights, bits, head, head_base, head_score, end_known, end_base, end_score = model.value
@@ -303,24 +341,66 @@ def _scored(model, key_type: pa.DataType, most: int):
                     on = np.flatnonzero((place >= k) & maybe(code, bits))
                     at, there, rest = _met(doc[on], code[on], codes)
                     score += np.bincount(there, weights=weights[at], minlength=len(part))
-                    far.append((2, rest))
+                    far.append((TEXTS, rest))
                 words = np.flatnonzero((place > 0) & (place < lengths[doc] - 1))
                 at, there, rest = _met(doc[words], stream[words], head)
-                far.append((1, rest))
+                far.append((WORDS, rest))
                 base = np.bincount(there, weights=head_base[at], minlength=len(part)) + end_base
                 score += np.bincount(there, weights=head_score[at], minlength=len(part)) + end_score
                 known = np.bincount(there, minlength=len(part)) + end_known
-                yield batch_of(len(part), kind=np.zeros(len(part), np.int32), number=own, doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
-                for kind, (where, code, times) in far:
-                    for lo in range(0, len(code), 200_000):
-                        cut = slice(lo, lo + 200_000)
-                        n = len(code[cut])
-                        yield batch_of(n, kind=np.full(n, kind, np.int32), number=own[where[cut]], code=code[cut], n=times[cut])
+                yield _rows(schema, len(part), range=own % ranges, kind=np.full(len(part), DOCUMENT), number=own, doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
+                for kind in (WORDS, TEXTS):
+                    where, code, times = (np.concatenate(x) for x in zip(*(rest for k, rest in far if k == kind)))
+                    order = np.argsort(code.view(np.uint64))
+                    where, code, times = where[order], code[order], times[order]
+                    cuts = np.searchsorted(range_of(code, ranges), np.arange(ranges + 1))
+                    for r in np.flatnonzero(np.diff(cuts)):
+                        cut = slice(cuts[r], cuts[r + 1])
+                        packed = {"numbers": np.diff(own, prepend=0), "docs": where[cut].astype("<u4"), "codes": np.diff(code[cut], prepend=0), "times": times[cut].astype("<u4")}
+                        yield _rows(schema, 1, range=[r], kind=[kind], **{name: [_planes(x)] for name, x in packed.items()})
                 first += len(part)
 
     return run
 
 
+def _weighed(key_type: pa.DataType, unseen: tuple[float, float]):
+    """Sums of documents, from rows in the order of ranges and kinds: a range's costs are held, the words and strings of documents pass by. ``unseen``: the base and the score of a word without a cost."""
+    schema = pa.schema([("number", pa.int64()), ("doc", key_type), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, tables = None, {}, {}
+        for batch in batches:
+            at = batch.column("range").to_numpy().astype(np.int64) * 8 + batch.column("kind").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)] if len(at) else [0]
+            for lo, hi in zip(edges, edges[1:]):
+                part, (r, kind) = batch.slice(lo, hi - lo), divmod(int(at[lo]), 8)
+                if r != last:
+                    last, held, tables = r, {WORD: [], STRING: []}, {}
+                if kind == DOCUMENT:
+                    yield part.select(schema.names).cast(schema)
+                elif kind in held:
+                    held[kind].append([part.column(c).to_numpy(zero_copy_only=False) for c in ("code", "base", "score")])
+                else:
+                    own = WORD if kind == WORDS else STRING
+                    if own not in tables:
+                        rows = [np.concatenate(x) for x in zip(*held.pop(own))] or [np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
+                        order = np.argsort(rows[0])
+                        tables[own] = [x[order] for x in rows]
+                    codes, base, score = tables[own]
+                    for numbers, docs, code, times in zip(*(part.column(c).to_pylist() for c in ("numbers", "docs", "codes", "times"))):
+                        numbers, docs, code, times = np.cumsum(_numbers(numbers, "<i8")), _numbers(docs, "<u4").astype(np.int64), np.cumsum(_numbers(code, "<i8")), _numbers(times, "<u4").astype(np.int64)
+                        here, place = member(code, codes)
+                        n = len(numbers)
+                        found = [np.bincount(docs[here], weights=times[here] * x[place[here]], minlength=n) for x in (base, score)]
+                        met, known = np.bincount(docs if own == WORD else docs[here], minlength=n) > 0, np.zeros(n, np.int64)
+                        if own == WORD:
+                            known = np.bincount(docs[here], weights=times[here], minlength=n).astype(np.int64)
+                            found = [x + u * np.bincount(docs[~here], weights=times[~here], minlength=n) for x, u in zip(found, unseen)]
+                        yield _rows(schema, int(met.sum()), number=numbers[met], known=known[met], base=found[0][met], score=found[1][met])
+
+    return run
+
+
 def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD, near: int = NEAR, depth: int = DEPTH, least: int = LEAST, met: int = MET) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every row of ``df``, learnt from those for which ``train`` holds."""
     spark, folder = df.sparkSession, work_folder(df.sparkSession)
@@ -356,19 +436,17 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     pa.default_memory_pool().release_unused()
     model = spark.sparkContext.broadcast((codes, values, bitmap(weights, "code"), head_codes, head_base, head_score, int(ends > 0), math.log10((ends + 1) / (total + distinct + 1)), math.log10(ends + 0.5) - room))
     rows = df.select(F.monotonically_increasing_id().alias("number"), F.col(key).alias("doc"), F.col(text).alias("text"))
-    schema = f"kind int, number long, doc {kind.simpleString()}, code long, n long, known long, base double, score double"
-    scored = written(rows.mapInArrow(_scored(model, _arrow(kind), depth + 1), schema), f"{folder}/scored", ["kind"])
+    ranges = min(max(RANGES, -(-(distinct + weights.count()) // COSTS)), 1 << 20)
+    schema = f"{_ROUTED}, doc {kind.simpleString()}"
+    routed = rows.mapInArrow(_scored(model, _arrow(kind), depth + 1, ranges), schema)
+    costs = words.select(F.lit(WORD).alias("kind"), "code", "base", "score").unionByName(weights.select(F.lit(STRING).alias("kind"), "code", F.lit(0.0).alias("base"), F.col("weight").alias("score")))
+    routed = routed.unionByName(costs.withColumn("range", _range_of("code", ranges)), allowMissingColumns=True)
+    unseen = math.log10(1 / (total + distinct + 1)), unknown
+    sums = routed.repartitionById(ranges, "range").sortWithinPartitions("range", "kind").mapInArrow(_weighed(_arrow(kind), unseen), f"number long, doc {kind.simpleString()}, n long, known long, base double, score double")
+    sums = sums.groupBy("number").agg(F.first("doc", ignorenulls=True).alias("key"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+    scored = written(sums.drop("number"), f"{folder}/scored")
     model.destroy()
-    docs, (rest, strings) = scored.where("kind = 0"), (scored.where(f"kind = {k}").select("number", "code", F.col("n").alias("times")) for k in (1, 2))
-    met_words = rest.join(words.select("code", "base", "score"), "code", "left")
-    unseen = F.col("base").isNull()
-    rest = met_words.select("number", (F.col("times") * F.coalesce("base", base(F.lit(0)))).alias("base"), F.when(unseen, 0).otherwise(F.col("times")).cast("long").alias("known"), (F.col("times") * F.coalesce("score", F.lit(unknown))).alias("score"))
-    more = strings.join(weights, "code").select("number", F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known"), (F.col("times") * F.col("weight")).alias("score"))
-    rest = rest.unionByName(more).groupBy("number").agg(F.sum("base").alias("rest_base"), F.sum("known").alias("rest_known"), F.sum("score").alias("rest_score"))
-    return docs.join(rest, "number", "left").select(
-        F.col("doc").alias("key"), F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("rest_known", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rest_score", F.lit(0.0))).alias("score"),
-    )
+    return scored
 
 
 def held_out(key: str):
