@@ -7,8 +7,10 @@ import re
 import subprocess
 import sys
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftline.llm import op2_html_blocks as blocks
@@ -288,6 +290,26 @@ def test_suffix_tree_is_brute_force(spark, near, met):
     assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in range(300))
 
 
+def test_far_words_and_strings_are_packed():
+    """Words and strings beyond the tables of all tasks make a row for each slice and range, however many they are."""
+    texts = [" ".join(f"w{(7 * i + k * k) % 5000}" for k in range(200)) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(range(400)), pa.array(texts)], ["number", "doc", "text"])
+    none, bits = np.zeros(0, np.int64), np.full(1 << 10, -1, np.int64)
+    model = SimpleNamespace(value=(none, np.zeros(0), bits, none, np.zeros(0), np.zeros(0), 1, 0.0, 0.0))
+    rows = pa.Table.from_batches(lm._scored(model, pa.int64(), 4, 16)(iter([batch]))).to_pylist()
+    far = [r for r in rows if r["kind"] != lm.DOCUMENT]
+    assert len(rows) - len(far) == 400 and len(far) == 32
+    words = [r for r in far if r["kind"] == lm.WORDS]
+    codes = np.concatenate([np.cumsum(lm._numbers(r["codes"], "<i8")) for r in words])
+    assert sum(lm._numbers(r["times"], "<u4").sum() for r in words) == 400 * 200 and set(codes) == set(lm.word_codes(" ".join(texts).encode())[1])
+
+
+def test_ranges_are_the_same_in_spark(spark):
+    codes = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 500)
+    got = spark.createDataFrame([(int(c),) for c in codes], "code long").select("code", lm._range_of("code", 37).alias("r")).collect()
+    assert {r["code"]: r["r"] for r in got} == dict(zip(codes.tolist(), lm.range_of(codes, 37).tolist()))
+
+
 @pytest.mark.parametrize("same", [True, False])
 def test_crf_bound_keeps_both_labels(spark, same):
     """Rows of labelled ids that repeat beyond the bound."""

@@ -319,9 +319,9 @@ def _rows(schema: pa.Schema, size: int, **given) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema], schema=schema)
 
 
-def _routed(key_type: pa.DataType) -> pa.Schema:
+def _routed(key_type: pa.DataType, columns: str = _ROUTED) -> pa.Schema:
     kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in _ROUTED.split(", "))] + [("doc", key_type)])
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in columns.split(", "))] + [("doc", key_type)])
 
 
 def _scored(model, key_type: pa.DataType, most: int, ranges: int):
@@ -348,7 +348,7 @@ def _scored(model, key_type: pa.DataType, most: int, ranges: int):
                 base = np.bincount(there, weights=head_base[at], minlength=len(part)) + end_base
                 score += np.bincount(there, weights=head_score[at], minlength=len(part)) + end_score
                 known = np.bincount(there, minlength=len(part)) + end_known
-                yield _rows(schema, len(part), range=own % ranges, kind=np.full(len(part), DOCUMENT), number=own, doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
+                yield _rows(schema, len(part), range=own % ranges, kind=np.full(len(part), DOCUMENT), number=own, code=np.full(len(part), own[0]), doc=docs.slice(first, len(part)), n=lengths - 1, known=known, base=base, score=score)
                 for kind in (WORDS, TEXTS):
                     where, code, times = (np.concatenate(x) for x in zip(*(rest for k, rest in far if k == kind)))
                     order = np.argsort(code.view(np.uint64))
@@ -363,9 +363,13 @@ def _scored(model, key_type: pa.DataType, most: int, ranges: int):
     return run
 
 
+_SUMS = ("docs", "known", "base", "score")
+_WEIGHED = "slice long, kind int, number long, n long, known long, base double, score double, sums binary"
+
+
 def _weighed(key_type: pa.DataType, unseen: tuple[float, float]):
-    """Sums of documents, from rows in the order of ranges and kinds: a range's costs are held, the words and strings of documents pass by. ``unseen``: the base and the score of a word without a cost."""
-    schema = pa.schema([("number", pa.int64()), ("doc", key_type), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    """Documents as they are, and a row of sums for each row of a slice's words or strings, from rows in the order of ranges and kinds: a range's costs are held, the others pass by. ``unseen``: the base and the score of a word without a cost."""
+    schema = _routed(key_type, _WEIGHED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held, tables = None, {}, {}
@@ -377,7 +381,8 @@ def _weighed(key_type: pa.DataType, unseen: tuple[float, float]):
                 if r != last:
                     last, held, tables = r, {WORD: [], STRING: []}, {}
                 if kind == DOCUMENT:
-                    yield part.select(schema.names).cast(schema)
+                    same = {c: part.column(c) for c in ("kind", "number", "n", "known", "base", "score", "doc")}
+                    yield _rows(schema, part.num_rows, slice=part.column("code"), **same)
                 elif kind in held:
                     held[kind].append([part.column(c).to_numpy(zero_copy_only=False) for c in ("code", "base", "score")])
                 else:
@@ -392,11 +397,46 @@ def _weighed(key_type: pa.DataType, unseen: tuple[float, float]):
                         here, place = member(code, codes)
                         n = len(numbers)
                         found = [np.bincount(docs[here], weights=times[here] * x[place[here]], minlength=n) for x in (base, score)]
-                        met, known = np.bincount(docs if own == WORD else docs[here], minlength=n) > 0, np.zeros(n, np.int64)
+                        met, known = np.flatnonzero(np.bincount(docs, minlength=n)), np.zeros(n)
                         if own == WORD:
-                            known = np.bincount(docs[here], weights=times[here], minlength=n).astype(np.int64)
+                            known = np.bincount(docs[here], weights=times[here], minlength=n)
                             found = [x + u * np.bincount(docs[~here], weights=times[~here], minlength=n) for x, u in zip(found, unseen)]
-                        yield _rows(schema, int(met.sum()), number=numbers[met], known=known[met], base=found[0][met], score=found[1][met])
+                        yield _rows(schema, 1, slice=numbers[:1], kind=[kind], sums=[np.concatenate([met.astype(np.float64), known[met], *(x[met] for x in found)]).tobytes()])
+
+    return run
+
+
+def _summed(key_type: pa.DataType):
+    """Documents with all their sums, from rows in the order of slices and kinds: a slice's documents are held while its sums pass by."""
+    names = ["key", "n_tokens", "n_known", "base_score", "score"]
+
+    def ended(held: list[pa.RecordBatch], sums: list[np.ndarray]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).sort_by("number").combine_chunks()
+        known, base, score = (whole.column(c).to_numpy() + x for c, x in zip(("known", "base", "score"), sums))
+        return pa.RecordBatch.from_arrays([*(whole.column(c).combine_chunks() for c in ("doc", "n")), pa.array(known, pa.int64(), safe=False), pa.array(base), pa.array(score)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, sums = None, [], None
+        for batch in batches:
+            at = batch.column("slice").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)] if len(at) else [0]
+            for lo, hi in zip(edges, edges[1:]):
+                part = batch.slice(lo, hi - lo)
+                if at[lo] != last:
+                    if held:
+                        yield ended(held, sums if sums is not None else [0, 0.0, 0.0])
+                    last, held, sums = at[lo], [], None
+                own = part.column("kind").to_numpy() == DOCUMENT
+                if own.any():
+                    held.append(part.filter(pa.array(own)))
+                for data in part.column("sums").filter(pa.array(~own)).to_pylist():
+                    if sums is None:
+                        sums = [np.zeros(sum(x.num_rows for x in held)) for _ in _SUMS[1:]]
+                    docs, *found = np.frombuffer(data, np.float64).reshape(len(_SUMS), -1)
+                    for total, x in zip(sums, found):
+                        total[docs.astype(np.int64)] += x
+        if held:
+            yield ended(held, sums if sums is not None else [0, 0.0, 0.0])
 
     return run
 
@@ -442,9 +482,9 @@ def score_documents(df: DataFrame, key: str, text: str, train, head: int = HEAD,
     costs = words.select(F.lit(WORD).alias("kind"), "code", "base", "score").unionByName(weights.select(F.lit(STRING).alias("kind"), "code", F.lit(0.0).alias("base"), F.col("weight").alias("score")))
     routed = routed.unionByName(costs.withColumn("range", _range_of("code", ranges)), allowMissingColumns=True)
     unseen = math.log10(1 / (total + distinct + 1)), unknown
-    sums = routed.repartitionById(ranges, "range").sortWithinPartitions("range", "kind").mapInArrow(_weighed(_arrow(kind), unseen), f"number long, doc {kind.simpleString()}, n long, known long, base double, score double")
-    sums = sums.groupBy("number").agg(F.first("doc", ignorenulls=True).alias("key"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
-    scored = written(sums.drop("number"), f"{folder}/scored")
+    weighed = routed.repartitionById(ranges, "range").sortWithinPartitions("range", "kind").mapInArrow(_weighed(_arrow(kind), unseen), f"{_WEIGHED}, doc {kind.simpleString()}")
+    sums = weighed.repartition("slice").sortWithinPartitions("slice", "kind").mapInArrow(_summed(_arrow(kind)), f"key {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double")
+    scored = written(sums, f"{folder}/scored").select("key", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
     model.destroy()
     return scored
 
