@@ -30,8 +30,11 @@ def jsonl(spark: SparkSession, paths, schema: str = CANONICAL, strict: bool = Fa
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(paths)
 
 
-def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, default_source: str = "local", row: str | None = None) -> DataFrame:
-    """(text, lang, token_count, source, local_id, doc_id) from rows with any of FLEXIBLE; without a text column, an empty table. Rows without an id of their own have the value of column ``row``, their place over all files."""
+def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, default_source: str = "local", row: str | None = None, whole: bool = False) -> DataFrame:
+    """(text, lang, token_count, source, local_id, doc_id) from rows with any of FLEXIBLE; without a text column, an empty table. Rows without an id of their own have the value of column ``row``, their place over all files.
+
+    Texts are stripped, and rows whose text is blank are left out; with ``whole``, texts are as they are and all rows stay.
+    """
     have = set(df.columns)
     pick = lambda *names: [F.col(n) for n in names if n in have]
     texts = pick("text", "content")
@@ -39,13 +42,15 @@ def flexible(df: DataFrame, known_langs: list[str], path: str | None = None, def
         return df.sparkSession.createDataFrame([], "text string, lang string, token_count long, source string, local_id string, doc_id string")
     place = F.col(path) if path else F.lit("")
     lang = T.first_true(*pick("lang", "language"), T.lang_from_path(place, known_langs))
-    text = T.strip(F.coalesce(T.first_true(*texts), F.lit("")))
+    own = T.first_true(*texts)
+    text = F.coalesce(own, *texts) if whole else T.strip(F.coalesce(own, F.lit("")))
     counts = (pick("token_count", "tokens") + [None, None])[:2]
     local = T.first_true(*[c.cast("string") for c in pick("id", "doc_id")])
     local = local if row is None else F.coalesce(local, F.col(row).cast("string"))
     source = F.coalesce(F.col("source"), F.lit(default_source)) if "source" in have else F.lit(default_source)
-    rows = df.select(text.alias("text"), lang.alias("lang"), T.resolve_tokens(T.strip(T.first_true(*texts)), *counts, policy="bundle").alias("token_count"), source.alias("source"), local.alias("local_id"))
-    return rows.where(F.length("text") > 0).withColumn("doc_id", T.doc_id("source", "local_id", "text"))
+    rows = df.select(text.alias("text"), lang.alias("lang"), T.resolve_tokens(text if whole else T.strip(own), *counts, policy="bundle").alias("token_count"), source.alias("source"), local.alias("local_id"))
+    kept = rows if whole else rows.where(F.length("text") > 0)
+    return kept.withColumn("doc_id", T.doc_id("source", "local_id", "text"))
 
 
 def _footers(batches):
@@ -97,8 +102,8 @@ def _read_path() -> F.Column:
     return _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
-def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[str], default_source: str = "local") -> DataFrame:
-    """Flexible rows of Parquet files, each with the columns it has; rows are numbered over all files in the order given, whatever their partitions.
+def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[str], default_source: str = "local", whole: bool = False) -> DataFrame:
+    """Flexible rows of Parquet files, each with the columns it has; rows are numbered over all files in the order given, whatever their partitions. ``whole`` as in ``flexible``.
 
     Files with the same columns of the same types are one scan, so there are no
     more branches than such sets; where a file's numbers begin is looked up by
@@ -114,7 +119,7 @@ def flexible_parquet(spark: SparkSession, paths: list[str], known_langs: list[st
         # A row for each file of the argument.
         table = F.broadcast(spark.createDataFrame(own, "_path string, _first long").select("_path", _plain(F.col("_path")).alias("_p"), "_first"))
         rows = spark.read.parquet(*dict.fromkeys(p for p, _ in own)).select(*[f"`{c.partition(chr(9))[0]}`" for c in names], _read_path().alias("_p"), F.col("_metadata.row_index").alias("_index"))
-        part = flexible(rows.join(table, "_p").withColumn("_row", F.col("_first") + F.col("_index")), known_langs, "_path", default_source, "_row")
+        part = flexible(rows.join(table, "_p").withColumn("_row", F.col("_first") + F.col("_index")), known_langs, "_path", default_source, "_row", whole)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -168,16 +173,16 @@ def parts(spark: SparkSession, paths: list[str]) -> list[str]:
     return found
 
 
-def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs: list[str], lang: str | None = None, source: str | None = None) -> DataFrame:
-    """Flexible rows of a kind of source: ``jsonl``, ``parquet`` or ``shards`` (Parquet whose language and source are given, not read)."""
+def documents(spark: SparkSession, kind: str, patterns: list[str], known_langs: list[str], lang: str | None = None, source: str | None = None, whole: bool = False) -> DataFrame:
+    """Flexible rows of a kind of source: ``jsonl``, ``parquet`` or ``shards`` (Parquet whose language and source are given, not read); ``whole`` as in ``flexible``."""
     if kind == "jsonl":
         schema = "text string, content string, token_count bigint, tokens bigint, lang string, language string, id string, doc_id string, source string, _bad string"
         parsed = numbered_lines(spark, discover(spark, patterns)).where("trim(value) <> ''").select("path", "line", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
         rows = parsed.select(F.col("path").alias("_path"), F.col("line").alias("_row"), "_r.*").where("_bad is null").drop("_bad")
         # Rows without an id of their own have their line's number.
-        return flexible(rows, known_langs, "_path", row="_row")
+        return flexible(rows, known_langs, "_path", row="_row", whole=whole)
     if kind in ("parquet", "shards"):
-        rows = flexible_parquet(spark, parts(spark, discover(spark, patterns)), known_langs)
+        rows = flexible_parquet(spark, parts(spark, discover(spark, patterns)), known_langs, whole=whole)
         if kind == "parquet":
             return rows
         rows = rows.withColumns({"lang": F.lit(lang), "source": F.lit(source)})
