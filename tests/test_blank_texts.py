@@ -13,7 +13,7 @@ def odd(data, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["flexible_parquet_rows", "jsonl_numbered"])
+@pytest.mark.parametrize("name", ["flexible_parquet_rows", "jsonl_numbered", "stream_mixture"])
 def test_all_documents_and_whole_texts(spark, odd, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{odd}/documents.parquet'")

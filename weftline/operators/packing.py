@@ -17,10 +17,10 @@ def chunks(df: DataFrame, keys: list[str], order: str, size: int) -> DataFrame:
     return df.withColumn("rn", rn).withColumn("chunk", F.floor((F.col("rn") - 1) / size).cast("int"))
 
 
-def chunk_manifest(df: DataFrame, text: str = "text", tokens: str = "token_count", run_id: str = "", keys: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each chunk, and by further ``keys``; blank texts have taken their places and are left out of the sums."""
-    full = F.length(T.strip(text)) > 0
-    sums = df.groupBy("lang", "shard", "tier", "chunk", *keys).agg(F.count_if(full).alias("docs"), F.coalesce(F.sum(F.when(full, F.coalesce(tokens, F.lit(0)))), F.lit(0)).alias("source_token_count"), F.coalesce(F.sum(F.when(full, F.octet_length(T.strip(text)))), F.lit(0)).alias("bin_bytes"))
+def chunk_manifest(df: DataFrame, text: str = "text", tokens: str = "token_count", run_id: str = "", keys: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
+    """A row for each chunk, and by further ``keys``; blank texts have taken their places and are left out of the sums, which are over stripped texts. With ``whole`` all rows count, and texts as they are."""
+    full, kept = (F.lit(True), F.col(text)) if whole else (F.length(T.strip(text)) > 0, T.strip(text))
+    sums = df.groupBy("lang", "shard", "tier", "chunk", *keys).agg(F.count_if(full).alias("docs"), F.coalesce(F.sum(F.when(full, F.coalesce(tokens, F.lit(0)))), F.lit(0)).alias("source_token_count"), F.coalesce(F.sum(F.when(full, F.octet_length(kept))), F.lit(0)).alias("bin_bytes"))
     return sums.withColumn("name", T.chunk_name("lang", "shard", "chunk", "tier", run_id))
 
 

@@ -57,13 +57,13 @@ def bundle(docs: DataFrame, langs: list[str], target: int, least: int = 0, most:
     return packing.bundle_rows(assigned, kept, "lang", "ord", "token_count", target)
 
 
-def stream(spark: SparkSession, folder: str, out: str, checkpoint: str, preset: str = "lc16k", chunk_docs: int = 10_000, run_id: str = "", texts: str | None = None, bytes_per_batch: int | None = None) -> DataFrame:
-    """Chunks of new shards by length tier, their texts below ``texts`` if given, and the mixture over all chunks so far. Earlier chunks with other tiers are an error before anything is written."""
+def stream(spark: SparkSession, folder: str, out: str, checkpoint: str, preset: str = "lc16k", chunk_docs: int = 10_000, run_id: str = "", texts: str | None = None, bytes_per_batch: int | None = None, whole: bool = False) -> DataFrame:
+    """Chunks of new shards by length tier, their texts below ``texts`` if given, and the mixture over all chunks so far; with ``whole`` blank texts count too, and texts as they are. Earlier chunks with other tiers are an error before anything is written."""
     spec = tiers.normalize(tiers.PRESETS[preset])
     if readers.exists(spark, out):
         if strangers := [r["tier"] for r in tiers.unknown_tiers(spark.read.parquet(out), spec).limit(10).collect()]:
             raise ValueError(f"chunks with tiers that {preset} lacks: {strangers}")
-    streaming.run(spark, folder, "lang string, text string, token_count long", out, checkpoint, spec, chunk_docs, run_id=run_id, texts=texts, bytes_per_batch=bytes_per_batch)
+    streaming.run(spark, folder, "lang string, text string, token_count long", out, checkpoint, spec, chunk_docs, run_id=run_id, texts=texts, bytes_per_batch=bytes_per_batch, whole=whole)
     chunks = spark.read.parquet(out)
     return mixture.tier_proportional(chunks, tiers.frame(spark, spec))
 

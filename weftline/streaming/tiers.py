@@ -15,7 +15,7 @@ def shard_stream(spark: SparkSession, folder: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option(*limit).parquet(folder)
 
 
-def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "", texts: str | None = None, bytes_per_batch: int | None = None) -> None:
+def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spec: dict, chunk_docs: int, files_per_batch: int = 1, run_id: str = "", texts: str | None = None, bytes_per_batch: int | None = None, whole: bool = False) -> None:
     """All shards that are new: tiers, chunks in each shard, their texts below ``texts``, and a manifest row for each chunk that is not there yet.
 
     Texts are written before the manifest row that declares their chunk
@@ -27,12 +27,13 @@ def run(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, spe
     shard, so they are the same each time. A chunk is known by its shard's path
     and language, tier, number and run; a shard's number is a hash of its path,
     so names may repeat and decide nothing. A manifest without paths is an error.
+    With ``whole`` the manifest counts blank texts too, and texts as they are.
     """
 
     def batch(df: DataFrame, _epoch: int) -> None:
         rows = df.withColumn("shard", F.pmod(F.xxhash64("_path"), F.lit(10_000)).cast("int")).withColumn("tier", tiers.assign("token_count", spec)).withColumnRenamed("_path", "path").withColumn("run", F.lit(run_id))
         cut = packing.chunks(rows, ["path", "lang", "tier"], "_row", chunk_docs)
-        made = packing.chunk_manifest(cut, run_id=run_id, keys=("path", "run"))
+        made = packing.chunk_manifest(cut, run_id=run_id, keys=("path", "run"), whole=whole)
         try:
             done = spark.read.schema(made.schema).parquet(out)
             if done.where("path is null").limit(1).count():
