@@ -72,3 +72,34 @@ def test_a_shard_may_be_a_folder_of_parts(spark, tmp_path):
         assert sorted((r["tier"], r["chunk"], r["row"]) for r in made.collect()) == sorted([("short", i // 13, i) for i in range(49)] + [("long", (i - 49) // 13, i) for i in range(49, 400)])
         assert len(files.below(f"{tmp_path}/checkpoint{least}/commits")) >= batches
         assert sum(p.rpartition("/")[2].isdigit() for p in files.below(f"{tmp_path}/checkpoint{least}/commits")) in (batches, batches + 1)
+
+
+def test_a_streams_partitions_have_row_groups_that_follow_one_another(spark, folder, monkeypatch):
+    """A batch has a task for so many bytes, not for each row group, and the same rows."""
+    import json
+
+    stream = shards._Stream({"path": folder, "after": json.dumps({"shard": "", "group": 0})})
+    one, end = {"shard": "", "group": 0}, stream.latestOffset()
+    parts = stream.partitions(one, end)
+    assert len(parts) < 16 and sum(p.n for p in parts) == 7 + 1 + 5 + 3 + 1 and sum(p.last for p in parts) == 5
+    rows = [r for p in parts for b in stream.read(p) for r in b.to_pylist()]
+    assert [(r["shard"], r["row"], r["last"]) for r in rows] == [(r["shard"], r["row"], r["last"]) for g in shards._Reader({"path": folder}).partitions() for b in shards._rows(g) for r in b.to_pylist()]
+    # Row groups beyond the bytes are partitions of their own; a batch that begins or ends in a file has its own row groups only.
+    monkeypatch.setattr(shards, "SPAN", 1)
+    assert len(stream.partitions(one, end)) == 17
+    monkeypatch.undo()
+    shard = stream.shards.names()[0]
+    part = stream.partitions({"shard": shard, "group": 2}, {"shard": shard, "group": 5})
+    assert [(p.group, p.n, p.first, p.last) for p in part] == [(2, 3, 40, False)]
+
+
+def test_state_stores_are_as_many_as_cores_at_most(spark, folder, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        got = chunks.run(spark, folder, f"{tmp_path}/out", f"{tmp_path}/checkpoint", SPEC, 13, groups=30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50" and got.count() == 292
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = {p.split("/state/0/")[1].split("/")[0] for p in files.below(f"{tmp_path}/checkpoint") if "/state/0/" in p}
+    assert 0 < sum(map(str.isdigit, stores)) <= spark.sparkContext.defaultParallelism

@@ -4,7 +4,8 @@ A shard is a Parquet file below a folder, or a folder ``*.parquet`` there whose
 files are its parts in the order of their names, as Spark writes them. Its
 language is the name of the folder that it is in (``lang=de`` or ``de``). The
 stream's offset is a place in the shards' row groups, so a shard may come in
-several batches; each row group is a partition. Behind a shard's last row group comes a row with ``last`` and
+several batches. Each row group is a partition of a table; a stream's partition
+has small ones that follow one another in their file. Behind a shard's last row group comes a row with ``last`` and
 nothing else, which tells later operators that the shard is over.
 """
 
@@ -22,11 +23,16 @@ from . import files
 SCHEMA = "shard string, lang string, row bigint, text string, token_count bigint, last boolean"
 _ARROW = pa.schema([("shard", pa.string()), ("lang", pa.string()), ("row", pa.int64()), ("text", pa.string()), ("token_count", pa.int64()), ("last", pa.bool_())])
 
+#: A stream's partition takes row groups of a file until it has so many bytes.
+SPAN = 4 << 20
+
 
 class _Group(InputPartition):
-    def __init__(self, shard: str, path: str, group: int, first: int, last: bool):
+    """So many row groups of a file, the first one and its first row's place in the shard, and whether they end it."""
+
+    def __init__(self, shard: str, path: str, group: int, first: int, last: bool, size: int = 0, n: int = 1):
         super().__init__((path, group))
-        self.shard, self.path, self.group, self.first, self.last = shard, path, group, first, last
+        self.shard, self.path, self.group, self.first, self.last, self.size, self.n = shard, path, group, first, last, size, n
 
 
 def lang_of(path: str) -> str:
@@ -41,7 +47,7 @@ def _rows(part: _Group) -> Iterator[pa.RecordBatch]:
         file = pq.ParquetFile(f)
         have = [c for c in ("text", "token_count") if c in file.schema_arrow.names]
         at = part.first
-        for batch in file.iter_batches(10_000, [part.group], have):
+        for batch in file.iter_batches(10_000, list(range(part.group, part.group + part.n)), have):
             n = batch.num_rows
             column = lambda name, kind: batch.column(name).cast(kind) if name in have else pa.nulls(n, kind)  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays([pa.array([part.shard] * n), pa.array([lang_of(part.shard)] * n), pa.array(np.arange(at, at + n)), column("text", pa.string()), column("token_count", pa.int64()), pa.array([False] * n)], schema=_ARROW)
@@ -85,13 +91,23 @@ class _Shards:
     def parts(self, shard: str, lo: int = 0, hi: int | None = None) -> list[_Group]:
         out, first = [], 0
         for path in self.files[shard]:
-            for k, (rows, _) in enumerate(self._footer(path)):
-                out.append(_Group(shard, path, k, first, False))
+            for k, (rows, size) in enumerate(self._footer(path)):
+                out.append(_Group(shard, path, k, first, False, size))
                 first += rows
         if out:
             out[-1].last = True
         return out[lo:hi]
 
+    def spans(self, shard: str, lo: int = 0, hi: int | None = None) -> list[_Group]:
+        """The same with row groups that follow one another in a file together, up to SPAN bytes."""
+        out: list[_Group] = []
+        for g in self.parts(shard, lo, hi):
+            if out and out[-1].path == g.path and out[-1].size + g.size <= SPAN:
+                out[-1].n, out[-1].size, out[-1].last = out[-1].n + 1, out[-1].size + g.size, g.last
+            else:
+                out.append(g)
+        return out
+
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
@@ -140,7 +156,7 @@ class _Stream(DataSourceStreamReader):
         for path, lo, _ in self._left(start):
             if path > end["shard"]:
                 break
-            out += self.shards.parts(path, lo, end["group"] if path == end["shard"] else None)
+            out += self.shards.spans(path, lo, end["group"] if path == end["shard"] else None)
         return out
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:

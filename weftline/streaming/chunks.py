@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ..sources import shards
 #: The state store that list state needs.
 PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 OUT = "shard string, lang string, tier string, chunk int, row bigint, text string, token_count bigint"
+ROW = ["row", "text", "token_count"]
 
 
 class Buffers(StatefulProcessor):
@@ -33,26 +35,27 @@ class Buffers(StatefulProcessor):
         self.chunk = handle.getValueState("chunk", "chunk int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        came = pd.concat(list(rows))
-        over, came = bool(came["last"].any()), came[~came["last"]].sort_values("row")
-        held = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
-        held += [(int(r), t, None if pd.isna(n) else int(n)) for r, t, n in zip(came["row"], came["text"], came["token_count"])]
+        came = pd.concat(list(rows), ignore_index=True)
+        over = bool(came["last"].any())
+        came = came.loc[~came["last"], ROW].sort_values("row")
+        held = list(self.rows.get()) if self.rows.exists() else []
+        if held:
+            came = pd.concat([pd.DataFrame(held, columns=ROW), came], ignore_index=True)
         chunk = self.chunk.get()[0] if self.chunk.exists() else 0
-        cut = len(held) if over else len(held) // self.size * self.size
+        cut = len(came) if over else len(came) // self.size * self.size
         if cut:
-            sent = pd.DataFrame(held[:cut], columns=["row", "text", "token_count"])
-            for name, value in zip(("shard", "lang", "tier"), key):
-                sent[name] = value
-            sent["chunk"] = [chunk + k // self.size for k in range(cut)]
-            sent["token_count"] = sent["token_count"].astype("Int64")
-            yield sent[["shard", "lang", "tier", "chunk", "row", "text", "token_count"]]
+            sent = came.iloc[:cut].assign(chunk=chunk + np.arange(cut) // self.size, **dict(zip(("shard", "lang", "tier"), key)))
+            yield sent[["shard", "lang", "tier", "chunk", *ROW]]
         if over:
             self.rows.clear()
             self.chunk.clear()
             return
-        if cut or len(came):
-            self.rows.put(held[cut:]) if held[cut:] else self.rows.clear()
-            self.chunk.update((chunk + cut // self.size,))
+        left = came.iloc[cut:]
+        if len(left):
+            self.rows.put([(int(r), t, int(n)) for r, t, n in zip(left["row"], left["text"], left["token_count"])])
+        else:
+            self.rows.clear()
+        self.chunk.update((chunk + cut // self.size,))
 
     def close(self) -> None:
         pass
@@ -63,7 +66,7 @@ def chunked(rows: DataFrame, spec: dict, size: int) -> DataFrame:
     every = F.array(*map(F.lit, spec))
     # The end of a shard goes to the buffers of all its tiers.
     tier = F.explode(F.when(F.col("last"), every).otherwise(F.array(tiers.assign("token_count", spec))))
-    counted = rows.withColumn("token_count", F.when(~F.col("last"), T.resolve_tokens("text", "token_count"))).withColumn("tier", tier)
+    counted = rows.withColumn("token_count", F.when(F.col("last"), 0).otherwise(T.resolve_tokens("text", "token_count"))).withColumn("tier", tier)
     keyed = counted.select("shard", "lang", "tier", "row", "text", "token_count", "last").groupBy("shard", "lang", "tier")
     return keyed.transformWithStateInPandas(Buffers(size), OUT, "Append", "None")
 
@@ -73,7 +76,13 @@ def run(spark: SparkSession, folder: str, out: str, checkpoint: str, spec: dict,
     spark.conf.set(*PROVIDER)
     shards.register(spark)
     stream = spark.readStream.format("corpus_shards").option("groupsPerBatch", groups).option("bytesPerBatch", least).option("langs", langs).option("after", shards.progress(checkpoint)).load(folder)
-    query = chunked(stream, spec, size).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").start()
+    # A state store is committed for each partition and batch, so a new query has no more of them than the cluster has cores.
+    stores, cores = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(stores), cores))
+    try:
+        query = chunked(stream, spec, size).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", stores)
     try:
         if batches is None:
             query.processAllAvailable()
